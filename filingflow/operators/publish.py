@@ -51,7 +51,7 @@ SENT_IF_SET = {
 }
 
 
-def upsert_columns(rows: DataFrame) -> DataFrame:
+def upsert_columns(rows: DataFrame, keep: list[str] = []) -> DataFrame:
     """Payload fields as columns next to ``rcept_no``, with ``date_error``.
 
     Texts are stripped; ``tags`` is taken along where the input has it.
@@ -65,6 +65,7 @@ def upsert_columns(rows: DataFrame) -> DataFrame:
 
     return rows.select(
         "rcept_no",
+        *keep,
         *[field(source).alias(key) for key, source in (ALWAYS_SENT | SENT_IF_SET).items() if source in present],
         reception_date_error(F.col("rcept_dt")).alias("date_error"),
     )

@@ -16,22 +16,27 @@ def with_content_type(documents: DataFrame) -> DataFrame:
 
 
 def store_documents(documents: DataFrame, root: str, batch_id: int = 0) -> None:
-    """Write documents partitioned by filing date.
+    """Write documents by outcome and filing date, under their object key.
 
+    Failed filings lie beside the documents as rows without a body, so a poll
+    writes every body once and reads its bookkeeping back from other columns.
     Rows are written where they are: payload files are landed by date, so a
     task holds few dates and bodies need not be shuffled for the layout.
     """
-    rows = with_content_type(documents).select(
-        "rcept_no",
-        object_key(F.col("rcept_dt"), F.col("filename")).alias("object_key"),
-        "content_type",
-        "body",
-        F.octet_length("body").cast("bigint").alias("file_size"),
-        "used_enc",
-        "summary",
-        "rcept_dt",
+    if "outcome" not in documents.columns:
+        documents = documents.withColumn("outcome", F.lit("SUCCESS"))
+    stored = F.col("outcome") == "SUCCESS"
+    rows = (
+        with_content_type(documents)
+        .withColumn("content_type", F.when(stored, F.col("content_type")))
+        .withColumn("object_key", F.when(stored, object_key(F.col("rcept_dt"), F.col("filename"))))
+        .withColumn("body", F.when(stored, F.col("body")))
+        .withColumn("file_size", F.coalesce("file_size", F.octet_length("body").cast("bigint")))
+    )
+    (
+        rows.write.mode("overwrite").partitionBy("outcome", "rcept_dt")
+        .parquet(f"{root}/batch_id={batch_id}")
     )
-    rows.write.mode("overwrite").partitionBy("rcept_dt").parquet(f"{root}/batch_id={batch_id}")
 
 
 def publish(rows: DataFrame, root: str, batch_id: int = 0) -> None:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.store import read_table
 from .incremental import latest_per_key, without
 
 
@@ -14,15 +15,30 @@ def upsert(target: DataFrame, batch: DataFrame, order: list[str], keys: list[str
 
 
 def write_batch(batch: DataFrame, root: str, batch_id: int, order: list[str]) -> None:
-    """Store one micro-batch's changes; running a batch again replaces its folder."""
+    """Store one micro-batch's changes; running a batch again replaces its folder.
+
+    The table is partitioned by the date that starts every id.
+    """
     latest = latest_per_key(batch, ["rcept_no"], order)
-    latest.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+    (
+        latest.withColumn("rcept_dt", F.left("rcept_no", F.lit(8)))
+        .write.mode("overwrite").partitionBy("rcept_dt").parquet(f"{root}/batch_id={batch_id}")
+    )
 
 
 def current(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """Present state of the table: the newest batch wins per id."""
-    from ..sources.store import read_table
+    """Present state of the table: the newest batch wins per id.
+
+    A condition on ``rcept_dt`` reads only the partitions of those dates.
+    """
+    rows = read_table(spark, root, schema + ", batch_id string, rcept_dt string")
+    newest = rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return latest_per_key(newest, ["rcept_dt", "rcept_no"], ["batch_id"])
+
 
-    rows = read_table(spark, root, schema + ", batch_id string")
-    newest = rows.withColumn("batch_id", rows["batch_id"].cast("bigint"))
-    return latest_per_key(newest, ["rcept_no"], ["batch_id"])
+def compact(spark: SparkSession, root: str, new_root: str, schema: str, batch_id: int) -> None:
+    """Write the present state as one batch of a new table that replaces the old one."""
+    (
+        current(spark, root, schema).drop("batch_id")
+        .write.mode("overwrite").partitionBy("rcept_dt").parquet(f"{new_root}/batch_id={batch_id}")
+    )

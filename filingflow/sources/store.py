@@ -1,13 +1,17 @@
-"""The document store: Parquet below ``<root>/batch_id=N/rcept_dt=YYYYMMDD``."""
+"""The document store: Parquet below ``<root>/batch_id=N/outcome=O/rcept_dt=YYYYMMDD``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ..schema import FILING_FIELDS
+
 DOCUMENT_SCHEMA = (
-    "rcept_no string, object_key string, content_type string, body binary, file_size bigint,"
-    " used_enc string, summary string, batch_id string, rcept_dt string"
+    ", ".join(f"{name} string" for name in FILING_FIELDS if name != "rcept_dt")
+    + ", n_listed bigint, stage string, reason string, filename string, object_key string,"
+    " content_type string, body binary, file_size bigint, used_enc string, summary string,"
+    " batch_id string, outcome string, rcept_dt string"
 )
 
 
@@ -21,10 +25,15 @@ def read_table(spark: SparkSession, root: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
+def read_processed(spark: SparkSession, root: str) -> DataFrame:
+    """Every filing a poll dealt with, whatever became of it."""
     return read_table(spark, root, DOCUMENT_SCHEMA)
 
 
+def read_documents(spark: SparkSession, root: str) -> DataFrame:
+    return read_processed(spark, root).where(F.col("outcome") == "SUCCESS")
+
+
 def stored_keys(documents: DataFrame) -> DataFrame:
     """The keys a listing is compared with; no other column is read."""
     return documents.select("rcept_dt", "rcept_no")
