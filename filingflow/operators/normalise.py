@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import charset, kind as kinds
+from ..functions.once import computed_once
 from ..functions.rewrite import rewrite
 from ..functions.text import base_name, safe_name
 from ..schema import HEAD_BYTES, MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES
@@ -44,14 +45,14 @@ def decode_document(docs: DataFrame, data: str = "data", declared: str = "declar
             F.when(~F.col("_korean").rlike(charset.MALFORMED_KOREAN), F.col("_korean")),
         )
     )
-    return steps.select(
-        *docs.columns,
-        F.coalesce("_stated", "_utf8", "_korean", kinds.byte_text(raw)).alias("text"),
-        F.when(F.col("_stated").isNotNull(), name)
+    return computed_once(
+        steps,
+        docs.columns,
+        text=F.coalesce("_stated", "_utf8", "_korean", kinds.byte_text(raw)),
+        used_enc=F.when(F.col("_stated").isNotNull(), name)
         .when(F.col("_utf8").isNotNull(), "utf-8-sig")
         .when(F.col("_korean").isNotNull(), "cp949")
-        .when(raw.isNotNull(), "iso-8859-1")
-        .alias("used_enc"),
+        .when(raw.isNotNull(), "iso-8859-1"),
     )
 
 
@@ -126,14 +127,16 @@ def normalise(
     stem = safe_name(base_name(F.col(name)))
     kind = F.col("kind")
     extension = F.when(kind == "html", ".html").when(kind == "xml", ".xml").when(kept, ".zip").otherwise("")
-    return decoded.select(
-        *others,
-        F.when(kind == "html", HTML_TYPE).when(kind == "xml", XML_TYPE).otherwise(OTHER_TYPE).alias("content_type"),
-        F.when(F.col("error").isNull(), F.coalesce(rewrite(F.col("text"), kind, keep_tail).cast("binary"), F.col("data"))).alias("body"),
-        F.concat(stem, extension).alias("filename"),
-        "used_enc",
-        document_summary(F.col("archive"), F.col("best.name"), kind, F.col("used_enc")).alias("summary"),
-        "error",
+    whole = F.coalesce(rewrite(F.col("text"), kind, keep_tail).cast("binary"), F.col("data"))
+    return computed_once(
+        decoded,
+        others,
+        content_type=F.when(kind == "html", HTML_TYPE).when(kind == "xml", XML_TYPE).otherwise(OTHER_TYPE),
+        body=F.when(F.col("error").isNull(), whole),
+        filename=F.concat(stem, extension),
+        used_enc=F.col("used_enc"),
+        summary=document_summary(F.col("archive"), F.col("best.name"), kind, F.col("used_enc")),
+        error=F.col("error"),
     )
 
 

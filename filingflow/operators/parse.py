@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.once import computed_once
 from ..functions.text import empty_to_null
 from ..schema import FILING_FIELDS, OPTIONAL_FIELDS, REQUIRED_FIELDS, VIEWER_URL
 
 
+_FIELDS = REQUIRED_FIELDS + OPTIONAL_FIELDS
+_OBJECT = "struct<" + ", ".join(f"{name}: variant" for name in _FIELDS) + ">"
+
+
 def _field(name: str) -> Column:
-    return F.try_variant_get("item", f"$.{name}", "string")
+    return F.try_variant_get(F.col(f"_fields.{name}"), "$", "string")
 
 
 def _reject_reason(name: str) -> Column:
     # Reading the field as text would turn 12 into "12"; the type must be asked for.
-    kind = F.schema_of_variant(F.try_variant_get("item", f"$.{name}", "variant"))
+    kind = F.schema_of_variant(F.col(f"_fields.{name}"))
     return (
         F.when(kind.isNull(), F.lit(f"Required key '{name}' is missing."))
         .when(kind != "STRING", F.lit(f"Field '{name}' must be a string."))
@@ -32,14 +37,15 @@ def parse_items(items: DataFrame) -> DataFrame:
     Other columns pass through.
     """
     others = [c for c in items.columns if c != "item"]
-    return items.select(
-        *others,
-        *[_field(name).alias(name) for name in REQUIRED_FIELDS],
-        *[empty_to_null(_field(name)).alias(name) for name in OPTIONAL_FIELDS],
-        viewer_url(_field("rcept_no")).alias("url"),
-        F.coalesce(*[_reject_reason(name) for name in REQUIRED_FIELDS]).alias("reject_reason"),
-        F.to_json("item").alias("item_json"),
+    # the item is taken apart once; its fields stay typed VARIANT
+    opened = computed_once(
+        items, others, _fields=F.try_variant_get("item", "$", _OBJECT), item_json=F.to_json("item")
     )
+    columns = {name: _field(name) for name in REQUIRED_FIELDS}
+    columns |= {name: empty_to_null(_field(name)) for name in OPTIONAL_FIELDS}
+    columns["url"] = viewer_url(_field("rcept_no"))
+    columns["reject_reason"] = F.coalesce(*[_reject_reason(name) for name in REQUIRED_FIELDS])
+    return computed_once(opened, [*others, "item_json"], **columns)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
