@@ -23,11 +23,15 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFr
 def listed_once(filings: DataFrame) -> DataFrame:
     """First listing of every id, with ``n_listed``, how often it was listed.
 
-    The count is an ordinary aggregate; joining it to one row per id is cheap.
+    One aggregate that is combined before its shuffle, so an id listed very
+    often arrives as one row per input partition.
     """
-    counts = filings.groupBy("rcept_no").agg(F.count("*").alias("n_listed"))
-    place = [F.col(c) for c in ("date", "page_no", "pos")]
-    return first_per_key(filings, ["rcept_no"], place).join(counts, "rcept_no")
+    place = ["date", "page_no", "pos"]
+    rest = [c for c in filings.columns if c != "rcept_no"]
+    first = filings.groupBy("rcept_no").agg(
+        F.min_by(F.struct(*rest), F.struct(*place)).alias("_first"), F.count("*").alias("n_listed")
+    )
+    return first.select("rcept_no", "_first.*", "n_listed")
 
 
 def known_ids(processed: DataFrame, failed_for_good: DataFrame) -> DataFrame:

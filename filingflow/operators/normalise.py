@@ -88,14 +88,19 @@ def with_archive(
     scanned = payloads.withColumn("is_zip", zipped).withColumn(
         "archive", list_members(F.when(F.col("is_zip"), F.col(content)), max_files, max_bytes)
     )
-    best = best_member(member_kinds(F.col("archive.members")))
-    return scanned.withColumn("best", best).withColumn("archive", F.col("archive").dropFields("members"))
+    return computed_once(
+        scanned,
+        [*payloads.columns, "is_zip"],
+        archive=F.col("archive").dropFields("members"),
+        best=best_member(member_kinds(F.col("archive.members"))),
+    )
 
 
 def normalise(
     payloads: DataFrame,
     name: str = "rcept_no",
     content: str = "content",
+    stem: str | None = None,
     keep_tail: bool = False,
     max_files: int = MAX_ARCHIVE_FILES,
     max_bytes: int = MAX_ARCHIVE_BYTES,
@@ -104,9 +109,10 @@ def normalise(
 
     New columns: ``content_type``, ``body``, ``filename``, ``used_enc``,
     ``summary`` and ``error``, which is set where the filing has to fail.
-    ``content`` is dropped.
+    ``content`` is dropped.  ``stem`` names a column that already holds the safe
+    file name made from ``name``.
     """
-    others = [c for c in payloads.columns if c != content]
+    others = [c for c in payloads.columns if c not in (content, stem)]
     kept = F.col("archive.failure").isNotNull()
     picked = (
         with_archive(payloads, content, max_files, max_bytes)
@@ -124,7 +130,7 @@ def normalise(
         .withColumn("_readable", F.when((F.col("kind") != "bin") & F.col("error").isNull(), F.col("data")))
     )
     decoded = decode_document(picked, "_readable", "declared")
-    stem = safe_name(base_name(F.col(name)))
+    file_stem = F.col(stem) if stem else safe_name(base_name(F.col(name)))
     kind = F.col("kind")
     extension = F.when(kind == "html", ".html").when(kind == "xml", ".xml").when(kept, ".zip").otherwise("")
     whole = F.coalesce(rewrite(F.col("text"), kind, keep_tail).cast("binary"), F.col("data"))
@@ -133,7 +139,7 @@ def normalise(
         others,
         content_type=F.when(kind == "html", HTML_TYPE).when(kind == "xml", XML_TYPE).otherwise(OTHER_TYPE),
         body=F.when(F.col("error").isNull(), whole),
-        filename=F.concat(stem, extension),
+        filename=F.concat(file_stem, extension),
         used_enc=F.col("used_enc"),
         summary=document_summary(F.col("archive"), F.col("best.name"), kind, F.col("used_enc")),
         error=F.col("error"),

@@ -34,18 +34,15 @@ def parse_items(items: DataFrame) -> DataFrame:
     """Filing fields, viewer URL and ``reject_reason`` for every ``item``.
 
     The reason names the first required field that is absent or no string.
-    Other columns pass through.
+    All columns pass through.
     """
-    others = [c for c in items.columns if c != "item"]
     # the item is taken apart once; its fields stay typed VARIANT
-    opened = computed_once(
-        items, others, _fields=F.try_variant_get("item", "$", _OBJECT), item_json=F.to_json("item")
-    )
+    opened = computed_once(items, items.columns, _fields=F.try_variant_get("item", "$", _OBJECT))
     columns = {name: _field(name) for name in REQUIRED_FIELDS}
     columns |= {name: empty_to_null(_field(name)) for name in OPTIONAL_FIELDS}
     columns["url"] = viewer_url(_field("rcept_no"))
     columns["reject_reason"] = F.coalesce(*[_reject_reason(name) for name in REQUIRED_FIELDS])
-    return computed_once(opened, [*others, "item_json"], **columns)
+    return computed_once(opened, items.columns, **columns)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -55,4 +52,4 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 def quarantined(parsed: DataFrame) -> DataFrame:
     place = [c for c in ("date", "page_no", "pos") if c in parsed.columns]
-    return parsed.where(F.col("reject_reason").isNotNull()).select(*place, "item_json", "reject_reason")
+    return parsed.where(F.col("reject_reason").isNotNull()).select(*place, F.to_json("item").alias("item_json"), "reject_reason")

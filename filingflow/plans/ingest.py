@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import base_name, safe_name
 from ..operators.incremental import listed_once, mark_stored, without
 from ..operators.normalise import normalise
 from ..operators.paging import counted_pages
 from ..operators.parse import accepted, parse_items
 from ..operators.publish import object_key, size_gate
 from ..schema import FILING_FIELDS, MAX_FAIL, NO_DOCUMENT
+from ..session import written
 from ..sources.listing import page_fields, page_items
 from ..sources.payloads import with_download_error
 
@@ -23,16 +25,24 @@ def listed_filings(pages: DataFrame) -> DataFrame:
 
 
 def process_filings(
-    filings: DataFrame, known: DataFrame, stored: DataFrame, payloads: DataFrame, keep_tail: bool = False
+    filings: DataFrame,
+    known: DataFrame,
+    stored: DataFrame,
+    payloads: DataFrame,
+    keep_tail: bool = False,
+    work_folder: str | None = None,
 ) -> DataFrame:
     """Every filing not known yet with its outcome and, on success, its document.
 
-    Everything before the payload is metadata only.  The payload meets the
-    filings in an inner join, so Spark may broadcast the filings when they turn
+    Everything before the payload is metadata only; it is written to the shared
+    folder, since three branches read it.  The payload meets the filings in an
+    inner join, so Spark may broadcast the filings when they turn
     out small and leave the payload where it is; filings without a payload come
     from an anti-join that reads the payload's ids alone.
     """
     todo = mark_stored(without(filings, known, ["rcept_no"]), stored)
+    stem = safe_name(base_name(F.col("rcept_no"))).alias("stem")
+    todo = written(todo.select(*FILING_FIELDS, "n_listed", "is_stored", stem), "todo", work_folder)
     fresh = todo.where(~F.col("is_stored")).drop("is_stored")
     none = F.lit(None)
 
@@ -44,7 +54,7 @@ def process_filings(
     fetched = with_download_error(payloads.select("rcept_no", "content").join(fresh, "rcept_no"))
     refused, unreadable, too_small = (F.col(c).isNotNull() for c in ("download_error", "error", "skip_reason"))
     documents = size_gate(
-        normalise(fetched.withColumn("content", F.when(~refused, F.col("content"))), keep_tail=keep_tail)
+        normalise(fetched.withColumn("content", F.when(~refused, F.col("content"))), stem="stem", keep_tail=keep_tail)
     )
     done = (
         documents.withColumn(

@@ -465,7 +465,11 @@ QUALIFY row_number() OVER (PARTITION BY rcept_no ORDER BY attempt_ts DESC, seq D
     "filing_ingest": f"""
 WITH {PAGES}, {ARCHIVES},
 todo AS (
-  SELECT f.*, n.doc_id, n.ext, n.content_type, n.used_enc, strlen(n.body) AS size,
+  SELECT f.*, n.doc_id,
+         CASE WHEN n_files > 200 THEN '.zip' ELSE n.ext END AS ext,
+         CASE WHEN n_files > 200 THEN 'application/octet-stream' ELSE n.content_type END AS content_type,
+         CASE WHEN n_files <= 200 THEN n.used_enc END AS used_enc,
+         CASE WHEN n_files <= 200 THEN strlen(n.body) END AS size,
          CASE WHEN f.k % 3 = 0 THEN 'exists' WHEN f.k % 16 = 0 AND n.doc_id IS NOT NULL THEN 'critical'
               WHEN f.k % 8 = 0 OR n.doc_id IS NULL THEN 'missing'
               WHEN strlen(n.body) < 200 THEN 'small' ELSE 'stored' END AS fate

@@ -14,12 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
 from ..operators import publish
+from ..session import spread
 
 BOM = "\uFEFF"
 
 
+# tables whose rows are costly to work on, with their key
+_COSTLY = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, _COSTLY[name]) if name in _COSTLY else rows
 
 
 def _padded(number: Column, width: int) -> Column:
@@ -28,9 +34,14 @@ def _padded(number: Column, width: int) -> Column:
     return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
-def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing fields as strings, one row per order, plus the order key ``k``."""
+def filings(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+    """Listing fields as strings, one row per order, plus the order key ``k``.
+
+    ``costly`` announces JSON work on every row.
+    """
     orders = table(spark, sf_dir, "orders")
+    if costly:
+        orders = spread(orders, "o_orderkey")
     customer = table(spark, sf_dir, "customer")
     rcept_dt = F.date_format("o_orderdate", "yyyyMMdd")
     segment = F.col("c_mktsegment")
@@ -59,11 +70,22 @@ def item_json() -> Column:
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed items as VARIANT; some break the contract, by key modulo."""
     k = F.col("k")
-    text = item_json()
-    text = F.when(k % 7 == 0, F.regexp_replace(text, '"corp_name":"[^"]*",', "")).otherwise(text)
-    text = F.when(k % 11 == 0, F.regexp_replace(text, '"corp_cls":"[^"]*"', '"corp_cls":12')).otherwise(text)
-    text = F.when(k % 13 == 0, F.regexp_replace(text, '"report_nm":"[^"]*"', '"report_nm":null')).otherwise(text)
-    return filings(spark, sf_dir).select("k", F.parse_json(text).alias("item"))
+
+    def quoted(name: str) -> Column:
+        return F.concat(F.lit('"'), F.col(name), F.lit('"'))
+
+    def pair(name: str, value: Column) -> Column:
+        return F.concat(F.lit(f'"{name}":'), value)
+
+    broken = {
+        "corp_cls": F.when(k % 11 == 0, "12").otherwise(quoted("corp_cls")),
+        "report_nm": F.when(k % 13 == 0, "null").otherwise(quoted("report_nm")),
+    }
+    pairs = [pair(name, broken.get(name, quoted(name))) for name in LISTED]
+    at = LISTED.index("corp_name")
+    pairs[at] = F.when(k % 7 != 0, pairs[at])  # concat_ws leaves a NULL out
+    text = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+    return filings(spark, sf_dir, costly=True).select("k", F.parse_json(text).alias("item"))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,11 +199,11 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zipped.join(ids, zipped["doc_id"] == ids["k"]).select("rcept_no", content.alias("content"))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
     """Published messages for all filings."""
     k = F.col("k")
     kind = k % 3
-    documents = filings(spark, sf_dir).select(
+    documents = filings(spark, sf_dir, costly).select(
         "*",
         F.when(kind == 0, "text/html; charset=UTF-8").when(kind == 1, "application/xml; charset=UTF-8")
         .otherwise("application/octet-stream").alias("content_type"),
@@ -202,7 +224,7 @@ def untidy_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key == 0, dashed).when(key == 1, F.concat(F.left(day, F.lit(4)), F.lit("1332")))
         .when(key == 2, "  ").when(key == 3, "29 Dec").when(key == 4, F.concat(F.lit(" "), day, F.lit("\t"))).otherwise(day)
     )
-    return messages(spark, sf_dir).select(
+    return messages(spark, sf_dir, costly=True).select(
         "rcept_no",
         F.concat(F.lit("\t "), F.col("corp_name"), F.lit("\u3000")).alias("corp_name"),
         F.when(F.col("stock_code").isNull(), " ").otherwise(F.col("stock_code")).alias("stock_code"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Java charset names and replace-on-error decoding: the strict decoder in
 # ``functions.charset`` turns a replacement character into a NULL.
@@ -39,3 +39,24 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder; nothing is created yet."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For results that several branches of a job read: they are computed once,
+    and a lost executor costs no more than its own task.
+    """
+    folder = folder or fresh_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Use all cores for costly work on an input of few file splits.
+
+    ``key`` should be unique.  An input with at least as many splits as the
+    cluster has cores is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

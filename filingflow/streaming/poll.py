@@ -75,7 +75,9 @@ def run_batch(batch: DataFrame, batch_id: int, folders: Folders, max_fail: int =
     stored = stored_keys(_before(read_documents(spark, folders.documents), batch_id))
     payloads = of_dates(read_payloads(spark, folders.payloads), dates, "date")
 
-    processed = process_filings(filings, known, of_dates(stored, filings), payloads)
+    processed = process_filings(
+        filings, known, of_dates(stored, filings), payloads, work_folder=f"{folders.todo}/batch_id={batch_id}"
+    )
     store_documents(processed, folders.documents, batch_id)
     # What follows reads the stored batch, without its bodies: the expensive
     # part runs once, and lineage ends in the shared folder.
