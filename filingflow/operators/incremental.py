@@ -43,12 +43,12 @@ def without(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(others.select(*keys), keys, "left_anti")
 
 
-def of_dates(table: DataFrame, filings: DataFrame, date_column: str = "rcept_dt") -> DataFrame:
-    """The part of a table that belongs to the listed dates.
+def of_dates(table: DataFrame, dates: DataFrame, date_column: str = "rcept_dt") -> DataFrame:
+    """The part of a table that belongs to the given distinct dates.
 
     History outside those dates is never read: the date list prunes partitions.
     """
-    return table.join(filings.select(date_column).distinct(), date_column, "left_semi")
+    return table.join(dates.select(date_column), date_column, "left_semi")
 
 
 def mark_stored(filings: DataFrame, stored: DataFrame) -> DataFrame:

@@ -31,34 +31,25 @@ def day_limits(pages: DataFrame) -> DataFrame:
     ``rejected`` marks a date whose page 1 declares totals that are no numbers;
     no page of such a date counts.
     """
+    pages = pages.select("date", "page_no", "status", "n_items", "total_page_text", "total_count_text")
     declared_pages = F.coalesce(F.col("total_page_text"), F.lit("1")).try_cast("bigint")
     declared_count = F.coalesce(F.col("total_count_text"), F.lit("0")).try_cast("bigint")
     first_ok = (F.col("page_no") == 1) & (F.col("status") == "000")
-    here = pages.select(
-        "date",
-        "page_no",
-        F.lit(1).alias("present"),
-        F.lit(0).alias("followed"),
-        ((F.col("status") != "000") | ((F.col("n_items") == 0) & (F.col("page_no") > 1)))
-        .cast("int").alias("stops"),
-        F.when(first_ok, F.greatest(declared_pages, F.lit(1))).alias("declared_pages"),
-        F.when(first_ok, declared_count).alias("declared_count"),
-        F.when(first_ok, (declared_pages.isNull() | declared_count.isNull()).cast("int")).alias("rejected"),
-    )
+    here = F.col("back") == 0
+    stops = (F.col("status") != "000") | ((F.col("n_items") == 0) & (F.col("page_no") > 1))
     # every page also vouches that the page before it has a successor
-    before = pages.select(
+    said = pages.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("back")).select(
         "date",
-        (F.col("page_no") - 1).alias("page_no"),
-        F.lit(0).alias("present"),
-        F.lit(1).alias("followed"),
-        F.lit(0).alias("stops"),
-        F.lit(None).cast("bigint").alias("declared_pages"),
-        F.lit(None).cast("bigint").alias("declared_count"),
-        F.lit(None).cast("int").alias("rejected"),
+        (F.col("page_no") - F.col("back")).alias("page_no"),
+        here.cast("int").alias("present"),
+        F.col("back").alias("followed"),
+        (here & stops).cast("int").alias("stops"),
+        F.when(here & first_ok, F.greatest(declared_pages, F.lit(1))).alias("declared_pages"),
+        F.when(here & first_ok, declared_count).alias("declared_count"),
+        F.when(here & first_ok, (declared_pages.isNull() | declared_count.isNull()).cast("int")).alias("rejected"),
     )
     per_page = (
-        here.unionByName(before)
-        .groupBy("date", "page_no")
+        said.groupBy("date", "page_no")
         .agg(
             *[F.max(c).alias(c) for c in ("present", "followed", "stops", "declared_pages", "declared_count", "rejected")]
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -24,16 +25,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="filingflow-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="filingflow-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return _local_dir()
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

@@ -19,8 +19,8 @@ from ..operators.retry import attempt_kind, finished_ids, retry_state
 from ..operators.sinks import append_attempts, publish, store_documents
 from ..plans.ingest import attempts_of, listed_filings, process_filings, stored_documents
 from ..schema import ATTEMPT_SCHEMA, MAX_FAIL
-from ..session import configure
-from ..sources.listing import read_pages
+from ..session import configure, written
+from ..sources.listing import read_pages, valid_poll_date
 from ..sources.payloads import read_payloads
 from ..sources.store import read_documents, read_processed, read_table, stored_keys
 
@@ -68,15 +68,22 @@ def landed_pages(spark: SparkSession, folders: Folders, dates: DataFrame) -> Dat
 def run_batch(batch: DataFrame, batch_id: int, folders: Folders, max_fail: int = MAX_FAIL) -> None:
     """Ingest the dates that appear in one micro-batch of landed pages."""
     spark = configure(batch.sparkSession)
-    dates = batch.select("date").distinct()
-    filings = listed_filings(landed_pages(spark, folders, dates))
-    history = of_dates(_before(ledger(spark, folders), batch_id), filings)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        # A table on disk has a known size, so Spark broadcasts it only if small.
+        return written(df, name, f"{folders.root}/work/{name}/batch_id={batch_id}")
+
+    dates = kept(batch.select("date").where(valid_poll_date(F.col("date"))).distinct(), "dates")
+    filings = kept(listed_filings(landed_pages(spark, folders, dates)), "listing")
+    filed = kept(filings.select("rcept_dt").distinct(), "filing_dates")
+
+    history = of_dates(_before(ledger(spark, folders), batch_id), filed)
     known = known_ids(*finished_ids(state_of(history, max_fail)))
-    stored = stored_keys(_before(read_documents(spark, folders.documents), batch_id))
+    documents = of_dates(_before(read_documents(spark, folders.documents), batch_id), filed)
     payloads = of_dates(read_payloads(spark, folders.payloads), dates, "date")
-
     processed = process_filings(
-        filings, known, of_dates(stored, filings), payloads, work_folder=f"{folders.todo}/batch_id={batch_id}"
+        filings, known, stored_keys(documents), payloads,
+        work_folder=f"{folders.root}/work/todo/batch_id={batch_id}",
     )
     store_documents(processed, folders.documents, batch_id)
     # What follows reads the stored batch, without its bodies: the expensive
