@@ -91,8 +91,8 @@ BYTE_ORDER_MARK = r"\A\uFEFF"
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    literal = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.try_element_at(literal, key)
+    pairs = ", ".join(f"'{name}', '{value}'" for name, value in table.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), key)
 
 
 def _found(text: Column, pattern: str) -> Column:

@@ -122,7 +122,8 @@ def guess_content_type(name: Column) -> Column:
     The lookup table is the Python standard library's own default table.
     """
     known = mimetypes.MimeTypes(filenames=()).types_map[True]
-    table = F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])
+    pairs = ", ".join(f"'{ext}', '{kind}'" for ext, kind in sorted(known.items()))
+    table = F.expr(f"map({pairs})")
     plain = F.regexp_replace(name, _COMPRESSED, "")
     ext = F.lower(F.regexp_extract(plain, r"(?s)[^/](\.[^./]*)\z", 1))
     return F.coalesce(F.try_element_at(table, ext), F.lit("application/octet-stream"))

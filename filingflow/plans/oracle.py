@@ -200,24 +200,24 @@ FROM pages_in p LEFT JOIN counted c ON p.date = c.date AND p.page_no = c.page_no
 GROUP BY p.date""",
     "new_filings": f"""
 WITH {FILINGS},
-stored AS (SELECT rcept_dt, rcept_no FROM filings WHERE k % 3 = 0),
-known AS (SELECT rcept_no FROM filings WHERE k % 7 = 0 UNION SELECT rcept_no FROM filings WHERE k % 14 = 0)
+stored AS (SELECT rcept_dt, rcept_no FROM filings WHERE rm = 'F'),
+known AS (SELECT rcept_no FROM filings WHERE corp_cls = 'Y' UNION SELECT rcept_no FROM filings WHERE report_nm = '1-URGENT')
 SELECT rcept_no, rcept_dt, CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END AS n_listed
 FROM filings f
 WHERE NOT EXISTS (SELECT 1 FROM known n WHERE n.rcept_no = f.rcept_no)
   AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.rcept_no = f.rcept_no AND s.rcept_dt = f.rcept_dt)""",
     "stored_filings": f"""
 WITH {FILINGS}
-SELECT rcept_dt, k % 3 = 0 AS is_stored, count(*) AS n FROM filings GROUP BY ALL""",
+SELECT rcept_dt, rm = 'F' AS is_stored, count(*) AS n FROM filings GROUP BY ALL""",
     "known_ids": f"""
 WITH {ATTEMPTS}
 SELECT left(rcept_no, 8) AS day, count(DISTINCT rcept_no) AS ids FROM attempts GROUP BY 1""",
     "document_join": f"""
-WITH {FILINGS}, d AS (SELECT * FROM documents WHERE doc_id % 4 <> 0)
+WITH {FILINGS}
 SELECT rcept_no,
        CASE WHEN doc_id IS NULL THEN 'missing' WHEN doc_id % 2 = 0 THEN 'archive' ELSE 'other' END AS state,
        strlen(text) + CASE WHEN doc_id % 2 = 0 THEN 4 ELSE 0 END AS length
-FROM filings LEFT JOIN d ON k = doc_id""",
+FROM filings LEFT JOIN documents ON k = doc_id""",
     "error_answers": f"""
 SELECT CASE WHEN doc_id % 16 = 0 THEN 'DART API Error [010]: none'
             WHEN doc_id % 8 = 0 THEN {NO_DOCUMENT} END AS download_error, count(*) AS n
@@ -291,8 +291,8 @@ SELECT CASE WHEN k % 9 = 0 THEN 'application/octet-stream'
 FROM filings GROUP BY 1""",
     "upsert_latest": f"""
 WITH {ATTEMPTS}
-SELECT rcept_no, seq, event_type, value FROM attempts WHERE seq % 3 < 2
-QUALIFY row_number() OVER (PARTITION BY rcept_no ORDER BY seq % 3 DESC, attempt_ts DESC, seq DESC) = 1""",
+SELECT substr(rcept_no, 9) AS rcept_no, seq, event_type, value FROM attempts
+QUALIFY row_number() OVER (PARTITION BY substr(rcept_no, 9) ORDER BY attempt_ts DESC, seq DESC) = 1""",
     "retry_state": f"WITH {STATE} SELECT * FROM state",
     "stream_retry": f"WITH {STATE} SELECT * FROM state",
     "retry_stats": f"""
@@ -374,10 +374,11 @@ shaped AS (
          CASE page_id % 4 WHEN 1 THEN regexp_replace(text, '(?i)</?head[^>]*>', '', 'g')
                           WHEN 2 THEN regexp_replace(text, '(?i)<!doctype[^>]*>|</?head[^>]*>', '', 'g')
                           ELSE text END AS t
-  FROM declaring WHERE page_id % 6 <> 5),
+  FROM declaring),
 done AS (
   SELECT page_id,
-         CASE WHEN regexp_matches(t, '(?is)<meta[^>]+charset\\s*=') THEN
+         CASE WHEN page_id % 6 = 5 THEN regexp_replace(t, '^<\\?xml[^>]*>', '<?xml version="1.0" encoding="UTF-8"?>')
+              WHEN regexp_matches(t, '(?is)<meta[^>]+charset\\s*=') THEN
                 regexp_replace(t, '(?is)<meta[^>]+charset\\s*=\\s*["'']?[a-zA-Z0-9._-]+[^>]*>', '<meta charset="UTF-8">', 'g')
               WHEN regexp_matches(t, '(?is)<head[^>]*>') THEN
                 regexp_replace(t, '(?is)(<head[^>]*>)', '\\1' || chr(10) || '<meta charset="UTF-8">')
@@ -416,7 +417,7 @@ SELECT doc_id,
        CASE WHEN rank < 3 AND n_files <= 200 THEN strlen(body) END AS n_bytes,
        CASE WHEN rank < 3 AND n_files <= 200 THEN md5(body) END AS body_md5
 FROM normal""",
-    "archive_totals": f"""
+    "archive_guard": f"""
 WITH {ARCHIVES}
 SELECT doc_id, n_files, total_bytes,
        CASE WHEN n_files > 20 THEN 'Too many files in ZIP: ' || n_files || ' (max: 20)'
@@ -470,13 +471,13 @@ todo AS (
          CASE WHEN n_files > 200 THEN 'application/octet-stream' ELSE n.content_type END AS content_type,
          CASE WHEN n_files <= 200 THEN n.used_enc END AS used_enc,
          CASE WHEN n_files <= 200 THEN strlen(n.body) END AS size,
-         CASE WHEN f.k % 3 = 0 THEN 'exists' WHEN f.k % 16 = 0 AND n.doc_id IS NOT NULL THEN 'critical'
+         CASE WHEN f.rm = 'F' THEN 'exists' WHEN f.k % 16 = 0 AND n.doc_id IS NOT NULL THEN 'critical'
               WHEN f.k % 8 = 0 OR n.doc_id IS NULL THEN 'missing'
               WHEN strlen(n.body) < 200 THEN 'small' ELSE 'stored' END AS fate
   FROM filings f
   JOIN counted c ON c.date = f.rcept_dt AND c.page_no = f.k // 10000 + 1 AND c.n_items > 0
   LEFT JOIN normal n ON n.doc_id = f.k
-  WHERE f.k % 7 <> 0)
+  WHERE f.corp_cls <> 'Y' AND f.report_nm <> '1-URGENT')
 SELECT rcept_no,
        CASE fate WHEN 'exists' THEN 'SKIPPED_EXISTS' WHEN 'small' THEN 'SKIPPED_TOO_SMALL' WHEN 'stored' THEN 'SUCCESS'
                  ELSE 'FAILED' END AS outcome,

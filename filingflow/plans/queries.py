@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import charset, kind as kinds, rewrite as rewriting, text
+from ..functions.once import computed_once
 from ..operators import (
     health, incremental, ledger, normalise as content, paging, parse, publish, retry, sinks, upsert as upserts,
 )
@@ -105,22 +106,26 @@ def _listing(spark, sf) -> DataFrame:
     return placed.unionByName(placed.where(F.col("k") % 5 == 0).withColumn("page_no", F.lit(1_000_000_000)))
 
 
+def _known_and_stored(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Done are class Y and urgent reports; stored are filings with remark F."""
+    ids = views.filings(spark, sf)
+    known = incremental.known_ids(ids.where("corp_cls = 'Y'"), ids.where("report_nm = '1-URGENT'"))
+    return known, store.stored_keys(ids.where("rm = 'F'"))
+
+
 @query
 def new_filings(spark, sf):
     """Filings neither known nor stored, once each."""
-    ids = views.filings(spark, sf)
-    stored = ids.where(F.col("k") % 3 == 0)
-    known = incremental.known_ids(ids.where(F.col("k") % 7 == 0), ids.where(F.col("k") % 14 == 0))
-    fresh = incremental.new_filings(incremental.listed_once(_listing(spark, sf)), known, store.stored_keys(stored))
+    known, stored = _known_and_stored(spark, sf)
+    fresh = incremental.new_filings(incremental.listed_once(_listing(spark, sf)), known, stored)
     return fresh.select("rcept_no", "rcept_dt", "n_listed")
 
 
 @query
 def stored_filings(spark, sf):
     """Every open filing with the mark whether its document is stored."""
-    ids = views.filings(spark, sf)
-    stored = ids.where(F.col("k") % 3 == 0)
-    marked = incremental.mark_stored(ids.select("rcept_no", "rcept_dt"), store.stored_keys(stored))
+    _, stored = _known_and_stored(spark, sf)
+    marked = incremental.mark_stored(views.filings(spark, sf).select("rcept_no", "rcept_dt"), stored)
     return marked.groupBy("rcept_dt", "is_stored").agg(F.count("*").alias("n"))
 
 
@@ -137,7 +142,7 @@ def known_ids(spark, sf):
 @query
 def document_join(spark, sf):
     """Filings with what was downloaded for them; the payload is measured before the join."""
-    payload = views.table(spark, sf, "documents").where(F.col("doc_id") % 4 != 0).select(
+    payload = views.table(spark, sf, "documents").select(
         F.col("doc_id").alias("k"),
         F.concat(F.when(F.col("doc_id") % 2 == 0, F.unhex(F.lit("504B0304"))).otherwise(F.unhex(F.lit(""))),
                  F.col("text").cast("binary")).alias("content"),
@@ -269,10 +274,13 @@ def content_type_default(spark, sf):
 
 @query
 def upsert_latest(spark, sf):
-    """Latest attempt per filing replaces the row in the target."""
+    """Latest event per user in the second half of the month replaces the first half's."""
     log = views.attempts(spark, sf).select("rcept_no", "attempt_ts", "seq", "event_type", "value")
-    target = upserts.latest_per_key(log.where(F.col("seq") % 3 == 0), ["rcept_no"], ["attempt_ts", "seq"])
-    merged = upserts.upsert(target, log.where(F.col("seq") % 3 == 1), ["attempt_ts", "seq"])
+    old = log.where(F.col("attempt_ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    new = log.where(F.col("attempt_ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+    by_user = [rows.withColumn("rcept_no", F.substring("rcept_no", 9, 100)) for rows in (old, new)]
+    target = upserts.latest_per_key(by_user[0], ["rcept_no"], ["attempt_ts", "seq"])
+    merged = upserts.upsert(target, by_user[1], ["attempt_ts", "seq"])
     return merged.select("rcept_no", "seq", "event_type", "value")
 
 
@@ -428,22 +436,20 @@ def utf8_validity(spark, sf):
 
 @query
 def html_rewrite(spark, sf):
-    pages = _declaring_pages(spark, sf).where(F.col("kind") == "html")
+    """Pages with and without head and doctype, stated to be UTF-8."""
     shaped = (
         F.when(F.col("page_id") % 4 == 1, F.regexp_replace("text", "(?i)</?head[^>]*>", ""))
         .when(F.col("page_id") % 4 == 2, F.regexp_replace("text", "(?i)<!doctype[^>]*>|</?head[^>]*>", ""))
         .otherwise(F.col("text"))
     )
-    pages = pages.withColumn("text", shaped)
-    out = rewriting.rewrite_html(F.col("text"))
-    return pages.withColumn("out", out).select(
-        "page_id", F.length("out").alias("n_chars"), F.md5(F.col("out").cast("binary")).alias("text_md5")
-    )
+    pages = _declaring_pages(spark, sf).withColumn("text", shaped)
+    out = computed_once(pages, ["page_id"], out=rewriting.rewrite(F.col("text"), F.col("kind")))
+    return out.select("page_id", F.length("out").alias("n_chars"), F.md5(F.col("out").cast("binary")).alias("text_md5"))
 
 
 @query
 def xml_rewrite(spark, sf):
-    docs = views.wrapped_documents(spark, sf).withColumn("out", rewriting.rewrite_xml(F.col("body")))
+    docs = computed_once(views.wrapped_documents(spark, sf), ["doc_id"], out=rewriting.rewrite_xml(F.col("body")))
     return docs.select("doc_id", F.octet_length("out").alias("n_bytes"), F.md5(F.col("out").cast("binary")).alias("text_md5"))
 
 
@@ -472,7 +478,7 @@ def archive_best(spark, sf):
 
 
 @query
-def archive_totals(spark, sf):
+def archive_guard(spark, sf):
     """Archives against limits of 20 files and 5,000 bytes."""
     scanned = content.with_archive(views.archives(spark, sf), max_files=20, max_bytes=5000)
     return scanned.select("doc_id", "archive.n_files", "archive.total_bytes", "archive.failure", F.col("best.name").alias("best"))
@@ -598,9 +604,7 @@ def stream_retry(spark, sf):
 @query
 def filing_ingest(spark, sf):
     """Listing pages to stored documents: every new filing with its outcome."""
-    ids = views.filings(spark, sf)
-    known = incremental.known_ids(ids.where(F.col("k") % 7 == 0), ids.where(F.col("k") % 14 == 0))
-    stored = store.stored_keys(ids.where(F.col("k") % 3 == 0))
+    known, stored = _known_and_stored(spark, sf)
     processed = ingest.process_filings(
         ingest.listed_filings(views.pages(spark, sf)), known, stored, views.payloads(spark, sf)
     )

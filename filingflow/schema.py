@@ -49,6 +49,9 @@ STATUS_ROWS = [
 NO_DOCUMENT = "Failed to download document from DART API."
 CRITICAL_DOCUMENT = "DART API Error [%s]: %s"
 TOO_SMALL = "Processed file too small (%d bytes)."
+TOO_MANY_FILES = "Too many files in ZIP: %d (max: %d)"
+TOO_LARGE = "ZIP too large: %d bytes (max: %d)"
+NO_FILES = "Empty ZIP file"
 
 PAGE_SCHEMA = "value string, date string, page_no int"
 MESSAGE_SCHEMA = ", ".join(

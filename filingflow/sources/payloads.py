@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.kind import is_zip
 from ..functions.text import base_name
 from ..schema import CRITICAL_DOCUMENT, NO_DOCUMENT, STATUS_ROWS
+from .store import or_empty
 
 
 def read_payloads(spark: SparkSession, root: str, stream: bool = False, **options) -> DataFrame:
@@ -19,7 +20,9 @@ def read_payloads(spark: SparkSession, root: str, stream: bool = False, **option
     """
     reader = spark.readStream if stream else spark.read
     schema = "path string, modificationTime timestamp, length bigint, content binary, date string"
-    files = reader.format("binaryFile").schema(schema).options(**options).load(root)
+    files = or_empty(
+        spark, lambda: reader.format("binaryFile").schema(schema).options(**options).load(root), schema
+    )
     return files.select(base_name(F.col("path"), ascii_only=True).alias("rcept_no"), "date", "length", "content")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -15,16 +17,21 @@ DOCUMENT_SCHEMA = (
 )
 
 
-def read_table(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """A Parquet table that may not have been written yet."""
+def or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str) -> DataFrame:
+    """What ``load`` reads, or no rows where its folder does not exist yet."""
     try:
-        return spark.read.schema(schema).parquet(root)
+        return load()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def read_table(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """A Parquet table that may not have been written yet."""
+    return or_empty(spark, lambda: spark.read.schema(schema).parquet(root), schema)
+
+
 def read_processed(spark: SparkSession, root: str) -> DataFrame:
     """Every filing a poll dealt with, whatever became of it."""
     return read_table(spark, root, DOCUMENT_SCHEMA)

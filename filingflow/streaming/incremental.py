@@ -8,9 +8,17 @@ from ..operators.retry import counted_attempts, FAIL, OK, SKIP
 from ..schema import MAX_FAIL
 
 
-def first_seen(stream: DataFrame, event_time: str, keep: str = "7 days") -> DataFrame:
-    """Each id once, with state bounded by the watermark."""
-    return stream.withWatermark(event_time, keep).dropDuplicatesWithinWatermark(["rcept_no"])
+def first_seen(stream: DataFrame, event_time: str, keep: str = "7 days", salts: int = 32) -> DataFrame:
+    """Each id once, with state bounded by the watermark.
+
+    Repeats of an id are first dropped per salt, so an id that dominates the
+    stream is spread over ``salts`` groups and at most one row of each goes on.
+    """
+    salted = stream.withWatermark(event_time, keep).withColumn(
+        "_salt", F.pmod(F.xxhash64(event_time), F.lit(salts))
+    )
+    few = salted.dropDuplicatesWithinWatermark(["rcept_no", "_salt"])
+    return few.dropDuplicatesWithinWatermark(["rcept_no"]).drop("_salt")
 
 
 def advance_state(state: DataFrame, attempts: DataFrame, max_fail: int = MAX_FAIL) -> DataFrame:

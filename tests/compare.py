@@ -62,6 +62,8 @@ if __name__ == "__main__":
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    for setting in filter(None, os.environ.get("COMPARE_CONF", "").split(",")):
+        spark.conf.set(*setting.split("=", 1))
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(contract.queries())
     con = duck(sf_dir)
     bad = 0
