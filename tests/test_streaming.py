@@ -96,6 +96,17 @@ def test_poll_stream(spark, folder):
     assert spark.read.parquet(results).where("status = 'success'").count() == 3
 
 
+def test_poll_before_anything_is_downloaded(spark, folder):
+    folders = Folders(folder)
+    land_page(folder, [item(1)])
+    land_page(folder, [], date="20240103", status="020")
+    days = spark.createDataFrame([("20240102",), ("20240103",), ("not a day",)], "date string")
+    run_batch(days, 0, folders, max_fail=1)
+    run_batch(days, 1, folders, max_fail=1)
+    assert outcomes(spark, folders) == [("0", 1, "FAILED")]
+    assert [tuple(r) for r in state_of(ledger(spark, folders), 1).select("term", "fails").collect()] == [("PERM", 1)]
+
+
 MESSAGE = dict(corp_code="c", corp_name=" n ", stock_code="", corp_cls="Y", report_nm="r", rcept_no="20240102000001",
                flr_nm=None, rcept_dt="20240102", rm=None, object_key="k", content_type="t", file_size=5, polling_date="p")
 
