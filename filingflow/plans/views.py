@@ -19,12 +19,20 @@ from ..session import spread
 BOM = "\uFEFF"
 
 
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
 # tables whose rows are costly to work on, with their key
 _COSTLY = {"documents": "doc_id", "pages": "page_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
     return spread(rows, _COSTLY[name]) if name in _COSTLY else rows
 
 
@@ -188,7 +196,7 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Downloads for the filings whose key is a document id; every eighth is an error answer."""
-    ids = filings(spark, sf_dir).select("k", "rcept_no")
+    ids = filings(spark, sf_dir, costly=True).select("k", "rcept_no")
     zipped = archives(spark, sf_dir)
     answer = F.concat(
         F.lit("<?xml version='1.0'?><result><status>"),
