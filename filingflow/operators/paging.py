@@ -78,10 +78,11 @@ def day_limits(pages: DataFrame) -> DataFrame:
 
 def counted_pages(pages: DataFrame) -> DataFrame:
     """The pages that count, whole."""
+    # the same condition on both sides lets them share what lies below
+    pages = pages.where((F.col("page_no") >= 1) & F.col("date").isNotNull())
     limits = day_limits(pages).select("date", "last_page")
     return (
-        pages.where(F.col("page_no") >= 1)
-        .join(limits, "date")
+        pages.join(limits, "date")
         .where(F.col("page_no") <= F.col("last_page"))
         .drop("last_page")
     )

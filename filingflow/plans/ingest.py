@@ -16,12 +16,14 @@ from ..sources.listing import page_fields, page_items
 from ..sources.payloads import with_download_error
 
 _DOCUMENT = ["content_type", "filename", "body", "file_size", "used_enc", "summary"]
-_PROCESSED = [*FILING_FIELDS, "n_listed", "outcome", "stage", "reason", *_DOCUMENT]
+_LISTED = [*FILING_FIELDS, "polling_date", "n_listed"]
+_PROCESSED = [*_LISTED, "outcome", "stage", "reason", *_DOCUMENT]
 
 
 def listed_filings(pages: DataFrame) -> DataFrame:
-    """Valid filings on the pages that count, each id once."""
-    return listed_once(accepted(parse_items(page_items(counted_pages(page_fields(pages))))))
+    """Valid filings on the pages that count, each id once, with the date polled."""
+    items = page_items(counted_pages(page_fields(pages)))
+    return listed_once(accepted(parse_items(items))).withColumnRenamed("date", "polling_date").select(*_LISTED)
 
 
 def process_filings(
@@ -42,7 +44,7 @@ def process_filings(
     """
     todo = mark_stored(without(filings, known, ["rcept_no"]), stored)
     stem = safe_name(base_name(F.col("rcept_no"))).alias("stem")
-    todo = written(todo.select(*FILING_FIELDS, "n_listed", "is_stored", stem), "todo", work_folder)
+    todo = written(todo.select(*_LISTED, "is_stored", stem), "todo", work_folder)
     fresh = todo.where(~F.col("is_stored")).drop("is_stored")
     none = F.lit(None)
 
@@ -74,8 +76,7 @@ def process_filings(
 def _outcome(filings: DataFrame, outcome: str, stage: str, reason: Column) -> DataFrame:
     kinds = {"body": "binary", "file_size": "bigint"}
     return filings.select(
-        *FILING_FIELDS,
-        "n_listed",
+        *_LISTED,
         F.lit(outcome).alias("outcome"),
         F.lit(stage).alias("stage"),
         reason.cast("string").alias("reason"),
@@ -105,6 +106,16 @@ def attempts_of(processed: DataFrame, attempt_ts: Column, max_fail: int = MAX_FA
     )
 
 
+def poll_counters() -> list[Column]:
+    """Live numbers of a poll, for ``DataFrame.observe``."""
+    outcome = F.col("outcome")
+    return [
+        F.count_if(outcome == "SUCCESS").alias("processed"),
+        F.count_if(outcome.startswith("SKIPPED")).alias("skipped"),
+        F.count_if(outcome == "FAILED").alias("errors"),
+    ]
+
+
 def outcome_report(processed: DataFrame) -> DataFrame:
     """One row per filing without its body, for reports and checks."""
     key = F.when(F.col("outcome") == "SUCCESS", object_key(F.col("rcept_dt"), F.col("filename")))

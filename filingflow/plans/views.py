@@ -103,7 +103,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     day = F.day(F.to_date("date", "yyyyMMdd"))
     mark = (day * 31 + F.col("page_no")) % 17
-    listed = filings(spark, sf_dir).select(
+    listed = filings(spark, sf_dir, costly=True).select(
         F.col("rcept_dt").alias("date"),
         (F.floor(F.col("k") / 10000) + 1).cast("int").alias("page_no"),
         "k",

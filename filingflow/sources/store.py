@@ -11,7 +11,7 @@ from ..schema import FILING_FIELDS
 
 DOCUMENT_SCHEMA = (
     ", ".join(f"{name} string" for name in FILING_FIELDS if name != "rcept_dt")
-    + ", n_listed bigint, stage string, reason string, filename string, object_key string,"
+    + ", polling_date string, n_listed bigint, stage string, reason string, filename string, object_key string,"
     " content_type string, body binary, file_size bigint, used_enc string, summary string,"
     " batch_id string, outcome string, rcept_dt string"
 )

@@ -8,23 +8,27 @@ rows, never exceptions, so data cannot stop the stream.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.incremental import known_ids, latest_per_key, of_dates
 from ..operators.publish import messages
 from ..operators.retry import attempt_kind, finished_ids, retry_state
 from ..operators.sinks import append_attempts, publish, store_documents
-from ..plans.ingest import attempts_of, listed_filings, process_filings, stored_documents
+from ..plans.ingest import attempts_of, listed_filings, poll_counters, process_filings, stored_documents
 from ..schema import ATTEMPT_SCHEMA, MAX_FAIL
 from ..session import configure, written
-from ..sources.listing import read_pages, valid_poll_date
+from ..sources.listing import read_pages, scan_predicate, valid_poll_date
 from ..sources.payloads import read_payloads
 from ..sources.store import read_documents, read_processed, read_table, stored_keys
 
 
+LOG = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class Folders:
     """Where a deployment lands its input and keeps its tables."""
@@ -65,8 +69,11 @@ def landed_pages(spark: SparkSession, folders: Folders, dates: DataFrame) -> Dat
     return wanted.join(newest.select("landed_as"), "landed_as", "left_semi").select("date", "page_no", "page")
 
 
-def run_batch(batch: DataFrame, batch_id: int, folders: Folders, max_fail: int = MAX_FAIL) -> None:
-    """Ingest the dates that appear in one micro-batch of landed pages."""
+def run_batch(batch: DataFrame, batch_id: int, folders: Folders, max_fail: int = MAX_FAIL) -> dict:
+    """Ingest the dates that appear in one micro-batch of landed pages.
+
+    Returns what the batch did: filings processed, skipped and failed.
+    """
     spark = configure(batch.sparkSession)
 
     def kept(df: DataFrame, name: str) -> DataFrame:
@@ -85,12 +92,15 @@ def run_batch(batch: DataFrame, batch_id: int, folders: Folders, max_fail: int =
         filings, known, stored_keys(documents), payloads,
         work_folder=f"{folders.root}/work/todo/batch_id={batch_id}",
     )
-    store_documents(processed, folders.documents, batch_id)
+    counters = Observation(f"poll {batch_id}")
+    store_documents(processed.observe(counters, *poll_counters()), folders.documents, batch_id)
     # What follows reads the stored batch, without its bodies: the expensive
     # part runs once, and lineage ends in the shared folder.
     done = read_processed(spark, folders.documents).where(F.col("batch_id") == str(batch_id))
-    publish(messages(stored_documents(done), F.col("rcept_dt")), folders.messages, batch_id)
+    publish(messages(stored_documents(done), F.col("polling_date")), folders.messages, batch_id)
     append_attempts(attempts_of(done, F.current_timestamp(), max_fail), folders.ledger, batch_id)
+    LOG.info("poll batch %s: %s", batch_id, counters.get)
+    return counters.get
 
 
 def start_poll(
@@ -99,12 +109,16 @@ def start_poll(
     interval: str | None = "300 seconds",
     max_files: int = 1000,
     max_fail: int = MAX_FAIL,
+    target_date: str | None = None,
 ) -> StreamingQuery:
-    """Start the poll stream; ``interval=None`` works off what has landed and ends."""
+    """Start the poll stream; ``interval=None`` works off what has landed and ends.
+
+    ``target_date`` restricts it to the pages of one date.
+    """
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     pages = read_pages(spark, folders.pages, stream=True, maxFilesPerTrigger=max_files)
     return (
-        pages.select("date")
+        pages.where(scan_predicate(date=target_date)).select("date")
         .writeStream.foreachBatch(lambda batch, batch_id: run_batch(batch, batch_id, folders, max_fail))
         .option("checkpointLocation", folders.checkpoint_poll)
         .trigger(**trigger)

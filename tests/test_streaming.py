@@ -63,6 +63,7 @@ def test_poll_stream(spark, folder):
     ]
     stored = read_documents(spark, folders.documents).orderBy("rcept_no").collect()
     assert [r["object_key"] for r in stored] == ["20240102/20240102000001.html", "20240102/20240102000005.html"]
+    assert stored[0]["polling_date"] == "20240102"
     assert stored[0]["body"] == HTML.replace(b"<head>", b'<head>\n<meta charset="UTF-8">')
 
     # the next poll lists the same day again; the failed filing has arrived
@@ -101,8 +102,8 @@ def test_poll_before_anything_is_downloaded(spark, folder):
     land_page(folder, [item(1)])
     land_page(folder, [], date="20240103", status="020")
     days = spark.createDataFrame([("20240102",), ("20240103",), ("not a day",)], "date string")
-    run_batch(days, 0, folders, max_fail=1)
-    run_batch(days, 1, folders, max_fail=1)
+    assert run_batch(days, 0, folders, max_fail=1) == {"processed": 0, "skipped": 0, "errors": 1}
+    assert run_batch(days, 1, folders, max_fail=1) == {"processed": 0, "skipped": 0, "errors": 0}
     assert outcomes(spark, folders) == [("0", 1, "FAILED")]
     assert [tuple(r) for r in state_of(ledger(spark, folders), 1).select("term", "fails").collect()] == [("PERM", 1)]
 
