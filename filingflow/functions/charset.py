@@ -21,6 +21,11 @@ JAVA_CHARSETS = {
     "utf-8": "UTF-8",
     "utf-8-sig": "UTF-8",
     "u8": "UTF-8",
+    "utf-16": "x-UTF-16LE-BOM",
+    "utf-16le": "UTF-16LE",
+    "utf-16-le": "UTF-16LE",
+    "utf-16be": "UTF-16BE",
+    "utf-16-be": "UTF-16BE",
     "cp949": "MS949",
     "949": "MS949",
     "ms949": "MS949",
@@ -31,28 +36,6 @@ JAVA_CHARSETS = {
     "korean": "EUC-KR",
     "johab": "x-Johab",
     "iso-2022-kr": "ISO-2022-KR",
-    "iso-8859-1": "ISO-8859-1",
-    "iso8859-1": "ISO-8859-1",
-    "8859": "ISO-8859-1",
-    "latin-1": "ISO-8859-1",
-    "latin1": "ISO-8859-1",
-    "latin": "ISO-8859-1",
-    "l1": "ISO-8859-1",
-    "cp819": "ISO-8859-1",
-    "iso-8859-2": "ISO-8859-2",
-    "iso-8859-5": "ISO-8859-5",
-    "iso-8859-7": "ISO-8859-7",
-    "iso-8859-9": "ISO-8859-9",
-    "iso-8859-15": "ISO-8859-15",
-    "ascii": "US-ASCII",
-    "us-ascii": "US-ASCII",
-    "windows-1250": "windows-1250",
-    "windows-1251": "windows-1251",
-    "windows-1252": "windows-1252",
-    "cp1250": "windows-1250",
-    "cp1251": "windows-1251",
-    "cp1252": "windows-1252",
-    "koi8-r": "KOI8-R",
     "shift-jis": "Shift_JIS",
     "sjis": "Shift_JIS",
     "cp932": "windows-31j",
@@ -65,12 +48,24 @@ JAVA_CHARSETS = {
     "cp936": "GBK",
     "gb18030": "GB18030",
     "big5": "Big5",
-    "utf-16": "x-UTF-16LE-BOM",
-    "utf-16le": "UTF-16LE",
-    "utf-16-le": "UTF-16LE",
-    "utf-16be": "UTF-16BE",
-    "utf-16-be": "UTF-16BE",
+    "big5-hkscs": "Big5-HKSCS",
+    "ascii": "US-ASCII",
+    "us-ascii": "US-ASCII",
+    "latin-1": "ISO-8859-1",
+    "latin1": "ISO-8859-1",
+    "latin": "ISO-8859-1",
+    "l1": "ISO-8859-1",
+    "8859": "ISO-8859-1",
+    "cp819": "ISO-8859-1",
+    "koi8-r": "KOI8-R",
+    "koi8-u": "KOI8-U",
+    "tis-620": "TIS-620",
+    "macintosh": "x-MacRoman",
+    "cp858": "IBM00858",
 }
+JAVA_CHARSETS |= {f"{iso}-{n}": f"ISO-8859-{n}" for iso in ("iso-8859", "iso8859") for n in (*range(1, 10), 13, 15, 16)}
+JAVA_CHARSETS |= {f"{maker}{n}": f"windows-{n}" for maker in ("windows-", "cp") for n in range(1250, 1259)}
+JAVA_CHARSETS |= {f"cp{n}": f"IBM{n}" for n in (437, 850, 852, 855, 857, *range(860, 867), 869)}
 
 # Where a document states its charset.
 XML_DECLARED = r"(?is)<\?xml[^>]+encoding\s*=\s*[\"']?([a-zA-Z0-9._-]+)"

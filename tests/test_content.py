@@ -104,6 +104,26 @@ def test_decode_like_python(spark, pairs):
     assert decoded(spark, pairs) == [python_ladder(d, e) for d, e in pairs]
 
 
+def test_every_accepted_name_reads_like_python(spark):
+    """All accepted charsets exist in the JVM, and single bytes decode as in Python."""
+    import codecs
+
+    names = [n for n in charset.JAVA_CHARSETS if n not in ("utf-16", "windows-31j", "uhc", "korean")]
+    for name in names:
+        codecs.lookup(name)
+    plain = decoded(spark, [("abcd".encode(n if "utf-16" in n else "ascii"), n) for n in names if "utf-16" not in n])
+    assert {t for t, _ in plain} == {"abcd"}
+    single = [n for n in names if n.startswith(("iso-8859-", "windows-", "cp12", "cp8", "cp437", "koi8"))]
+    cases = [(bytes([b]), n) for n in single for b in range(256)]
+    for (data, name), (text_got, enc) in zip(cases, decoded(spark, cases)):
+        try:
+            want = data.decode(name)
+        except UnicodeDecodeError:
+            assert enc != name
+        else:
+            assert (text_got, enc) == (want, name)
+
+
 def test_declared_utf8_loses_its_mark(spark):
     assert decoded(spark, [(b"\xef\xbb\xbf<?xml?>", "utf-8")]) == [("<?xml?>", "utf-8")]
 
