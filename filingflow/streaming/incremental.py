@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.retry import counted_attempts, FAIL, OK, SKIP
+from ..operators.retry import OK, SKIP, counted_attempts
 from ..schema import MAX_FAIL
 
 

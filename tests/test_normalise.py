@@ -80,6 +80,13 @@ def test_member_heads_decide_and_whole_members_are_kept(spark):
         assert r["body"] == META + b"\n" + member.decode("cp949").encode()
 
 
+def test_large_results_leave_python_in_several_batches(spark):
+    members = [b"<html>%03d " % i + b"x" * 1_000_000 for i in range(40)]
+    frame = payloads(spark, [make_zip([("a.html", m)]) for m in members]).coalesce(1)
+    got = normalise(frame).orderBy("rcept_no").collect()
+    assert [r["body"] for r in got] == [META + b"\n" + m for m in members]
+
+
 def test_broken_stream_fails_the_filing(spark):
     blob = bytearray(make_zip([("a.html", HTML * 20)]))
     start = blob.index(b"a.html") + 6
