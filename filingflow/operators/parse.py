@@ -33,8 +33,8 @@ def viewer_url(rcept_no: Column) -> Column:
 def parse_items(items: DataFrame) -> DataFrame:
     """Filing fields, viewer URL and ``reject_reason`` for every ``item``.
 
-    The reason names the first required field that is absent or no string.
-    All columns pass through.
+    The reason names the first required field that is absent or no string, and
+    ``item_json`` holds the item then.  Other columns pass through.
     """
     # the item is taken apart once; its fields stay typed VARIANT
     opened = computed_once(items, items.columns, _fields=F.try_variant_get("item", "$", _OBJECT))
@@ -42,7 +42,9 @@ def parse_items(items: DataFrame) -> DataFrame:
     columns |= {name: empty_to_null(_field(name)) for name in OPTIONAL_FIELDS}
     columns["url"] = viewer_url(_field("rcept_no"))
     columns["reject_reason"] = F.coalesce(*[_reject_reason(name) for name in REQUIRED_FIELDS])
-    return computed_once(opened, items.columns, **columns)
+    parsed = computed_once(opened, items.columns, **columns)
+    rejected = F.col("reject_reason").isNotNull()
+    return parsed.withColumn("item_json", F.when(rejected, F.to_json("item"))).drop("item")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -52,4 +54,4 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 def quarantined(parsed: DataFrame) -> DataFrame:
     place = [c for c in ("date", "page_no", "pos") if c in parsed.columns]
-    return parsed.where(F.col("reject_reason").isNotNull()).select(*place, F.to_json("item").alias("item_json"), "reject_reason")
+    return parsed.where(F.col("reject_reason").isNotNull()).select(*place, "item_json", "reject_reason")

@@ -20,10 +20,14 @@ _LISTED = [*FILING_FIELDS, "polling_date", "n_listed"]
 _PROCESSED = [*_LISTED, "outcome", "stage", "reason", *_DOCUMENT]
 
 
-def listed_filings(pages: DataFrame) -> DataFrame:
-    """Valid filings on the pages that count, each id once, with the date polled."""
-    items = page_items(counted_pages(page_fields(pages)))
-    return listed_once(accepted(parse_items(items))).withColumnRenamed("date", "polling_date").select(*_LISTED)
+def listed_items(pages: DataFrame) -> DataFrame:
+    """Items on the pages that count, parsed, good and bad."""
+    return parse_items(page_items(counted_pages(page_fields(pages))))
+
+
+def listed_filings(items: DataFrame) -> DataFrame:
+    """Valid filings among parsed items, each id once, with the date polled."""
+    return listed_once(accepted(items)).withColumnRenamed("date", "polling_date").select(*_LISTED)
 
 
 def process_filings(

@@ -606,7 +606,7 @@ def filing_ingest(spark, sf):
     """Listing pages to stored documents: every new filing with its outcome."""
     known, stored = _known_and_stored(spark, sf)
     processed = ingest.process_filings(
-        ingest.listed_filings(views.pages(spark, sf)), known, stored, views.payloads(spark, sf)
+        ingest.listed_filings(ingest.listed_items(views.pages(spark, sf))), known, stored, views.payloads(spark, sf)
     )
     # the size of an archive kept whole depends on the compressor, so SQL cannot tell it
     size = F.when(~F.coalesce(F.col("object_key").endswith(".zip"), F.lit(False)), F.col("file_size"))

@@ -1,4 +1,4 @@
-"""Poll stream: listing pages land, documents, messages and attempts come out.
+"""Poll stream: listing pages land; documents, messages, attempts and quarantined items come out.
 
 Each micro-batch owns the folder ``batch_id=N`` of every output, so a batch
 that is run again replaces what it wrote.  State is read from earlier batches
@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.incremental import known_ids, latest_per_key, of_dates
+from ..operators.ledger import failure_records, latest_failures
+from ..operators.parse import quarantined
 from ..operators.publish import messages
 from ..operators.retry import attempt_kind, finished_ids, retry_state
 from ..operators.sinks import append_attempts, publish, store_documents
-from ..plans.ingest import attempts_of, listed_filings, poll_counters, process_filings, stored_documents
+from ..plans.ingest import attempts_of, listed_filings, listed_items, poll_counters, process_filings, stored_documents
 from ..schema import ATTEMPT_SCHEMA, MAX_FAIL
 from ..session import configure, written
 from ..sources.listing import read_pages, scan_predicate, valid_poll_date
@@ -54,6 +56,11 @@ def state_of(attempts: DataFrame, max_fail: int = MAX_FAIL) -> DataFrame:
     return retry_state(attempts.withColumn("kind", attempt_kind(F.col("outcome"))), max_fail)
 
 
+def failures(spark: SparkSession, folders: Folders) -> DataFrame:
+    """Last failure record of every filing that has one."""
+    return latest_failures(failure_records(ledger(spark, folders)))
+
+
 def landed_pages(spark: SparkSession, folders: Folders, dates: DataFrame) -> DataFrame:
     """Newest landed copy of every page of the given dates."""
     files = spark.read.format("text").schema("value string, date string, page_no int").options(wholetext=True)
@@ -81,7 +88,9 @@ def run_batch(batch: DataFrame, batch_id: int, folders: Folders, max_fail: int =
         return written(df, name, f"{folders.root}/work/{name}/batch_id={batch_id}")
 
     dates = kept(batch.select("date").where(valid_poll_date(F.col("date"))).distinct(), "dates")
-    filings = kept(listed_filings(landed_pages(spark, folders, dates)), "listing")
+    items = kept(listed_items(landed_pages(spark, folders, dates)), "items")
+    quarantined(items).write.mode("overwrite").json(f"{folders.quarantine}/batch_id={batch_id}")
+    filings = kept(listed_filings(items), "listing")
     filed = kept(filings.select("rcept_dt").distinct(), "filing_dates")
 
     history = of_dates(_before(ledger(spark, folders), batch_id), filed)

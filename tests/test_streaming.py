@@ -11,7 +11,7 @@ from filingflow.schema import FILING_FIELDS
 from filingflow.sources.store import read_documents
 from filingflow.streaming.consume import UPSERT_SCHEMA, consume_batch, start_consume, upserted
 from filingflow.streaming.incremental import advance_state, first_seen
-from filingflow.streaming.poll import Folders, ledger, run_batch, start_poll, state_of
+from filingflow.streaming.poll import Folders, failures, ledger, run_batch, start_poll, state_of
 from zips import make_zip
 
 HTML = b"<html><head></head><body>" + b"text " * 60 + b"</body></html>"
@@ -66,6 +66,12 @@ def test_poll_stream(spark, folder):
     assert stored[0]["polling_date"] == "20240102"
     assert stored[0]["body"] == HTML.replace(b"<head>", b'<head>\n<meta charset="UTF-8">')
 
+    (bad,) = spark.read.json(folders.quarantine).collect()
+    assert bad["reject_reason"] == "Field 'corp_name' must be a string." and json.loads(bad["item_json"])["corp_name"] == 5
+    reasons = {r["rcept_no"][8:]: r["failure_reason"] for r in failures(spark, folders).collect()}
+    assert reasons["000003"] == "Failed to download document from DART API."
+    assert reasons["000002"].startswith("Processed file too small") and set(reasons) == {"000002", "000003"}
+
     # the next poll lists the same day again; the failed filing has arrived
     land_payload(folder, 3, doc)
     land_page(folder, [item(1), item(2), item(3), item(6), item(7), item(7)], name="b")
