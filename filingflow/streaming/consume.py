@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import truncate
 from ..operators.publish import task_results, upsert_columns, upsert_payload
 from ..operators.upsert import current, write_batch
 from ..session import configure
@@ -18,13 +19,26 @@ UPSERT_SCHEMA = "rcept_no string, body string, published_at timestamp, published
 
 
 def consume_batch(batch: DataFrame, batch_id: int, table_root: str, results_root: str) -> None:
+    """Upsert a batch of messages and note what became of each.
+
+    A message that cannot be read or has no valid date is an error row; it
+    never stops the stream.
+    """
     configure(batch.sparkSession)
     order = ["published_at", "published_seq"]
-    columns = upsert_columns(batch, keep=order)
+    broken = F.col("rcept_no").isNull()
+    columns = upsert_columns(batch.where(~broken), keep=order)
     payloads = columns.withColumn("body", upsert_payload(columns))
     good = payloads.where(F.col("date_error").isNull()).select("rcept_no", "body", *order)
     write_batch(good, table_root, batch_id, order)
-    task_results(payloads).write.mode("overwrite").parquet(f"{results_root}/batch_id={batch_id}")
+    unreadable = batch.where(broken).select(
+        F.lit("error").alias("status"),
+        F.lit("unexpected_error").alias("error_type"),
+        F.concat(F.lit("unreadable message: "), F.coalesce(truncate(F.col("unreadable"), 200), F.lit("no id")))
+        .alias("error_message"),
+    )
+    results = task_results(payloads).unionByName(unreadable, allowMissingColumns=True)
+    results.write.mode("overwrite").parquet(f"{results_root}/batch_id={batch_id}")
 
 
 def start_consume(

@@ -121,7 +121,7 @@ MESSAGE = dict(corp_code="c", corp_name=" n ", stock_code="", corp_cls="Y", repo
 def message_frame(spark, rows):
     from filingflow.schema import MESSAGE_SCHEMA
 
-    df = spark.createDataFrame([{**MESSAGE, **r} for r in rows], MESSAGE_SCHEMA + ", published_seq bigint")
+    df = spark.createDataFrame([{**MESSAGE, **r} for r in rows], MESSAGE_SCHEMA + ", published_seq bigint, unreadable string")
     return df.withColumn("published_at", F.lit("2024-01-01").cast("timestamp"))
 
 
@@ -142,6 +142,17 @@ def test_upserts_are_idempotent(spark, folder):
     assert upserted(spark, f"{folder}/table2").count() == 1
 
 
+def test_unreadable_messages_are_error_rows(spark, folder):
+    os.makedirs(f"{folder}/messages/batch_id=0")
+    with open(f"{folder}/messages/batch_id=0/part.txt", "w") as out:
+        out.write(json.dumps(MESSAGE) + "\n{ broken\n" + json.dumps({"corp_name": "no id"}) + "\n")
+    table, results = f"{folder}/table", f"{folder}/results"
+    start_consume(spark, f"{folder}/messages", table, results, f"{folder}/checkpoint", interval=None).awaitTermination()
+    assert [r["rcept_no"] for r in upserted(spark, table).collect()] == ["20240102000001"]
+    rows = spark.read.parquet(results).orderBy("error_message").collect()
+    assert [r["error_message"] for r in rows] == [None, "unreadable message: no id", "unreadable message: { broken"]
+
+
 def test_first_seen_in_a_stream(spark, folder):
     rows = [("a", "2024-01-01"), ("a", "2024-01-02"), ("b", "2024-01-02")]
     src = f"{folder}/in"
