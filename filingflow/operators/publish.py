@@ -81,17 +81,22 @@ def upsert_payload(columns: DataFrame) -> Column:
     )
 
 
+# message fields a success reports as they came
+REPORTED = ["corp_code", "corp_name", "object_key"]
+
+
 def task_results(payloads: DataFrame) -> DataFrame:
-    """Result rows of the consumer: a bad date is an error and is not tried again."""
+    """Result rows of the consumer: a bad date is an error and is not tried again.
+
+    ``payloads`` are ``upsert_columns`` that keep the ``REPORTED`` fields.
+    """
     bad = F.col("date_error")
     return payloads.select(
         "rcept_no",
         F.when(bad.isNull(), "success").otherwise("error").alias("status"),
         F.when(bad.isNotNull(), "unexpected_error").alias("error_type"),
         bad.alias("error_message"),
-        F.col("corpCode").alias("corp_code"),
-        F.col("corpName").alias("corp_name"),
-        F.col("minioObjectName").alias("object_key"),
+        *[F.when(bad.isNull(), F.col(name)).alias(name) for name in REPORTED],
     )
 
 

@@ -249,7 +249,10 @@ FROM tidy""",
     "task_results": f"""
 WITH {UNTIDY}
 SELECT rcept_no, CASE WHEN date_error IS NULL THEN 'success' ELSE 'error' END AS status,
-       CASE WHEN date_error IS NOT NULL THEN 'unexpected_error' END AS error_type, date_error AS error_message, corp_name
+       CASE WHEN date_error IS NOT NULL THEN 'unexpected_error' END AS error_type, date_error AS error_message,
+       CASE WHEN date_error IS NULL THEN corp_code END AS corp_code,
+       CASE WHEN date_error IS NULL THEN chr(9) || ' ' || corp_name || chr(12288) END AS corp_name,
+       CASE WHEN date_error IS NULL THEN object_key END AS object_key
 FROM tidy""",
     "reception_dates": f"""
 WITH {UNTIDY}

@@ -198,9 +198,9 @@ def upsert_payload(spark, sf):
 
 @query
 def task_results(spark, sf):
-    """Result of every consumer task, by kind of result."""
-    results = publish.task_results(publish.upsert_columns(views.untidy_messages(spark, sf)))
-    return results.select("rcept_no", "status", "error_type", "error_message", "corp_name")
+    """Result of every consumer task."""
+    columns = publish.upsert_columns(views.untidy_messages(spark, sf), keep=publish.REPORTED)
+    return publish.task_results(columns)
 
 
 @query

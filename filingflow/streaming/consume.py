@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import truncate
-from ..operators.publish import task_results, upsert_columns, upsert_payload
+from ..operators.publish import REPORTED, task_results, upsert_columns, upsert_payload
 from ..operators.upsert import current, write_batch
 from ..session import configure
 from ..sources.messages import read_messages
@@ -27,7 +27,7 @@ def consume_batch(batch: DataFrame, batch_id: int, table_root: str, results_root
     configure(batch.sparkSession)
     order = ["published_at", "published_seq"]
     broken = F.col("rcept_no").isNull()
-    columns = upsert_columns(batch.where(~broken), keep=order)
+    columns = upsert_columns(batch.where(~broken), keep=[*order, *REPORTED])
     payloads = columns.withColumn("body", upsert_payload(columns))
     good = payloads.where(F.col("date_error").isNull()).select("rcept_no", "body", *order)
     write_batch(good, table_root, batch_id, order)
