@@ -179,7 +179,7 @@ SELECT rcept_dt, count(*) AS n, CAST(ceil(count(*) / 100.0) AS INT) AS pages_of_
 FROM filings WHERE corp_cls = 'K' GROUP BY rcept_dt""",
     "page_prefix": f"""
 WITH {PAGES}
-SELECT date, page_no, n_items, total_page::VARCHAR AS total_page_text FROM counted""",
+SELECT date, page_no, n_items::INT AS n_items, total_page::VARCHAR AS total_page_text FROM counted""",
     "page_routing": f"""
 WITH {PAGES}
 SELECT status,
@@ -193,7 +193,7 @@ FROM pages_in GROUP BY ALL""",
     "day_totals": f"""
 WITH {PAGES}
 SELECT p.date,
-       max(CASE WHEN p.page_no = 1 AND p.status = '000' THEN greatest(p.total_page, 1) END) AS declared_pages,
+       max(CASE WHEN p.page_no = 1 AND p.status = '000' THEN greatest(p.total_page, 1) END)::BIGINT AS declared_pages,
        max(CASE WHEN p.page_no = 1 AND p.status = '000' THEN p.total_count END) AS declared_count,
        count(c.page_no) AS pages_seen, coalesce(sum(c.n_items), 0)::BIGINT AS items_seen
 FROM pages_in p LEFT JOIN counted c ON p.date = c.date AND p.page_no = c.page_no
@@ -202,7 +202,7 @@ GROUP BY p.date""",
 WITH {FILINGS},
 stored AS (SELECT rcept_dt, rcept_no FROM filings WHERE rm = 'F'),
 known AS (SELECT rcept_no FROM filings WHERE corp_cls = 'Y' UNION SELECT rcept_no FROM filings WHERE report_nm = '1-URGENT')
-SELECT rcept_no, rcept_dt, CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END AS n_listed
+SELECT rcept_no, rcept_dt, CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END::BIGINT AS n_listed
 FROM filings f
 WHERE NOT EXISTS (SELECT 1 FROM known n WHERE n.rcept_no = f.rcept_no)
   AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.rcept_no = f.rcept_no AND s.rcept_dt = f.rcept_dt)""",
@@ -216,7 +216,7 @@ SELECT left(rcept_no, 8) AS day, count(DISTINCT rcept_no) AS ids FROM attempts G
 WITH {FILINGS}
 SELECT rcept_no,
        CASE WHEN doc_id IS NULL THEN 'missing' WHEN doc_id % 2 = 0 THEN 'archive' ELSE 'other' END AS state,
-       strlen(text) + CASE WHEN doc_id % 2 = 0 THEN 4 ELSE 0 END AS length
+       (strlen(text) + CASE WHEN doc_id % 2 = 0 THEN 4 ELSE 0 END)::INT AS length
 FROM filings LEFT JOIN documents ON k = doc_id""",
     "error_answers": f"""
 SELECT CASE WHEN doc_id % 16 = 0 THEN 'DART API Error [010]: none'
@@ -306,12 +306,12 @@ SELECT count(term) AS processed_count, count(*) FILTER (WHERE term = 'OK') AS su
        count(*) FILTER (WHERE term = 'PERM') AS permanently_failed_count
 FROM state""",
     "attempt_numbers": f"""
-WITH {NUMBERED} SELECT seq, rcept_no, kind, attempt_no FROM numbered WHERE attempt_no <= 3""",
+WITH {NUMBERED} SELECT seq, rcept_no, kind, attempt_no::INT AS attempt_no FROM numbered WHERE attempt_no <= 3""",
     "backoff_schedule": f"""
 WITH {NUMBERED},
 w AS (SELECT *, CASE WHEN attempt_no < 3 THEN (pow(2, attempt_no - 1) * 0.5)::DOUBLE END AS wait_s
       FROM numbered WHERE attempt_no <= 3 AND kind = 'FAIL')
-SELECT seq, attempt_no, wait_s,
+SELECT seq, attempt_no::INT AS attempt_no, wait_s,
        strftime(attempt_ts + to_milliseconds((wait_s * 1000)::BIGINT), '%Y-%m-%d %H:%M:%S.%f') AS next_attempt_ts
 FROM w""",
     "due_retries": f"""
@@ -366,7 +366,7 @@ WITH d AS (
 SELECT doc_id,
        CASE k WHEN 0 THEN 'iso-8859-1' WHEN 1 THEN 'windows-1252' WHEN 2 THEN 'utf-8-sig' WHEN 4 THEN 'euc-kr'
               ELSE CASE WHEN regexp_matches(out, '[가나다라마]') THEN 'cp949' ELSE 'utf-8-sig' END END AS used_enc,
-       length(out) AS n_chars, md5(out) AS text_md5
+       length(out)::INT AS n_chars, md5(out) AS text_md5
 FROM d""",
     "utf8_validity": """
 SELECT doc_id, doc_id % 2 = 0 OR regexp_full_match(text, '(?s)[\\x{0}-\\x{7F}]*') AS valid FROM documents""",
@@ -389,14 +389,14 @@ done AS (
                 regexp_replace(t, '(?is)^(\\s*<!doctype[^>]*>\\s*)', '\\1' || chr(10) || '<meta charset="UTF-8">')
               ELSE '<meta charset="UTF-8">' || chr(10) || t END AS out
   FROM shaped)
-SELECT page_id, length(out) AS n_chars, md5(out) AS text_md5 FROM done""",
+SELECT page_id, length(out)::INT AS n_chars, md5(out) AS text_md5 FROM done""",
     "xml_rewrite": f"""
 WITH {WRAPPED},
 done AS (
   SELECT doc_id, CASE k WHEN 1 THEN '<?xml version="1.0" encoding="UTF-8"?><doc>' || text || '</doc>'
                         ELSE '<?xml version="1.0" encoding="UTF-8"?>' || chr(10) || body END AS out
   FROM wrapped)
-SELECT doc_id, strlen(out) AS n_bytes, md5(out) AS text_md5 FROM done""",
+SELECT doc_id, strlen(out)::INT AS n_bytes, md5(out) AS text_md5 FROM done""",
     "safe_name": """
 WITH names AS (
   SELECT url AS name FROM pages
@@ -417,12 +417,12 @@ SELECT doc_id,
        CASE WHEN n_files > 200 THEN 'ZIP(failed: Too many files in ZIP: ' || n_files || ' (max: 200))'
             ELSE 'ZIP(' || n_files || ' files) -> ''part_' || j || ''' (' || kind || ')'
                  || CASE WHEN rank < 3 THEN ' [enc: utf-8-sig]' ELSE '' END END AS summary,
-       CASE WHEN rank < 3 AND n_files <= 200 THEN strlen(body) END AS n_bytes,
+       CASE WHEN rank < 3 AND n_files <= 200 THEN strlen(body) END::INT AS n_bytes,
        CASE WHEN rank < 3 AND n_files <= 200 THEN md5(body) END AS body_md5
 FROM normal""",
     "archive_guard": f"""
 WITH {ARCHIVES}
-SELECT doc_id, n_files, total_bytes,
+SELECT doc_id, n_files::INT AS n_files, total_bytes,
        CASE WHEN n_files > 20 THEN 'Too many files in ZIP: ' || n_files || ' (max: 20)'
             WHEN total_bytes > 5000 THEN 'ZIP too large: ' || total_bytes || ' bytes (max: 5000)' END AS failure,
        CASE WHEN n_files <= 20 AND total_bytes <= 5000 THEN 'part_' || j END AS best
