@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import written
+
 SEVERITY = ["healthy", "degraded", "unhealthy"]
 MANY_FAILURES = 5
 
@@ -11,12 +13,13 @@ MANY_FAILURES = 5
 def consecutive_failures(events: DataFrame) -> DataFrame:
     """Per component: last success and the failures after it.
 
-    Two aggregates, both combined before their shuffle.  The join in between
-    has one small row per component on one side; its size decides at run time
-    whether it is broadcast, and AQE splits a component that dominates.
+    The last success is an aggregate with a partial step, one small row per
+    component, and is written to the shared folder.  Its size is known then: it
+    is broadcast if small, and otherwise AQE splits a component with most of
+    the events, which it does not do for a join with an aggregate.
     """
     at = F.struct("ts", "seq")
-    last = events.groupBy("component").agg(F.max(F.when(F.col("ok"), at)).alias("last"))
+    last = written(events.groupBy("component").agg(F.max(F.when(F.col("ok"), at)).alias("last")), "last-success")
     after = (
         events.where(~F.col("ok"))
         .select("component", at.alias("at"))

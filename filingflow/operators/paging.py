@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..schema import status_dimension
+from ..session import written
 
 
 def page_actions(pages: DataFrame, poll_interval: int = 300) -> DataFrame:
@@ -77,12 +78,15 @@ def day_limits(pages: DataFrame) -> DataFrame:
 
 
 def counted_pages(pages: DataFrame) -> DataFrame:
-    """The pages that count, whole."""
-    # the same condition on both sides lets them share what lies below
-    pages = pages.where((F.col("page_no") >= 1) & F.col("date").isNotNull())
-    limits = day_limits(pages).select("date", "last_page")
+    """The pages that count, whole.
+
+    The limits, one small row per date, are written to the shared folder.  Their
+    size is known then: they are broadcast if small, so that no page is
+    shuffled, and otherwise AQE splits a day with most of the pages.
+    """
+    limits = written(day_limits(pages).select("date", "last_page"), "page-limits")
     return (
         pages.join(limits, "date")
-        .where(F.col("page_no") <= F.col("last_page"))
+        .where((F.col("page_no") >= 1) & (F.col("page_no") <= F.col("last_page")))
         .drop("last_page")
     )

@@ -576,7 +576,8 @@ def stream_upsert(spark, sf):
     def merge(batch: DataFrame, batch_id: int) -> None:
         # attempts arrive out of order here, so the row in the table competes too
         table = upserts.current(spark, root, schema)
-        touched = table.join(batch.select("rcept_no"), "rcept_no", "left_semi").select(*batch.columns)
+        ids = batch.select("rcept_no").distinct()
+        touched = table.join(ids, "rcept_no", "left_semi").select(*batch.columns)
         upserts.write_batch(batch.unionByName(touched), root, batch_id, ["attempt_ts", "seq"])
 
     _run_in_parts(spark, log, 2, F.col("seq") % 2, lambda stream: stream.writeStream.foreachBatch(merge))

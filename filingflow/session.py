@@ -8,11 +8,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Java charset names and replace-on-error decoding: the strict decoder in
-# ``functions.charset`` turns a replacement character into a NULL.
 SETTINGS = {
+    # Java charset names and replace-on-error decoding: ``decode_document`` turns
+    # a replacement character into a NULL
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.legacy.codingErrorAction": "true",
+    # split skewed joins also where an aggregate on the join key follows, which
+    # then shuffles its partial rows
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # date=20240101 must stay the string it is in every other table
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

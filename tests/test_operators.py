@@ -248,6 +248,32 @@ def test_health(spark):
     assert (calm["status"], calm["ready"]) == ("degraded", True)
 
 
+def test_a_hot_component_is_split(spark):
+    tight = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in tight}
+    try:
+        for key, value in tight.items():
+            spark.conf.set(key, value)
+        n = F.col("id")
+        events = spark.range(0, 200_000, 1, 8).select(
+            F.when(n % 3 == 0, 0).otherwise(n).alias("component"), F.timestamp_seconds(n).alias("ts"),
+            n.alias("seq"), (n == 99_999).alias("ok"),
+        )
+        result = health.consecutive_failures(events)
+        hot = [r for r in result.collect() if r["component"] == 0]
+        assert [r["consecutive_failures"] for r in hot] == [sum(i % 3 == 0 for i in range(100_000, 200_000))]
+        assert "SortMergeJoin(skew=true)" in result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_payload_files(spark, folder):
     import os
 
