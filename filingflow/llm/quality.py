@@ -30,7 +30,7 @@ PRIOR = 100_000
 #: Trusted documents that are used at most, chosen by hash; their ids are broadcast.
 TRUSTED_LIMIT = 50_000
 #: Least mean log ratio of a kept document.
-THRESHOLD = -0.1
+THRESHOLD = -0.06
 # The base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 SYMBOLS = "#*$%&|<>"
