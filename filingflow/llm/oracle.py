@@ -1,3 +1,30 @@
 """The same results in DuckDB's SQL, where it can express them."""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_poisson_mixing": """
+        WITH sizes AS (SELECT source AS src, count(*) AS n FROM documents GROUP BY 1),
+        rates AS (
+            SELECT src, sqrt(n) / sum(sqrt(n)) OVER () * CAST(sum(n) OVER () AS DOUBLE) / n AS rate FROM sizes
+        ),
+        parts AS (SELECT src, rate, greatest(ceil(rate / 16.0), 1) AS parts FROM rates),
+        cdf AS (
+            SELECT src, k, sum(exp(-rate / parts) * pow(rate / parts, k) / factorial(CAST(k AS INTEGER)))
+                OVER (PARTITION BY src ORDER BY k) AS c
+            FROM parts, range(0, 90) AS steps(k)
+        ),
+        draws AS (
+            SELECT d.doc_id, p.src, part,
+                CAST('0x' || substr(md5('17:' || d.doc_id || ':' || part), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+            FROM (SELECT DISTINCT doc_id, source FROM documents) d
+            JOIN parts p ON p.src IS NOT DISTINCT FROM d.source, range(1, 100) AS r(part)
+            WHERE part <= p.parts
+        ),
+        counts AS (
+            SELECT x.doc_id, x.src, count(*) AS n FROM draws x JOIN cdf ON cdf.src IS NOT DISTINCT FROM x.src
+            WHERE cdf.c <= x.u AND cdf.c < 1 - 1e-15 GROUP BY ALL
+        )
+        SELECT d.*, p.rate, CAST(i AS INTEGER) AS copy,
+            CAST('0x' || substr(md5('17-order:' || d.doc_id || ':' || i), 1, 13) AS BIGINT) AS shuffle_key
+        FROM documents d JOIN counts c ON c.doc_id = d.doc_id AND c.src IS NOT DISTINCT FROM d.source
+        JOIN parts p ON p.src IS NOT DISTINCT FROM d.source, range(1, 400) AS r(i) WHERE i <= c.n""",
+}

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure
-from . import quality as quality_rules
+from . import idfiles, jaccard, language_model, licenses as license_scan, mixing, neighbours, packing, quality as quality_rules, repeats, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,3 +26,50 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality_rules.quality(docs.select("doc_id", "text"), labels)
     return scored.select("doc_id", *quality_rules.FEATURES, "base_failed", "kept", "score")
+
+
+@query
+def op3_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op8_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfiles.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query
+def op6_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op7_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op4_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
