@@ -146,6 +146,8 @@ class Chunks:
                 for row in batch.to_pylist():
                     made = make(unpack(row["packed"]), row)
                     keys, values = made["keys"], made["values"]
+                    if not len(keys):
+                        continue
                     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
                     found, first = np.unique(bucket, return_index=True)
                     last = np.append(first[1:], len(keys))

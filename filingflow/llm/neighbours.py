@@ -106,7 +106,7 @@ def _search(dim: int, k: int):
             ids = vectors.column("vec_id").to_numpy()
             own = _array(vectors.column("embedding"), dim).astype(np.float64)
             rotated = np.ascontiguousarray((own @ turn).T)
-            asked = _array(queries.column("embedding"), dim).astype(np.float64)
+            asked = _array(queries.column("query"), dim).astype(np.float64)
             for query_id, q, turned in zip(queries.column("query_id").to_pylist(), asked, asked @ turn, strict=True):
                 near = scan(turned, rotated, k + int((ids == query_id).sum()))
                 near = near[ids[near] != query_id]
@@ -162,7 +162,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, probed: float = PR
     )
     located = written(located, "vectors")
     asked = located.filter(F.size("probes") > 0).select(
-        F.col("vec_id").alias("query_id"), "embedding", F.explode("probes").alias("list")
+        F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.explode("probes").alias("list")
     )
     parts = located.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
     query_parts = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_PART).cast("int").alias("query_parts"))
@@ -173,7 +173,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, probed: float = PR
     )
     left = asked.join(cuts, "list").select(
         "list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - F.lit(1).cast("long"))).alias("part"),
-        F.pmod(F.xxhash64("query_id"), F.col("query_parts")).alias("query_part"), "query_id", "embedding",
+        F.pmod(F.xxhash64("query_id"), F.col("query_parts")).alias("query_part"), "query_id", "query",
     )
     keys = ["list", "part", "query_part"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
