@@ -9,9 +9,10 @@ The strings of special tokens are ordinary text.
 
 from __future__ import annotations
 
-import functools
 import json
 import os
+import sys
+import types
 
 import numpy as np
 import regex
@@ -102,7 +103,13 @@ class Encoder:
         return b"".join([known(part) or self._part(part) for part in cut])
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """The worker's encoder; it outlives a task where Spark keeps its Python workers."""
-    return Encoder(path)
+    """The worker's encoder; it outlives a task where Spark keeps its Python workers.
+
+    Functions travel to workers by value, each with globals of its own, so what is to
+    be kept lies in a module of the worker process.
+    """
+    kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
