@@ -19,15 +19,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 #: Bytes of text after which a chunk is closed; a longer document is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Bytes of text whose keys one bucket takes, about.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 8 << 20
 #: Bytes of packed chunks per bucket of the chunk table.
-TABLE_BYTES = 16 << 20
+TABLE_BYTES = 8 << 20
 
 
 def squeeze(values: np.ndarray) -> bytes:

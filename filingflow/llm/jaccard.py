@@ -34,7 +34,7 @@ from ..session import written
 from .chunks import squeeze_sorted, unsqueeze_sorted
 from .components import components
 from .signatures import DENOMINATOR, NUMERATOR, Tree, possible
-from .words import Words, _stream, mix
+from .words import Words, _stream, mix, portions
 
 WIDTH = 5
 BANDS, ROWS = 32, 2
@@ -104,7 +104,7 @@ def _bands(keys: np.ndarray) -> np.ndarray:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in portions(whole)):
         sets = shingle_sets(batch.column("text").to_pylist())
         a = [int(mix(s ^ _SHORT).sum().view(np.int64)) for s in sets]
         b = [int(np.bitwise_xor.reduce(mix(s + _SHORT)).view(np.int64)) if len(s) else 0 for s in sets]
@@ -123,7 +123,7 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in portions(whole)):
         packed = [squeeze_sorted(s) for s in shingle_sets(batch.column("text").to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], ["id", "keys"])
 

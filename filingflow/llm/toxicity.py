@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import written
-from .words import Words, prefix_hashes
+from .words import Words, portions, prefix_hashes
 
 #: Labelled documents the model is fitted on, at most about.
 SAMPLE = 20_000
@@ -52,7 +52,7 @@ def _sampled(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in portions(whole)):
         words = Words(batch.column("text").to_pylist(), fold=True, punctuation=True)
         found, doc = _features(words)
         order = np.lexsort((found, doc))
@@ -167,7 +167,7 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, severity, grade, toxic): expected grade, likeliest grade, P(grade > 0) >= 1/2."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole)):
             n = batch.num_rows
             words = Words(batch.column("text").to_pylist(), fold=True, punctuation=True)
             found, doc = _features(words)

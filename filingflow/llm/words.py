@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+
+#: Bytes of text that are hashed at the same time; it takes some forty times as much memory.
+PORTION = 1 << 20
 
 _MASK = (1 << 64) - 1
 
@@ -67,7 +72,10 @@ class Words:
             edge = np.concatenate([[0], edge])
         start, end = edge[0::2], edge[1::2]
         prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_LETTERS[data] * _power(_BASE, len(data)), out=prefix[1:])
+        each = _LETTERS[data]
+        each *= _power(_BASE, len(data))
+        np.cumsum(each, out=prefix[1:])
+        del each
         self.prefix, self.start, self.end = prefix, start, end
         self.hashes = self.spans(start, end)
         sizes = np.array([len(r) + 1 for r in raw], np.int64)
@@ -93,6 +101,18 @@ class Words:
         return mix(total[inside]), inside
 
 
+def portions(batch: pa.RecordBatch, column: str = "text", limit: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``limit`` bytes of text, which bounds what ``Words`` needs; a longer text is a slice."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = min(max(int(np.searchsorted(ends, before + limit, "right")), first + 1), batch.num_rows)
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def prefix_hashes(words: Words, n: int) -> np.ndarray:
     """Hashes of the first ``n`` bytes of each word, told apart from those of whole words."""
     return mix(words.spans(words.start, np.minimum(words.start + n, words.end)) + np.uint64(n))
