@@ -122,7 +122,7 @@ def _declared_by_tag(head: Column) -> Column:
 def declared_charset(head: Column, kind: Column) -> Column:
     """Canonical charset name the document states, NULL when it states none.
 
-    ``head`` is the start of the document as returned by ``byte_text``.
+    ``head`` is the document, or its start, as returned by ``byte_text``.
     """
     return normalize_name(
         F.coalesce(

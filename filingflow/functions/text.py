@@ -9,9 +9,13 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
+from ..schema import MAX_PAGE_SIZE
+
 # All characters Python's str.strip() removes; SQL trim only knows U+0020.
 _SPACE = r"[\t-\r\x1C-\x20\x85\p{Z}]"
 _ASCII_ONLY = r"\A[\x00-\x7F]*\z"
+# How the service's date formats read a month and a day.
+_MONTH, _DAY = r"(1[0-2]|0[1-9]|[1-9])", r"(3[0-1]|[1-2]\d|0[1-9]|[1-9])"
 _COMPRESSED = r"(?i)\.(gz|z|bz2|xz|br)\z"
 
 
@@ -48,16 +52,30 @@ def reception_date(col: Column) -> Column:
         F.when(shape == "yyyyMMdd", F.try_to_date(value, "yyyyMMdd")),
         F.when(shape == "yyyy-MM-dd", F.try_to_date(value, "yyyy-MM-dd")),
     )
+    parsed = F.when(~value.startswith("0000"), parsed)  # Spark has a year 0, the service has not
     iso = F.date_format(parsed, "yyyy-MM-dd'T00:00:00Z'")
     return F.when(shape.isNotNull(), iso).otherwise(empty_to_null(value))
 
 
 def reception_date_error(col: Column) -> Column:
-    """Message for a date of the right shape that is no date, else NULL."""
+    """The service's message for a date of the right shape that is no date, else NULL."""
     value = strip(col)
     shape = _date_format_of(value)
     bad = shape.isNotNull() & reception_date(col).isNull()
-    return F.when(bad, F.format_string("time data '%s' does not match format '%s'", value, shape))
+    plain = F.replace(value, F.lit("-"), F.lit(""))
+    dashed = shape == "yyyy-MM-dd"
+    rest = F.when(dashed, F.regexp_extract(value, rf"\A\d{{4}}-{_MONTH}-{_DAY}(.*)\z", 3)).otherwise(
+        F.regexp_extract(value, rf"\A\d{{4}}{_MONTH}{_DAY}(.*)\z", 3)
+    )
+    read = F.when(dashed, value.rlike(rf"\A\d{{4}}-{_MONTH}-{_DAY}")).otherwise(value.rlike(rf"\A\d{{4}}{_MONTH}{_DAY}"))
+    wanted = F.when(dashed, "%Y-%m-%d").otherwise("%Y%m%d")
+    text = (
+        F.when(~read, F.format_string("time data '%s' does not match format '%s'", value, wanted))
+        .when(rest != "", F.concat(F.lit("unconverted data remains: "), rest))
+        .when(plain.startswith("0000"), "year 0 is out of range")
+        .otherwise("day is out of range for month")
+    )
+    return F.when(bad, text)
 
 
 def mask_url(col: Column) -> Column:
@@ -77,12 +95,17 @@ def backoff_seconds(attempt: Column) -> Column:
 
 
 def page_count(total: Column, page_size: Column) -> Column:
-    """Pages needed for ``total`` rows when the service allows 100 rows a page."""
-    return F.ceil(total / F.least(page_size, F.lit(100))).cast("int")
+    """Pages needed for ``total`` rows; the service caps the page size."""
+    return F.ceil(total / F.least(page_size, F.lit(MAX_PAGE_SIZE))).cast("int")
 
 
 # --- file names ------------------------------------------------------------
 
+def plain_name(name: str) -> str:
+    """Last path part of one name, trimmed and composed; ``base_name`` does the same for columns."""
+    return unicodedata.normalize("NFC", name.rsplit("/", 1)[-1].strip())
+
+
 def _normal_form(form: str):
     @F.pandas_udf(StringType())
     def normal(names: pd.Series) -> pd.Series:

@@ -43,17 +43,6 @@ def without(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(others.select(*keys), keys, "left_anti")
 
 
-def of_dates(table: DataFrame, dates: DataFrame, date_column: str = "rcept_dt") -> DataFrame:
-    """The part of a table that belongs to the given distinct dates.
-
-    History outside those dates is never read: the date list prunes partitions
-    at run time.  Spark only does that for a list with a condition on it, hence
-    the one that every date meets.
-    """
-    listed = dates.select(date_column).where(F.col(date_column).rlike(""))
-    return table.join(listed, date_column, "left_semi")
-
-
 def mark_stored(filings: DataFrame, stored: DataFrame) -> DataFrame:
     """Add ``is_stored``: a document of this date and id is in the store.
 

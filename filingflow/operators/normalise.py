@@ -8,8 +8,8 @@ from ..functions import charset, kind as kinds
 from ..functions.once import computed_once
 from ..functions.rewrite import rewrite
 from ..functions.text import base_name, safe_name
-from ..schema import HEAD_BYTES, MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES
-from ..sources.archive import list_members, read_member
+from ..schema import MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES
+from ..sources.archive import read_archive
 
 # Content types of stored documents.
 HTML_TYPE = "text/html; charset=UTF-8"
@@ -56,43 +56,22 @@ def decode_document(docs: DataFrame, data: str = "data", declared: str = "declar
     )
 
 
-def member_kinds(members: Column) -> Column:
-    """Members with their kind in place of their head."""
-    return F.transform(
-        members,
-        lambda m: F.struct(
-            kinds.kind_rank(kinds.sniff_kind(m["head"])).alias("rank"),
-            (-m["size"]).alias("neg_size"),
-            m["idx"].alias("idx"),
-            m["name"].alias("name"),
-        ),
-    )
-
-
-def best_member(ranked: Column) -> Column:
-    """HTML before XML before other, larger first, then archive order."""
-    return F.array_min(ranked)
-
-
 def with_archive(
     payloads: DataFrame,
     content: str = "content",
     max_files: int = MAX_ARCHIVE_FILES,
     max_bytes: int = MAX_ARCHIVE_BYTES,
 ) -> DataFrame:
-    """Add ``is_zip``, ``archive`` and ``best``, the member to keep.
+    """Add ``is_zip`` and ``archive``, whose ``best`` is the member to keep.
 
-    Only archives are handed to Python.
+    Only archives are handed to Python, once.
     """
     zipped = F.coalesce(kinds.is_zip(F.col(content)), F.lit(False))
-    scanned = payloads.withColumn("is_zip", zipped).withColumn(
-        "archive", list_members(F.when(F.col("is_zip"), F.col(content)), max_files, max_bytes)
-    )
+    scanned = payloads.withColumn("is_zip", zipped)
     return computed_once(
         scanned,
-        [*payloads.columns, "is_zip"],
-        archive=F.col("archive").dropFields("members"),
-        best=best_member(member_kinds(F.col("archive.members"))),
+        scanned.columns,
+        archive=read_archive(F.when(F.col("is_zip"), F.col(content)), max_files, max_bytes),
     )
 
 
@@ -116,16 +95,13 @@ def normalise(
     kept = F.col("archive.failure").isNotNull()
     picked = (
         with_archive(payloads, content, max_files, max_bytes)
-        .withColumn("_member", read_member(F.when(F.col("best").isNotNull(), F.col(content)), F.col("best.idx")))
-        .withColumn("data", F.when(F.col("best").isNotNull(), F.col("_member")).otherwise(F.col(content)))
+        .withColumn("data", F.when(F.col("archive.best").isNotNull(), F.col("archive.best.data")).otherwise(F.col(content)))
         .withColumn(
             "kind",
-            F.when(~F.col("is_zip"), kinds.sniff_kind(F.col(content)))
-            .when(F.col("best").isNotNull(), F.element_at(F.array(*[F.lit(k) for k in kinds.KIND_ORDER]), F.col("best.rank").cast("int")))
-            .otherwise("bin"),
+            F.when(~F.col("is_zip"), kinds.sniff_kind(F.col(content))).otherwise(F.coalesce("archive.best.kind", F.lit("bin"))),
         )
-        .withColumn("_head", F.when(F.col("kind") != "bin", kinds.byte_text(F.col("data"), HEAD_BYTES)))
-        .withColumn("declared", charset.declared_charset(F.col("_head"), F.col("kind")))
+        .withColumn("_seen", F.when(F.col("kind") != "bin", kinds.byte_text(F.col("data"))))
+        .withColumn("declared", charset.declared_charset(F.col("_seen"), F.col("kind")))
         .withColumn("error", F.coalesce("archive.fatal", charset.unknown_charset(F.col("declared"))))
         .withColumn("_readable", F.when((F.col("kind") != "bin") & F.col("error").isNull(), F.col("data")))
     )
@@ -141,7 +117,7 @@ def normalise(
         body=F.when(F.col("error").isNull(), whole),
         filename=F.concat(file_stem, extension),
         used_enc=F.col("used_enc"),
-        summary=document_summary(F.col("archive"), F.col("best.name"), kind, F.col("used_enc")),
+        summary=document_summary(F.col("archive"), F.col("archive.best.name"), kind, F.col("used_enc")),
         error=F.col("error"),
     )
 

@@ -77,16 +77,16 @@ def day_limits(pages: DataFrame) -> DataFrame:
     )
 
 
-def counted_pages(pages: DataFrame) -> DataFrame:
+def counted_pages(pages: DataFrame, limits: DataFrame | None = None) -> DataFrame:
     """The pages that count, whole.
 
-    The limits, one small row per date, are written to the shared folder.  Their
+    ``pages`` should be a table that is stored, as it is read twice.  The limits, one small row per date, are written to the shared folder.  Their
     size is known then: they are broadcast if small, so that no page is
     shuffled, and otherwise AQE splits a day with most of the pages.
     """
-    limits = written(day_limits(pages).select("date", "last_page"), "page-limits")
+    limits = written(day_limits(pages), "page-limits") if limits is None else limits
     return (
-        pages.join(limits, "date")
+        pages.join(limits.select("date", "last_page"), "date")
         .where((F.col("page_no") >= 1) & (F.col("page_no") <= F.col("last_page")))
         .drop("last_page")
     )

@@ -81,22 +81,33 @@ def upsert_payload(columns: DataFrame) -> Column:
     )
 
 
+# Fixed value: how much of an answer the log line shows.
+LOGGED_CHARS = 200
+
 # message fields a success reports as they came
 REPORTED = ["corp_code", "corp_name", "object_key"]
 
 
 def task_results(payloads: DataFrame) -> DataFrame:
-    """Result rows of the consumer: a bad date is an error and is not tried again.
+    """Result rows of the consumer, one table for what became of every message.
 
-    ``payloads`` are ``upsert_columns`` that keep the ``REPORTED`` fields.
+    ``payloads`` are ``upsert_columns`` that keep the ``REPORTED`` fields.  A bad
+    date is an error that is not tried again.  Where they have the columns ``code``
+    and ``response`` of the upsert, 4xx is the client's error, told whole; answers
+    that are tried again have no result yet and are left out.
     """
     bad = F.col("date_error")
-    return payloads.select(
+    answered = "code" in payloads.columns
+    code = F.col("code") if answered else F.lit(200)
+    refused = bad.isNull() & F.coalesce(code.between(400, 499), F.lit(False))
+    done = bad.isNull() & F.coalesce(code.between(200, 299), F.lit(False))
+    response = F.col("response") if answered else F.lit(None).cast("string")
+    return payloads.where(bad.isNotNull() | refused | done).select(
         "rcept_no",
-        F.when(bad.isNull(), "success").otherwise("error").alias("status"),
-        F.when(bad.isNotNull(), "unexpected_error").alias("error_type"),
-        bad.alias("error_message"),
-        *[F.when(bad.isNull(), F.col(name)).alias(name) for name in REPORTED],
+        F.when(done, "success").otherwise("error").alias("status"),
+        F.when(bad.isNotNull(), "unexpected_error").when(refused, "client_error").alias("error_type"),
+        F.when(refused, response).otherwise(bad).alias("error_message"),
+        *[F.when(done, F.col(name)).alias(name) for name in REPORTED],
     )
 
 
@@ -114,6 +125,7 @@ def route_responses(responses: DataFrame, max_retries: int = 3) -> DataFrame:
         "*",
         F.when(success, "success").when(client_error, "error").when(again, "retry").otherwise("exhausted").alias("status"),
         F.when(client_error, "client_error").alias("error_type"),
-        F.when(client_error, truncate(F.col("response"), 200)).alias("error_message"),
+        F.when(client_error, F.col("response")).alias("error_message"),
+        F.when(client_error, truncate(F.col("response"), LOGGED_CHARS)).alias("logged"),
         F.when(again, backoff_seconds(F.col("attempt_no") - 1)).alias("wait_s"),
     )

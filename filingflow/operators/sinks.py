@@ -1,10 +1,13 @@
-"""Batch writers.  Every batch owns a folder, so writing it again is harmless."""
+"""Batch writers.  Every batch owns its folders, so writing it again is harmless."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import guess_content_type
+from ..sources.store import date_key, write_dates
 from .publish import message_json, object_key
 
 
@@ -15,8 +18,8 @@ def with_content_type(documents: DataFrame) -> DataFrame:
     )
 
 
-def store_documents(documents: DataFrame, root: str, batch_id: int = 0) -> None:
-    """Write documents by outcome and filing date, under their object key.
+def store_documents(documents: DataFrame, root: str, batch_id: int = 0, dates: Iterable[str] = ()) -> None:
+    """Write documents by filing date and batch, under their object key.
 
     Failed filings lie beside the documents as rows without a body, so a poll
     writes every body once and reads its bookkeeping back from other columns.
@@ -32,11 +35,9 @@ def store_documents(documents: DataFrame, root: str, batch_id: int = 0) -> None:
         .withColumn("object_key", F.when(stored, object_key(F.col("rcept_dt"), F.col("filename"))))
         .withColumn("body", F.when(stored, F.col("body")))
         .withColumn("file_size", F.coalesce("file_size", F.octet_length("body").cast("bigint")))
+        .withColumn("date_key", date_key(F.col("rcept_dt")))
     )
-    (
-        rows.write.mode("overwrite").partitionBy("outcome", "rcept_dt")
-        .parquet(f"{root}/batch_id={batch_id}")
-    )
+    write_dates(rows, root, batch_id, dates)
 
 
 def publish(rows: DataFrame, root: str, batch_id: int = 0) -> None:
@@ -44,9 +45,6 @@ def publish(rows: DataFrame, root: str, batch_id: int = 0) -> None:
     message_json(rows).write.mode("overwrite").text(f"{root}/batch_id={batch_id}")
 
 
-def append_attempts(attempts: DataFrame, root: str, batch_id: int = 0) -> None:
-    """Add a batch to the attempt ledger, partitioned by filing date."""
-    (
-        attempts.withColumn("rcept_dt", F.col("filing.rcept_dt"))
-        .write.mode("overwrite").partitionBy("rcept_dt").parquet(f"{root}/batch_id={batch_id}")
-    )
+def append_attempts(attempts: DataFrame, root: str, batch_id: int = 0, dates: Iterable[str] = ()) -> None:
+    """Add a batch to the attempt ledger, by filing date."""
+    write_dates(attempts.withColumn("date_key", date_key(F.col("filing.rcept_dt"))), root, batch_id, dates)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Iterable
 
-from ..sources.store import read_table
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ..sources.store import read_dates, read_table, write_dates
 from .incremental import latest_per_key, without
 
 
@@ -14,31 +16,27 @@ def upsert(target: DataFrame, batch: DataFrame, order: list[str], keys: list[str
     return without(target, latest, keys).unionByName(latest)
 
 
-def write_batch(batch: DataFrame, root: str, batch_id: int, order: list[str]) -> None:
-    """Store one micro-batch's changes; running a batch again replaces its folder.
+def write_batch(batch: DataFrame, root: str, batch_id: int, order: list[str], dates: Iterable[str] = ()) -> None:
+    """Store one micro-batch's changes; running a batch again replaces its folders.
 
-    The table is partitioned by the date that starts every id.
+    The table is laid out by the date that starts every id.
     """
     latest = latest_per_key(batch, ["rcept_no"], order)
-    (
-        latest.withColumn("rcept_dt", F.left("rcept_no", F.lit(8)))
-        .write.mode("overwrite").partitionBy("rcept_dt").parquet(f"{root}/batch_id={batch_id}")
-    )
+    write_dates(latest.withColumn("date_key", id_date(F.col("rcept_no"))), root, batch_id, dates)
 
 
-def current(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """Present state of the table: the newest batch wins per id.
+def id_date(rcept_no: Column) -> Column:
+    return F.left(rcept_no, F.lit(8))
 
-    A condition on ``rcept_dt`` reads only the partitions of those dates.
-    """
-    rows = read_table(spark, root, schema + ", batch_id string, rcept_dt string")
+
+def current(spark: SparkSession, root: str, schema: str, dates: Iterable[str] | None = None) -> DataFrame:
+    """Present state of the table, or of the given dates: the newest batch wins per id."""
+    schema += ", date_key string, batch_id string"
+    rows = read_table(spark, root, schema) if dates is None else read_dates(spark, root, dates, schema)
     newest = rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return latest_per_key(newest, ["rcept_dt", "rcept_no"], ["batch_id"])
+    return latest_per_key(newest, ["date_key", "rcept_no"], ["batch_id"])
 
 
 def compact(spark: SparkSession, root: str, new_root: str, schema: str, batch_id: int) -> None:
     """Write the present state as one batch of a new table that replaces the old one."""
-    (
-        current(spark, root, schema).drop("batch_id")
-        .write.mode("overwrite").partitionBy("rcept_dt").parquet(f"{new_root}/batch_id={batch_id}")
-    )
+    write_dates(current(spark, root, schema).drop("batch_id"), new_root, batch_id)

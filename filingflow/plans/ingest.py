@@ -10,8 +10,8 @@ from ..operators.normalise import normalise
 from ..operators.paging import counted_pages
 from ..operators.parse import accepted, parse_items
 from ..operators.publish import object_key, size_gate
-from ..schema import FILING_FIELDS, MAX_FAIL, NO_DOCUMENT
-from ..session import written
+from ..schema import FILING_FIELDS, MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES, MAX_FAIL, MIN_BODY_BYTES, NO_DOCUMENT
+from ..session import if_small, written
 from ..sources.listing import page_fields, page_items
 from ..sources.payloads import with_download_error
 
@@ -42,14 +42,18 @@ def process_filings(
     payloads: DataFrame,
     keep_tail: bool = False,
     work_folder: str | None = None,
+    min_bytes: int = MIN_BODY_BYTES,
+    max_files: int = MAX_ARCHIVE_FILES,
+    max_bytes: int = MAX_ARCHIVE_BYTES,
 ) -> DataFrame:
     """Every filing not known yet with its outcome and, on success, its document.
 
     Everything before the payload is metadata only; it is written to the shared
     folder, since three branches read it.  The payload meets the filings in an
-    inner join, so Spark may broadcast the filings when they turn
-    out small and leave the payload where it is; filings without a payload come
-    from an anti-join that reads the payload's ids alone.
+    inner join.  Their number is known then: a poll's filings (100 per page file at
+    most) are broadcast and the payload stays where it is; only a longer list is left
+    to Spark.  Filings without a payload come from an anti-join that reads the
+    payload's ids alone.
     """
     todo = mark_stored(without(filings, known, ["rcept_no"]), stored)
     stem = safe_name(base_name(F.col("rcept_no"))).alias("stem")
@@ -62,10 +66,14 @@ def process_filings(
         without(fresh, payloads, ["rcept_no"]), "FAILED", "download", F.lit(NO_DOCUMENT)
     )
 
-    fetched = with_download_error(payloads.select("rcept_no", "content").join(fresh, "rcept_no"))
+    fetched = with_download_error(payloads.select("rcept_no", "content").join(if_small(fresh), "rcept_no"))
     refused, unreadable, too_small = (F.col(c).isNotNull() for c in ("download_error", "error", "skip_reason"))
     documents = size_gate(
-        normalise(fetched.withColumn("content", F.when(~refused, F.col("content"))), stem="stem", keep_tail=keep_tail)
+        normalise(
+            fetched.withColumn("content", F.when(~refused, F.col("content"))), stem="stem", keep_tail=keep_tail,
+            max_files=max_files, max_bytes=max_bytes,
+        ),
+        min_bytes,
     )
     done = (
         documents.withColumn(
@@ -126,10 +134,11 @@ def poll_counters() -> list[Column]:
 
 
 def outcome_report(processed: DataFrame) -> DataFrame:
-    """One row per filing without its body, for reports and checks."""
+    """One row per filing with a digest of its body, for reports and checks."""
     key = F.when(F.col("outcome") == "SUCCESS", object_key(F.col("rcept_dt"), F.col("filename")))
     return processed.select(
         "rcept_no", "outcome", "reason", key.alias("object_key"),
         F.when(F.col("outcome") == "SUCCESS", F.col("content_type")).alias("content_type"),
         "file_size", "used_enc",
+        F.when(F.col("outcome") == "SUCCESS", F.md5("body")).alias("body_md5"),
     )

@@ -27,7 +27,8 @@ pages_in AS (
   SELECT date, page_no,
          CASE mark WHEN 0 THEN '020' WHEN 1 THEN '013' WHEN 2 THEN '800' WHEN 3 THEN '010' ELSE '000' END AS status,
          CASE WHEN mark > 3 AND (day * 7 + page_no) % 19 <> 0 THEN n ELSE 0 END AS n_items,
-         n_pages - CASE WHEN day % 5 = 0 THEN 1 ELSE 0 END AS total_page,
+         CASE WHEN day = 27 THEN 'null' ELSE (n_pages - CASE WHEN day % 5 = 0 THEN 1 ELSE 0 END)::VARCHAR END AS said,
+         TRY_CAST(said AS BIGINT) AS total_page,
          n_total::BIGINT AS total_count
   FROM marked),
 ordered AS (
@@ -35,10 +36,11 @@ ordered AS (
          row_number() OVER (PARTITION BY date ORDER BY page_no) AS rn,
          sum(CASE WHEN status <> '000' OR (n_items = 0 AND page_no > 1) THEN 1 ELSE 0 END)
            OVER (PARTITION BY date ORDER BY page_no) AS bad,
-         max(CASE WHEN page_no = 1 AND status = '000' THEN total_page END) OVER (PARTITION BY date) AS tp
+         max(CASE WHEN page_no = 1 AND status = '000' THEN total_page END) OVER (PARTITION BY date) AS tp,
+         bool_or(page_no = 1 AND status = '000' AND said = 'null') OVER (PARTITION BY date) AS rejected
   FROM pages_in),
 counted AS (
-  SELECT * FROM ordered WHERE bad = 0 AND rn = page_no AND page_no <= greatest(coalesce(tp, 1), 1))"""
+  SELECT * FROM ordered WHERE bad = 0 AND NOT rejected AND rn = page_no AND page_no <= greatest(coalesce(tp, 1), 1))"""
 
 ATTEMPTS = """attempts AS (
   SELECT strftime(ts, '%Y%m%d') || lpad(user_id::VARCHAR, greatest(6, length(user_id::VARCHAR))::INT, '0') AS rcept_no,
@@ -92,7 +94,7 @@ tidy AS (
            ELSE left(rcept_dt, 4) || '-' || substr(rcept_dt, 5, 2) || '-' || substr(rcept_dt, 7, 2) || 'T00:00:00Z'
          END AS iso,
          CASE WHEN file_size % 7 = 1
-              THEN 'time data ''' || left(rcept_dt, 4) || '1332'' does not match format ''yyyyMMdd''' END AS date_error
+              THEN 'unconverted data remains: 32' END AS date_error
   FROM messages)"""
 
 HEALTH = """last AS (
@@ -179,7 +181,7 @@ SELECT rcept_dt, count(*) AS n, CAST(ceil(count(*) / 100.0) AS INT) AS pages_of_
 FROM filings WHERE corp_cls = 'K' GROUP BY rcept_dt""",
     "page_prefix": f"""
 WITH {PAGES}
-SELECT date, page_no, n_items::INT AS n_items, total_page::VARCHAR AS total_page_text FROM counted""",
+SELECT date, page_no, n_items::INT AS n_items, said AS total_page_text FROM counted""",
     "page_routing": f"""
 WITH {PAGES}
 SELECT status,
@@ -221,7 +223,7 @@ FROM filings LEFT JOIN documents ON k = doc_id""",
     "error_answers": f"""
 SELECT CASE WHEN doc_id % 16 = 0 THEN 'DART API Error [010]: none'
             WHEN doc_id % 8 = 0 THEN {NO_DOCUMENT} END AS download_error, count(*) AS n
-FROM documents JOIN orders ON doc_id = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
+FROM documents GROUP BY 1""",
     "doc_error_routing": """
 WITH a AS (
   SELECT event_id,
@@ -247,16 +249,18 @@ SELECT rcept_no, report_nm AS "reportName", corp_code AS "corpCode", corp_name A
          || '","contentType":"' || content_type || '","fileSize":' || file_size || '}}' AS body
 FROM tidy""",
     "task_results": f"""
-WITH {UNTIDY}
-SELECT rcept_no, CASE WHEN date_error IS NULL THEN 'success' ELSE 'error' END AS status,
-       CASE WHEN date_error IS NOT NULL THEN 'unexpected_error' END AS error_type, date_error AS error_message,
-       CASE WHEN date_error IS NULL THEN corp_code END AS corp_code,
-       CASE WHEN date_error IS NULL THEN chr(9) || ' ' || corp_name || chr(12288) END AS corp_name,
-       CASE WHEN date_error IS NULL THEN object_key END AS object_key
-FROM tidy""",
+WITH {UNTIDY},
+answered AS (SELECT *, date_error IS NULL AND file_size % 5 = 0 AS refused, date_error IS NULL AND file_size % 5 > 1 AS done FROM tidy)
+SELECT rcept_no, CASE WHEN done THEN 'success' ELSE 'error' END AS status,
+       CASE WHEN date_error IS NOT NULL THEN 'unexpected_error' WHEN refused THEN 'client_error' END AS error_type,
+       CASE WHEN refused THEN repeat('no ' || rcept_no || '; ', 20) ELSE date_error END AS error_message,
+       CASE WHEN done THEN corp_code END AS corp_code,
+       CASE WHEN done THEN chr(9) || ' ' || corp_name || chr(12288) END AS corp_name,
+       CASE WHEN done THEN object_key END AS object_key
+FROM answered WHERE date_error IS NOT NULL OR refused OR done""",
     "reception_dates": f"""
 WITH {UNTIDY}
-SELECT iso AS reception_date, date_error IS NOT NULL AS refused, count(*) AS n FROM tidy GROUP BY ALL""",
+SELECT iso AS reception_date, date_error AS refused, count(*) AS n FROM tidy GROUP BY ALL""",
     "object_store_write": f"""
 WITH {WRAPPED},
 done AS (
@@ -271,12 +275,13 @@ SELECT rcept_no, rcept_dt,
 FROM done WHERE strlen(out) >= 200""",
     "response_routing": """
 WITH r AS (
-  SELECT event_id, event_type, event_id % 4 + 1 AS attempt_no, left(repeat(props, 30), 200) AS response FROM events)
+  SELECT event_id, event_type, event_id % 4 + 1 AS attempt_no, repeat(props, 30) AS response FROM events)
 SELECT event_id,
        CASE WHEN event_type IN ('purchase', 'signup') THEN 'success' WHEN event_type = 'view' THEN 'error'
             WHEN attempt_no < 3 THEN 'retry' ELSE 'exhausted' END AS status,
        CASE WHEN event_type = 'view' THEN 'client_error' END AS error_type,
        CASE WHEN event_type = 'view' THEN response END AS error_message,
+       CASE WHEN event_type = 'view' THEN left(response, 200) END AS logged,
        CASE WHEN event_type NOT IN ('purchase', 'signup', 'view') AND attempt_no < 3
             THEN pow(2, attempt_no - 1) * 0.5 END::DOUBLE AS wait_s
 FROM r""",
@@ -328,18 +333,23 @@ QUALIFY row_number() OVER (PARTITION BY rcept_no ORDER BY attempt_ts DESC, seq D
     "outcome_counts": f"WITH {LEDGER} SELECT outcome, count(*) AS n FROM ledger GROUP BY 1",
     "sniff_kind": """
 WITH shaped AS (
-  SELECT doc_id, text, doc_id % 8 AS k,
-         CASE doc_id % 8 WHEN 1 THEN '<html>' WHEN 2 THEN ' <!doctype' || chr(10) || 'HTML>'
+  SELECT doc_id, doc_id % 12 AS k,
+         CASE doc_id % 12 WHEN 1 THEN '<html>' WHEN 2 THEN ' <!doctype' || chr(10) || 'HTML>'
            WHEN 3 THEN '<?xml version="1.0"?><r>' WHEN 4 THEN chr(10) || '<r><p>' WHEN 5 THEN '<r><div>'
-           WHEN 7 THEN chr(65279) || '<?xml version=''1.0''?><r/>' ELSE '' END || text AS head
-  FROM documents)
+           WHEN 7 THEN chr(65279) || '<?xml version=''1.0''?><r/>' WHEN 8 THEN '<div>a</div>' WHEN 9 THEN '<div>'
+           WHEN 10 THEN '<div>' ELSE '' END AS head,
+         CASE doc_id % 12 WHEN 6 THEN '<HEAD>' WHEN 9 THEN '</div><div>b</div>'
+           WHEN 11 THEN '<meta name=x charset=utf-8>' ELSE '' END AS tail,
+         CASE WHEN doc_id % 12 = 10 THEN '' ELSE text END AS body
+  FROM documents),
+whole AS (SELECT doc_id, k, head, body, head || body || tail AS data FROM shaped)
 SELECT 'document ' || doc_id AS id,
-       CASE WHEN k = 6 THEN CASE WHEN strlen(text) <= 65530 THEN 'html' ELSE 'bin' END
-            WHEN regexp_matches(head, '(?is)<html[^>]*>|<!doctype\\s+html|<head[^>]*>') THEN 'html'
-            WHEN regexp_matches(head, '^\\x{FEFF}?\\s*<\\?xml') THEN 'xml'
-            WHEN regexp_matches(head, '^\\s*<') AND NOT regexp_matches(head, '(?i)<div') THEN 'xml'
+       CASE WHEN regexp_matches(data, '(?is)<html[^>]*>|<!doctype\\s+html|<head[^>]*>|<meta[^>]*charset\\s*=') THEN 'html'
+            WHEN regexp_matches(data, '^\\x{FEFF}?\\s*<\\?xml') THEN 'xml'
+            WHEN k = 10 OR (k = 8 AND trim(body, ' ' || chr(9) || chr(10) || chr(13)) = '') THEN 'xml'
+            WHEN regexp_matches(data, '^\\s*<') AND NOT regexp_matches(data, '(?i)<div') THEN 'xml'
             ELSE 'bin' END AS kind
-FROM shaped
+FROM whole
 UNION ALL
 SELECT 'page ' || page_id, CASE WHEN regexp_matches(html, '(?is)<html[^>]*>') THEN 'html' ELSE 'bin' END FROM pages""",
     "declared_encoding": f"""
@@ -417,8 +427,8 @@ SELECT doc_id,
        CASE WHEN n_files > 200 THEN 'ZIP(failed: Too many files in ZIP: ' || n_files || ' (max: 200))'
             ELSE 'ZIP(' || n_files || ' files) -> ''part_' || j || ''' (' || kind || ')'
                  || CASE WHEN rank < 3 THEN ' [enc: utf-8-sig]' ELSE '' END END AS summary,
-       CASE WHEN rank < 3 AND n_files <= 200 THEN strlen(body) END::INT AS n_bytes,
-       CASE WHEN rank < 3 AND n_files <= 200 THEN md5(body) END AS body_md5
+       CASE WHEN n_files <= 200 THEN strlen(body) END::INT AS n_bytes,
+       CASE WHEN n_files <= 200 THEN md5(body) END AS body_md5
 FROM normal""",
     "archive_guard": f"""
 WITH {ARCHIVES}
@@ -474,6 +484,7 @@ todo AS (
          CASE WHEN n_files > 200 THEN 'application/octet-stream' ELSE n.content_type END AS content_type,
          CASE WHEN n_files <= 200 THEN n.used_enc END AS used_enc,
          CASE WHEN n_files <= 200 THEN strlen(n.body) END AS size,
+         CASE WHEN n_files <= 200 THEN md5(n.body) END AS digest,
          CASE WHEN f.rm = 'F' THEN 'exists' WHEN f.k % 16 = 0 AND n.doc_id IS NOT NULL THEN 'critical'
               WHEN f.k % 8 = 0 OR n.doc_id IS NULL THEN 'missing'
               WHEN strlen(n.body) < 200 THEN 'small' ELSE 'stored' END AS fate
@@ -489,6 +500,36 @@ SELECT rcept_no,
        CASE WHEN fate = 'stored' THEN rcept_dt || '/' || rcept_no || ext END AS object_key,
        CASE WHEN fate = 'stored' THEN content_type END AS content_type,
        CASE WHEN fate IN ('small', 'stored') THEN size END AS file_size,
-       CASE WHEN fate IN ('small', 'stored') THEN used_enc END AS used_enc
+       CASE WHEN fate IN ('small', 'stored') THEN used_enc END AS used_enc,
+       CASE WHEN fate = 'stored' THEN digest END AS body_md5
 FROM todo""",
+    "poll_twice": f"""
+WITH {PAGES.replace("'%Y%m%d'", "'%Y%m01'")}, {ARCHIVES},
+fates AS (
+  SELECT f.rcept_no,
+         CASE WHEN f.k % 16 = 0 AND n.doc_id IS NOT NULL THEN 'critical' WHEN f.k % 8 = 0 OR n.doc_id IS NULL THEN 'missing'
+              WHEN n_files <= 200 AND strlen(n.body) < 200 THEN 'small' ELSE 'stored' END AS fate,
+         strlen(n.body) AS size
+  FROM filings f
+  JOIN counted c ON c.date = f.rcept_dt AND c.page_no = f.k // 10000 + 1 AND c.n_items > 0
+  LEFT JOIN normal n ON n.doc_id = f.k),
+tries AS (SELECT * FROM fates, range(2) AS b(batch_id) WHERE b.batch_id = 0 OR fate IN ('critical', 'missing'))
+SELECT rcept_no, batch_id::INT AS batch_id, 1::BIGINT AS seq,
+       CASE fate WHEN 'small' THEN 'SKIPPED_TOO_SMALL' WHEN 'stored' THEN 'SUCCESS' ELSE 'FAILED' END AS outcome,
+       CASE fate WHEN 'small' THEN 'size' WHEN 'stored' THEN 'store' ELSE 'download' END AS stage,
+       CASE fate WHEN 'critical' THEN 'DART API Error [010]: none' WHEN 'missing' THEN {NO_DOCUMENT}
+                 WHEN 'small' THEN 'Processed file too small (' || size || ' bytes).' END AS reason,
+       CASE fate WHEN 'small' THEN 'SKIP' WHEN 'stored' THEN 'OK' END AS term,
+       CASE WHEN fate IN ('small', 'stored') THEN 0 ELSE 2 END::BIGINT AS fails
+FROM tries""",
+    "consume_messages": f"""
+WITH {MESSAGES.replace("'%Y%m%d'", "'%Y%m01'")}
+SELECT rcept_no, 'success' AS status, NULL::VARCHAR AS error_type, NULL::VARCHAR AS error_message, corp_code,
+       '{{"reportName":"' || report_nm || '","corpCode":"' || corp_code || '","corpName":"' || corp_name
+         || '","corpCls":"' || corp_cls || '","flrName":' || coalesce('"' || flr_nm || '"', 'null')
+         || ',"receptionDate":"' || left(rcept_dt, 4) || '-' || substr(rcept_dt, 5, 2) || '-01T00:00:00Z"'
+         || coalesce(',"stockCode":"' || stock_code || '"', '') || coalesce(',"remark":"' || rm || '"', '')
+         || ',"minioObjectName":"' || object_key || '","contentType":"' || content_type || '","fileSize":' || file_size
+         || '}}' AS body
+FROM messages""",
 }

@@ -15,9 +15,9 @@ from ..operators import (
     health, incremental, ledger, normalise as content, paging, parse, publish, retry, sinks, upsert as upserts,
 )
 from ..schema import FILING_FIELDS, MAX_FAIL, MESSAGE_FIELDS, MESSAGE_SCHEMA
-from ..session import configure, fresh_dir
+from ..session import configure, fresh_dir, written
 from ..sources import listing, messages as message_source, payloads as payload_source, store
-from ..streaming import incremental as stateful
+from ..streaming import consume, incremental as stateful, poll
 from . import ingest, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,11 +64,15 @@ def scan_predicates(spark, sf):
     )
 
 
+def _stored_pages(spark, sf) -> DataFrame:
+    """The pages taken apart, written once without their items: limits and counts read them again."""
+    return written(listing.page_fields(views.pages(spark, sf)).drop("page", "items"), "page-fields")
+
+
 @query
 def page_prefix(spark, sf):
     """Pages that count, with their items."""
-    pages = listing.page_fields(views.pages(spark, sf))
-    return paging.counted_pages(pages).select("date", "page_no", "n_items", "total_page_text")
+    return paging.counted_pages(_stored_pages(spark, sf)).select("date", "page_no", "n_items", "total_page_text")
 
 
 @query
@@ -84,9 +88,9 @@ def page_routing(spark, sf):
 @query
 def day_totals(spark, sf):
     """Declared against counted totals per day."""
-    pages = listing.page_fields(views.pages(spark, sf))
-    limits = paging.day_limits(pages)
-    seen = paging.counted_pages(pages).groupBy("date").agg(
+    pages = _stored_pages(spark, sf)
+    limits = written(paging.day_limits(pages), "page-limits")
+    seen = paging.counted_pages(pages, limits).groupBy("date").agg(
         F.count("*").alias("pages_seen"), F.sum("n_items").cast("bigint").alias("items_seen")
     )
     return limits.join(seen, "date", "left").select(
@@ -199,8 +203,11 @@ def upsert_payload(spark, sf):
 @query
 def task_results(spark, sf):
     """Result of every consumer task."""
-    columns = publish.upsert_columns(views.untidy_messages(spark, sf), keep=publish.REPORTED)
-    return publish.task_results(columns)
+    code = F.when(F.col("file_size") % 5 == 0, 422).when(F.col("file_size") % 5 == 1, 503).otherwise(201)
+    answered = views.untidy_messages(spark, sf).withColumn("code", code).withColumn(
+        "response", F.repeat(F.concat(F.lit("no "), "rcept_no", F.lit("; ")), F.lit(20))
+    )
+    return publish.task_results(publish.upsert_columns(answered, keep=[*publish.REPORTED, "code", "response"]))
 
 
 @query
@@ -208,7 +215,7 @@ def reception_dates(spark, sf):
     rows = views.untidy_messages(spark, sf)
     day = F.col("rcept_dt")
     return rows.groupBy(
-        text.reception_date(day).alias("reception_date"), text.reception_date_error(day).isNotNull().alias("refused")
+        text.reception_date(day).alias("reception_date"), text.reception_date_error(day).alias("refused")
     ).agg(F.count("*").alias("n"))
 
 
@@ -246,7 +253,7 @@ def publish_roundtrip(spark, sf):
 def response_routing(spark, sf):
     """What follows from every upsert response."""
     routed = publish.route_responses(views.responses(spark, sf))
-    return routed.select("event_id", "status", "error_type", "error_message", "wait_s")
+    return routed.select("event_id", "status", "error_type", "error_message", "logged", "wait_s")
 
 
 @query
@@ -352,8 +359,12 @@ def outcome_counts(spark, sf):
 # --- content ---------------------------------------------------------------
 
 def _marked_documents(spark, sf) -> DataFrame:
-    """Documents in every shape the kind test tells apart, by id modulo 8."""
-    k, body = F.col("doc_id") % 8, F.col("text")
+    """Documents in every shape the kind test tells apart, by id modulo 12.
+
+    From 8 on: text after the root, a second root, a long document, and a marker far behind.
+    """
+    k, body = F.col("doc_id") % 12, F.col("text")
+    long = F.repeat(F.lit("<p>x</p>"), F.lit(20_000))
     mark = F.lit("\uFEFF")
     shaped = (
         F.when(k == 1, F.concat(F.lit("<html>"), body))
@@ -363,6 +374,10 @@ def _marked_documents(spark, sf) -> DataFrame:
         .when(k == 5, F.concat(F.lit("<r><div>"), body, F.lit("</div></r")))
         .when(k == 6, F.concat(body, F.lit("<HEAD>")))
         .when(k == 7, F.concat(mark, F.lit("<?xml version='1.0'?><r/>"), body))
+        .when(k == 8, F.concat(F.lit("<div>a</div>"), body))
+        .when(k == 9, F.concat(F.lit("<div>"), body, F.lit("</div><div>b</div>")))
+        .when(k == 10, F.concat(F.lit("<div>"), long, F.lit("</div>")))
+        .when(k == 11, F.concat(body, F.repeat(F.lit("far "), F.lit(40_000)), F.lit("<meta name=x charset=utf-8>")))
         .otherwise(body)
     )
     return views.table(spark, sf, "documents").select("doc_id", shaped.cast("binary").alias("data"))
@@ -399,8 +414,8 @@ def _declaring_pages(spark, sf) -> DataFrame:
 
 @query
 def declared_encoding(spark, sf):
-    head = kinds.byte_text(F.col("text").cast("binary"), 65536)
-    pages = _declaring_pages(spark, sf).withColumn("head", head)
+    whole = kinds.byte_text(F.col("text").cast("binary"))
+    pages = _declaring_pages(spark, sf).withColumn("head", whole)
     name = charset.declared_charset(F.col("head"), F.col("kind"))
     return pages.select("page_id", name.alias("declared"), charset.java_charset(name).alias("charset"))
 
@@ -472,16 +487,17 @@ def archive_best(spark, sf):
     return docs.select(
         "doc_id", "content_type", "filename", "used_enc", "summary",
         F.octet_length("body").alias("n_bytes"), F.md5("body").alias("body_md5"),
-    ).withColumn("n_bytes", F.when(F.col("content_type") != content.OTHER_TYPE, F.col("n_bytes"))).withColumn(
-        "body_md5", F.when(F.col("content_type") != content.OTHER_TYPE, F.col("body_md5"))
-    )
+    ).withColumns({
+        # the bytes of an archive kept whole depend on the compressor, so SQL cannot tell them
+        c: F.when(~F.col("filename").endswith(".zip"), F.col(c)) for c in ("n_bytes", "body_md5")
+    })
 
 
 @query
 def archive_guard(spark, sf):
     """Archives against limits of 20 files and 5,000 bytes."""
     scanned = content.with_archive(views.archives(spark, sf), max_files=20, max_bytes=5000)
-    return scanned.select("doc_id", "archive.n_files", "archive.total_bytes", "archive.failure", F.col("best.name").alias("best"))
+    return scanned.select("doc_id", "archive.n_files", "archive.total_bytes", "archive.failure", F.col("archive.best.name").alias("best"))
 
 
 @query
@@ -554,16 +570,21 @@ def _run_in_parts(spark, log: DataFrame, n_parts: int, part, start) -> None:
 
 @query
 def stream_dedup(spark, sf):
-    """Each filing once, over a stream."""
-    out = fresh_dir(spark, "seen")
-    log = views.attempts(spark, sf).select("rcept_no", F.col("attempt_ts").cast("timestamp").alias("at"), "seq")
+    """Each filing once, over a stream whose second part is older than any watermark of the first."""
+    root = fresh_dir(spark, "seen")
+    log = views.attempts(spark, sf).select("rcept_no", "attempt_ts")
 
-    def start(stream: DataFrame):
-        first = stateful.first_seen(stream, "at", "60 days").select("rcept_no")
-        return first.writeStream.format("parquet").option("path", out)
+    def note(batch: DataFrame, batch_id: int) -> None:
+        stateful.note_first_seen(batch, batch_id, root, ["rcept_no"], F.left("rcept_no", F.lit(8)))
 
-    _run_in_parts(spark, log, 2, F.col("seq") % 2, start)
-    return spark.read.schema("rcept_no string").parquet(out)
+    late = F.when(F.dayofmonth("attempt_ts") > 15, 0).otherwise(1)
+    _run_in_parts(spark, log, 2, late, lambda stream: stream.writeStream.foreachBatch(note))
+    return store.read_table(spark, root, "rcept_no string, date_key string, batch_id string").select("rcept_no")
+
+
+def _days(batch: DataFrame) -> list[str]:
+    """The dates a batch touches; nothing else of a table is read."""
+    return [r[0] for r in batch.select(upserts.id_date(F.col("rcept_no"))).distinct().collect()]
 
 
 @query
@@ -575,10 +596,11 @@ def stream_upsert(spark, sf):
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         # attempts arrive out of order here, so the row in the table competes too
-        table = upserts.current(spark, root, schema)
+        days = _days(batch)
+        table = upserts.current(spark, root, schema, days).where(F.col("batch_id") < batch_id)
         ids = batch.select("rcept_no").distinct()
         touched = table.join(ids, "rcept_no", "left_semi").select(*batch.columns)
-        upserts.write_batch(batch.unionByName(touched), root, batch_id, ["attempt_ts", "seq"])
+        upserts.write_batch(batch.unionByName(touched), root, batch_id, ["attempt_ts", "seq"], days)
 
     _run_in_parts(spark, log, 2, F.col("seq") % 2, lambda stream: stream.writeStream.foreachBatch(merge))
     return upserts.current(spark, root, schema).select("rcept_no", "seq", "event_type")
@@ -592,8 +614,9 @@ def stream_retry(spark, sf):
     schema = "rcept_no string, term string, fails bigint"
 
     def advance(batch: DataFrame, batch_id: int) -> None:
-        before = upserts.current(spark, root, schema).where(F.col("batch_id") < batch_id)
-        upserts.write_batch(stateful.advance_state(before, batch), root, batch_id, ["fails"])
+        days = _days(batch)
+        before = upserts.current(spark, root, schema, days).where(F.col("batch_id") < batch_id)
+        upserts.write_batch(stateful.advance_state(before, batch), root, batch_id, ["fails"], days)
 
     part = F.floor(F.hour("attempt_ts") / 8)
     _run_in_parts(spark, log, 3, part, lambda stream: stream.writeStream.foreachBatch(advance))
@@ -611,4 +634,35 @@ def filing_ingest(spark, sf):
     )
     # the size of an archive kept whole depends on the compressor, so SQL cannot tell it
     size = F.when(~F.coalesce(F.col("object_key").endswith(".zip"), F.lit(False)), F.col("file_size"))
-    return ingest.outcome_report(processed).withColumn("file_size", size)
+    report = ingest.outcome_report(processed)
+    return report.withColumns({"file_size": size, "body_md5": F.when(size.isNotNull(), F.col("body_md5"))})
+
+
+@query
+def poll_twice(spark, sf):
+    """The job itself: pages land, are polled twice, and the second poll is run again; ledger and state come out."""
+    folders = poll.Folders(fresh_dir(spark, "poll"))
+    pages = views.pages(spark, sf, views.MONTH).select("date", "page_no", F.to_json("page").alias("value"))
+    pages.write.partitionBy("date", "page_no").text(folders.pages)
+    payloads = written(views.payloads(spark, sf, views.MONTH), "payloads")
+    dates = spark.read.schema("value string, date string, page_no int").text(folders.pages).select("date")
+    for batch_id in (0, 1, 1):
+        poll.run_batch(dates, batch_id, folders, payloads=payloads)
+    attempts = poll.ledger(spark, folders)
+    state = poll.state_of(attempts)
+    return attempts.join(state, "rcept_no").select(
+        "rcept_no", F.col("batch_id").cast("int").alias("batch_id"), "seq", "outcome", "stage", "reason", "term", "fails"
+    )
+
+
+@query
+def consume_messages(spark, sf):
+    """Published messages through the consumer's stream; the upsert table and the results come out."""
+    root = fresh_dir(spark, "consume")
+    sinks.publish(views.messages(spark, sf, views.MONTH).repartition(8, "rcept_no"), f"{root}/messages")
+    consume.start_consume(
+        spark, f"{root}/messages", f"{root}/table", f"{root}/results", f"{root}/checkpoint", interval=None, max_files=4
+    ).awaitTermination()
+    schema = "rcept_no string, status string, error_type string, error_message string, corp_code string, batch_id string"
+    results = store.read_table(spark, f"{root}/results", schema).drop("batch_id")
+    return results.join(consume.upserted(spark, f"{root}/table").select("rcept_no", "body"), "rcept_no", "left")

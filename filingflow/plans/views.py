@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
 from ..operators import publish
-from ..session import spread
+from ..session import written
 
-BOM = "\uFEFF"
+DAY, MONTH = "yyyyMMdd", "yyyyMM'01'"
 
 
 SCHEMAS = {
@@ -27,13 +27,8 @@ SCHEMAS = {
     "pages": "page_id bigint, url string, html string",
 }
 
-# tables whose rows are costly to work on, with their key
-_COSTLY = {"documents": "doc_id", "pages": "page_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    rows = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows, _COSTLY[name]) if name in _COSTLY else rows
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _padded(number: Column, width: int) -> Column:
@@ -42,16 +37,14 @@ def _padded(number: Column, width: int) -> Column:
     return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
-def filings(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+def filings(spark: SparkSession, sf_dir: str, day: str = DAY) -> DataFrame:
     """Listing fields as strings, one row per order, plus the order key ``k``.
 
-    ``costly`` announces JSON work on every row.
+    ``day`` is the pattern of the filing date; ``MONTH`` files all at a month's first day.
     """
     orders = table(spark, sf_dir, "orders")
-    if costly:
-        orders = spread(orders, "o_orderkey")
     customer = table(spark, sf_dir, "customer")
-    rcept_dt = F.date_format("o_orderdate", "yyyyMMdd")
+    rcept_dt = F.date_format("o_orderdate", day)
     segment = F.col("c_mktsegment")
     return orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select(
         F.col("o_orderkey").alias("k"),
@@ -93,17 +86,17 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = LISTED.index("corp_name")
     pairs[at] = F.when(k % 7 != 0, pairs[at])  # concat_ws leaves a NULL out
     text = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
-    return filings(spark, sf_dir, costly=True).select("k", F.parse_json(text).alias("item"))
+    return filings(spark, sf_dir).select("k", F.parse_json(text).alias("item"))
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pages(spark: SparkSession, sf_dir: str, day_pattern: str = DAY) -> DataFrame:
     """Landed listing pages: a page holds a day's filings from a range of 10,000 keys.
 
     Statuses, empty pages and wrong totals are set by day and page number.
     """
     day = F.day(F.to_date("date", "yyyyMMdd"))
     mark = (day * 31 + F.col("page_no")) % 17
-    listed = filings(spark, sf_dir, costly=True).select(
+    listed = filings(spark, sf_dir, day_pattern).select(
         F.col("rcept_dt").alias("date"),
         (F.floor(F.col("k") / 10000) + 1).cast("int").alias("page_no"),
         "k",
@@ -119,12 +112,14 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", F.transform("listed", lambda x: x["item"])),
     ).otherwise("")
     declared = F.col("n_pages") - (day % 5 == 0).cast("int")
-    total_page = F.when(day % 2 == 0, F.concat(F.lit('"'), declared, F.lit('"'))).otherwise(declared.cast("string"))
+    total_page = (
+        F.when(day == 27, "null").when(day % 2 == 0, F.concat(F.lit('"'), declared, F.lit('"'))).otherwise(declared.cast("string"))
+    )
     body = F.concat(
         F.lit('{"status":"'), status, F.lit('","total_page":'), total_page,
         F.lit(',"total_count":'), F.col("n_items"), F.lit(',"list":['), entries, F.lit("]}"),
     )
-    return paged.join(totals, "date").select("date", "page_no", F.parse_json(body).alias("page"))
+    return paged.join(written(totals, "day-totals"), "date").select("date", "page_no", F.parse_json(body).alias("page"))
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,9 +189,12 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Downloads for the filings whose key is a document id; every eighth is an error answer."""
-    ids = filings(spark, sf_dir, costly=True).select("k", "rcept_no")
+def payloads(spark: SparkSession, sf_dir: str, day: str = DAY) -> DataFrame:
+    """A download for every document; every eighth is an error answer.
+
+    The filing is the one whose key is the document's id, if there is one.
+    """
+    ids = filings(spark, sf_dir, day).select("k", "rcept_no")
     zipped = archives(spark, sf_dir)
     answer = F.concat(
         F.lit("<?xml version='1.0'?><result><status>"),
@@ -204,14 +202,15 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</status><message>none</message></result>"),
     )
     content = F.when(F.col("doc_id") % 8 == 0, answer.cast("binary")).otherwise(F.col("content"))
-    return zipped.join(ids, zipped["doc_id"] == ids["k"]).select("rcept_no", content.alias("content"))
+    rcept_no = F.coalesce("rcept_no", F.concat(F.lit("00000000"), _padded(F.col("doc_id"), 6)))
+    return zipped.join(ids, zipped["doc_id"] == ids["k"], "left").select(rcept_no.alias("rcept_no"), content.alias("content"))
 
 
-def messages(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, day: str = DAY) -> DataFrame:
     """Published messages for all filings."""
     k = F.col("k")
     kind = k % 3
-    documents = filings(spark, sf_dir, costly).select(
+    documents = filings(spark, sf_dir, day).select(
         "*",
         F.when(kind == 0, "text/html; charset=UTF-8").when(kind == 1, "application/xml; charset=UTF-8")
         .otherwise("application/octet-stream").alias("content_type"),
@@ -232,7 +231,7 @@ def untidy_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key == 0, dashed).when(key == 1, F.concat(F.left(day, F.lit(4)), F.lit("1332")))
         .when(key == 2, "  ").when(key == 3, "29 Dec").when(key == 4, F.concat(F.lit(" "), day, F.lit("\t"))).otherwise(day)
     )
-    return messages(spark, sf_dir, costly=True).select(
+    return messages(spark, sf_dir).select(
         "rcept_no",
         F.concat(F.lit("\t "), F.col("corp_name"), F.lit("\u3000")).alias("corp_name"),
         F.when(F.col("stock_code").isNull(), " ").otherwise(F.col("stock_code")).alias("stock_code"),

@@ -22,7 +22,6 @@ VIEWER_URL = "https://dart.fss.or.kr/dsaf001/main.do?rcpNo="
 MAX_PAGE_SIZE = 100
 MAX_FAIL = 3
 MIN_BODY_BYTES = 200
-HEAD_BYTES = 65536
 MAX_ARCHIVE_FILES = 200
 MAX_ARCHIVE_BYTES = 200 * 1024 * 1024
 ZIP_SIGNATURE = "504B0304"

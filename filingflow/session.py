@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SETTINGS = {
     # Java charset names and replace-on-error decoding: ``decode_document`` turns
@@ -18,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # date=20240101 must stay the string it is in every other table
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # archives reach Python some at a time
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 
@@ -28,24 +28,59 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="filingflow-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as named by ``spark.checkpoint.dir``."""
+    """The folder all executors see: ``spark.checkpoint.dir``.
+
+    Where that is unset, in tests and on one machine, it is set to a folder below
+    the warehouse, which the session's own configuration names.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir()
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return named
+
+
+#: Folders made by this process and not removed yet.
+_MADE: set[str] = set()
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder name below the shared folder; nothing is created yet.
+
+    ``release`` removes what was written there.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.add(folder)
+    return folder
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate folders of this process, once their readers are done.
+
+    A DataFrame is lazy, so only its user knows when that is; a job calls this at its end.
+    """
+    while _MADE:
+        clear(spark, _MADE.pop())
+
+
+def clear(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of metadata, some hundred bytes each, that are broadcast at most.
+BROADCAST_ROWS = 200_000
+
+
+def if_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``table`` marked for broadcast if it has no more than ``limit`` rows, so that what it is joined with stays in place.
+
+    The table should be stored, as its rows are counted.  A longer one is left to
+    Spark's choice between the joins.
+    """
+    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
 
 
 def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
@@ -57,13 +92,3 @@ def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     folder = folder or fresh_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly work on an input of few file splits.
-
-    ``key`` should be unique.  An input with at least as many splits as the
-    cluster has cores is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

@@ -28,12 +28,16 @@ def page_fields(pages: DataFrame) -> DataFrame:
     def get(path: str, kind: str) -> Column:
         return F.try_variant_get("page", path, kind)
 
+    def stated(path: str) -> Column:
+        # an absent total has a default, a JSON null is no number
+        return F.coalesce(get(path, "string"), F.when(F.is_variant_null(get(path, "variant")), "null"))
+
     return pages.select(
         "*",
         F.coalesce(get("$.status", "string"), F.lit("")).alias("status"),
         F.coalesce(get("$.message", "string"), F.lit("Unknown error")).alias("message"),
-        get("$.total_page", "string").alias("total_page_text"),
-        get("$.total_count", "string").alias("total_count_text"),
+        stated("$.total_page").alias("total_page_text"),
+        stated("$.total_count").alias("total_count_text"),
         get("$.list", "array<variant>").alias("items"),
     ).withColumn("n_items", F.coalesce(F.size("items"), F.lit(0)))
 

@@ -5,32 +5,51 @@ Layout: ``<root>/date=YYYYMMDD/<rcept_no>.<ext>``.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.kind import is_zip
+from ..functions.kind import is_zip, well_formed_xml
 from ..functions.text import base_name
+from ..operators.incremental import latest_per_key
 from ..schema import CRITICAL_DOCUMENT, NO_DOCUMENT, STATUS_ROWS
-from .store import or_empty
+from ..session import if_small, written
+from .store import folders_of, or_empty
+
 
+# a byte order mark and an XML declaration
+_DECLARED = r"\A\uFEFF?(?:[ \t-\r]*<\?xml[^>]*\?>)?"
 
-def read_payloads(spark: SparkSession, root: str, stream: bool = False, **options) -> DataFrame:
-    """Payload files as ``rcept_no, date, length, content``.
 
-    ``content`` is only read from storage where a query selects it.
+def read_payloads(
+    spark: SparkSession, root: str, stream: bool = False, dates: Iterable[str] | None = None, **options
+) -> DataFrame:
+    """Payload files as ``rcept_no, date, length, content``; with ``dates`` only their folders are listed.
+
+    Of several files of a filing the newest counts, chosen by what the listing of
+    the folder says about them.  ``content`` is only read from storage where a
+    query selects it.
     """
     reader = spark.readStream if stream else spark.read
     schema = "path string, modificationTime timestamp, length bigint, content binary, date string"
-    files = or_empty(
-        spark, lambda: reader.format("binaryFile").schema(schema).options(**options).load(root), schema
-    )
-    return files.select(base_name(F.col("path"), ascii_only=True).alias("rcept_no"), "date", "length", "content")
+    paths = [root] if dates is None else folders_of(spark, root, dates, "date")
+    load = reader.format("binaryFile").schema(schema).option("basePath", root).options(**options).load
+    files = or_empty(spark, lambda: load(paths[0] if stream else paths), schema) if paths else spark.createDataFrame([], schema)
+    files = files.withColumn("rcept_no", base_name(F.col("path"), ascii_only=True))
+    if not stream:
+        newest = latest_per_key(
+            files.select("date", "rcept_no", "modificationTime", "path"), ["date", "rcept_no"], ["modificationTime", "path"]
+        )
+        files = files.join(if_small(written(newest.select("path"), "newest-payloads")), "path", "left_semi")
+    return files.select("rcept_no", "date", "length", "content")
 
 
 def error_answer(content: Column) -> Column:
     """``struct<status, message>`` of an XML error answer, NULL when it is none."""
-    answer = F.from_xml(content.cast("string"), "status string, message string, _corrupt_record string")
+    text = F.regexp_replace(F.try_validate_utf8(content.cast("string")), _DECLARED, "")
+    answer = F.from_xml(text, "status string, message string, _corrupt_record string")
     return F.when(
-        answer.getField("_corrupt_record").isNull() & answer.getField("status").isNotNull(),
+        well_formed_xml(text) & answer.getField("status").isNotNull(),
         F.struct(
             answer.getField("status").alias("status"),
             F.coalesce(answer.getField("message"), F.lit("Unknown error")).alias("message"),

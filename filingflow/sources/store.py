@@ -1,20 +1,33 @@
-"""The document store: Parquet below ``<root>/batch_id=N/outcome=O/rcept_dt=YYYYMMDD``."""
+"""Tables of the job: Parquet below ``<root>/date_key=D/batch_id=N``, the date first.
+
+A date's folder holds all that any batch said about its filings, so a poll loads the
+folders of its own dates and never lists the others.  A batch that is run again
+overwrites its own folders (dynamic partition overwrite) and drops those of dates it
+no longer has.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..schema import FILING_FIELDS
 
 DOCUMENT_SCHEMA = (
-    ", ".join(f"{name} string" for name in FILING_FIELDS if name != "rcept_dt")
-    + ", polling_date string, n_listed bigint, stage string, reason string, filename string, object_key string,"
-    " content_type string, body binary, file_size bigint, used_enc string, summary string,"
-    " batch_id string, outcome string, rcept_dt string"
+    ", ".join(f"{name} string" for name in FILING_FIELDS)
+    + ", polling_date string, n_listed bigint, outcome string, stage string, reason string, filename string,"
+    " object_key string, content_type string, body binary, file_size bigint, used_enc string, summary string,"
+    " date_key string, batch_id string"
 )
+# an empty date is valid, but no name of a folder
+NO_DATE = "none"
+
+
+def date_key(date: Column) -> Column:
+    """The folder of a date."""
+    return F.when(date.isNull() | (date == ""), NO_DATE).otherwise(date)
 
 
 def or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str) -> DataFrame:
@@ -28,17 +41,49 @@ def or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str) ->
 
 
 def read_table(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """A Parquet table that may not have been written yet."""
+    """A whole Parquet table that may not have been written yet."""
     return or_empty(spark, lambda: spark.read.schema(schema).parquet(root), schema)
 
 
-def read_processed(spark: SparkSession, root: str) -> DataFrame:
-    """Every filing a poll dealt with, whatever became of it."""
-    return read_table(spark, root, DOCUMENT_SCHEMA)
+def folders_of(spark: SparkSession, root: str, dates: Iterable[str], key: str = "date_key") -> list[str]:
+    """The existing folders of the given dates."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    made = spark._jvm.org.apache.hadoop.fs.Path
+    paths = [f"{root}/{key}={date}" for date in sorted(set(dates))]
+    return [p for p in paths if made(p).getFileSystem(conf).exists(made(p))]
+
+
+def read_dates(spark: SparkSession, root: str, dates: Iterable[str], schema: str) -> DataFrame:
+    """The rows of the given dates; no other folder is listed."""
+    paths = folders_of(spark, root, dates)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
+
+
+def write_dates(rows: DataFrame, root: str, batch_id: int, dates: Iterable[str] = ()) -> None:
+    """Write a batch's rows, which have ``date_key``; ``dates`` are those an earlier run of it may have left."""
+    spark = rows.sparkSession
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    made = spark._jvm.org.apache.hadoop.fs.Path
+    for folder in folders_of(spark, root, dates):
+        old = made(f"{folder}/batch_id={batch_id}")
+        old.getFileSystem(conf).delete(old, True)
+    (
+        rows.withColumn("batch_id", F.lit(str(batch_id))).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("date_key", "batch_id").parquet(root)
+    )
+
+
+def read_processed(spark: SparkSession, root: str, dates: Iterable[str] | None = None) -> DataFrame:
+    """Every filing a poll dealt with, whatever became of it; of the given dates, or all."""
+    if dates is None:
+        return read_table(spark, root, DOCUMENT_SCHEMA)
+    return read_dates(spark, root, dates, DOCUMENT_SCHEMA)
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    return read_processed(spark, root).where(F.col("outcome") == "SUCCESS")
+def read_documents(spark: SparkSession, root: str, dates: Iterable[str] | None = None) -> DataFrame:
+    return read_processed(spark, root, dates).where(F.col("outcome") == "SUCCESS")
 
 
 def stored_keys(documents: DataFrame) -> DataFrame:

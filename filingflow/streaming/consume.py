@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.text import truncate
 from ..operators.publish import REPORTED, task_results, upsert_columns, upsert_payload
-from ..operators.upsert import current, write_batch
+from ..operators.upsert import current, id_date, write_batch
 from ..session import configure
 from ..sources.messages import read_messages
 
@@ -22,7 +21,7 @@ def consume_batch(batch: DataFrame, batch_id: int, table_root: str, results_root
     """Upsert a batch of messages and note what became of each.
 
     A message that cannot be read or has no valid date is an error row; it
-    never stops the stream.
+    never stops the stream.  What cannot be read is kept whole in ``unreadable``.
     """
     configure(batch.sparkSession)
     order = ["published_at", "published_seq"]
@@ -30,17 +29,22 @@ def consume_batch(batch: DataFrame, batch_id: int, table_root: str, results_root
     columns = upsert_columns(batch.where(~broken), keep=[*order, *REPORTED])
     payloads = columns.withColumn("body", upsert_payload(columns))
     good = payloads.where(F.col("date_error").isNull()).select("rcept_no", "body", *order)
-    write_batch(good, table_root, batch_id, order)
+    write_batch(good, table_root, batch_id, order, _noted_dates(good, table_root, batch_id))
     unreadable = batch.where(broken).select(
         F.lit("error").alias("status"),
         F.lit("unexpected_error").alias("error_type"),
-        F.concat(F.lit("unreadable message: "), F.coalesce(truncate(F.col("unreadable"), 200), F.lit("no id")))
-        .alias("error_message"),
+        F.when(F.col("unreadable").isNull(), "message without an id").otherwise("unreadable message").alias("error_message"),
+        "unreadable",
     )
     results = task_results(payloads).unionByName(unreadable, allowMissingColumns=True)
     results.write.mode("overwrite").parquet(f"{results_root}/batch_id={batch_id}")
 
 
+def _noted_dates(good: DataFrame, table_root: str, batch_id: int) -> list[str]:
+    """Dates of a batch, whose folders an earlier run of it may have written."""
+    return [r[0] for r in good.select(id_date(F.col("rcept_no"))).distinct().collect()]
+
+
 def start_consume(
     spark: SparkSession, messages_root: str, table_root: str, results_root: str, checkpoint: str,
     interval: str | None = "10 seconds", max_files: int = 100,

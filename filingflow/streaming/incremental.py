@@ -4,21 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.incremental import without
 from ..operators.retry import OK, SKIP, counted_attempts
 from ..schema import MAX_FAIL
+from ..session import written
+from ..sources.store import read_dates, write_dates
 
 
-def first_seen(stream: DataFrame, event_time: str, keep: str = "7 days", salts: int = 32) -> DataFrame:
-    """Each id once, with state bounded by the watermark.
+def first_seen(batch: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of a micro-batch that the table of those seen does not hold, once each.
 
-    Repeats of an id are first dropped per salt, so an id that dominates the
-    stream is spread over ``salts`` groups and at most one row of each goes on.
+    There is no watermark: a row that comes late, by any measure, is still found
+    or not found in the table.  Repeats within the batch are combined before the
+    shuffle, so a key that dominates it is one row per task.
     """
-    salted = stream.withWatermark(event_time, keep).withColumn(
-        "_salt", F.pmod(F.xxhash64(event_time), F.lit(salts))
-    )
-    few = salted.dropDuplicatesWithinWatermark(["rcept_no", "_salt"])
-    return few.dropDuplicatesWithinWatermark(["rcept_no"]).drop("_salt")
+    return without(batch.select(*keys).distinct(), seen, keys)
+
+
+def note_first_seen(batch: DataFrame, batch_id: int, root: str, keys: list[str], date: Column) -> None:
+    """Add the keys first seen in this micro-batch to the table at ``root``.
+
+    ``date`` says by a key alone which day it belongs to; only the days of the
+    batch are compared.  Running a batch again replaces its own folder.
+    """
+    spark = batch.sparkSession
+    rows = written(batch.select(*keys).distinct().withColumn("date_key", date), "seen-keys")
+    schema = ", ".join(f"{k} {t}" for k, t in rows.select(*keys).dtypes)
+    days = [r[0] for r in rows.select("date_key").distinct().collect()]
+    earlier = read_dates(spark, root, days, f"{schema}, date_key string, batch_id string")
+    fresh = first_seen(rows, earlier.where(F.col("batch_id").cast("bigint") < batch_id), [*keys, "date_key"])
+    write_dates(fresh, root, batch_id, days)
 
 
 def advance_state(state: DataFrame, attempts: DataFrame, max_fail: int = MAX_FAIL) -> DataFrame:

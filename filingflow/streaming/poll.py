@@ -1,31 +1,33 @@
 """Poll stream: listing pages land; documents, messages, attempts and quarantined items come out.
 
-Each micro-batch owns the folder ``batch_id=N`` of every output, so a batch
+Each micro-batch owns the folders ``batch_id=N`` of every output, so a batch
 that is run again replaces what it wrote.  State is read from earlier batches
-only, and only for the dates in the batch.  Bad items and failed filings are
+only, and only the folders of the batch's dates are listed.  Bad items and failed filings are
 rows, never exceptions, so data cannot stop the stream.
 """
 
 from __future__ import annotations
 
 import logging
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.incremental import known_ids, latest_per_key, of_dates
+from ..operators.incremental import known_ids, latest_per_key
 from ..operators.ledger import failure_records, latest_failures
-from ..operators.parse import quarantined
+from ..operators.paging import counted_pages, page_actions
+from ..operators.parse import parse_items, quarantined
 from ..operators.publish import messages
 from ..operators.retry import attempt_kind, finished_ids, retry_state
 from ..operators.sinks import append_attempts, publish, store_documents
-from ..plans.ingest import attempts_of, listed_filings, listed_items, poll_counters, process_filings, stored_documents
-from ..schema import ATTEMPT_SCHEMA, MAX_FAIL
-from ..session import configure, written
-from ..sources.listing import read_pages, scan_predicate, valid_poll_date
+from ..plans.ingest import attempts_of, listed_filings, poll_counters, process_filings, stored_documents
+from ..schema import ATTEMPT_SCHEMA, MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES, MAX_FAIL, MIN_BODY_BYTES
+from ..session import clear, configure, written
+from ..sources.listing import page_fields, page_items, poll_date_today, read_pages, scan_predicate, valid_poll_date
 from ..sources.payloads import read_payloads
-from ..sources.store import read_documents, read_processed, read_table, stored_keys
+from ..sources.store import date_key, folders_of, read_dates, read_documents, read_processed, read_table, stored_keys
 
 
 LOG = logging.getLogger(__name__)
@@ -47,8 +49,14 @@ def _before(table: DataFrame, batch_id: int) -> DataFrame:
     return table.where(F.col("batch_id").cast("bigint") < batch_id)
 
 
-def ledger(spark: SparkSession, folders: Folders) -> DataFrame:
-    return read_table(spark, folders.ledger, ATTEMPT_SCHEMA + ", batch_id string, rcept_dt string")
+LEDGER_SCHEMA = ATTEMPT_SCHEMA + ", date_key string, batch_id string"
+
+
+def ledger(spark: SparkSession, folders: Folders, dates: list[str] | None = None) -> DataFrame:
+    """Attempts of the given filing dates, or all."""
+    if dates is None:
+        return read_table(spark, folders.ledger, LEDGER_SCHEMA)
+    return read_dates(spark, folders.ledger, dates, LEDGER_SCHEMA)
 
 
 def state_of(attempts: DataFrame, max_fail: int = MAX_FAIL) -> DataFrame:
@@ -61,74 +69,117 @@ def failures(spark: SparkSession, folders: Folders) -> DataFrame:
     return latest_failures(failure_records(ledger(spark, folders)))
 
 
-def landed_pages(spark: SparkSession, folders: Folders, dates: DataFrame) -> DataFrame:
+def landed_pages(spark: SparkSession, folders: Folders, dates: list[str]) -> DataFrame:
     """Newest landed copy of every page of the given dates."""
-    files = spark.read.format("text").schema("value string, date string, page_no int").options(wholetext=True)
-    pages = files.load(folders.pages).select(
+    paths = folders_of(spark, folders.pages, dates, "date")
+    if not paths:
+        return spark.createDataFrame([], "date string, page_no int").select("*", F.parse_json(F.lit("null")).alias("page"))
+    files = spark.read.format("text").schema("value string, date string, page_no int").options(
+        wholetext=True, basePath=folders.pages
+    )
+    pages = files.load(paths).select(
         "date", "page_no", F.try_parse_json("value").alias("page"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
         F.col("_metadata.file_path").alias("landed_as"),
     )
-    wanted = of_dates(pages, dates, "date")
     newest = latest_per_key(
-        wanted.select("date", "page_no", "landed_at", "landed_as"), ["date", "page_no"], ["landed_at", "landed_as"]
+        pages.select("date", "page_no", "landed_at", "landed_as"), ["date", "page_no"], ["landed_at", "landed_as"]
     )
-    return wanted.join(newest.select("landed_as"), "landed_as", "left_semi").select("date", "page_no", "page")
+    return pages.join(newest.select("landed_as"), "landed_as", "left_semi").select("date", "page_no", "page")
+
+
+@dataclass(frozen=True)
+class Limits:
+    """What the poll refuses: attempts per filing, least bytes of a document, files and bytes of an archive."""
+
+    max_fail: int = MAX_FAIL
+    min_bytes: int = MIN_BODY_BYTES
+    max_files: int = MAX_ARCHIVE_FILES
+    max_bytes: int = MAX_ARCHIVE_BYTES
 
 
-def run_batch(batch: DataFrame, batch_id: int, folders: Folders, max_fail: int = MAX_FAIL) -> dict:
+def _listed(rows: DataFrame, column: str) -> list[str]:
+    """Distinct dates: as many as days were listed, however many filings there are."""
+    return [r[0] for r in rows.select(column).distinct().collect()]
+
+
+def run_batch(
+    batch: DataFrame, batch_id: int, folders: Folders, limits: Limits = Limits(), payloads: DataFrame | None = None
+) -> dict:
     """Ingest the dates that appear in one micro-batch of landed pages.
 
+    ``payloads`` takes the place of the landed payload files.
+
     Returns what the batch did: filings processed, skipped and failed.
     """
     spark = configure(batch.sparkSession)
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         # A table on disk has a known size, so Spark broadcasts it only if small.
-        return written(df, name, f"{folders.root}/work/{name}/batch_id={batch_id}")
-
-    dates = kept(batch.select("date").where(valid_poll_date(F.col("date"))).distinct(), "dates")
-    items = kept(listed_items(landed_pages(spark, folders, dates)), "items")
+        return written(df, name, f"{folders.root}/work/batch_id={batch_id}/{name}")
+
+    dates = _listed(batch.where(valid_poll_date(F.col("date"))), "date")
+    fields = kept(page_fields(landed_pages(spark, folders, dates)).drop("page"), "pages")
+    # what the status of each page asks for: waits and key errors are rows, too
+    statuses = page_actions(fields.select("date", "page_no", "status", "message", "n_items"))
+    statuses.write.mode("overwrite").json(f"{folders.page_status}/batch_id={batch_id}")
+    items = kept(parse_items(page_items(counted_pages(fields))), "items")
     quarantined(items).write.mode("overwrite").json(f"{folders.quarantine}/batch_id={batch_id}")
-    filings = kept(listed_filings(items), "listing")
-    filed = kept(filings.select("rcept_dt").distinct(), "filing_dates")
+    filings = kept(listed_filings(items).withColumn("date_key", date_key(F.col("rcept_dt"))), "listing")
+    filed = _listed(filings, "date_key")
+    filed_before = _dates_of_run(spark, folders, batch_id, filed)
 
-    history = of_dates(_before(ledger(spark, folders), batch_id), filed)
-    known = known_ids(*finished_ids(state_of(history, max_fail)))
-    documents = of_dates(_before(read_documents(spark, folders.documents), batch_id), filed)
-    payloads = of_dates(read_payloads(spark, folders.payloads), dates, "date")
+    known = known_ids(*finished_ids(state_of(_before(ledger(spark, folders, filed), batch_id), limits.max_fail)))
+    documents = _before(read_documents(spark, folders.documents, filed), batch_id)
     processed = process_filings(
-        filings, known, stored_keys(documents), payloads,
-        work_folder=f"{folders.root}/work/todo/batch_id={batch_id}",
+        filings.drop("date_key"), known, stored_keys(documents),
+        read_payloads(spark, folders.payloads, dates=dates) if payloads is None else payloads,
+        work_folder=f"{folders.root}/work/batch_id={batch_id}/todo",
+        min_bytes=limits.min_bytes, max_files=limits.max_files, max_bytes=limits.max_bytes,
     )
     counters = Observation(f"poll {batch_id}")
-    store_documents(processed.observe(counters, *poll_counters()), folders.documents, batch_id)
+    store_documents(processed.observe(counters, *poll_counters()), folders.documents, batch_id, filed_before)
     # What follows reads the stored batch, without its bodies: the expensive
     # part runs once, and lineage ends in the shared folder.
-    done = read_processed(spark, folders.documents).where(F.col("batch_id") == str(batch_id))
+    done = read_processed(spark, folders.documents, filed).where(F.col("batch_id") == str(batch_id))
     publish(messages(stored_documents(done), F.col("polling_date")), folders.messages, batch_id)
-    append_attempts(attempts_of(done, F.current_timestamp(), max_fail), folders.ledger, batch_id)
-    LOG.info("poll batch %s: %s", batch_id, counters.get)
+    append_attempts(attempts_of(done, F.current_timestamp(), limits.max_fail), folders.ledger, batch_id, filed_before)
+    for row in done.groupBy("outcome").count().collect():
+        LOG.info("poll batch %s: %s %s", batch_id, row["count"], row["outcome"])
+    clear(spark, f"{folders.root}/work/batch_id={batch_id}")
     return counters.get
 
 
+def _dates_of_run(spark: SparkSession, folders: Folders, batch_id: int, filed: list[str]) -> list[str]:
+    """Filing dates an earlier run of this batch wrote; notes those of this run."""
+    folder = f"{folders.batch_dates}/batch_id={batch_id}"
+    before = [r[0] for r in read_table(spark, folder, "date_key string").collect()]
+    rows = spark.createDataFrame([(d,) for d in {*filed, *before}], "date_key string")
+    rows.coalesce(1).write.mode("overwrite").parquet(folder)
+    return before
+
+
 def start_poll(
     spark: SparkSession,
     folders: Folders,
     interval: str | None = "300 seconds",
     max_files: int = 1000,
-    max_fail: int = MAX_FAIL,
+    limits: Limits = Limits(),
     target_date: str | None = None,
 ) -> StreamingQuery:
     """Start the poll stream; ``interval=None`` works off what has landed and ends.
 
-    ``target_date`` restricts it to the pages of one date.
+    The pages of ``target_date`` are polled, by default those of today's date in the
+    service's zone, whatever day that is when a batch runs.
     """
+    if target_date is not None and not re.fullmatch("[0-9]{8}", target_date):
+        raise ValueError(f"target date must be YYYYMMDD: {target_date!r}")
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     pages = read_pages(spark, folders.pages, stream=True, maxFilesPerTrigger=max_files)
+    polled = scan_predicate(date=target_date) if target_date else F.col("date") == poll_date_today()
     return (
-        pages.where(scan_predicate(date=target_date)).select("date")
-        .writeStream.foreachBatch(lambda batch, batch_id: run_batch(batch, batch_id, folders, max_fail))
+        pages.where(polled).select("date")
+        .writeStream.foreachBatch(lambda batch, batch_id: run_batch(batch, batch_id, folders, limits))
         .option("checkpointLocation", folders.checkpoint_poll)
         .trigger(**trigger)
         .start()

@@ -34,14 +34,29 @@ KINDS = [
     (b"plain text", "bin"),
     (b"PK\x03\x04rest", "bin"),
     (b"", "bin"),
-    (b"x" * 65536 + b"<html>", "bin"),
-    (b"x" * 65530 + b"<html>", "html"),
+    (b"x" * 200_000 + b"<html>", "html"),
+    (b"<div>a</div><div>b</div>", "bin"),
+    (b"<r/>garbage", "bin"),
+    (b"<div>a</div> trailing text", "bin"),
+    (b"<div>a</div><!-- note -->\n", "xml"),
+    (b"<r><div>" + b"x" * 140_000 + b"</div></r>", "xml"),
+    (b"<r><div>" + b"x" * 140_000 + b"</div></q>", "bin"),
+    (b"<div>a</x-whole-document><x-whole-document></div>", "bin"),
+    (b"\xef\xbb\xbf<div>\xc3\xa9</div>", "xml"),
+    (b"<div>\xe9</div>", "bin"),
+    (b"<meta name=a content='x'>charset=", "bin"),
 ]
 
 
 def test_sniff_kind(spark):
     df = frame(spark, [k for k, _ in KINDS]).select("i", kind.sniff_kind(F.col("x")).alias("out"))
     assert values(df) == [v for _, v in KINDS]
+    assert [kind.kind_of_bytes(k) for k, _ in KINDS] == [v for _, v in KINDS]
+
+
+def test_sniff_window_is_an_argument(spark):
+    df = frame(spark, [b"x" * 65536 + b"<html>"]).select("i", kind.sniff_kind(F.col("x"), 65536).alias("out"))
+    assert values(df) == ["bin"]
 
 
 DECLARED = [
@@ -60,7 +75,7 @@ DECLARED = [
 def test_declared_charset(spark):
     rows = [(i, d, k) for i, (d, k, _) in enumerate(DECLARED)]
     df = spark.createDataFrame(rows, "i int, x binary, k string")
-    df = df.select("i", charset.declared_charset(kind.byte_text(F.col("x"), 65536), F.col("k")).alias("out"))
+    df = df.select("i", charset.declared_charset(kind.byte_text(F.col("x")), F.col("k")).alias("out"))
     assert values(df) == [v for *_, v in DECLARED]
 
 
@@ -203,6 +218,17 @@ def test_strip_and_dates(spark):
     assert [i for i, e in enumerate(errors) if e] == [6, 9]
 
 
+def test_date_errors_are_those_of_the_service(spark):
+    from datetime import datetime
+
+    cases = ["20241332", "2024-13-01", "20240231", "20240001", "2024-02-30", "20241301", "00000101", "2024-01-4x", "20240132"]
+    df = frame(spark, cases, "string").select("i", text.reception_date_error(F.col("x")).alias("out"))
+    for value, got in zip(cases, values(df)):
+        with pytest.raises(ValueError) as error:
+            datetime.strptime(value, "%Y-%m-%d" if "-" in value else "%Y%m%d")
+        assert got == str(error.value), value
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet=" \t\n\x0b\x1c\x85\xa0 　ab​", max_size=8), min_size=100, max_size=200))
 def test_strip_like_python(spark, items):

@@ -27,7 +27,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-NOT_PLANNED_HERE = {"stream_dedup", "stream_upsert", "stream_retry", "publish_roundtrip", "object_store_write"}
+NOT_PLANNED_HERE = {"stream_dedup", "stream_upsert", "stream_retry", "publish_roundtrip", "object_store_write", "poll_twice", "consume_messages"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - NOT_PLANNED_HERE))
@@ -52,3 +52,24 @@ def test_retry_state_shuffles_once(spark, sf_dir):
 def test_scans_read_the_columns_they_need(spark, sf_dir):
     plan = QUERIES["outcome_counts"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_type:string>" in plan
+
+
+def test_payloads_are_in_no_exchange(spark, sf_dir):
+    """Also where Spark itself would broadcast nothing."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["filing_ingest"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for node in re.findall(r"Exchange hashpartitioning[^\n]*\n[^\n]*", plan):
+        assert "content" not in node and "body" not in node, node
+
+
+def test_nothing_is_left_behind(spark, sf_dir):
+    import glob
+
+    from filingflow.session import release, shared_dir
+
+    QUERIES["page_prefix"](spark, sf_dir).count()
+    release(spark)
+    assert not glob.glob(f"{shared_dir(spark).removeprefix('file:')}/*")

@@ -10,8 +10,8 @@ from filingflow.operators.upsert import compact
 from filingflow.schema import FILING_FIELDS
 from filingflow.sources.store import read_documents
 from filingflow.streaming.consume import UPSERT_SCHEMA, consume_batch, start_consume, upserted
-from filingflow.streaming.incremental import advance_state, first_seen
-from filingflow.streaming.poll import Folders, failures, ledger, run_batch, start_poll, state_of
+from filingflow.streaming.incremental import advance_state, note_first_seen
+from filingflow.streaming.poll import Folders, Limits, failures, landed_pages, ledger, run_batch, start_poll, state_of
 from zips import make_zip
 
 HTML = b"<html><head></head><body>" + b"text " * 60 + b"</body></html>"
@@ -38,8 +38,8 @@ def land_payload(root, no, blob, date="20240102"):
         out.write(blob)
 
 
-def poll(spark, folders):
-    query = start_poll(spark, folders, interval=None)
+def poll(spark, folders, target="20240102"):
+    query = start_poll(spark, folders, interval=None, target_date=target)
     query.awaitTermination()
 
 
@@ -108,8 +108,8 @@ def test_poll_before_anything_is_downloaded(spark, folder):
     land_page(folder, [item(1)])
     land_page(folder, [], date="20240103", status="020")
     days = spark.createDataFrame([("20240102",), ("20240103",), ("not a day",)], "date string")
-    assert run_batch(days, 0, folders, max_fail=1) == {"processed": 0, "skipped": 0, "errors": 1}
-    assert run_batch(days, 1, folders, max_fail=1) == {"processed": 0, "skipped": 0, "errors": 0}
+    assert run_batch(days, 0, folders, Limits(max_fail=1)) == {"processed": 0, "skipped": 0, "errors": 1}
+    assert run_batch(days, 1, folders, Limits(max_fail=1)) == {"processed": 0, "skipped": 0, "errors": 0}
     assert outcomes(spark, folders) == [("0", 1, "FAILED")]
     assert [tuple(r) for r in state_of(ledger(spark, folders), 1).select("term", "fails").collect()] == [("PERM", 1)]
 
@@ -143,30 +143,107 @@ def test_upserts_are_idempotent(spark, folder):
 
 
 def test_unreadable_messages_are_error_rows(spark, folder):
+    broken = "{ broken " * 500
     os.makedirs(f"{folder}/messages/batch_id=0")
     with open(f"{folder}/messages/batch_id=0/part.txt", "w") as out:
-        out.write(json.dumps(MESSAGE) + "\n{ broken\n" + json.dumps({"corp_name": "no id"}) + "\n")
+        out.write(json.dumps(MESSAGE) + f"\n{broken}\n" + json.dumps({"corp_name": "no id"}) + "\n")
     table, results = f"{folder}/table", f"{folder}/results"
     start_consume(spark, f"{folder}/messages", table, results, f"{folder}/checkpoint", interval=None).awaitTermination()
     assert [r["rcept_no"] for r in upserted(spark, table).collect()] == ["20240102000001"]
     rows = spark.read.parquet(results).orderBy("error_message").collect()
-    assert [r["error_message"] for r in rows] == [None, "unreadable message: no id", "unreadable message: { broken"]
-
-
-def test_first_seen_in_a_stream(spark, folder):
-    rows = [("a", "2024-01-01"), ("a", "2024-01-02"), ("b", "2024-01-02")]
-    src = f"{folder}/in"
-    schema = "rcept_no string, at timestamp"
-    frame = spark.createDataFrame(rows, "rcept_no string, d string").select("rcept_no", F.col("d").cast("timestamp").alias("at"))
-    frame.coalesce(1).write.parquet(src)
-    frame.coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    query = (
-        first_seen(stream, "at").writeStream.format("parquet").option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    assert sorted(r["rcept_no"] for r in spark.read.parquet(f"{folder}/out").collect()) == ["a", "b"]
+    assert [(r["error_message"], r["unreadable"]) for r in rows] == [
+        (None, None), ("message without an id", None), ("unreadable message", broken),
+    ]
+
+
+def test_first_seen_has_no_watermark(spark, folder):
+    def note(days, batch_id):
+        rows = spark.createDataFrame([(f"{d}000001",) for d in days], "rcept_no string")
+        note_first_seen(rows, batch_id, f"{folder}/seen", ["rcept_no"], F.left("rcept_no", F.lit(8)))
+
+    for batch_id, days in [(0, ["20240105", "20240105"]), (1, ["20240105", "20240106"]), (2, ["19990101"]), (1, ["20240106"])]:
+        note(days, batch_id)
+    got = [r["rcept_no"][:8] for r in spark.read.parquet(f"{folder}/seen").collect()]
+    assert sorted(got) == ["19990101", "20240105", "20240106"]
+
+
+def test_poll_polls_today_or_a_proper_date(spark, folder):
+    import datetime
+    import zoneinfo
+
+    import pytest
+
+    folders = Folders(folder)
+    today = datetime.datetime.now(zoneinfo.ZoneInfo("Asia/Seoul")).strftime("%Y%m%d")
+    land_page(folder, [item(1)])
+    land_page(folder, [item(2, date=today)], date=today)
+    poll(spark, folders, None)
+    assert [r["rcept_no"] for r in ledger(spark, folders).collect()] == [f"{today}000002"]
+    for wrong in ("2024-01-02", "2024010", ""):
+        with pytest.raises(ValueError):
+            start_poll(spark, folders, interval=None, target_date=wrong)
+
+
+def test_an_empty_filing_date_is_dealt_with_once(spark, folder):
+    folders = Folders(folder)
+    land_page(folder, [item(1, rcept_dt=""), item(2, rcept_dt="")])
+    land_payload(folder, 1, make_zip([("a.html", HTML)]))
+    day = spark.createDataFrame([("20240102",)], "date string")
+    for batch_id in range(4):
+        run_batch(day, batch_id, folders)
+    found = [(r["rcept_no"][8:], r["outcome"]) for r in ledger(spark, folders).collect()]
+    assert sorted(found) == [("000001", "SUCCESS")] + [("000002", "FAILED")] * 3
+
+
+def test_the_newest_payload_of_a_filing_counts(spark, folder):
+    folders = Folders(folder)
+    land_page(folder, [item(1)])
+    land_payload(folder, 1, make_zip([("a.html", HTML)]))
+    old = f"{folder}/payloads/date=20240102/20240102000001.xml"
+    with open(old, "w") as out:
+        out.write("<r><status>013</status></r>")
+    os.utime(old, (1_000_000_000, 1_000_000_000))
+    run_batch(spark.createDataFrame([("20240102",)], "date string"), 0, folders)
+    assert outcomes(spark, folders) == [("0", 1, "SUCCESS")]
+
+
+def test_a_poll_lists_only_its_dates(spark, folder):
+    folders = Folders(folder)
+    for day in range(1, 6):
+        date = f"2024010{day}"
+        land_page(folder, [item(1, date=date)], date=date)
+        land_payload(folder, 1, make_zip([("a.html", HTML)]), date=date)
+    run_batch(spark.createDataFrame([(f"2024010{d}",) for d in range(1, 6)], "date string"), 0, folders)
+    from filingflow.sources.payloads import read_payloads
+
+    for frame in (
+        landed_pages(spark, folders, ["20240103"]), ledger(spark, folders, ["20240103"]),
+        read_documents(spark, folders.documents, ["20240103"]), read_payloads(spark, folders.payloads, dates=["20240103"]),
+    ):
+        leaves = frame._jdf.queryExecution().analyzed().collectLeaves()
+        roots = [leaves.apply(i).relation().location().rootPaths().mkString(",") for i in range(leaves.size())]
+        own = [r for r in roots if folder in r]
+        assert own and all("," not in r and r.endswith("=20240103") for r in own)
+
+
+def test_page_statuses_are_rows(spark, folder):
+    folders = Folders(folder)
+    land_page(folder, [], status="010")
+    land_page(folder, [item(1)], date="20240103", total_page=None)
+    run_batch(spark.createDataFrame([("20240102",), ("20240103",)], "date string"), 0, folders)
+    rows = spark.read.json(folders.page_status).orderBy("date").collect()
+    assert [(r["page_action"], r["wait_s"]) for r in rows] == [("key_error", 300), ("accept", 0)]
+    assert ledger(spark, folders).count() == 0  # a null total rejects the day
+
+
+def test_limits_reach_the_job(spark, folder):
+    folders = Folders(folder)
+    land_page(folder, [item(1), item(2)])
+    land_payload(folder, 1, make_zip([("a.html", b"<html>")]))
+    land_payload(folder, 2, make_zip([("a.html", HTML), ("b.html", HTML)]))
+    run_batch(spark.createDataFrame([("20240102",)], "date string"), 0, folders, Limits(min_bytes=1, max_files=1))
+    names = [r["filename"] for r in read_documents(spark, folders.documents).orderBy("rcept_no").collect()]
+    assert names == ["20240102000001.html", "20240102000002.zip"]
 
 
 def test_state_by_batches_is_state_at_once(spark):
