@@ -1,8 +1,8 @@
 """N-gram Jaccard join: documents whose sets of 5-word shingles overlap by 3/4 or more.
 
-Equal sets are one class first.  Classes that share a pair of MinHash values (one of
-``BANDS`` bands of two) meet in a group; two sets of similarity 3/4 miss all bands with
-a probability of (7/16)^32, about 3 in 10^12.  In each group
+Equal sets are one class first.  Classes that share three MinHash values (one of
+``BANDS`` bands) meet in a group; two sets of similarity 3/4 miss all bands with a
+probability of (37/64)^48, about 4 in 10^12.  In each group
 
 1. every class is compared with the group's hub, the member that shares most bands,
    so the work is linear and large groups of near copies become connected;
@@ -37,14 +37,14 @@ from .signatures import DENOMINATOR, NUMERATOR, Tree, possible
 from .words import Words, _stream, mix, portions
 
 WIDTH = 5
-BANDS, ROWS = 32, 2
+BANDS, ROWS = 48, 3
 BLOCK = 4096
 #: Verified pairs per task and hub.
 SALT_ROWS = 2000
 #: Lists of ids up to this length are broadcast; longer ones are joined.
 BROADCAST_IDS = 2_000_000
 #: Least and greatest bitmap, in 64-bit words.
-LEAST_WORDS, MOST_WORDS = 2, 1024
+LEAST_WORDS, MOST_WORDS = 2, 4096
 _FACTORS = _stream("minhash", BANDS * ROWS) | np.uint64(1)
 _SHORT = np.uint64(0x5851F42D4C957F2D)
 
@@ -71,9 +71,9 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def _bits(keys: np.ndarray) -> bytes:
-    """A bitmap of about two bits per element; its length is a power of two."""
+    """A bitmap of sixteen bits per element or more, so that few elements hide each other; its length is a power of two."""
     words = LEAST_WORDS
-    while words * 32 < len(keys) and words < MOST_WORDS:
+    while words * 4 < len(keys) and words < MOST_WORDS:
         words *= 2
     at = (mix(keys) % np.uint64(words * 64)).astype(np.int64)
     flags = np.zeros(words * 64, np.uint8)

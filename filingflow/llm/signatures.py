@@ -81,7 +81,7 @@ class Tree:
             if mine and la == lb:
                 inside = b >= a
                 a, b = a[inside], b[inside]
-            step = 1 << 15
+            step = max(64, (1 << 21) // self.bits.shape[1])
             work.extend((a[i : i + step], b[i : i + step], la, lb) for i in range(0, len(a), step))
         pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         return np.column_stack([self.order[pairs[:, 0]], other.order[pairs[:, 1]]])
