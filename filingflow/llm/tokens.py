@@ -13,19 +13,18 @@ import json
 import os
 import sys
 import types
+from array import array
 
-import numpy as np
 import regex
 
-#: Parts and pieces remembered per worker and tokenizer; beyond it the table starts anew.
-REMEMBERED = 500_000
+#: Parts and pieces of a generation; a worker and tokenizer remember two generations.
+REMEMBERED = 250_000
 
 # How the two tokenizer files split a text into pieces.
 SPACED = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 UNSPACED = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 _LONE_SPACE = regex.compile(r"(?<=\S)(?= \S)")
-_ODD_SPACE = regex.compile(r"^\s|\s$|\s\s")
 
 
 def public_path(name: str) -> str:
@@ -44,6 +43,31 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
+class _OddSpace(Exception):
+    """White space next to a space: the text may not be cut there."""
+
+
+class Remembered:
+    """A table of the last keys met: when a generation is full, the one before it is forgotten."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def again(self, key: str) -> bytes | None:
+        """What the older generation knows; it moves to the newer one."""
+        found = self.old.get(key)
+        if found is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key: str, value: bytes) -> None:
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+
 class Encoder:
     """Encodes texts to little-endian ``uint16`` ids, as bytes."""
 
@@ -58,49 +82,54 @@ class Encoder:
         if max(spec["model"]["vocab"].values(), default=0) >= 1 << 16:
             raise ValueError("ids of more than 16 bits")
         self.folds = spec["normalizer"] is not None
-        self.pattern = UNSPACED if self.folds else SPACED
-        self.model = self.tokenizer.model
-        self.letters = {chr(b): letter for b, letter in _byte_letters().items()}
-        self.letters = str.maketrans(self.letters)
-        self.limit = remembered
-        self.parts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.findall = (UNSPACED if self.folds else SPACED).findall
+        self.tokenize = self.tokenizer.model.tokenize
+        self.letters = str.maketrans({chr(b): letter for b, letter in _byte_letters().items()})
+        self.parts, self.pieces = Remembered(remembered), Remembered(remembered)
 
     def whole(self, text: str) -> bytes:
         """By the tokenizer itself, without any table."""
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
+        found = self.pieces.new.get(piece) or self.pieces.again(piece)
         if found is None:
             seen = piece.encode().decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(seen)], "<u2").tobytes()
-            if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            self.pieces[piece] = found
+            found = array("H", [t.id for t in self.tokenize(seen)]).tobytes()
+            self.pieces.keep(piece, found)
         return found
 
+    def _cut(self, part: str) -> bytes:
+        if part and max(part) >= "\u0100":  # outside Latin-1: composed forms, letter cases
+            return self.whole(part)
+        return b"".join(map(self._piece, self.findall(part.lower() if self.folds else part)))
+
     def _part(self, part: str) -> bytes:
-        if part and max(part) >= "Ā":  # outside Latin-1: composed forms, letter cases
-            found = self.whole(part)
-        else:
-            found = b"".join(map(self._piece, self.pattern.findall(part.lower() if self.folds else part)))
-        if len(part) < 200:
-            if len(self.parts) >= self.limit:
-                self.parts.clear()
-            self.parts[part] = found
+        """A part that is not in the newer generation; a space stands before it in the text."""
+        found = self.parts.again(part)
+        if found is None:
+            if self.folds:
+                found = self._cut(part)
+            elif not part or part[0].isspace() or part[-1].isspace():
+                raise _OddSpace
+            else:
+                found = self._cut(" " + part)
+            if len(part) < 200:
+                self.parts.keep(part, found)
         return found
 
     def encode(self, text: str) -> bytes:
+        cut = text.split(" ")
+        known, part = self.parts.new.get, self._part
         if self.folds:  # white space is dropped, so any space will do
-            cut = text.split(" ")
-        elif _ODD_SPACE.search(text):
-            cut = _LONE_SPACE.split(text)
-        else:
-            cut = text.split(" ")
-            cut[1:] = [" " + part for part in cut[1:]]
-        known = self.parts.get
-        return b"".join([known(part) or self._part(part) for part in cut])
+            return b"".join([known(p) or part(p) for p in cut])
+        first = cut.pop(0)
+        try:
+            if cut and (not first or first[-1].isspace()):
+                raise _OddSpace
+            return b"".join([self._cut(first), *[known(p) or part(p) for p in cut]])
+        except _OddSpace:
+            return b"".join([self._cut(p) for p in _LONE_SPACE.split(text)])
 
 
 def encoder(path: str) -> Encoder:
