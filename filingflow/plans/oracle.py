@@ -437,6 +437,8 @@ SELECT doc_id, n_files::INT AS n_files, total_bytes,
             WHEN total_bytes > 5000 THEN 'ZIP too large: ' || total_bytes || ' bytes (max: 5000)' END AS failure,
        CASE WHEN n_files <= 20 AND total_bytes <= 5000 THEN 'part_' || j END AS best
 FROM normal""",
+    "archive_names": """
+SELECT doc_id, '사업보고서_' || doc_id || '.txt' AS name, strlen(text) AS size FROM documents""",
     "size_gate": """
 SELECT doc_id, strlen(text) AS file_size,
        CASE WHEN strlen(text) < 2000 THEN 'Processed file too small (' || strlen(text) || ' bytes).' END AS skip_reason

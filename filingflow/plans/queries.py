@@ -500,6 +500,13 @@ def archive_guard(spark, sf):
     return scanned.select("doc_id", "archive.n_files", "archive.total_bytes", "archive.failure", F.col("archive.best.name").alias("best"))
 
 
+@query
+def archive_names(spark, sf):
+    """Names of members, stored in UTF-8 or in Korean without a flag."""
+    scanned = content.with_archive(views.korean_archives(spark, sf))
+    return scanned.select("doc_id", F.col("archive.best.name").alias("name"), F.col("archive.best.size").alias("size"))
+
+
 @query
 def size_gate(spark, sf):
     docs = views.table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("body"))

@@ -167,6 +167,34 @@ def _zip_lines(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Arra
         yield pa.array([pack(n, p) for n, p in zip(names.to_pylist(), parts.to_pylist())], pa.binary())
 
 
+class _KoreanEntry(zipfile.ZipInfo):
+    """An entry whose name is stored in cp949 without the UTF-8 flag, as old packers do."""
+
+    def _encodeFilenameFlags(self) -> tuple[bytes, int]:
+        return self.filename.encode("cp949"), self.flag_bits & ~(1 << 11)
+
+
+@F.arrow_udf(BinaryType())
+def _zip_one(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def pack(name: str, text: str, flagged: bool) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as archive:
+            archive.writestr((zipfile.ZipInfo if flagged else _KoreanEntry)(name), text.encode())
+        return out.getvalue()
+
+    for batch in batches:
+        rows = zip(*(column.to_pylist() for column in batch), strict=True)
+        yield pa.array([pack(*row) for row in rows], pa.binary())
+
+
+def korean_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as an archive of one member with a Korean name, by id with and without the UTF-8 flag."""
+    name = F.concat(F.lit("공시/ 사업보고서_"), F.col("doc_id"), F.lit(".txt"))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", _zip_one(name, F.col("text"), F.col("doc_id") % 2 == 0).alias("content")
+    )
+
+
 def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as an archive with one member per line of text.
 
