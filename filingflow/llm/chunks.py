@@ -23,6 +23,8 @@ import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import fresh_dir
+
 #: Bytes of text after which a chunk is closed; a longer document is a chunk of its own.
 CHUNK_BYTES = 2 << 20
 #: Bytes of text whose keys one bucket takes, about.
@@ -127,7 +129,8 @@ class Chunks:
         )
         self.n_buckets = parts_for(docs, TABLE_BYTES)
         self.name = f"chunks_{uuid.uuid4().hex}"
-        rows.repartition(self.n_buckets, "chunk").write.bucketBy(self.n_buckets, "chunk").saveAsTable(self.name)
+        folder = fresh_dir(self.spark, "chunks")
+        rows.repartition(self.n_buckets, "chunk").write.bucketBy(self.n_buckets, "chunk").option("path", f"{folder}/table").saveAsTable(self.name)
         self.table = self.spark.table(self.name)
         total = self.table.agg(F.sum("n_bytes")).first()[0] or 0
         #: Leading bits of a key that name its bucket.
@@ -206,8 +209,6 @@ class Chunks:
             rows = rows.join(answer.hint("shuffle_hash"), "chunk", "left")
         return rows
 
-    def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
 def answered(row: dict, name: str, dtype: str, n: int) -> np.ndarray:

@@ -139,6 +139,6 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str | None = None, end: int = END) -> DataFrame:
     """Write the ids to a new folder and read their digests back."""
-    folder = fresh_dir(docs.sparkSession, "token-ids")
+    folder = fresh_dir(docs.sparkSession, "token-ids") + "/segments"
     write_ids(docs, folder, path, end)
     return read_digests(docs.sparkSession, folder)
