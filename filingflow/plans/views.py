@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
 from ..operators import publish
-from ..session import written
+from ..session import if_small, written
 
 DAY, MONTH = "yyyyMMdd", "yyyyMM'01'"
 
@@ -222,7 +222,7 @@ def payloads(spark: SparkSession, sf_dir: str, day: str = DAY) -> DataFrame:
 
     The filing is the one whose key is the document's id, if there is one.
     """
-    ids = filings(spark, sf_dir, day).select("k", "rcept_no")
+    ids = if_small(written(filings(spark, sf_dir, day).select("k", "rcept_no"), "payload-ids"))
     zipped = archives(spark, sf_dir)
     answer = F.concat(
         F.lit("<?xml version='1.0'?><result><status>"),

@@ -47,15 +47,23 @@ _MADE: set[str] = set()
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder; nothing is created yet.
+    """A new empty folder below the shared folder.
 
-    ``release`` removes what was written there.
+    ``release`` removes it with what was written there, or else the driver does when it ends.
     """
     folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _MADE.add(folder)
+    discard_later(spark, folder)
     return folder
 
 
+def discard_later(spark: SparkSession, folder: str) -> None:
+    """Make the folder and note that it is to be removed."""
+    path, files = _files(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    _MADE.add(folder)
+
+
 def release(spark: SparkSession) -> None:
     """Remove all intermediate folders of this process, once their readers are done.
 
@@ -65,9 +73,15 @@ def release(spark: SparkSession) -> None:
         clear(spark, _MADE.pop())
 
 
-def clear(spark: SparkSession, folder: str) -> None:
+def _files(spark: SparkSession, folder: str):
+    """The folder's Hadoop path and file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def clear(spark: SparkSession, folder: str) -> None:
+    path, files = _files(spark, folder)
+    files.delete(path, True)
 
 
 #: Rows of metadata, some hundred bytes each, that are broadcast at most.

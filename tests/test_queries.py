@@ -70,6 +70,10 @@ def test_nothing_is_left_behind(spark, sf_dir):
 
     from filingflow.session import release, shared_dir
 
+    release(spark)
+    root = shared_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{root}/*"))
     QUERIES["page_prefix"](spark, sf_dir).count()
+    assert set(glob.glob(f"{root}/*")) > before
     release(spark)
-    assert not glob.glob(f"{shared_dir(spark).removeprefix('file:')}/*")
+    assert set(glob.glob(f"{root}/*")) <= before
