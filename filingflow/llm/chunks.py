@@ -169,14 +169,14 @@ class Chunks:
 
     def answers(
         self, offers: DataFrame, dtype: str, answer: Callable[[np.ndarray, np.ndarray, int], np.ndarray], name: str,
-        total: Callable[[np.ndarray, np.ndarray, int], int] | None = None,
+        totals: Callable[[np.ndarray, np.ndarray, int], tuple[int, int]] | None = None,
     ) -> DataFrame:
         """(chunk, name): what the buckets answer, an array of (bucket, bytes) per chunk.
 
         ``answer(group, values, n)`` gets for all offers of a bucket the number of each
         key among the bucket's ``n`` distinct keys and the values, and returns one
-        number per offer.  No more than a bucket is in memory at a time.  With ``total``,
-        a number per bucket, there is a row of chunk -1 with the sum in ``total``.
+        number per offer.  No more than a bucket is in memory at a time.  With ``totals``,
+        two numbers per bucket, a row of chunk -1 has their sums in ``total`` and ``second_total``.
         """
 
         def run(table: pa.Table) -> pa.Table:
@@ -189,19 +189,23 @@ class Chunks:
             ends = np.cumsum(sizes)
             cut = [squeeze(found[e - s : e]) for e, s in zip(ends, sizes, strict=True)]
             chunk, bucket = table.column("chunk").to_pylist(), table.column("bucket").to_pylist()
-            totals = [0] * len(cut)
-            if total is not None:
+            first, second = [0] * len(cut), [0] * len(cut)
+            if totals is not None:
                 chunk, bucket, cut = [*chunk, -1], [*bucket, bucket[0]], [*cut, b""]
-                totals.append(total(group, np.concatenate(values), len(distinct)))
-            types = {"chunk": pa.int64(), "bucket": pa.int32(), name: pa.binary(), "total": pa.int64()}
-            columns = zip(types.items(), (chunk, bucket, cut, totals), strict=True)
+                one, two = totals(group, np.concatenate(values), len(distinct))
+                first, second = [*first, one], [*second, two]
+            types = {
+                "chunk": pa.int64(), "bucket": pa.int32(), name: pa.binary(), "total": pa.int64(), "second_total": pa.int64()
+            }
+            columns = zip(types.items(), (chunk, bucket, cut, first, second), strict=True)
             return pa.table({n: pa.array(c, t) for (n, t), c in columns})
 
-        rows = offers.groupBy("bucket").applyInArrow(run, f"chunk long, bucket int, {name} binary, total long")
+        rows = offers.groupBy("bucket").applyInArrow(run, f"chunk long, bucket int, {name} binary, total long, second_total long")
         found = rows.groupBy("chunk").agg(
-            F.sort_array(F.collect_list(F.struct("bucket", name))).alias(name), F.sum("total").alias("total")
+            F.sort_array(F.collect_list(F.struct("bucket", name))).alias(name), F.sum("total").alias("total"),
+            F.sum("second_total").alias("second_total"),
         )
-        return found if total is not None else found.drop("total")
+        return found if totals is not None else found.drop("total", "second_total")
 
     def joined(self, *answers: DataFrame) -> DataFrame:
         rows = self.table

@@ -79,8 +79,9 @@ def _summed(group: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
     return total[group]
 
 
-def _distinct_training(group: np.ndarray, counts: np.ndarray, n: int) -> int:
-    return len(np.unique(group[counts > 0]))
+def _training_totals(group: np.ndarray, counts: np.ndarray, n: int) -> tuple[int, int]:
+    """Distinct training words of a bucket, and all of them."""
+    return len(np.unique(group[counts > 0])), int(counts.sum())
 
 
 def _base(n_train_words: int, n_train_docs: int, n_distinct: int):
@@ -111,16 +112,6 @@ def _base(n_train_words: int, n_train_docs: int, n_distinct: int):
     return run
 
 
-def _training_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [unpack(p) for p in batch.column("packed").to_pylist()]
-        sums = [
-            sum(len((t or "").encode().split()) for t, own in zip(d.column("text").to_pylist(), _training(d), strict=True) if own)
-            for d in found
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int64())], ["n"])
-
-
 BASE = (
     "chunk long, place long, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double"
@@ -268,28 +259,33 @@ class Model:
             at += n
         return found
 
-    _HIDDEN = np.where(np.tri(LENGTH, dtype=bool), 0, -30.0).astype(np.float32)
+    # what a scored place may not see: the places after it
+    _HIDDEN = np.where(np.tri(LENGTH, dtype=bool), 0, -30.0).astype(np.float32)[CONTEXT:]
 
     def forward(self, w: dict, inputs: np.ndarray, within: np.ndarray) -> dict[str, np.ndarray]:
-        x = self.embedded[inputs] + w["place"]
+        """Unnormalised class probabilities of the scored places; only these ask, all places answer."""
+        x = self.embedded[inputs]
+        x += w["place"]
+        asked = np.ascontiguousarray(x[:, CONTEXT:])
         flat = x.reshape(-1, WIDTH)
-        q, k, v = ((flat @ w[n]).reshape(x.shape) for n in ("query", "key", "value"))
-        s = q @ k.transpose(0, 2, 1)
-        s *= np.float32(WIDTH**-0.5)
-        s += self._HIDDEN
+        q = (asked.reshape(-1, WIDTH) @ (w["query"] * np.float32(WIDTH**-0.5))).reshape(asked.shape)
+        k, v = (flat @ w["key"]).reshape(x.shape), (flat @ w["value"]).reshape(x.shape)
+        a = q @ k.transpose(0, 2, 1)
+        a += self._HIDDEN
         if not within.all():
-            s += np.where(within, 0, -30.0).astype(np.float32)[:, None, :]
-        np.clip(s, -60, 30, out=s)
-        np.exp(s, out=s)
-        s /= s.sum(-1, keepdims=True)
-        o = s @ v
-        h = x + (o.reshape(-1, WIDTH) @ w["out"]).reshape(x.shape)
-        h = np.ascontiguousarray(h[:, CONTEXT:]).reshape(-1, WIDTH)
-        z = h @ w["logits"] + w["bias"]
-        z += self.prior[self.classes[inputs[:, CONTEXT:]].ravel()]
-        np.clip(z, -60, 60, out=z)
+            a += np.where(within, 0, -30.0).astype(np.float32)[:, None, :]
+        np.minimum(a, 30, out=a)
+        np.exp(a, out=a)
+        weight = a.sum(-1, keepdims=True)
+        o = a @ v
+        o /= weight
+        h = asked.reshape(-1, WIDTH) + o.reshape(-1, WIDTH) @ w["out"]
+        z = h @ w["logits"]
+        z += w["bias"]
+        z += np.take(self.prior, self.classes[inputs[:, CONTEXT:]].ravel(), axis=0)
+        np.minimum(z, 60, out=z)
         np.exp(z, out=z)
-        return {"x": x, "q": q, "k": k, "v": v, "a": s, "o": o, "h": h, "p": z, "sum": z.sum(-1)}
+        return {"x": x, "asked": asked, "q": q, "k": k, "v": v, "a": a, "weight": weight, "o": o, "h": h, "p": z, "sum": z.sum(-1)}
 
     def scores(self, w: dict, inputs: np.ndarray, targets: np.ndarray, counts: np.ndarray, within: np.ndarray) -> np.ndarray:
         """Natural log probability per window."""
@@ -307,20 +303,19 @@ class Model:
         d[np.arange(len(ids)), ids] -= 1
         d *= (counts.ravel() / max(1, counts.sum()))[:, None].astype(np.float32)
         g = {"logits": f["h"].T @ d, "bias": d.sum(0)}
-        dh = np.zeros_like(f["x"])
-        dh[:, CONTEXT:] = (d @ w["logits"].T).reshape(len(inputs), STEP, WIDTH)
+        dh = (d @ w["logits"].T).reshape(f["asked"].shape)
         flat = dh.reshape(-1, WIDTH)
         g["out"] = f["o"].reshape(-1, WIDTH).T @ flat
         do = (flat @ w["out"].T).reshape(dh.shape)
+        a = f["a"] / f["weight"]
         da = do @ f["v"].transpose(0, 2, 1)
-        dv = f["a"].transpose(0, 2, 1) @ do
-        ds = f["a"] * (da - (da * f["a"]).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-        dx = dh.copy()
-        x = f["x"].reshape(-1, WIDTH)
-        for name, part in (("query", dq), ("key", dk), ("value", dv)):
-            g[name] = x.T @ part.reshape(-1, WIDTH)
-            dx += (part.reshape(-1, WIDTH) @ w[name].T).reshape(dx.shape)
+        ds = a * (da - (da * a).sum(-1, keepdims=True))
+        dq, dk, dv = ds @ f["k"] * np.float32(WIDTH**-0.5), ds.transpose(0, 2, 1) @ f["q"], a.transpose(0, 2, 1) @ do
+        dx = np.zeros_like(f["x"])
+        dx[:, CONTEXT:] = dh
+        for name, part, seen in (("query", dq, f["asked"]), ("key", dk, f["x"]), ("value", dv, f["x"])):
+            g[name] = seen.reshape(-1, WIDTH).T @ part.reshape(-1, WIDTH)
+            dx[:, LENGTH - part.shape[1] :] += (part.reshape(-1, WIDTH) @ w[name].T).reshape(part.shape)
         g["place"] = dx.sum(0)
         return np.concatenate([g[n].ravel().astype(np.float64) for n in self.SHAPES])
 
@@ -395,12 +390,11 @@ def score(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""
     chunks = Chunks(docs.select("doc_id", "text"))
     offers = chunks.offers(_offer_words)
-    counts = written(chunks.answers(offers, "<i8", _summed, "counts", _distinct_training), "word-counts")
-    distinct = counts.filter("chunk = -1").agg(F.sum("total")).first()[0] or 0
+    counts = written(chunks.answers(offers, "<i8", _summed, "counts", _training_totals), "word-counts")
+    distinct, n_words = (n or 0 for n in counts.filter("chunk = -1").agg(F.sum("total"), F.sum("second_total")).first())
     training = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 != 2
     n_docs = docs.select("doc_id").filter(training).count()
     ids = written(chunks.table.mapInArrow(_encoded(path or public_path("byte_bpe_50k.json")), "chunk long, lengths binary, training binary, ids binary"), "ids")
-    n_words = chunks.table.mapInArrow(_training_words, "n long").agg(F.sum("n")).first()[0] or 0
-    base = chunks.joined(counts.filter("chunk >= 0").drop("total")).mapInArrow(_base(n_words, n_docs, distinct), BASE)
+    base = chunks.joined(counts.filter("chunk >= 0").drop("total", "second_total")).mapInArrow(_base(n_words, n_docs, distinct), BASE)
     scored = ids.mapInArrow(_scored(train(ids)), "chunk long, place long, score double")
     return base.join(scored, ["chunk", "place"]).drop("chunk", "place")
