@@ -68,6 +68,28 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _matched(chosen: np.ndarray):
+    """(found, hits): which chosen features a document has, and how often all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("features")
+            doc = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            keys = lists.flatten().to_numpy().view(np.uint64)
+            times = batch.column("times").flatten().to_numpy()
+            at = np.searchsorted(chosen, keys)
+            known = at < len(chosen)
+            known[known] = chosen[at[known]] == keys[known]
+            doc, at, times = doc[known], at[known], times[known]
+            offsets = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
+            found = pa.ListArray.from_arrays(offsets, pa.array(at, pa.int32()))
+            hits = np.bincount(doc, weights=times, minlength=batch.num_rows).astype(np.int64)
+            own = ["doc_id", "toxic", "grade", "n_words"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in own], found, pa.array(hits)], [*own, "found", "hits"])
+
+    return run
+
+
 class Model:
     """Chosen features in order of their hash, their weights, the weight of their density, and the thresholds."""
 
@@ -142,16 +164,14 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
     features = np.sort(np.array([r["feature"] for r in chosen.collect()], np.int64).view(np.uint64))
     if not len(features):
         return none
-    known = F.array(*[F.lit(int(f)) for f in features.view(np.int64)])
-    pairs = F.filter(F.arrays_zip("features", "times"), lambda p: F.array_contains(known, p["features"]))
-    rows = listed.select("doc_id", "toxic", "grade", "n_words", pairs.alias("pairs")).orderBy("doc_id").collect()  # ``limit`` rows
+    matched = listed.mapInArrow(
+        _matched(features), "doc_id long, toxic int, grade int, n_words long, found array<int>, hits long"
+    )
+    rows = matched.orderBy("doc_id").collect()  # about ``limit`` rows
     present = np.zeros((len(rows), len(features)))
-    hits = np.zeros(len(rows))
+    hits = np.array([r["hits"] for r in rows], np.float64)
     for i, row in enumerate(rows):
-        for pair in row["pairs"]:
-            at = np.searchsorted(features, np.array([pair["features"]], np.int64).view(np.uint64)[0])
-            present[i, at] = 1
-            hits[i] += pair["times"]
+        present[i, row["found"]] = 1
     words = np.array([r["n_words"] for r in rows], np.float64)
     is_toxic = np.array([r["toxic"] for r in rows]) > 0
     density = hits / np.maximum(words, 1)
