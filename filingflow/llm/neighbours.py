@@ -33,7 +33,7 @@ K = 10
 SAMPLE = 20_000
 MAX_LISTS = 4096
 #: Share of the lists a query probes, and the least number.
-PROBED, MIN_PROBED = 0.15, 16
+PROBED, MIN_PROBED = 0.6, 16
 PART, QUERY_PART = 8192, 2048
 #: Columns scanned between two tests, and the margin of the test.
 COLUMNS, MARGIN = 16, 2.1
