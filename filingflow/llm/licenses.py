@@ -10,8 +10,9 @@ probability of at most (5/8)^24, about 1 in 80,000.  A window that shares a band
 a template is a candidate; it counts if it holds ``MIN_CONTAINMENT`` of the
 template's shingles.
 
-A document whose block minima share no value with any template's has no candidate
-and goes no further, so only hits are exploded, joined and grouped.  The templates
+A window can only share a value if one of its blocks does.  A document none of whose
+blocks shares a value with a template goes no further; of the others the blocks that do
+are exploded, each with its surroundings, so a long text is never copied per window.  The templates
 are a parameter; their bands are broadcast, so their number is limited.
 
 Defined cases: a null or short text has no shingles and no license; repeated ids are
@@ -111,20 +112,39 @@ def licenses(
     rows = _hashed(docs.select("doc_id", "text"), ["doc_id"])
     rows = computed_once(rows, ["doc_id", "shingles"], minima=_block_minima(F.col("shingles"), bands))
     hit = rows.filter(F.arrays_overlap(F.flatten("minima"), every.scalar()))
-    # the windows of all widths that start at a block; the last ones are cut short by the text's end
-    windows = hit.withColumn("blocks", F.explode(widths.scalar())).select(
-        "doc_id", "shingles", "blocks", "minima", F.posexplode("minima").alias("block", "first")
+    hit = computed_once(hit, hit.columns, known=every.scalar(), widths=widths.scalar())
+    zero = F.lit(0)
+    # blocks that share a value with a template, each with what lies within the widest window of it
+    block = F.filter(
+        F.sequence(zero, F.size("minima") - 1), lambda b: F.arrays_overlap(F.get(F.col("minima"), b), F.col("known"))
     )
-    signature = F.aggregate(
-        F.slice("minima", F.col("block") + 1, F.col("blocks")),
-        F.col("first"),
-        lambda a, b: F.zip_with(a, b, lambda x, y: F.least(x, y)),
+    widest = F.array_max("widths")
+
+    def near(b: Column) -> Column:
+        first = F.greatest(b - widest + 1, zero)
+        return F.struct(
+            b.alias("hit"), first.alias("first"),
+            F.slice("minima", first + 1, b - first + widest).alias("near"),
+            F.slice("shingles", first * BLOCK + 1, (b - first + widest) * BLOCK).alias("around"),
+        )
+
+    places = computed_once(hit, ["doc_id", "shingles", "minima", "widths", "known"], blocks=block)
+    places = places.select("doc_id", "widths", F.inline(F.transform("blocks", near)))
+    # all windows, of each width, that hold the block; the last ones are cut short by the text's end
+    windows = places.withColumn("blocks", F.explode("widths"))
+    windows = windows.withColumn(
+        "block", F.explode(F.sequence(F.greatest(F.col("hit") - F.col("blocks") + 1, zero), F.col("hit")))
     )
+    at = F.col("block") - F.col("first")
     windows = computed_once(
         windows,
         ["doc_id", "blocks", "block"],
-        signature=signature,
-        held=F.slice("shingles", F.col("block") * BLOCK + 1, F.col("blocks") * BLOCK),
+        signature=F.aggregate(
+            F.slice("near", at + 1, F.col("blocks")),
+            F.get("near", at),
+            lambda a, b: F.zip_with(a, b, lambda x, y: F.least(x, y)),
+        ),
+        held=F.slice("around", at * BLOCK + 1, F.col("blocks") * BLOCK),
     )
     probes = windows.select(
         "doc_id", "blocks", "block", "held", F.posexplode("signature").alias("band", "value")
