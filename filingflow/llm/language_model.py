@@ -7,8 +7,8 @@ P(id | class).  Counts over all training documents give P(id | class), the class
 of the same counts) and a prior of the class given the class before.  One layer of
 causal self-attention over the embeddings adds to the prior's logits.  Its weights,
 some thousands whatever the corpus, are trained by every task on its share of the
-windows and averaged over all tasks, for ``ROUNDS`` rounds; a window takes part by hash,
-so what is learned from grows with the input.
+windows and averaged over all tasks, for ``ROUNDS`` rounds.  A hash of document and place
+deals the windows of the training documents to the rounds, so each of them is used once.
 
 A text is scored in windows of ``CONTEXT + STEP`` ids that overlap by ``CONTEXT``; each id,
 and the end id, is scored once, with at least ``CONTEXT`` ids before it where there are as
@@ -37,17 +37,18 @@ from ..session import written
 from .chunks import Chunks, answered, squeeze, unpack, unsqueeze
 from .neighbours import centres
 from .tokens import encoder, public_path
-from .words import Words
+from .words import Words, mix
 
 CONTEXT, STEP = 8, 24
 LENGTH = CONTEXT + STEP
 WIDTH, CLASSES = 16, 48
 #: Kinds of preceding ids that are told apart: ids are numbered by the tokenizer's own order of merges.
 KINDS, KIND_IDS = 48, 24
-ROUNDS, SHARE, RATE = 2, 24, 0.01
+ROUNDS, RATE = 2, 0.01
 END = 50_256
 IDS = 50_257
 BATCH = 2048
+_DOCUMENT = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -320,6 +321,16 @@ class Model:
         return np.concatenate([g[n].ravel().astype(np.float64) for n in self.SHAPES])
 
 
+def _drawn(own: Sequences, chunk: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, first id to score) of the training windows of a round, in the order of their hashes."""
+    doc, at = own.windows()
+    doc, at = doc[own.training[doc]], at[own.training[doc]]
+    place = mix(mix(np.uint64(chunk) + doc.astype(np.uint64) * _DOCUMENT) + (at // STEP).astype(np.uint64))
+    mine = np.flatnonzero(place % np.uint64(ROUNDS) == turn)
+    mine = mine[np.argsort(place[mine], kind="stable")]
+    return doc[mine], at[mine]
+
+
 def _trained(model: Model, turn: int):
     """(cell, n, value): the task's weights after its windows of this round, times the number of windows."""
 
@@ -330,10 +341,7 @@ def _trained(model: Model, turn: int):
         for batch in batches:
             for row in batch.to_pylist():
                 own = Sequences(row)
-                doc, at = own.windows()
-                drawn = (doc * 2_654_435_761 + at * 97 + row["chunk"] * 31) % (1 << 32) % SHARE == turn
-                drawn &= own.training[doc]
-                doc, at = doc[drawn], at[drawn]
+                doc, at = _drawn(own, row["chunk"], turn)
                 for i in range(0, len(doc), 256):
                     step, seen = step + 1, seen + len(doc[i : i + 256])
                     g = model.slope(weights, *own.batch(doc[i : i + 256], at[i : i + 256]))

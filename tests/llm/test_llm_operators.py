@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -511,6 +512,43 @@ def test_the_model_is_causal():
     assert np.allclose(one[:-1], two[:-1]) and not np.allclose(one[-1], two[-1])
 
 
+def test_every_training_window_is_used_once():
+    lengths = np.array([70_000, 0, 5, 24, 1000, 300, 48, 2000], "<u4")
+    ids = np.random.default_rng(1).integers(0, 50_000, int(lengths.sum())).astype("<u2")
+    training = np.array([1, 1, 1, 0, 1, 1, 1, 0], bool)
+    own = language_model.Sequences(
+        {"lengths": chunks.squeeze(lengths), "training": np.packbits(training).tobytes(), "ids": chunks.squeeze(ids)}
+    )
+    want = Counter((d, a) for d, a in zip(*(x.tolist() for x in own.windows()), strict=True) if training[d])
+    for chunk in (0, 5 << 24 | 3):
+        got, n = Counter(), []
+        for turn in range(language_model.ROUNDS):
+            doc, at = language_model._drawn(own, chunk, turn)
+            got.update(zip(doc.tolist(), at.tolist(), strict=True))
+            n.append(int((doc == 0).sum()))
+        assert got == want
+        assert min(n) > 0.4 * sum(n)  # a round has windows from all over a long document
+
+
+def test_training_sees_every_training_document(monkeypatch):
+    seen = Counter()
+    slope = language_model.Model.slope
+
+    def counted(self, weights, inputs, targets, counts, within):
+        seen.update(targets[counts].tolist())
+        return slope(self, weights, inputs, targets, counts, within)
+
+    monkeypatch.setattr(language_model.Model, "slope", counted)
+    n = 40
+    lengths = np.full(n, 60, "<u4")
+    ids = np.repeat(np.arange(n), 60).astype("<u2")  # each document has an id of its own
+    row = {"chunk": 7, "lengths": chunks.squeeze(lengths), "training": np.packbits(np.ones(n, bool)).tobytes(), "ids": chunks.squeeze(ids)}
+    batch = pa.RecordBatch.from_pylist([row])
+    for turn in range(language_model.ROUNDS):
+        list(language_model._trained(small_model(), turn)(iter([batch])))
+    assert seen == Counter(ids.tolist()) + Counter({language_model.END: n})
+
+
 def test_the_gradient_is_right():
     model = small_model()
     own = sequence(60)
