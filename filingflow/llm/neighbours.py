@@ -37,6 +37,8 @@ PROBED, MIN_PROBED = 0.6, 16
 PART, QUERY_PART = 8192, 2048
 #: Columns scanned between two tests, and the margin of the test.
 COLUMNS, MARGIN = 16, 2.1
+#: Squared distances this far apart, as a share of the query's squared norm, are not told apart: rotating rounds.
+ROUNDING = 1e-12
 SEED = 7
 
 
@@ -80,6 +82,7 @@ def scan(query: np.ndarray, rotated: np.ndarray, k: int, columns: int = COLUMNS,
         return np.arange(n)
     head = ((rotated[:, : 4 * k] - query[:, None]) ** 2).sum(0)
     bound = np.partition(head, k - 1)[k - 1]
+    slack = ROUNDING * (query @ query)
     left = np.arange(n)
     partial = np.zeros(n)
     for first in range(0, dim, columns):
@@ -88,11 +91,11 @@ def scan(query: np.ndarray, rotated: np.ndarray, k: int, columns: int = COLUMNS,
         partial = partial + ((rows - query[block, None]) ** 2).sum(0)
         done = block.stop
         if done < dim:
-            keep = partial <= bound * done / dim * (1 + margin / np.sqrt(done)) ** 2
+            keep = partial <= bound * done / dim * (1 + margin / np.sqrt(done)) ** 2 + slack
         else:
             if len(partial) > k:
                 bound = min(bound, np.partition(partial, k - 1)[k - 1])
-            keep = partial <= bound * (1 + 1e-9) + 1e-12
+            keep = partial <= bound * (1 + 1e-9) + slack
         left, partial = left[keep], partial[keep]
     return left
 

@@ -417,6 +417,20 @@ def test_hot_vector_is_cut_into_parts(spark, monkeypatch):
     assert sorted((r[0], r[1], r[2]) for r in got) == sorted((q, r, v) for q, r, v, _ in plain.nearest(rows_in))
 
 
+@pytest.mark.parametrize("dim, length", [(32, 1.0), (64, 1.0), (64, 1e8), (128, 1e-8)])
+def test_scan_keeps_all_copies_of_the_query(dim, length):
+    turn = neighbours.rotation(dim)
+    for seed in range(8):
+        rng = np.random.default_rng(seed)
+        own = rng.standard_normal((2000, dim))
+        hot = np.concatenate([np.arange(30), rng.choice(np.arange(30, 2000), 100, replace=False)])
+        own[hot] = own[0]
+        own *= length
+        rotated = np.ascontiguousarray((own @ turn).T)
+        for query in own[np.arange(3)] @ turn:
+            assert set(hot) <= set(neighbours.scan(query, rotated, 10).tolist())
+
+
 # --- toxicity -----------------------------------------------------------------------
 
 
