@@ -16,7 +16,8 @@ are exploded, each with its surroundings, so a long text is never copied per win
 are a parameter; their bands are broadcast, so their number is limited.
 
 Defined cases: a null or short text has no shingles and no license; repeated ids are
-one document; a template of fewer than three shingles is refused; of equal matches of
+one document, each of its texts being verified by itself (texts are told apart by a
+64-bit hash), and of repeated texts one counts; a template of fewer than three shingles is refused; of equal matches of
 a template the first place counts; an empty table gives an empty result; columns
 other than ``doc_id`` and ``text`` are not read.
 """
@@ -109,8 +110,8 @@ def licenses(
     known = template_bands(spark, templates or TEMPLATES, bands)
     every = known.agg(F.array_distinct(F.flatten(F.collect_list("minima"))).alias("values"))
     widths = known.agg(F.sort_array(F.collect_set("blocks")).alias("widths"))
-    rows = _hashed(docs.select("doc_id", "text"), ["doc_id"])
-    rows = computed_once(rows, ["doc_id", "shingles"], minima=_block_minima(F.col("shingles"), bands))
+    rows = _hashed(docs.select("doc_id", F.xxhash64("text").alias("version"), "text"), ["doc_id", "version"])
+    rows = computed_once(rows, ["doc_id", "version", "shingles"], minima=_block_minima(F.col("shingles"), bands))
     hit = rows.filter(F.arrays_overlap(F.flatten("minima"), every.scalar()))
     hit = computed_once(hit, hit.columns, known=every.scalar(), widths=widths.scalar())
     zero = F.lit(0)
@@ -128,8 +129,8 @@ def licenses(
             F.slice("shingles", first * BLOCK + 1, (b - first + widest) * BLOCK).alias("around"),
         )
 
-    places = computed_once(hit, ["doc_id", "shingles", "minima", "widths", "known"], blocks=block)
-    places = places.select("doc_id", "widths", F.inline(F.transform("blocks", near)))
+    places = computed_once(hit, ["doc_id", "version", "shingles", "minima", "widths", "known"], blocks=block)
+    places = places.select("doc_id", "version", "widths", F.inline(F.transform("blocks", near)))
     # all windows, of each width, that hold the block; the last ones are cut short by the text's end
     windows = places.withColumn("blocks", F.explode("widths"))
     windows = windows.withColumn(
@@ -138,7 +139,7 @@ def licenses(
     at = F.col("block") - F.col("first")
     windows = computed_once(
         windows,
-        ["doc_id", "blocks", "block"],
+        ["doc_id", "version", "blocks", "block"],
         signature=F.aggregate(
             F.slice("near", at + 1, F.col("blocks")),
             F.get("near", at),
@@ -147,12 +148,12 @@ def licenses(
         held=F.slice("around", at * BLOCK + 1, F.col("blocks") * BLOCK),
     )
     probes = windows.select(
-        "doc_id", "blocks", "block", "held", F.posexplode("signature").alias("band", "value")
+        "doc_id", "version", "blocks", "block", "held", F.posexplode("signature").alias("band", "value")
     )
     index = known.select("license", "wanted", "blocks", F.posexplode("minima").alias("band", "value"))
     candidates = (
         probes.join(F.broadcast(index), ["blocks", "band", "value"])
-        .groupBy("doc_id", "license", "block")
+        .groupBy("doc_id", "version", "license", "block")
         .agg(F.first("held").alias("held"), F.first("wanted").alias("wanted"))
     )
     shared = F.size(F.array_intersect("held", "wanted"))

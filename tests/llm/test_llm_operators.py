@@ -122,6 +122,15 @@ def test_a_license_is_found_wherever_it_starts(spark, lead):
     assert {(r["doc_id"], r["license"]) for r in got} >= set(enumerate(licenses.TEMPLATES))
 
 
+def test_each_text_of_an_id_is_verified(spark):
+    whole = licenses.TEMPLATES["bsd-3-clause"]
+    half = " ".join(whole.split()[:8] + [f"other{i}" for i in range(20)])
+    rows_in = [(1, whole), (1, half), (2, half), (2, whole), (3, half), (4, whole), (4, whole), (None, half), (None, whole), (None, half + " x")]
+    df = spark.createDataFrame(rows_in, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["license"], r["containment"], r["n_windows"]) for r in licenses.licenses(df).collect()}
+    assert set(got) == {1, 2, 4, None} and set(got.values()) == {("bsd-3-clause", 1.0, got[4][2])}
+
+
 def test_licenses_of_nothing(spark, empty):
     assert licenses.licenses(empty).count() == 0
     with pytest.raises(Exception, match="too short"):
