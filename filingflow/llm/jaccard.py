@@ -17,8 +17,8 @@ none is made between classes known to be connected.
 
 Defined cases: a text without words has an empty set and is linked with nothing; with
 fewer than five words the whole sequence is the one shingle; a null id has its shingles
-counted and no component; rows of the same id are told apart by their sets only where
-these differ; an empty table gives an empty result; columns other than ``doc_id`` and
+counted and no component; rows of the same id are told apart by their classes, but an
+id that stands for a class is linked if any of its sets is; an empty table gives an empty result; columns other than ``doc_id`` and
 ``text`` are not read.
 """
 
@@ -129,17 +129,17 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(pairs: pa.Table, hubs: pa.Table) -> pa.Table:
-    found = []
-    for hub in hubs.column("hub_keys").to_pylist()[:1]:
+    packed = pairs.column("keys").to_pylist()
+    found = np.zeros(len(packed), bool)
+    for hub in set(hubs.column("hub_keys").to_pylist()):  # several where rows of the hub's id differ
         of_hub = unsqueeze_sorted(hub)
-        for keys in pairs.column("keys").to_pylist():
-            own = unsqueeze_sorted(keys)
+        for i in np.flatnonzero(~found) if len(of_hub) else []:
+            own = unsqueeze_sorted(packed[i])
             at = np.searchsorted(of_hub, own)
             at[at == len(of_hub)] = 0
             shared = int((of_hub[at] == own).sum())
-            found.append(DENOMINATOR * shared >= NUMERATOR * (len(own) + len(of_hub) - shared))
-    linked = pairs.filter(pa.array(found, pa.bool_())) if found else pairs.slice(0, 0)
-    return linked.select(["a", "b"])
+            found[i] = DENOMINATOR * shared >= NUMERATOR * (len(own) + len(of_hub) - shared)
+    return pairs.filter(pa.array(found, pa.bool_())).select(["a", "b"])
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:

@@ -370,6 +370,16 @@ def test_jaccard_links_near_copies_without_a_common_base(spark, changed, monkeyp
     assert rows(got) == Counter(plain.jaccard_groups(source))
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_jaccard_compares_with_every_set_of_a_hub(order):
+    near, other, empty = (np.arange(i, i + 40, dtype=np.uint64) for i in (0, 1000, 0))
+    packed = [chunks.squeeze_sorted(s) for s in (near, other, empty[:0])][::order]
+    hubs = pa.table({"b": [1] * 3, "salt": [0] * 3, "hub_keys": packed})
+    own = [chunks.squeeze_sorted(s) for s in (near[2:], other[1:], near + np.uint64(30), empty[:0])]
+    pairs = pa.table({"a": [2, 3, 4, 5], "b": [1] * 4, "salt": [0] * 4, "keys": own})
+    assert jaccard._similar(pairs, hubs).to_pydict() == {"a": [2, 3], "b": [1, 1]}
+
+
 def test_jaccard_on_odd_rows(odd):
     found = jaccard.jaccard_components(odd).collect()
     assert len(found) == odd.count()
