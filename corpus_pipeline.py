@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from filingflow.llm import jaccard, mixing, packing, quality, repeats
+from filingflow.llm.text import unused
 from filingflow.session import configure, written
 
 
@@ -15,15 +16,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked documents; of rows with its id the least one."""
-    groups = jaccard.jaccard_components(docs)
-    first = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows_of_id"))
-    first = written(first, "first-of-group")
-    kept = docs.join(first, "doc_id")
-    once = kept.filter("rows_of_id = 1").select(docs.columns)
-    row = F.min(F.struct(*docs.columns)).alias("row")
-    several = kept.filter("rows_of_id > 1").groupBy("doc_id").agg(row).select("row.*")
-    return once.unionByName(several).unionByName(docs.filter("doc_id IS NULL"))
+    """The document with the smallest id of each group of linked documents.
+
+    Rows of one id are documents of their own.  Those without words count as copies of each
+    other and of the id's other rows; rows without an id stay.
+    """
+    named, unnamed = docs.filter("doc_id IS NOT NULL"), docs.filter("doc_id IS NULL")
+    if named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").isEmpty():
+        groups = jaccard.jaccard_components(docs)
+        first = written(groups.filter("doc_id = component_id").select("doc_id"), "first-of-group")
+        return named.join(first, "doc_id").select(docs.columns).unionByName(unnamed)
+    row = unused("row", docs.columns)
+    numbered = written(named.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = jaccard.jaccard_components(numbered.select(F.col(row).alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias(row), "n_shingles", "component_id")
+    order = F.struct("doc_id", F.xxhash64(*docs.columns).alias("content"), row).alias("order")
+    placed = written(numbered.select(row, "doc_id", order).join(groups, row), "placed")
+    worded = placed.filter("n_shingles > 0")
+    blank = placed.filter("n_shingles = 0").join(worded.select("doc_id").distinct(), "doc_id", "left_anti")
+    first = worded.groupBy("component_id").agg(F.min("order").alias("first")).select(f"first.{row}").unionByName(
+        blank.groupBy("doc_id").agg(F.min("order").alias("first")).select(f"first.{row}")
+    )
+    return numbered.join(written(first, "first-of-group"), row).select(docs.columns).unionByName(unnamed)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

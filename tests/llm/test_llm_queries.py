@@ -49,5 +49,13 @@ def test_pipeline_stages_on_odd_rows(spark, sf_dir, odd):
     assert corpus_pipeline.STAGES[1][1](spark, docs, sf_dir).filter("doc_id = 3").count() == 1
 
 
+def test_near_duplicates_keep_different_texts_of_an_id(spark, sf_dir):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(100)) for c in "abc")
+    rows = [(1, one), (2, two), (2, three), (2, three + " end"), (2, " "), (3, one + " end"), (3, two), (4, " "), (4, None), (5, three), (None, one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r["doc_id"], (r["text"] or " ").removesuffix(" end")) for r in corpus_pipeline.near_duplicates(spark, df, sf_dir).collect()]
+    assert sorted(got, key=str) == sorted([(1, one), (2, two), (2, three), (4, " "), (None, one)], key=str)
+
+
 def test_pipeline_runs(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
