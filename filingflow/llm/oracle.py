@@ -8,7 +8,7 @@ ORACLE: dict[str, str] = {
         ),
         parts AS (SELECT src, rate, greatest(ceil(rate / 16.0), 1) AS parts FROM rates),
         cdf AS (
-            SELECT src, k, sum(exp(-rate / parts) * pow(rate / parts, k) / factorial(CAST(k AS INTEGER)))
+            SELECT src, k, sum(exp(k * ln(rate / parts) - rate / parts - lgamma(k + 1.0)))
                 OVER (PARTITION BY src ORDER BY k) AS c
             FROM parts, range(0, 90) AS steps(k)
         ),
@@ -27,4 +27,37 @@ ORACLE: dict[str, str] = {
             CAST('0x' || substr(md5('17-order:' || d.doc_id || ':' || i), 1, 13) AS BIGINT) AS shuffle_key
         FROM documents d JOIN counts c ON c.doc_id = d.doc_id AND c.src IS NOT DISTINCT FROM d.source
         JOIN parts p ON p.src IS NOT DISTINCT FROM d.source, range(1, 400) AS r(i) WHERE i <= c.n""",
+    "op13_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]'
+            )) AS piece FROM documents
+        ),
+        texts AS (SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^ \t]+') AS words FROM pieces),
+        w AS (
+            SELECT lang, p, w1, i, lead(w1, 1) OVER places AS w2, lead(w1, 2) OVER places AS w3, lead(w1, 3) OVER places AS w4
+            FROM (SELECT lang, p, unnest(words) AS w1, unnest(range(len(words))) AS i FROM texts) WINDOW places AS (PARTITION BY p ORDER BY i)
+        ),
+        f AS (
+            SELECT lang, [w1] AS x, count(*) AS f FROM w GROUP BY ALL
+            UNION ALL SELECT lang, [w1, w2], count(*) FROM w WHERE w2 IS NOT NULL GROUP BY ALL
+            UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM w WHERE w3 IS NOT NULL GROUP BY ALL
+            UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM w WHERE w4 IS NOT NULL GROUP BY ALL
+        ),
+        often AS (SELECT * FROM f WHERE f >= 30),
+        cuts AS (
+            SELECT c.lang, c.x, c.f AS a, k, first.f AS l, rest.f AS r, CAST(2000000::HUGEINT * c.f // (first.f + rest.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, len(x))) AS k FROM often WHERE len(x) > 1) c
+            JOIN often first ON first.lang = c.lang AND first.x = c.x[:k] JOIN often rest ON rest.lang = c.lang AND rest.x = c.x[k + 1:]
+        ),
+        covered AS (
+            SELECT s.lang, s.x FROM (SELECT lang, f, unnest([x[:-2], x[2:]]) AS x FROM often WHERE len(x) > 2) b
+            JOIN often s ON s.lang = b.lang AND s.x = b.x AND 100 * b.f >= 80 * s.f
+        ),
+        best AS (SELECT * FROM cuts ANTI JOIN covered USING (lang, x) QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, k) = 1)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM (
+            SELECT *, array_to_string(x, ' ') AS phrase, row_number() OVER (
+                PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(x, ' ')
+            ) AS rank FROM best
+        ) JOIN (SELECT lang, count(*) AS n FROM w GROUP BY lang) USING (lang) WHERE rank <= 2000""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure
-from . import idfiles, jaccard, language_model, licenses as license_scan, mixing, neighbours, packing, quality as quality_rules, repeats, toxicity
+from . import idfiles, jaccard, language_model, licenses as license_scan, mixing, neighbours, packing, phrases, quality as quality_rules, repeats, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -73,3 +73,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(table(spark, sf_dir, "documents"))
