@@ -60,4 +60,24 @@ ORACLE: dict[str, str] = {
                 PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(x, ' ')
             ) AS rank FROM best
         ) JOIN (SELECT lang, count(*) AS n FROM w GROUP BY lang) USING (lang) WHERE rank <= 2000""",
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+        ),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same
+            AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER best <= 10""",
 }

@@ -4,20 +4,24 @@ The relation of length 1 holds every word at its place: documents are packed int
 of one language, pieces one after another with a gap between them, so a chunk's
 occurrences are sorted by piece and position.  Each length is built from the one before:
 
-1. *group-count*: the distinct phrases of each chunk with their counts are rows, summed
-   over all chunks; those of ``LEAST`` occurrences or more are frequent;
-2. *semi-join*: each chunk's phrases are joined with the frequent ones, and what comes
-   back to the chunk is the number of each that stays;
-3. *merge-join*: an occurrence at a position meets the one at the next position of the
+1. *merge-join*: an occurrence at a position meets the one at the next position of the
    same piece, which overlaps it in all but one word; together they are an occurrence
-   one word longer.
-
-Both relations, occurrences and phrases of the chunks, are written at every length.  A
-phrase is named by its two parts' numbers and a word by itself, so counts are exact and
-nothing is told apart by hash.  A word that all texts use is one row per chunk; no table
-of words or phrases is broadcast or collected.  A task holds one chunk, about
-``CHUNK_BYTES`` of text or one longer text, cut into slices of ``SLICE`` while its words
-are read.
+   one word longer;
+2. *group-count*: the distinct phrases of each chunk with their counts are rows, summed
+   over all chunks; those of ``LEAST`` occurrences or more are frequent;
+3. *semi-join*: only occurrences of frequent phrases stay in the relation that the next
+   length is built from.  Words are joined with the frequent ones exactly, which numbers
+   them.  Longer phrases are tested against a bit filter of the frequent ones, of
+   ``BITS`` per phrase and ``MOST_BITS`` at most, so that nothing goes back from the
+   counts to the chunks: what passes by chance is counted at the next length and, being
+   rarer than a rare part, falls out there.  A fuller filter keeps more occurrences and
+   changes no result.
+
+The relations are written at every length, and removed once the next one is.  Words are
+told apart by themselves and phrases by their words' numbers, so counts are exact.  A word
+that all texts use is one row per chunk; no table of words or phrases is broadcast or
+collected.  A task holds one chunk, about ``CHUNK_BYTES`` of text or one longer text, cut
+into slices of ``SLICE`` while its words are read.
 
 Defined cases: a null text is empty; a null language is ``und``; an empty language is one
 of its own; rows with the same id are texts of their own; an empty table gives an empty
@@ -33,8 +37,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..session import written
+from ..session import clear, fresh_dir, written
 from .chunks import squeeze, unsqueeze
+from .words import mix
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A candidate goes if a longer one around it has this share of its occurrences, in percent.
@@ -44,12 +49,15 @@ CHUNK_BYTES = 32 << 20
 SLICE = 4 << 20
 #: Parts of a language that are ranked by themselves first.
 RANK_PARTS = 64
+#: Size of the filter of frequent phrases, a power of two, and the hashes of a phrase in it.
+BITS, MOST_BITS, HASHES = 16, 1 << 27, 4
 
 # A-Z folded; what ends a piece becomes a full stop, which no word holds
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz......... ")
 _GAP = b"."
 
-RELATION = "chunk long, lang string, local int, word binary, left long, right long, n long, places binary"
+WORDS = "chunk long, lang string, local int, word binary, n long, places binary"
+RELATION = "chunk long, lang string, places binary, ids binary"
 
 
 def _slices(data: bytes) -> Iterator[bytes]:
@@ -80,26 +88,20 @@ class _Words:
         self.places.append(np.zeros(1, np.int32))
 
     def rows(self, chunk: int, lang: str) -> pa.RecordBatch:
+        """The distinct words of a chunk, and last, numbered -1, its relation of occurrences."""
         places = np.concatenate(self.places) - np.int32(1)
         words = list(self.numbers)[1:]
-        counts = np.bincount(places + 1, minlength=len(words) + 1)[1:]
-        none = pa.nulls(len(words) + 1, pa.int64())
-        return _rows(chunk, lang, counts, none, none, places, pa.array([*words, None], pa.binary()))
-
-
-def _rows(chunk: int, lang: str, counts: np.ndarray, left, right, places: np.ndarray, words=None) -> pa.RecordBatch:
-    """The distinct phrases of a chunk, and last, numbered -1, its relation of occurrences."""
-    n = len(counts)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(n + 1, chunk)), pa.array([lang] * (n + 1), pa.string()),
-            pa.array(np.append(np.arange(n), -1), pa.int32()),
-            pa.nulls(n + 1, pa.binary()) if words is None else words, left, right,
-            pa.array(np.append(counts, int((places >= 0).sum())), pa.int64()),
-            pa.array([None] * n + [squeeze(places.astype("<i4"))], pa.binary()),
-        ],
-        ["chunk", "lang", "local", "word", "left", "right", "n", "places"],
-    )
+        n = len(words)
+        counts = np.bincount(places + 1, minlength=n + 1)[1:]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n + 1, chunk)), pa.array([lang] * (n + 1), pa.string()),
+                pa.array(np.append(np.arange(n), -1), pa.int32()), pa.array([*words, None], pa.binary()),
+                pa.array(np.append(counts, counts.sum()), pa.int64()),
+                pa.array([None] * n + [squeeze(places.astype("<i4"))], pa.binary()),
+            ],
+            ["chunk", "lang", "local", "word", "n", "places"],
+        )
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,79 +125,166 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from close()
 
 
-def _longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    """The relation of phrases one word longer, from a chunk's occurrences and the numbers of its frequent phrases."""
-    if not relation.num_rows or not frequent.num_rows:
-        return pa.Table.from_batches([_rows(0, "", np.zeros(0), *[pa.nulls(1, pa.int64())] * 2, np.zeros(0))]).slice(0, 0)
-    places = unsqueeze(relation.column("places")[0].as_py(), "<i4")
+def _relation(chunk: int, lang: str, places: np.ndarray, ids: np.ndarray) -> pa.Table:
+    return pa.table({
+        "chunk": pa.array([chunk], pa.int64()), "lang": pa.array([lang], pa.string()),
+        "places": pa.array([squeeze(places.astype("<i4"))], pa.binary()), "ids": pa.array([squeeze(ids.astype("<i8"))], pa.binary()),
+    })
+
+
+def _numbered_words(words: pa.Table, frequent: pa.Table) -> pa.Table:
+    """A chunk's occurrences of frequent words, as places among their numbers; -1 elsewhere."""
+    if not words.num_rows or not frequent.num_rows:
+        return _relation(0, "", np.zeros(0), np.zeros(0)).slice(0, 0)
+    places = unsqueeze(words.column("places")[0].as_py(), "<i4")
     ids = frequent.column("id").to_numpy()
-    rank = np.full(int(places.max(initial=-1)) + 2, -1, np.int64)  # its last entry stands for "no phrase here"
+    rank = np.full(int(places.max(initial=-1)) + 2, -1, np.int32)  # the last entry is for the gaps
     rank[frequent.column("local").to_numpy()] = np.arange(len(ids))
-    held = rank[places]
-    at = np.flatnonzero((held[:-1] >= 0) & (held[1:] >= 0))
-    keys, number, counts = np.unique(held[at] * len(ids) + held[at + 1], return_inverse=True, return_counts=True)
-    places = np.full(len(places), -1, np.int32)
-    places[at] = number
-    sides = (pa.concat_arrays([pa.array(ids[side]), pa.nulls(1, pa.int64())]) for side in (keys // len(ids), keys % len(ids)))
-    found = _rows(relation.column("chunk")[0].as_py(), relation.column("lang")[0].as_py(), counts, *sides, places)
-    return pa.Table.from_batches([found])
-
-
-def occurrences(docs: DataFrame) -> DataFrame:
-    """The relation of length 1."""
+    return _relation(words.column("chunk")[0].as_py(), words.column("lang")[0].as_py(), rank[places], ids)
+
+
+def _starts(places: np.ndarray, length: int) -> np.ndarray:
+    """Where ``length`` places follow each other without a gap."""
+    gaps = np.cumsum(np.concatenate([[0], places < 0]))
+    return np.flatnonzero(gaps[length:] == gaps[:-length]) if len(places) >= length else np.zeros(0, np.int64)
+
+
+def _ids_of(name: int) -> str:
+    return f"w{name + 1}"
+
+
+def _counted(length: int):
+    """Rows of the distinct phrases of ``length`` words of a chunk and how often each occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed, packed_ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                places, ids = unsqueeze(packed, "<i4"), unsqueeze(packed_ids, "<i8")
+                at = _starts(places, length)
+                number = places[at].astype(np.int64)
+                for j in range(1, length):  # numbers of ever longer phrases
+                    keys, first, number, counts = np.unique(
+                        number * len(ids) + places[at + j], return_index=True, return_inverse=True, return_counts=True
+                    )
+                columns = [pa.array(ids[places[at[first] + j]]) for j in range(length)] if len(at) else [pa.array([], pa.int64())] * length
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(counts, pa.int64())], [*map(_ids_of, range(length)), "n"]
+                )
+
+    return run
+
+
+def _places_in_filter(ids: list[np.ndarray], bits: int) -> Iterator[np.ndarray]:
+    """The bits of phrases, given their words' numbers; one array per hash."""
+    key = np.zeros(len(ids[0]), np.uint64)
+    for column in ids:
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64) + np.uint64(1))
+    for turn in range(HASHES):
+        yield mix(key + np.uint64(turn)) & np.uint64(bits - 1)
+
+
+def filter_of(frequent: DataFrame, length: int) -> np.ndarray:
+    """The filter as 64-bit words, of bounded size; only its words come to the driver."""
+    bits = 1 << 12
+    n = frequent.count()
+    while bits < BITS * n and bits < MOST_BITS:
+        bits *= 2
+    names = [_ids_of(j) for j in range(length)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.concatenate(list(_places_in_filter([batch.column(j).to_numpy() for j in range(length)], bits)))
+            word, group = np.unique(at >> np.uint64(6), return_inverse=True)
+            held = np.zeros(len(word), np.uint64)
+            np.bitwise_or.at(held, group, np.uint64(1) << (at & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(held.view(np.int64))], ["word", "held"])
+
+    rows = frequent.select(*names).mapInArrow(run, "word long, held long").groupBy("word").agg(F.bit_or("held").alias("held")).toArrow()
+    found = np.zeros(bits >> 6, np.uint64)
+    found[rows.column("word").to_numpy()] = rows.column("held").to_numpy().view(np.uint64)
+    return found
+
+
+def _kept(length: int, held: np.ndarray):
+    """The relation of occurrences that pass the filter: runs in which all ``length`` words are one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                places, ids = unsqueeze(row["places"], "<i4"), unsqueeze(row["ids"], "<i8")
+                at = _starts(places, length)
+                for bit in _places_in_filter([ids[places[at + j]] for j in range(length)], len(held) << 6):
+                    hit = (held[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)
+                    at = np.where(hit == 1, at, -1)
+                at = at[at >= 0]
+                # a run from its first start to the end of its last phrase, and a gap
+                first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+                sizes = np.diff(np.append(first, len(at))) + length
+                ends = np.cumsum(sizes)
+                found = np.repeat(at[first] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+                kept = places[found] if len(found) else np.zeros(0, np.int32)
+                kept[ends - 1] = -1
+                yield from _relation(row["chunk"], row["lang"], kept, ids).to_batches()
+
+    return run
+
+
+def occurrences(docs: DataFrame, folder: str) -> DataFrame:
+    """The words of each chunk, and the relation of length 1."""
     texts = docs.select(
         F.spark_partition_id().cast("long").alias("part"), F.coalesce("lang", F.lit("und")).alias("lang"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
-    return written(texts.mapInArrow(_words, RELATION), "words")
-
-
-def _numbered(phrases: DataFrame, name: str) -> DataFrame:
-    return written(phrases.withColumn("id", F.monotonically_increasing_id()), name)
+    return written(texts.mapInArrow(_words, WORDS), "words", folder)
 
 
-def frequent_words(relation: DataFrame, least: int) -> DataFrame:
-    """(lang, word, words, f, heads, tails, id): ``heads`` and ``tails`` are the counts of shorter first and last parts."""
+def frequent_words(words: DataFrame, least: int) -> DataFrame:
+    """(w1, lang, word, words, f, heads, tails): ``heads`` and ``tails`` are the counts of shorter first and last parts."""
     none = F.array().cast("array<long>")
-    counted = relation.filter("local >= 0").groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    return _numbered(counted.select("lang", "word", F.array("word").alias("words"), "f", none.alias("heads"), none.alias("tails")), "frequent")
+    counted = words.filter("local >= 0").groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    return written(
+        counted.select(
+            F.monotonically_increasing_id().alias("w1"), "lang", "word", F.array("word").alias("words"), "f", none.alias("heads"), none.alias("tails")
+        ),
+        "frequent",
+    )
 
 
-def frequent_phrases(relation: DataFrame, shorter: DataFrame, least: int) -> DataFrame:
-    """As ``frequent_words``, with the numbers ``left`` and ``right`` of a phrase's first and last part."""
-    counted = relation.filter("local >= 0").groupBy("left", "right").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    first = shorter.select(
-        F.col("id").alias("left"), "lang", F.col("words").alias("head"), F.concat("heads", F.array("f")).alias("heads")
-    )
+def frequent_phrases(relation: DataFrame, shorter: DataFrame, length: int, least: int) -> DataFrame:
+    """As ``frequent_words``, for phrases of the words numbered ``w1``, ``w2`` and so on."""
+    names = [_ids_of(j) for j in range(length)]
+    counted = relation.select("places", "ids").mapInArrow(_counted(length), ", ".join(f"{n} long" for n in [*names, "n"]))
+    counted = counted.groupBy(*names).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    first = shorter.select(*names[:-1], "lang", F.col("words").alias("head"), F.concat("heads", F.array("f")).alias("heads"))
     last = shorter.select(
-        F.col("id").alias("right"), F.slice("words", -1, 1).alias("tail"), F.concat("tails", F.array("f")).alias("tails")
-    )
-    joined = counted.join(first, "left").join(last, "right")
-    return _numbered(
-        joined.select("left", "right", "lang", F.concat("head", "tail").alias("words"), "f", "heads", "tails"), "frequent"
+        *[F.col(a).alias(b) for a, b in zip(names, names[1:])], F.slice("words", -1, 1).alias("tail"),
+        F.concat("tails", F.array("f")).alias("tails"),
     )
+    joined = written(counted, "counted").join(first, names[:-1]).join(last, names[1:])
+    return written(joined.select(*names, "lang", F.concat("head", "tail").alias("words"), "f", "heads", "tails"), "frequent")
 
 
-def longer(relation: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
-    """The relation of the next length."""
-    numbers = relation.filter("local >= 0").select("chunk", "local", *keys).join(
-        frequent.select(*keys, "id").hint("shuffle_hash"), keys
+def numbered(words: DataFrame, frequent: DataFrame, folder: str) -> DataFrame:
+    """The relation of frequent words, each by its number."""
+    numbers = words.filter("local >= 0").select("chunk", "local", "lang", "word").join(
+        frequent.select("lang", "word", F.col("w1").alias("id")).hint("shuffle_hash"), ["lang", "word"]
     ).select(F.col("chunk").alias("at"), "local", "id")
-    places = relation.filter("local = -1").select("chunk", "lang", "places")
-    found = places.groupBy("chunk").cogroup(numbers.groupBy("at")).applyInArrow(_longer, RELATION)
-    return written(found, "phrases")
+    places = words.filter("local = -1").select("chunk", "lang", "places")
+    return written(places.groupBy("chunk").cogroup(numbers.groupBy("at")).applyInArrow(_numbered_words, RELATION), "places", folder)
 
 
-def _uncovered(phrases: DataFrame, around: DataFrame | None) -> DataFrame:
+def _uncovered(phrases: DataFrame, around: DataFrame | None, length: int) -> DataFrame:
     """Phrases that no phrase one word longer covers.
 
     A longer one that covers them holds one of these, with as many occurrences or more.
     """
     if around is None:
         return phrases
-    most = around.select(F.col("left").alias("id"), "f").unionByName(around.select(F.col("right").alias("id"), "f"))
-    most = most.groupBy("id").agg(F.max("f").alias("most"))
-    return phrases.join(most, "id", "left").filter(F.coalesce(100 * F.col("most") < COVERED * F.col("f"), F.lit(True)))
+    names = [_ids_of(j) for j in range(length)]
+    last = [F.col(_ids_of(j + 1)).alias(_ids_of(j)) for j in range(length)]
+    most = around.select(*names, "f").unionByName(around.select(*last, "f"))
+    most = most.groupBy(*names).agg(F.max("f").alias("most"))
+    return phrases.join(most, names, "left").filter(F.coalesce(100 * F.col("most") < COVERED * F.col("f"), F.lit(True)))
 
 
 def _scored(phrases: DataFrame, length: int) -> DataFrame:
@@ -214,15 +303,22 @@ def _scored(phrases: DataFrame, length: int) -> DataFrame:
 
 def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases of 2 to ``longest`` words."""
-    relation = occurrences(docs)
-    totals = relation.filter("local = -1").groupBy("lang").agg(F.sum("n").alias("n"))
-    levels = [frequent_words(relation, least)]
+    spark = docs.sparkSession
+    folders = [fresh_dir(spark, "occurrences") for _ in range(longest)]
+    words = occurrences(docs, folders[0])
+    totals = written(words.filter("local = -1").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    levels = [frequent_words(words, least)]
+    relation = numbered(words, levels[0], folders[1])
+    clear(spark, folders[0])
     for length in range(2, longest + 1):
-        relation = longer(relation, levels[-1], ["lang", "word"] if length == 2 else ["left", "right"])
-        levels.append(frequent_phrases(relation, levels[-1], least))
+        levels.append(frequent_phrases(relation, levels[-1], length, least))
+        if length < longest:
+            held = filter_of(levels[-1], length)
+            relation = written(relation.mapInArrow(_kept(length, held), RELATION), "places", folders[length])
+        clear(spark, folders[length - 1])
     found = None
     for length in range(2, longest + 1):
-        rows = _uncovered(levels[length - 1], levels[length] if length < longest else None)
+        rows = _uncovered(levels[length - 1], levels[length] if length < longest else None, length)
         rows = _scored(rows, length)
         found = rows if found is None else found.unionByName(rows)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import configure
-from . import idfiles, jaccard, language_model, licenses as license_scan, mixing, neighbours, packing, phrases, quality as quality_rules, repeats, toxicity
+from . import chosen_path, hard_negatives, idfiles, jaccard, language_model, licenses as license_scan, mixing, neighbours, packing, phrases, quality as quality_rules, repeats, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -78,3 +78,14 @@ def op4_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.phrases(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op11_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
