@@ -9,9 +9,10 @@ from ..operators.incremental import listed_once, mark_stored, without
 from ..operators.normalise import normalise
 from ..operators.paging import counted_pages
 from ..operators.parse import accepted, parse_items
+from ..operators.placed_join import placed_join
 from ..operators.publish import object_key, size_gate
 from ..schema import FILING_FIELDS, MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES, MAX_FAIL, MIN_BODY_BYTES, NO_DOCUMENT
-from ..session import if_small, written
+from ..session import BROADCAST_ROWS, written
 from ..sources.listing import page_fields, page_items
 from ..sources.payloads import with_download_error
 
@@ -45,15 +46,15 @@ def process_filings(
     min_bytes: int = MIN_BODY_BYTES,
     max_files: int = MAX_ARCHIVE_FILES,
     max_bytes: int = MAX_ARCHIVE_BYTES,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Every filing not known yet with its outcome and, on success, its document.
 
     Everything before the payload is metadata only; it is written to the shared
     folder, since three branches read it.  The payload meets the filings in an
-    inner join.  Their number is known then: a poll's filings (100 per page file at
-    most) are broadcast and the payload stays where it is; only a longer list is left
-    to Spark.  Filings without a payload come from an anti-join that reads the
-    payload's ids alone.
+    inner join that moves no payload: up to ``broadcast_rows`` filings are broadcast, a longer
+    list in slices (see ``placed_join``).  Filings without a payload come from an
+    anti-join that reads the payload's ids alone.
     """
     todo = mark_stored(without(filings, known, ["rcept_no"]), stored)
     stem = safe_name(base_name(F.col("rcept_no"))).alias("stem")
@@ -66,7 +67,7 @@ def process_filings(
         without(fresh, payloads, ["rcept_no"]), "FAILED", "download", F.lit(NO_DOCUMENT)
     )
 
-    fetched = with_download_error(payloads.select("rcept_no", "content").join(if_small(fresh), "rcept_no"))
+    fetched = with_download_error(placed_join(payloads.select("rcept_no", "content"), fresh, "rcept_no", broadcast_rows))
     refused, unreadable, too_small = (F.col(c).isNotNull() for c in ("download_error", "error", "skip_reason"))
     documents = size_gate(
         normalise(

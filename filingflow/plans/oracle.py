@@ -535,3 +535,5 @@ SELECT rcept_no, 'success' AS status, NULL::VARCHAR AS error_type, NULL::VARCHAR
          || '}}' AS body
 FROM messages""",
 }
+
+ORACLE["filing_ingest_sliced"] = ORACLE["filing_ingest"]

@@ -632,12 +632,10 @@ def stream_retry(spark, sf):
 
 # --- the whole poll --------------------------------------------------------
 
-@query
-def filing_ingest(spark, sf):
-    """Listing pages to stored documents: every new filing with its outcome."""
+def _ingested(spark, sf, **options) -> DataFrame:
     known, stored = _known_and_stored(spark, sf)
     processed = ingest.process_filings(
-        ingest.listed_filings(ingest.listed_items(views.pages(spark, sf))), known, stored, views.payloads(spark, sf)
+        ingest.listed_filings(ingest.listed_items(views.pages(spark, sf))), known, stored, views.payloads(spark, sf), **options
     )
     # the size of an archive kept whole depends on the compressor, so SQL cannot tell it
     size = F.when(~F.coalesce(F.col("object_key").endswith(".zip"), F.lit(False)), F.col("file_size"))
@@ -645,6 +643,18 @@ def filing_ingest(spark, sf):
     return report.withColumns({"file_size": size, "body_md5": F.when(size.isNotNull(), F.col("body_md5"))})
 
 
+@query
+def filing_ingest(spark, sf):
+    """Listing pages to stored documents: every new filing with its outcome."""
+    return _ingested(spark, sf)
+
+
+@query
+def filing_ingest_sliced(spark, sf):
+    """The same with a list longer than what is broadcast: the payloads meet it in slices, behind a Bloom filter."""
+    return _ingested(spark, sf, broadcast_rows=2_000)
+
+
 @query
 def poll_twice(spark, sf):
     """The job itself: pages land, are polled twice, and the second poll is run again; ledger and state come out."""

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.kind import is_zip, well_formed_xml
 from ..functions.text import base_name
 from ..operators.incremental import latest_per_key
+from ..operators.placed_join import placed_join
 from ..schema import CRITICAL_DOCUMENT, NO_DOCUMENT, STATUS_ROWS
-from ..session import if_small, written
+from ..session import BROADCAST_ROWS, written
 from .store import folders_of, or_empty
 
 
@@ -37,10 +38,14 @@ def read_payloads(
     files = or_empty(spark, lambda: load(paths[0] if stream else paths), schema) if paths else spark.createDataFrame([], schema)
     files = files.withColumn("rcept_no", base_name(F.col("path"), ascii_only=True))
     if not stream:
-        newest = latest_per_key(
-            files.select("date", "rcept_no", "modificationTime", "path"), ["date", "rcept_no"], ["modificationTime", "path"]
-        )
-        files = files.join(if_small(written(newest.select("path"), "newest-payloads")), "path", "left_semi")
+        listed = files.select("date", "rcept_no", "modificationTime", "path")
+        newest = latest_per_key(listed, ["date", "rcept_no"], ["modificationTime", "path"]).select("path")
+        newest = written(newest, "newest-payloads")
+        older = written(listed.select("path").join(newest, "path", "left_anti"), "older-payloads")
+        if older.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # files that came again
+            files = files.join(F.broadcast(older), "path", "left_anti")
+        else:
+            files = placed_join(files, newest, "path")
     return files.select("rcept_no", "date", "length", "content")
 
 
