@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.placed_join import likely
 from ..session import written
 from .components import components
 from .words import Words, _stream, mix, portions
@@ -126,10 +127,12 @@ def _verify(pairs: pa.Table, others: pa.Table) -> pa.Table:
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of the written pairs (a, b) of ids that are similar on their whole sets.
 
-    The texts of the ids ``b``, of which some have many pairs, are copied to as many
-    tasks as the pairs need.
+    A Bloom filter next to the scan keeps other texts out of the joins.  The texts of the
+    ids ``b``, of which some have many pairs, are copied to as many tasks as the pairs need.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    texts = likely(texts.filter("doc_id IS NOT NULL"), ids, "doc_id", ids.count())
     salts = written(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).cast("long").alias("salts")), "salts")
     left = pairs.join(salts, "b").join(texts, F.col("a") == F.col("doc_id")).select(
         "a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"), "text"

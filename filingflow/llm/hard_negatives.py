@@ -12,7 +12,7 @@ label has its own trees.
 
 For a query q and a node with centre c and covering radius r, d = |q - c|, all inner
 products below the node lie within q.c - min(|q| r, d r + r^2 / 2) and
-q.c + min(|q| r, d r - r^2 / 2).  A request asks for the k best scores in a window, among
+q.c + min(|q| r, d m - m^2 / 2) with m = min(r, d).  A request asks for the k best scores in a window, among
 rows of the anchor's label or of the others.  Cells outside all windows of an anchor get no
 copy of it; in a part the node with the greatest bound is opened first, requests whose
 window or k-th best score lies outside a node's bounds do not follow, and leaves are
@@ -74,6 +74,14 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) @ b.astype(np.int64).T
 
 
+def bounds(s: np.ndarray, norms: np.ndarray, r: np.ndarray | float, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest inner product of queries with the points within ``r`` of centres, ``s`` being those with the centres."""
+    d = np.sqrt(np.maximum(norms**2 + most**2 - 2 * s, 0))
+    m = np.minimum(r, d)
+    slack = 1e-9 * (np.abs(s) + norms * most) + 1
+    return s - np.minimum(norms * r, d * r + r * r / 2) - slack, s + np.minimum(norms * r, d * m - m * m / 2) + slack
+
+
 def farthest_first(points: np.ndarray, most: int, within: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Centres picked farthest first until all points are ``within`` reach of one: rows, nearest centre, distance."""
     rows = [0]
@@ -152,11 +160,7 @@ class CoverTree:
 
     def bounds(self, node: int, q: np.ndarray, norms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest inner product of each query with the points below a node."""
-        c, r = self.x[self.centre[node]], self.radius[node]
-        s = q @ c
-        d = np.sqrt(np.maximum(norms**2 + self.most**2 - 2 * s, 0))
-        slack = 1e-9 * (np.abs(s) + norms * self.most) + 1
-        return s - np.minimum(norms * r, d * r + r * r / 2) - slack, s + np.minimum(norms * r, d * r - r * r / 2) + slack
+        return bounds(q @ self.x[self.centre[node]], norms, self.radius[node], self.most)
 
     def search(
         self, q: np.ndarray, anchor: np.ndarray, label: np.ndarray, own: np.ndarray, low: np.ndarray, high: np.ndarray,
@@ -296,11 +300,7 @@ class Index:
                     continue
                 q = _matrix(batch.column(3), dim)
                 s, norms = q @ centres.T, np.sqrt((q * q).sum(1))[:, None]
-                d = np.sqrt(np.maximum(norms**2 + most**2 - 2 * s, 0))
-                slack = 1e-9 * (np.abs(s) + norms * most) + 1
-                r = np.maximum(radii, 0)
-                up = s + np.minimum(norms * r, d * r - r * r / 2) + slack
-                down = s - np.minimum(norms * r, d * r + r * r / 2) - slack
+                down, up = bounds(s, norms, np.maximum(radii, 0), most)
                 up[:, radii < 0] = -np.inf
                 first = np.argsort(-up, axis=1, kind="stable")[:, :PILOT]
                 for i, wants in enumerate(batch.column(2).to_pylist()):

@@ -124,3 +124,84 @@ def nearest(rows, k=10):
             near = sorted((float(np.sqrt(((w - v) ** 2).sum())), i) for i, w in good if i != q)[:k]
             out += [(q, r, i, d) for r, (d, i) in enumerate(near, 1)]
     return out
+
+
+def linked_groups(docs, width=4, similar=80):
+    """docs: (doc_id, text); rows of one id are one node -> sorted [(doc_id, n_shingles, component_id, kept)]"""
+
+    def shingled(text):
+        own = words(fold(text))
+        return frozenset(tuple(own[i : i + width]) for i in range(max(1, len(own) - width + 1))) if own else frozenset()
+
+    sets = [(d, shingled(t)) for d, t in docs]
+    root = {d: d for d, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = {}
+    for i, (d, s) in enumerate(sets):
+        for g in s if d is not None else ():
+            holders.setdefault(g, []).append(i)
+    shared = Counter()
+    for rows in holders.values():
+        for n, i in enumerate(rows):
+            for j in rows[n + 1 :]:
+                shared[i, j] += 1
+    for (i, j), n in shared.items():
+        if 100 * n >= similar * (len(sets[i][1]) + len(sets[j][1]) - n):
+            x, y = sorted((find(sets[i][0]), find(sets[j][0])))
+            root[y] = x
+    return Counter((d, len(s), None if d is None else find(d), d is None or find(d) == d) for d, s in sets)
+
+
+def phrase_rows(docs, least, longest=4, top=2000):
+    """docs: (lang, text) -> [(lang, rank, phrase, a, l, r, n, score)]"""
+    f, n = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", fold(text)):
+            own = re.findall("[^ \t]+", piece)
+            n[lang] += len(own)
+            for k in range(1, longest + 1):
+                f.update((lang, tuple(own[i : i + k])) for i in range(len(own) - k + 1))
+    found = {}
+    often = {key: a for key, a in f.items() if len(key[1]) > 1 and a >= least}
+    inside = {}
+    for (lang, p), a in often.items():
+        for k in range(2, len(p)):
+            for i in range(len(p) - k + 1):
+                inside[lang, p[i : i + k]] = max(a, inside.get((lang, p[i : i + k]), 0))
+    for (lang, p), a in often.items():
+        if 100 * inside.get((lang, p), 0) >= 80 * a:
+            continue
+        cuts = []
+        for k in range(1, len(p)):
+            left, right = f[lang, p[:k]], f[lang, p[k:]]
+            cuts.append((2000000 * a // (left + right), k, left, right))
+        score, _, left, right = min(cuts)
+        found.setdefault(lang, []).append((-score, -a, " ".join(p).encode(), left, right))
+    return Counter(
+        (lang, rank, p.decode(), -a, left, right, n[lang], -score)
+        for lang, rows in found.items() for rank, (score, a, p, left, right) in enumerate(sorted(rows)[:top], 1)
+    )
+
+
+def negatives(rows, positives=5, wanted=10):
+    """rows: (vec_id, label, vector) with unique ids -> Counter of result rows"""
+    good = {}
+    for i, label, v in rows:
+        if None in (i, label, v) or not v or None in v or not np.isfinite(np.array(v, float)).all():
+            continue
+        good[i] = ((label + 1) % 10 if i % 7 == 0 else label, [int(np.floor(256 * float(x))) for x in v])
+    out = Counter()
+    for anchor, (label, v) in good.items():
+        if anchor % 100:
+            continue
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, (_, w) in good.items() if i != anchor)
+        for s, p in [x for x in scores if good[x[1]][0] == label][:positives]:
+            fit = [(t, i) for t, i in scores if good[i][0] != label and 30 * -s <= 100 * -t <= 90 * -s][:wanted]
+            out.update((anchor, p, rank, i, -s, -t) for rank, (t, i) in enumerate(fit, 1))
+    return out
