@@ -15,9 +15,12 @@ every tree, loses 0.2^16.  Nodes of one class end at once.  In every other node
    except for pairs known to be connected; larger ones branch again.  After ``LEVELS``
    levels what is left is cut into blocks of ``SMALL`` and all pairs of blocks are compared.
 
-Tokens decide what is compared: pairs that agree on ``AGREE`` coordinates or more are
-verified on their whole sets (similar sets agree on fewer with a probability below 1 in
-10^8).  Components of the links, over document ids, give the smallest id that is reached.
+A comparison takes two steps inside the node's task: pairs that agree on ``AGREE``
+coordinates or more (similar sets agree on fewer with a probability below 1 in 10^8) must
+be possible by a bitmap of their elements: a bit that only one has stands for an element
+that only it has, which bounds the overlap exactly.  Few but similar pairs leave the task,
+also where thousands of texts are somewhat alike, and these are verified on their whole sets.
+Components of the links, over document ids, give the smallest id that is reached.
 
 Defined cases: a text without words has an empty set and is linked with nothing; with
 fewer than four words the whole sequence is the one shingle; a null id has its shingles
@@ -44,14 +47,16 @@ WIDTH = 4
 SIMILAR = 80
 COORDINATES, TREES, PICKS = 64, 8, 2
 #: Coordinates that a level after the first picks from.
-SPAN, LEVELS = 8, 7
-SMALL, AGREE = 64, 28
+SPAN, LEVELS = 8, 4
+SMALL, AGREE = 256, 28
+#: Bits of an element's bitmap at least, and its greatest length in 64-bit words.
+SPARSE, MOST_WORDS = 8, 4096
 #: Verified pairs per task and document.
 SALT_ROWS = 500
 _FACTORS = _stream("chosen path", COORDINATES) | np.uint64(1)
 _SHORT = np.uint64(0x5851F42D4C957F2D)
 
-FEATURES = "doc_id long, n long, set_a long, set_b long, tokens array<int>"
+FEATURES = "doc_id long, n long, set_a long, set_b long, tokens array<int>, bits binary"
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -81,6 +86,16 @@ def minwise(keys: np.ndarray) -> np.ndarray:
     return mix(least).astype(np.uint32).view(np.int32)
 
 
+def bitmap(keys: np.ndarray) -> bytes:
+    """A bit for each element; the length is a power of two."""
+    words = 1
+    while words * 64 < SPARSE * len(keys) and words < MOST_WORDS:
+        words *= 2
+    flags = np.zeros(words * 64, np.uint8)
+    flags[(mix(keys) % np.uint64(words * 64)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in portions(whole)):
         sets = shingle_sets(batch.column("text").to_pylist())
@@ -90,8 +105,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
                 pa.array([minwise(s) if len(s) >= WIDTH else None for s in sets], pa.list_(pa.int32())),
+                pa.array([bitmap(s) if len(s) >= WIDTH else None for s in sets], pa.binary()),
             ],
-            ["doc_id", "n", "set_a", "set_b", "tokens"],
+            ["doc_id", "n", "set_a", "set_b", "tokens", "bits"],
         )
 
 
@@ -186,6 +202,33 @@ def first_pairs(members: DataFrame, firsts: DataFrame, sets: DataFrame) -> DataF
     return best.select(F.col("id").alias("a"), (-F.col("best.less")).alias("b"))
 
 
+class _Bitmaps:
+    """Bitmaps of different lengths, which are folded where two are compared."""
+
+    def __init__(self, column: list[bytes]) -> None:
+        self.words = np.array([len(b) // 8 for b in column])
+        self.place = np.zeros(len(column), np.int64)
+        self.rows: dict[int, np.ndarray] = {}
+        for words in np.unique(self.words).tolist():
+            at = np.flatnonzero(self.words == words)
+            self.place[at] = np.arange(len(at))
+            self.rows[words] = np.frombuffer(b"".join(column[i] for i in at), "<u8").reshape(-1, words)
+
+    def possible(self, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether the sets of the rows ``i`` and ``j``, of sizes ``n``, may be similar."""
+        found = np.zeros(len(i), bool)
+        for one, two in np.unique(np.column_stack([self.words[i], self.words[j]]), axis=0).tolist():
+            at = np.flatnonzero((self.words[i] == one) & (self.words[j] == two))
+            for part in np.array_split(at, 1 + len(at) // 4096):
+                x, y = self.rows[one][self.place[i[part]]], self.rows[two][self.place[j[part]]]
+                short = min(one, two)
+                x, y = (np.bitwise_or.reduce(z.reshape(len(part), -1, short), axis=1) for z in (x, y))
+                only = [np.bitwise_count(z).sum(1, dtype=np.int64) for z in (x & ~y, y & ~x)]
+                most = np.minimum(n[i[part]] - only[0], n[j[part]] - only[1])
+                found[part] = 100 * most >= SIMILAR * (n[i[part]] + n[j[part]] - most)
+        return found
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate pairs of each cell; rows come sorted by cell, which has 2 x ``SMALL`` rows at most, or some more by chance."""
     held: pa.Table | None = None
@@ -195,7 +238,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table.column(c).to_numpy() for c in ("cell", "id", "n", "component", "block")
         )
         tokens = table.column("tokens").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
-        whole = table.column("whole").to_numpy(zero_copy_only=False)
+        whole = table.column("whole").to_numpy()
+        bits = _Bitmaps(table.column("bits").to_pylist())
         found = []
         for step in range(1, table.num_rows):
             i = np.flatnonzero(cell[:-step] == cell[step:])
@@ -206,6 +250,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep &= 100 * np.minimum(n[i], n[j]) >= SIMILAR * np.maximum(n[i], n[j])
             i, j = i[keep], j[keep]
             same = (tokens[i] == tokens[j]).sum(1) >= AGREE
+            i, j = i[same], j[same]
+            same = bits.possible(i, j, n)
             found.append(np.column_stack([ids[i[same]], ids[j[same]]]))
         both = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(both.max(1, initial=-1 << 63)), pa.array(both.min(1, initial=(1 << 63) - 1))], ["a", "b"])
@@ -226,21 +272,21 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def compared(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """Candidate pairs of whole nodes: each block of ``SMALL`` classes with itself and each other.
 
-    ``members``: node, id, component, n, tokens; ``sizes``: node, times.  A node of one block is one cell.
+    ``members``: node, id, component, n, tokens, bits; ``sizes``: node, times.  A node of one block is one cell.
     """
     blocks = F.ceil(F.col("times") / SMALL).cast("long")
     zero = F.lit(0).cast("long")
     dealt = members.join(sizes.withColumn("blocks", blocks), "node").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
-    cells = dealt.select(F.xxhash64("node", low, high).alias("cell"), "id", "n", "component", "block", (low == high).alias("whole"), "tokens")
+    cells = dealt.select(F.xxhash64("node", low, high).alias("cell"), "id", "n", "component", "block", (low == high).alias("whole"), "tokens", "bits")
     return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_compare, "a long, b long").distinct()
 
 
 def links(docs: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
     """Links (a, b) between ids, enough to connect all that are similar.
 
-    ``sets``: id, n and tokens of the classes; ``known``: links there are already.
+    ``sets``: id, n, tokens and bits of the classes; ``known``: links there are already.
     """
     members = roots(sets)
     found = written(known, "links")
@@ -258,10 +304,11 @@ def links(docs: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
         labelled = written(labelled.select("node", "id", F.coalesce("component", "id").alias("component")), "labelled")
         apart = labelled.groupBy("node").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("one"), F.max("component").alias("two"))
         apart = written(apart.filter("one <> two").select("node", "times"), "apart")
-        rows = labelled.join(apart.select("node"), "node").join(sets.select("id", "n", "tokens"), "id")
+        rows = labelled.join(apart.select("node"), "node").join(sets, "id")
         small = apart if level == LEVELS else apart.filter(F.col("times") <= SMALL)
         pairs = written(compared(rows, small), "pairs")
-        found = written(found.unionByName(verified(pairs, docs)), "links")
+        if not pairs.isEmpty():
+            found = written(found.unionByName(verified(pairs, docs)), "links")
         large = apart.filter(F.col("times") > SMALL)
         if level == LEVELS or large.isEmpty():
             break
@@ -274,13 +321,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = ["n", "set_a", "set_b"]
     rows = written(features(docs), "features")
     named = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = written(named.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.first("tokens").alias("tokens")), "classes")
+    classes = written(named.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits")), "classes")
     ids = named.select("doc_id", *same).distinct()
     several = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("doc_id")
     known = ids.join(several, "doc_id").join(classes.select(*same, "class_id"), same).filter("doc_id <> class_id").select(
         F.col("doc_id").alias("a"), F.col("class_id").alias("b")
     )
-    sets = classes.filter("tokens IS NOT NULL").select(F.col("class_id").alias("id"), "n", "tokens")
+    sets = classes.filter("tokens IS NOT NULL").select(F.col("class_id").alias("id"), "n", "tokens", "bits")
     parts = written(components(written(links(docs, sets, known), "links")), "parts")
     merged = classes.join(parts, F.col("class_id") == F.col("node"), "left").select(
         *same, "class_id", F.coalesce("component", "class_id").alias("component_id")

@@ -42,6 +42,8 @@ from .words import Words, mix
 CONTEXT, STEP = 8, 24
 LENGTH = CONTEXT + STEP
 WIDTH, CLASSES = 16, 48
+#: Greatest length of an embedding, and of a step's gradient.
+LONGEST, STEEPEST = 8.0, 1.0
 #: Kinds of preceding ids that are told apart: ids are numbered by the tokenizer's own order of merges.
 KINDS, KIND_IDS = 48, 24
 ROUNDS, RATE = 2, 0.01
@@ -233,7 +235,10 @@ class Model:
         lift -= lift.mean(0)
         values, directions = np.linalg.eigh(lift.T @ lift)
         embedded = lift @ directions[:, ::-1][:, :WIDTH]
-        self.embedded = (embedded / (embedded.std() + 1e-9)).astype(np.float32)
+        # of length LONGEST at most, so that no id alone saturates the attention
+        embedded /= embedded.std() + 1e-9
+        length = np.sqrt((embedded**2).sum(1, keepdims=True))
+        self.embedded = (embedded * np.minimum(1, LONGEST / np.maximum(length, 1e-9))).astype(np.float32)
         often = np.argsort(-each, kind="stable")[:4096]
         middle = centres(self.embedded[often].astype(np.float64), CLASSES)
         spread = (self.embedded**2).sum(1)[:, None] - 2 * self.embedded @ middle.T + (middle**2).sum(1)
@@ -261,7 +266,7 @@ class Model:
         return found
 
     # what a scored place may not see: the places after it
-    _HIDDEN = np.where(np.tri(LENGTH, dtype=bool), 0, -30.0).astype(np.float32)[CONTEXT:]
+    _HIDDEN = np.where(np.tri(LENGTH, dtype=bool), 0, -np.inf).astype(np.float32)[CONTEXT:]
 
     def forward(self, w: dict, inputs: np.ndarray, within: np.ndarray) -> dict[str, np.ndarray]:
         """Unnormalised class probabilities of the scored places; only these ask, all places answer."""
@@ -274,8 +279,8 @@ class Model:
         a = q @ k.transpose(0, 2, 1)
         a += self._HIDDEN
         if not within.all():
-            a += np.where(within, 0, -30.0).astype(np.float32)[:, None, :]
-        np.minimum(a, 30, out=a)
+            a += np.where(within, 0, -np.inf).astype(np.float32)[:, None, :]
+        a -= a.max(-1, keepdims=True)  # a place always sees itself, so this is finite
         np.exp(a, out=a)
         weight = a.sum(-1, keepdims=True)
         o = a @ v
@@ -284,7 +289,7 @@ class Model:
         z = h @ w["logits"]
         z += w["bias"]
         z += np.take(self.prior, self.classes[inputs[:, CONTEXT:]].ravel(), axis=0)
-        np.minimum(z, 60, out=z)
+        z -= z.max(-1, keepdims=True)
         np.exp(z, out=z)
         return {"x": x, "asked": asked, "q": q, "k": k, "v": v, "a": a, "weight": weight, "o": o, "h": h, "p": z, "sum": z.sum(-1)}
 
@@ -293,7 +298,7 @@ class Model:
         f = self.forward(w, inputs, within)
         ids = targets.ravel()
         got = f["p"][np.arange(len(ids)), self.classes[ids]]
-        each = np.log(got) - np.log(f["sum"]) + self.inside[ids]
+        each = np.log(np.maximum(got, np.float32(1e-37))) - np.log(f["sum"]) + self.inside[ids]
         return np.where(counts, each.reshape(counts.shape), 0).sum(1, dtype=np.float64)
 
     def slope(self, weights: np.ndarray, inputs: np.ndarray, targets: np.ndarray, counts: np.ndarray, within: np.ndarray) -> np.ndarray:
@@ -345,6 +350,7 @@ def _trained(model: Model, turn: int):
                 for i in range(0, len(doc), 256):
                     step, seen = step + 1, seen + len(doc[i : i + 256])
                     g = model.slope(weights, *own.batch(doc[i : i + 256], at[i : i + 256]))
+                    g *= min(1.0, STEEPEST / max(float(np.sqrt(g @ g)), 1e-12))
                     moment = 0.9 * moment + 0.1 * g
                     square = 0.99 * square + 0.01 * g**2
                     rate = RATE / (1 + step / 200)
@@ -369,6 +375,8 @@ def train(ids: DataFrame) -> Model:
         table = mean.toArrow()  # a row per weight
         if table.num_rows:
             model.weights[table.column("cell").to_numpy()] = table.column("value").to_numpy()
+    if not np.isfinite(model.weights).all():
+        raise ArithmeticError("the model's weights are not finite")
     return model
 
 

@@ -51,7 +51,7 @@ def test_chosen_path_on_the_small_table(spark, sf_dir):
     assert rows(QUERIES["op11_chosen_path"](spark, sf_dir)) == plain.linked_groups(docs)
 
 
-@pytest.mark.parametrize("small,levels", [(64, 7), (4, 7), (4, 2)])
+@pytest.mark.parametrize("small,levels", [(256, 4), (4, 4), (4, 2)])
 def test_chosen_path_branches_down_to_blocks(spark, monkeypatch, small, levels):
     monkeypatch.setattr(chosen_path, "SMALL", small)
     monkeypatch.setattr(chosen_path, "LEVELS", levels)
