@@ -199,7 +199,7 @@ def test_response_routing(spark):
         ("success", None, None), ("error", "client_error", None), ("retry", None, 0.5), ("retry", None, 1.0),
         ("exhausted", None, None), ("retry", None, 0.5), ("exhausted", None, None),
     ]
-    assert len(out[1]["error_message"]) == 200
+    assert len(out[1]["error_message"]) == 300 and len(out[1]["logged"]) == 200
 
 
 def test_message_files(spark, folder):
