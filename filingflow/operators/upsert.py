@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.store import read_dates, read_table, write_dates
+from ..sources.store import compact_dates, read_dates, read_table, write_dates
 from .incremental import latest_per_key, without
 
 
@@ -33,8 +33,20 @@ def current(spark: SparkSession, root: str, schema: str, dates: Iterable[str] |
     """Present state of the table, or of the given dates: the newest batch wins per id."""
     schema += ", date_key string, batch_id string"
     rows = read_table(spark, root, schema) if dates is None else read_dates(spark, root, dates, schema)
-    newest = rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return latest_per_key(newest, ["date_key", "rcept_no"], ["batch_id"])
+    return newest_rows(rows)
+
+
+def newest_rows(rows: DataFrame) -> DataFrame:
+    numbered = rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return latest_per_key(numbered, ["date_key", "rcept_no"], ["batch_id"])
+
+
+def compact_upserts(spark: SparkSession, root: str, schema: str, dates: Iterable[str], upto: int, after: int) -> list[str]:
+    """Compact the dates that have grown; rows that a batch up to ``upto`` has replaced go."""
+    schema += ", date_key string, batch_id string"
+    return compact_dates(
+        spark, root, dates, schema, upto, after, lambda rows: newest_rows(rows).withColumn("batch_id", F.col("batch_id").cast("string"))
+    )
 
 
 def compact(spark: SparkSession, root: str, new_root: str, schema: str, batch_id: int) -> None:

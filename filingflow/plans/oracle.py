@@ -537,3 +537,5 @@ FROM messages""",
 }
 
 ORACLE["filing_ingest_sliced"] = ORACLE["filing_ingest"]
+ORACLE["poll_compacted"] = ORACLE["poll_twice"]
+ORACLE["upsert_compacted"] = ORACLE["stream_upsert"]

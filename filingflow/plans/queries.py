@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import charset, kind as kinds, rewrite as rewriting, text
 from ..functions.once import computed_once
@@ -655,16 +655,14 @@ def filing_ingest_sliced(spark, sf):
     return _ingested(spark, sf, broadcast_rows=2_000)
 
 
-@query
-def poll_twice(spark, sf):
-    """The job itself: pages land, are polled twice, and the second poll is run again; ledger and state come out."""
+def _polled(spark, sf, batches: tuple[int, ...], limits: poll.Limits = poll.Limits()) -> DataFrame:
     folders = poll.Folders(fresh_dir(spark, "poll"))
     pages = views.pages(spark, sf, views.MONTH).select("date", "page_no", F.to_json("page").alias("value"))
     pages.write.partitionBy("date", "page_no").text(folders.pages)
     payloads = written(views.payloads(spark, sf, views.MONTH), "payloads")
     dates = spark.read.schema("value string, date string, page_no int").text(folders.pages).select("date")
-    for batch_id in (0, 1, 1):
-        poll.run_batch(dates, batch_id, folders, payloads=payloads)
+    for batch_id in batches:
+        poll.run_batch(dates, batch_id, folders, limits, payloads=payloads)
     attempts = poll.ledger(spark, folders)
     state = poll.state_of(attempts)
     return attempts.join(state, "rcept_no").select(
@@ -672,6 +670,35 @@ def poll_twice(spark, sf):
     )
 
 
+@query
+def poll_twice(spark, sf):
+    """The job itself: pages land, are polled twice, and the second poll is run again; ledger and state come out."""
+    return _polled(spark, sf, (0, 1, 1))
+
+
+@query
+def poll_compacted(spark, sf):
+    """The same over more polls, which compact documents and ledger as they go; polls that find nothing new add nothing."""
+    return _polled(spark, sf, (0, 1, 1, 2, 3), poll.Limits(compact_after=1))
+
+
+@query
+def upsert_compacted(spark, sf):
+    """Upserts in eight batches, the table being compacted after each; the last one runs again."""
+    root = fresh_dir(spark, "upserts")
+    log = written(views.attempts(spark, sf).select("rcept_no", "attempt_ts", "seq", "event_type"), "attempts")
+    schema = "rcept_no string, attempt_ts timestamp_ntz, seq bigint, event_type string"
+    rank = F.row_number().over(Window.partitionBy("rcept_no").orderBy("attempt_ts", "seq"))
+    turn = F.pmod(F.least(rank, F.lit(8)) - 1, F.lit(8))
+    parts = written(log.withColumn("turn", turn), "turns")
+    for batch_id in (*range(8), 7):
+        batch = parts.where(F.col("turn") == batch_id).drop("turn")
+        days = _days(batch)
+        upserts.write_batch(batch, root, batch_id, ["attempt_ts", "seq"], days)
+        upserts.compact_upserts(spark, root, schema, days, batch_id - 1, 2)
+    return upserts.current(spark, root, schema).select("rcept_no", "seq", "event_type")
+
+
 @query
 def consume_messages(spark, sf):
     """Published messages through the consumer's stream; the upsert table and the results come out."""

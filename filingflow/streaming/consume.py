@@ -10,14 +10,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.publish import REPORTED, task_results, upsert_columns, upsert_payload
-from ..operators.upsert import current, id_date, write_batch
+from ..operators.upsert import compact_upserts, current, id_date, write_batch
 from ..session import configure
 from ..sources.messages import read_messages
 
 UPSERT_SCHEMA = "rcept_no string, body string, published_at timestamp, published_seq bigint"
 
 
-def consume_batch(batch: DataFrame, batch_id: int, table_root: str, results_root: str) -> None:
+#: Folders of a date in the upsert table before they become one.
+COMPACT_AFTER = 24
+
+
+def consume_batch(
+    batch: DataFrame, batch_id: int, table_root: str, results_root: str, compact_after: int = COMPACT_AFTER
+) -> None:
     """Upsert a batch of messages and note what became of each.
 
     A message that cannot be read or has no valid date is an error row; it
@@ -29,7 +35,8 @@ def consume_batch(batch: DataFrame, batch_id: int, table_root: str, results_root
     columns = upsert_columns(batch.where(~broken), keep=[*order, *REPORTED])
     payloads = columns.withColumn("body", upsert_payload(columns))
     good = payloads.where(F.col("date_error").isNull()).select("rcept_no", "body", *order)
-    write_batch(good, table_root, batch_id, order, _noted_dates(good, table_root, batch_id))
+    dates = _noted_dates(good, table_root, batch_id)
+    write_batch(good, table_root, batch_id, order, dates)
     unreadable = batch.where(broken).select(
         F.lit("error").alias("status"),
         F.lit("unexpected_error").alias("error_type"),
@@ -38,6 +45,7 @@ def consume_batch(batch: DataFrame, batch_id: int, table_root: str, results_root
     )
     results = task_results(payloads).unionByName(unreadable, allowMissingColumns=True)
     results.write.mode("overwrite").parquet(f"{results_root}/batch_id={batch_id}")
+    compact_upserts(batch.sparkSession, table_root, UPSERT_SCHEMA, dates, batch_id - 1, compact_after)
 
 
 def _noted_dates(good: DataFrame, table_root: str, batch_id: int) -> list[str]:
@@ -47,13 +55,13 @@ def _noted_dates(good: DataFrame, table_root: str, batch_id: int) -> list[str]:
 
 def start_consume(
     spark: SparkSession, messages_root: str, table_root: str, results_root: str, checkpoint: str,
-    interval: str | None = "10 seconds", max_files: int = 100,
+    interval: str | None = "10 seconds", max_files: int = 100, compact_after: int = COMPACT_AFTER,
 ) -> StreamingQuery:
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     stream = read_messages(spark, messages_root, stream=True, maxFilesPerTrigger=max_files)
     return (
         stream.writeStream.foreachBatch(
-            lambda batch, batch_id: consume_batch(batch, batch_id, table_root, results_root)
+            lambda batch, batch_id: consume_batch(batch, batch_id, table_root, results_root, compact_after)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

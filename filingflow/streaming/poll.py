@@ -1,7 +1,7 @@
 """Poll stream: listing pages land; documents, messages, attempts and quarantined items come out.
 
 Each micro-batch owns the folders ``batch_id=N`` of every output, so a batch
-that is run again replaces what it wrote.  State is read from earlier batches
+that is run again replaces what it wrote; dates with many folders of earlier batches are compacted.  State is read from earlier batches
 only, and only the folders of the batch's dates are listed.  Bad items and failed filings are
 rows, never exceptions, so data cannot stop the stream.
 """
@@ -27,7 +27,9 @@ from ..schema import ATTEMPT_SCHEMA, MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES, MAX_F
 from ..session import clear, configure, written
 from ..sources.listing import page_fields, page_items, poll_date_today, read_pages, scan_predicate, valid_poll_date
 from ..sources.payloads import read_payloads
-from ..sources.store import date_key, folders_of, read_dates, read_documents, read_processed, read_table, stored_keys
+from ..sources.store import (
+    DOCUMENT_SCHEMA, compact_dates, date_key, folders_of, read_dates, read_documents, read_processed, read_table, stored_keys,
+)
 
 
 LOG = logging.getLogger(__name__)
@@ -90,12 +92,16 @@ def landed_pages(spark: SparkSession, folders: Folders, dates: list[str]) -> Dat
 
 @dataclass(frozen=True)
 class Limits:
-    """What the poll refuses: attempts per filing, least bytes of a document, files and bytes of an archive."""
+    """What the poll refuses: attempts per filing, least bytes of a document, files and bytes of an archive.
+
+    ``compact_after`` is the number of folders a date may have before they become one.
+    """
 
     max_fail: int = MAX_FAIL
     min_bytes: int = MIN_BODY_BYTES
     max_files: int = MAX_ARCHIVE_FILES
     max_bytes: int = MAX_ARCHIVE_BYTES
+    compact_after: int = 24
 
 
 def _listed(rows: DataFrame, column: str) -> list[str]:
@@ -146,6 +152,9 @@ def run_batch(
     append_attempts(attempts_of(done, F.current_timestamp(), limits.max_fail), folders.ledger, batch_id, filed_before)
     for row in done.groupBy("outcome").count().collect():
         LOG.info("poll batch %s: %s %s", batch_id, row["count"], row["outcome"])
+    # this batch may run again, those before it do not
+    compact_dates(spark, folders.documents, filed, DOCUMENT_SCHEMA, batch_id - 1, limits.compact_after)
+    compact_dates(spark, folders.ledger, filed, LEDGER_SCHEMA, batch_id - 1, limits.compact_after)
     clear(spark, f"{folders.root}/work/batch_id={batch_id}")
     return counters.get
 
