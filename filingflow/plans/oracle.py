@@ -537,5 +537,7 @@ FROM messages""",
 }
 
 ORACLE["filing_ingest_sliced"] = ORACLE["filing_ingest"]
-ORACLE["poll_compacted"] = ORACLE["poll_twice"]
+ORACLE["poll_compacted"] = (
+    ORACLE["poll_twice"].replace("range(2)", "range(3)").replace("'OK' END AS term", "'OK' ELSE 'PERM' END AS term").replace("ELSE 2 END", "ELSE 3 END")
+)
 ORACLE["upsert_compacted"] = ORACLE["stream_upsert"]
