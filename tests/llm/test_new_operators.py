@@ -8,7 +8,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from filingflow.llm import chosen_path, hard_negatives, phrases
+from filingflow.llm import chosen_path, chunks, hard_negatives, language_model, phrases
 from filingflow.llm.queries import QUERIES
 from filingflow.session import written
 
@@ -178,3 +178,28 @@ def test_a_full_filter_changes_no_result(spark, sf_dir, monkeypatch):
     assert rows(phrases.phrases(docs, 3)) == want
     held = phrases.filter_of(written(spark.range(5000).select(F.col("id").alias("w1"), F.col("id").alias("w2")), "pairs"), 2)
     assert len(held) == 64
+
+
+# --- attention scores ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("scale", [0.2, 5.0, 50.0])
+def test_attention_is_finite_and_causal_with_any_weights(scale):
+    rng = np.random.default_rng(6)
+    model = language_model.Model(rng.poisson(0.01, language_model.IDS * language_model.KINDS).astype(float))
+    model.set_prior(rng.integers(0, 50, language_model.CLASSES**2).astype(float))
+    model.weights = rng.standard_normal(len(model.weights)) * scale
+    w = model.parts(model.weights)
+    ids = rng.integers(0, 50_000, 24).astype("<u2")
+    own = language_model.Sequences(
+        {"lengths": chunks.squeeze(np.array([24], "<u4")), "training": np.packbits([True]).tobytes(), "ids": chunks.squeeze(ids)}
+    )
+    batch = own.batch(*own.windows())
+    assert np.isfinite(model.slope(model.weights, *batch)).all()
+    score = model.scores(w, *batch)
+    assert np.isfinite(score).all() and (score < 0).all()
+    one = model.forward(w, batch[0][:1], batch[3][:1])
+    changed = batch[0][:1].copy()
+    changed[:, -1] = 5
+    two = model.forward(w, changed, batch[3][:1])
+    assert np.array_equal(one["p"][:-1], two["p"][:-1])
