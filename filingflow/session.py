@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # date=20240101 must stay the string it is in every other table
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # shuffle files go when the query that wrote them ends; a later run of the same plan writes them again
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # archives reach Python some at a time
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
@@ -42,26 +47,38 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-#: Folders made by this process and not removed yet.
-_MADE: set[str] = set()
+#: Folders made by this process and not removed yet, with the catalog table that reads each, if any.
+_MADE: dict[str, str | None] = {}
+#: Those made inside the innermost ``scratch`` of the running thread.
+_INSIDE: ContextVar[dict[str, str | None] | None] = ContextVar("inside", default=None)
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new empty folder below the shared folder.
 
-    ``release`` removes it with what was written there, or else the driver does when it ends.
+    The end of the ``scratch`` it is made in or ``release`` removes it with what was
+    written there, or else the driver does when it ends.
     """
     folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     discard_later(spark, folder)
     return folder
 
 
-def discard_later(spark: SparkSession, folder: str) -> None:
-    """Make the folder and note that it is to be removed."""
+def discard_later(spark: SparkSession, folder: str, table: str | None = None) -> None:
+    """Make the folder and note that it is to be removed, with the catalog table that reads it."""
     path, files = _files(spark, folder)
     files.mkdirs(path)
     files.deleteOnExit(path)
-    _MADE.add(folder)
+    inside = _INSIDE.get()
+    (_MADE if inside is None else inside)[folder] = table
+
+
+def _remove(spark: SparkSession, made: dict[str, str | None]) -> None:
+    while made:
+        folder, table = made.popitem()
+        if table is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        clear(spark, folder)
 
 
 def release(spark: SparkSession) -> None:
@@ -69,8 +86,19 @@ def release(spark: SparkSession) -> None:
 
     A DataFrame is lazy, so only its user knows when that is; a job calls this at its end.
     """
-    while _MADE:
-        clear(spark, _MADE.pop())
+    _remove(spark, _MADE)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end the folders made inside; nothing lazy that reads them may be used after."""
+    made: dict[str, str | None] = {}
+    outer = _INSIDE.set(made)
+    try:
+        yield
+    finally:
+        _INSIDE.reset(outer)
+        _remove(spark, made)
 
 
 def _files(spark: SparkSession, folder: str):
@@ -106,3 +134,10 @@ def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     folder = folder or fresh_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``written(make(), name)``, without the folders that were made on the way."""
+    folder = fresh_dir(spark, name)
+    with scratch(spark):
+        return written(make(), name, folder)
