@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from filingflow.llm import jaccard, mixing, packing, quality, repeats
 from filingflow.llm.text import unused
-from filingflow.session import configure, written
+from filingflow.session import clear, configure, fresh_dir, scratch, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +71,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written and read again by the next."""
-    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = configure(spark).read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        folder = fresh_dir(spark, name.replace(" ", "-"))
+        with scratch(spark):  # what the stage made on its way
+            docs = written(stage(spark, docs, sf_dir), name, folder)
+        if before is not None:
+            clear(spark, before)  # its only reader is written
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)

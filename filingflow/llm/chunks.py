@@ -23,7 +23,7 @@ import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import fresh_dir
+from ..session import discard_later, fresh_dir
 
 #: Bytes of text after which a chunk is closed; a longer document is a chunk of its own.
 CHUNK_BYTES = 2 << 20
@@ -130,6 +130,7 @@ class Chunks:
         self.n_buckets = parts_for(docs, TABLE_BYTES)
         self.name = f"chunks_{uuid.uuid4().hex}"
         folder = fresh_dir(self.spark, "chunks")
+        discard_later(self.spark, folder, self.name)
         rows.repartition(self.n_buckets, "chunk").write.bucketBy(self.n_buckets, "chunk").option("path", f"{folder}/table").saveAsTable(self.name)
         self.table = self.spark.table(self.name)
         total = self.table.agg(F.sum("n_bytes")).first()[0] or 0

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import written
+from ..session import settled, written
 from .chunks import squeeze_sorted, unsqueeze_sorted
 from .components import components
 from .signatures import DENOMINATOR, NUMERATOR, Tree, possible
@@ -226,9 +226,12 @@ def _blocked(members: DataFrame) -> DataFrame:
 
 def _shared(rows: DataFrame, name: str) -> DataFrame:
     """Rows (key, id) of keys that two ids or more have."""
-    rows = written(rows, name)
-    often = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("key"), name)
-    return written(rows.join(often, "key"), name)
+    def build() -> DataFrame:
+        stored = written(rows, name)
+        often = written(stored.groupBy("key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("key"), name)
+        return stored.join(often, "key")
+
+    return settled(rows.sparkSession, name, build)
 
 
 def links(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -239,38 +242,49 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     sets = found.select(F.col("doc_id").alias("id"), "n", "bits")
     keys = _shared(found.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key")), "band-keys")
     degree = keys.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
-    ranked = keys.join(degree, "id")
-    hubs = written(
-        ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("id"))).alias("top")).select(
-            "key", (-F.col("top.id")).alias("b")
-        ),
-        "hubs",
-    )
-    pairs = written(
-        keys.join(hubs, "key").filter(F.col("id") != F.col("b")).select(F.col("id").alias("a"), "b").distinct(), "hub-pairs"
-    )
+
+    def hub_pairs() -> DataFrame:
+        ranked = keys.join(degree, "id")
+        hubs = written(
+            ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("id"))).alias("top")).select(
+                "key", (-F.col("top.id")).alias("b")
+            ),
+            "hubs",
+        )
+        return keys.join(hubs, "key").filter(F.col("id") != F.col("b")).select(F.col("id").alias("a"), "b").distinct()
+
+    spark = docs.sparkSession
+    pairs = settled(spark, "hub-pairs", hub_pairs)
     sized = pairs.join(sets.withColumnRenamed("id", "a"), "a").join(
         sets.select(F.col("id").alias("b"), F.col("n").alias("hub_n"), F.col("bits").alias("hub_bits")), "b"
     )
-    first = written(verified(sized.mapInArrow(_may_link, "a long, b long"), docs), "links")
-    parts = written(components(first), "parts")
-    # groups that still hold more than one component
-    labelled = keys.join(parts, F.col("id") == F.col("node"), "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
-    )
-    labelled = written(labelled, "labelled")
-    apart = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    apart = written(apart.filter("least <> most").select("key"), "apart")
-    members = labelled.join(apart, "key").join(sets, "id")
-    cells = _blocked(members)
-    second = cells.groupBy("key", "class", "low", "high").applyInArrow(_traversed, "a long, b long").distinct()
-    second = second.join(pairs, ["a", "b"], "left_anti")  # looked at before
-    second = second.join(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    return first.unionByName(verified(second, docs))
+    first = settled(spark, "links", lambda: verified(sized.mapInArrow(_may_link, "a long, b long"), docs))
+    parts = settled(spark, "parts", lambda: components(first))
+
+    def still_apart() -> DataFrame:
+        """Links found in groups that hold more than one component."""
+        labelled = keys.join(parts, F.col("id") == F.col("node"), "left").select(
+            "key", "id", F.coalesce("component", "id").alias("component")
+        )
+        labelled = written(labelled, "labelled")
+        apart = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        apart = written(apart.filter("least <> most").select("key"), "apart")
+        members = labelled.join(apart, "key").join(sets, "id")
+        cells = _blocked(members)
+        second = cells.groupBy("key", "class", "low", "high").applyInArrow(_traversed, "a long, b long").distinct()
+        second = second.join(pairs, ["a", "b"], "left_anti")  # looked at before
+        second = second.join(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+        return verified(second, docs)
+
+    return first.unionByName(settled(spark, "links", still_apart))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) of every document."""
+    return settled(docs.sparkSession, "placed", lambda: _placed(docs))
+
+
+def _placed(docs: DataFrame) -> DataFrame:
     all_rows = written(features(docs), "features")
     classes = written(
         all_rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("class_id")),
@@ -278,7 +292,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
     same = ["n", "set_a", "set_b"]
     first = all_rows.join(classes, same).filter("doc_id = class_id").dropDuplicates(["doc_id", *same])
-    found = components(written(links(docs, first), "links"))
+    linked = settled(docs.sparkSession, "links", lambda: links(docs, first))
+    found = settled(docs.sparkSession, "components", lambda: components(linked))
     merged = classes.join(found, F.col("class_id") == F.col("node"), "left").select(
         *same, "class_id", F.coalesce("component", "class_id").alias("component_id")
     )
