@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import guess_content_type
+from ..sources.objects import write_objects
 from ..sources.store import date_key, write_dates
 from .publish import message_json, object_key
 
@@ -40,6 +41,13 @@ def store_documents(documents: DataFrame, root: str, batch_id: int = 0, dates: I
     write_dates(rows, root, batch_id, dates)
 
 
+def export_objects(documents: DataFrame, root: str) -> None:
+    """Put stored documents as files ``<root>/<filing date>/<file name>``, as other programs expect them."""
+    stored = documents.where(F.col("outcome") == "SUCCESS") if "outcome" in documents.columns else documents
+    key = object_key(F.col("rcept_dt"), F.col("filename"))
+    write_objects(stored.withColumn("object_key", key), root)
+
+
 def publish(rows: DataFrame, root: str, batch_id: int = 0) -> None:
     """Write messages as JSON lines for the message stream."""
     message_json(rows).write.mode("overwrite").text(f"{root}/batch_id={batch_id}")

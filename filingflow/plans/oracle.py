@@ -524,6 +524,43 @@ SELECT rcept_no, batch_id::INT AS batch_id, 1::BIGINT AS seq,
        CASE fate WHEN 'small' THEN 'SKIP' WHEN 'stored' THEN 'OK' END AS term,
        CASE WHEN fate IN ('small', 'stored') THEN 0 ELSE 2 END::BIGINT AS fails
 FROM tries""",
+    "poll_stream": f"""
+WITH {PAGES.replace("'%Y%m%d'", "'%Y0101'")}, {ARCHIVES},
+answers AS (
+  SELECT f.rcept_no, f.rcept_dt, f.k, n.doc_id,
+         CASE WHEN n.doc_id % 8 = 3 THEN 'PK' || chr(3) || chr(4) || d.text WHEN n_files <= 200 THEN n.body END AS body,
+         CASE WHEN n.doc_id % 8 = 3 OR n_files > 200 THEN '.zip' ELSE n.ext END AS ext
+  FROM filings f
+  JOIN counted c ON c.date = f.rcept_dt AND c.page_no = f.k // 10000 + 1 AND c.n_items > 0
+  LEFT JOIN normal n ON n.doc_id = f.k LEFT JOIN documents d ON d.doc_id = f.k
+  WHERE f.report_nm <> '1-URGENT'),
+fates AS (
+  SELECT *, strlen(body) AS size,
+         CASE WHEN doc_id % 16 = 0 THEN 'critical' WHEN doc_id % 8 = 0 OR doc_id IS NULL THEN 'missing'
+              WHEN strlen(body) < 200 THEN 'small' ELSE 'stored' END AS fate
+  FROM answers),
+tries AS (
+  SELECT *, CASE WHEN rcept_dt = '19990101' THEN 2 WHEN rcept_dt >= '19970101' THEN 1 ELSE 0 END AS batch_id,
+         CASE WHEN rcept_dt < '19970101' AND doc_id % 2 = 1 THEN 'missing' ELSE fate END AS result
+  FROM fates
+  UNION ALL
+  SELECT *, 1, fate FROM fates WHERE rcept_dt < '19970101' AND doc_id % 2 = 1),
+counts AS (SELECT rcept_no, count_if(result IN ('critical', 'missing')) AS fails FROM tries GROUP BY rcept_no)
+SELECT t.rcept_no, batch_id::INT AS batch_id, 1::BIGINT AS seq,
+       CASE result WHEN 'small' THEN 'SKIPPED_TOO_SMALL' WHEN 'stored' THEN 'SUCCESS' ELSE 'FAILED' END AS outcome,
+       CASE result WHEN 'small' THEN 'size' WHEN 'stored' THEN 'store' ELSE 'download' END AS stage,
+       CASE result WHEN 'critical' THEN 'DART API Error [010]: none' WHEN 'missing' THEN {NO_DOCUMENT}
+                   WHEN 'small' THEN 'Processed file too small (' || size || ' bytes).' END AS reason,
+       CASE fate WHEN 'small' THEN 'SKIP' WHEN 'stored' THEN 'OK' END AS term,
+       fails::BIGINT AS fails,
+       CASE WHEN fate = 'stored' THEN rcept_dt || '/' || t.rcept_no || ext END AS object_key,
+       CASE WHEN fate = 'stored' THEN md5(body) END AS body_md5
+FROM tries t JOIN counts ON counts.rcept_no = t.rcept_no""",
+    "object_files": f"""
+WITH {WRAPPED}
+SELECT '200201' || lpad((doc_id % 28 + 1)::VARCHAR, 2, '0') || '/' || lpad(doc_id::VARCHAR, 10, '0') || '.txt' AS object_key,
+       strlen(body) AS file_size, md5(body) AS body_md5
+FROM wrapped""",
     "consume_messages": f"""
 WITH {MESSAGES.replace("'%Y%m%d'", "'%Y%m01'")}
 SELECT rcept_no, 'success' AS status, NULL::VARCHAR AS error_type, NULL::VARCHAR AS error_message, corp_code,

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import charset, kind as kinds, rewrite as rewriting, text
 from ..functions.once import computed_once
@@ -16,7 +16,7 @@ from ..operators import (
 )
 from ..schema import FILING_FIELDS, MAX_FAIL, MESSAGE_FIELDS, MESSAGE_SCHEMA
 from ..session import configure, fresh_dir, written
-from ..sources import listing, messages as message_source, payloads as payload_source, store
+from ..sources import listing, messages as message_source, objects, payloads as payload_source, store
 from ..streaming import consume, incremental as stateful, poll
 from . import ingest, views
 
@@ -682,6 +682,87 @@ def poll_compacted(spark, sf):
     return _polled(spark, sf, (0, 1, 1, 2), poll.Limits(compact_after=1))
 
 
+def _land(pages: DataFrame, payloads: DataFrame, folders: poll.Folders, date: Column) -> None:
+    """Land pages and payloads as files, as the downloaders would."""
+    pages.write.mode("append").partitionBy("date", "page_no").text(folders.pages)
+    key = F.concat(F.lit("date="), date, F.lit("/"), F.col("rcept_no"), F.lit(".zip"))
+    objects.write_objects(payloads.select(key.alias("object_key"), F.col("content").alias("body")), folders.payloads)
+
+
+#: The filings of this year are listed under today's date in ``poll_stream``.
+THIS_YEAR = "19990101"
+
+
+@query
+def poll_stream(spark, sf):
+    """The job as it runs: files land in three turns, and the stream takes them up from its checkpoint.
+
+    First the pages before 1997 and every other payload of those days, then all other pages and payloads,
+    so that late payloads meet filings listed before, then a year's filings under today's date.
+    Some items break the contract, some files are no JSON and some archives no archives.
+    """
+    folders = poll.Folders(fresh_dir(spark, "poll"))
+    body = F.replace(F.to_json("page"), F.lit('"report_nm":"1-URGENT"'), F.lit('"report_nm":1'))
+    pages = written(views.pages(spark, sf, views.YEAR).select("date", "page_no", body.alias("value")), "landing")
+    damaged = pages.select("date", F.lit(1_000_000).alias("page_no"), F.lit("{ damaged").alias("value")).distinct()
+    pages = pages.unionByName(damaged)
+    doc_id = F.substring("rcept_no", 9, 20).cast("bigint")
+    texts = views.table(spark, sf, "documents").where(F.col("doc_id") % 8 == 3).select("doc_id", "text")
+    whole = views.payloads(spark, sf, views.YEAR).withColumn("doc_id", doc_id)
+    broken = whole.where(F.col("doc_id") % 8 == 3).drop("content").join(texts, "doc_id").select(
+        "rcept_no", F.concat(F.lit("PK\x03\x04"), "text").cast("binary").alias("content"), "doc_id"
+    )
+    payloads = written(whole.where(F.col("doc_id") % 8 != 3).unionByName(broken), "payloads")
+    day = F.left("rcept_no", F.lit(8))
+    late = day >= "19970101"
+    early_file = (F.col("doc_id") % 2 == 0) & ~late
+    today = spark.range(1).select(listing.poll_date_today()).first()[0]
+
+    def poll_until_done(**options):
+        poll.start_poll(spark, folders, interval=None, **options).awaitTermination()
+
+    turns = [
+        (F.col("date") < "19970101", early_file, {"target_date": ("19920101", "20201231"), "arrivals": True}),
+        (
+            (F.col("date") >= "19970101") & (F.col("date") != THIS_YEAR), ~early_file & (day != THIS_YEAR),
+            {"target_date": ("19920101", "20201231"), "arrivals": True},
+        ),
+    ]
+    for landed, files, options in turns:
+        _land(pages.where(landed), payloads.where(files), folders, day)
+        poll_until_done(**options)
+    last = pages.where(F.col("date") == THIS_YEAR).withColumn("date", F.lit(today))
+    _land(last, payloads.where(day == THIS_YEAR), folders, F.lit(today))
+    poll_until_done(arrivals=True)
+    attempts = poll.ledger(spark, folders)
+    size = F.when(~F.col("object_key").endswith(".zip") | (doc_id % 8 == 3), F.col("file_size"))
+    documents = store.read_documents(spark, folders.documents).select(
+        "rcept_no", "object_key", F.when(size.isNotNull(), F.md5("body")).alias("body_md5")
+    )
+    return attempts.join(poll.state_of(attempts), "rcept_no").join(documents, "rcept_no", "left").select(
+        "rcept_no", F.col("batch_id").cast("int").alias("batch_id"), "seq", "outcome", "stage", "reason", "term", "fails",
+        "object_key", "body_md5",
+    )
+
+
+@query
+def object_files(spark, sf):
+    """Stored documents as files of their own, written twice and read back as files."""
+    root = fresh_dir(spark, "objects")
+    docs = views.wrapped_documents(spark, sf).select(
+        F.concat(F.lit("200201"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0")).alias("rcept_dt"),
+        F.concat(F.lpad(F.col("doc_id").cast("string"), 10, "0"), F.lit(".txt")).alias("filename"),
+        F.col("body").cast("binary").alias("body"),
+    )
+    for _ in range(2):
+        sinks.export_objects(docs, root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.select(
+        F.array_join(F.slice(F.split("path", "/"), -2, 2), "/").alias("object_key"), F.col("length").alias("file_size"),
+        F.md5("content").alias("body_md5"),
+    )
+
+
 @query
 def upsert_compacted(spark, sf):
     """Upserts in eight batches, the table being compacted after each; the last one runs again."""

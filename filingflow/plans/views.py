@@ -16,7 +16,7 @@ from pyspark.sql.types import BinaryType
 from ..operators import publish
 from ..session import if_small, written
 
-DAY, MONTH = "yyyyMMdd", "yyyyMM'01'"
+DAY, MONTH, YEAR = "yyyyMMdd", "yyyyMM'01'", "yyyy'0101'"
 
 
 SCHEMAS = {
@@ -40,7 +40,7 @@ def _padded(number: Column, width: int) -> Column:
 def filings(spark: SparkSession, sf_dir: str, day: str = DAY) -> DataFrame:
     """Listing fields as strings, one row per order, plus the order key ``k``.
 
-    ``day`` is the pattern of the filing date; ``MONTH`` files all at a month's first day.
+    ``day`` is the pattern of the filing date; ``MONTH`` and ``YEAR`` file all at the first day of those.
     """
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")

@@ -107,6 +107,12 @@ def _files(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def make_dir(spark: SparkSession, folder: str) -> None:
+    """Make a folder, which streams want to be there before anything lands."""
+    path, files = _files(spark, folder)
+    files.mkdirs(path)
+
+
 def clear(spark: SparkSession, folder: str) -> None:
     path, files = _files(spark, folder)
     files.delete(path, True)

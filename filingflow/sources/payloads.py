@@ -49,6 +49,11 @@ def read_payloads(
     return files.select("rcept_no", "date", "length", "content")
 
 
+def arrived_payloads(spark: SparkSession, root: str, **options) -> DataFrame:
+    """The stream of payload files that land, as ``rcept_no, date``; it reads no content."""
+    return read_payloads(spark, root, stream=True, **options).select("rcept_no", "date")
+
+
 def error_answer(content: Column) -> Column:
     """``struct<status, message>`` of an XML error answer, NULL when it is none."""
     text = F.regexp_replace(F.try_validate_utf8(content.cast("string")), _DECLARED, "")

@@ -24,9 +24,9 @@ from ..operators.retry import attempt_kind, finished_ids, retry_state
 from ..operators.sinks import append_attempts, publish, store_documents
 from ..plans.ingest import attempts_of, listed_filings, poll_counters, process_filings, stored_documents
 from ..schema import ATTEMPT_SCHEMA, MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES, MAX_FAIL, MIN_BODY_BYTES
-from ..session import clear, configure, written
+from ..session import clear, configure, make_dir, written
 from ..sources.listing import page_fields, page_items, poll_date_today, read_pages, scan_predicate, valid_poll_date
-from ..sources.payloads import read_payloads
+from ..sources.payloads import arrived_payloads, read_payloads
 from ..sources.store import (
     DOCUMENT_SCHEMA, compact_dates, date_key, folders_of, read_dates, read_documents, read_processed, read_table, stored_keys,
 )
@@ -114,6 +114,8 @@ def run_batch(
 ) -> dict:
     """Ingest the dates that appear in one micro-batch of landed pages.
 
+    Rows with a ``rcept_no`` are payload files that arrived: of a date with no page in
+    the batch only those filings are tried, once, as listed before.
     ``payloads`` takes the place of the landed payload files.
 
     Returns what the batch did: filings processed, skipped and failed.
@@ -124,14 +126,18 @@ def run_batch(
         # A table on disk has a known size, so Spark broadcasts it only if small.
         return written(df, name, f"{folders.root}/work/batch_id={batch_id}/{name}")
 
-    dates = _listed(batch.where(valid_poll_date(F.col("date"))), "date")
+    batch = batch.where(valid_poll_date(F.col("date")))
+    dates = _listed(batch, "date")
     fields = kept(page_fields(landed_pages(spark, folders, dates)).drop("page"), "pages")
     # what the status of each page asks for: waits and key errors are rows, too
     statuses = page_actions(fields.select("date", "page_no", "status", "message", "n_items"))
     statuses.write.mode("overwrite").json(f"{folders.page_status}/batch_id={batch_id}")
     items = kept(parse_items(page_items(counted_pages(fields))), "items")
     quarantined(items).write.mode("overwrite").json(f"{folders.quarantine}/batch_id={batch_id}")
-    filings = kept(listed_filings(items).withColumn("date_key", date_key(F.col("rcept_dt"))), "listing")
+    due = listed_filings(items)
+    if "rcept_no" in batch.columns:
+        due = _due(due, kept(batch.select("date", "rcept_no"), "arrived"))
+    filings = kept(due.withColumn("date_key", date_key(F.col("rcept_dt"))), "listing")
     filed = _listed(filings, "date_key")
     filed_before = _dates_of_run(spark, folders, batch_id, filed)
 
@@ -159,6 +165,15 @@ def run_batch(
     return counters.get
 
 
+def _due(filings: DataFrame, arrived: DataFrame) -> DataFrame:
+    """Filings of the dates listed in a batch, and those whose payload arrived for other dates."""
+    listed = _listed(arrived.where("rcept_no IS NULL"), "date")
+    was_listed = F.col("polling_date").isin(listed) if listed else F.lit(False)
+    ids = arrived.where("rcept_no IS NOT NULL").select("rcept_no").distinct()
+    late = filings.where(~was_listed).join(ids, "rcept_no", "left_semi").withColumn("n_listed", F.lit(1).cast("bigint"))
+    return filings.where(was_listed).unionByName(late)
+
+
 def _dates_of_run(spark: SparkSession, folders: Folders, batch_id: int, filed: list[str]) -> list[str]:
     """Filing dates an earlier run of this batch wrote; notes those of this run."""
     folder = f"{folders.batch_dates}/batch_id={batch_id}"
@@ -174,20 +189,34 @@ def start_poll(
     interval: str | None = "300 seconds",
     max_files: int = 1000,
     limits: Limits = Limits(),
-    target_date: str | None = None,
+    target_date: str | tuple[str, str] | None = None,
+    arrivals: bool = False,
 ) -> StreamingQuery:
     """Start the poll stream; ``interval=None`` works off what has landed and ends.
 
     The pages of ``target_date`` are polled, by default those of today's date in the
-    service's zone, whatever day that is when a batch runs.
+    service's zone, whatever day that is when a batch runs; two dates are the first and
+    last of those to work off.  With ``arrivals`` a payload file that lands after
+    its filing was listed starts a batch, too, and its filing is tried without a new listing.
     """
-    if target_date is not None and not re.fullmatch("[0-9]{8}", target_date):
-        raise ValueError(f"target date must be YYYYMMDD: {target_date!r}")
+    for date in [target_date] if isinstance(target_date, str) else target_date or ():
+        if not re.fullmatch("[0-9]{8}", date):
+            raise ValueError(f"target date must be YYYYMMDD: {date!r}")
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     pages = read_pages(spark, folders.pages, stream=True, maxFilesPerTrigger=max_files)
-    polled = scan_predicate(date=target_date) if target_date else F.col("date") == poll_date_today()
+    if target_date is None:
+        polled = F.col("date") == poll_date_today()
+    elif isinstance(target_date, str):
+        polled = scan_predicate(date=target_date)
+    else:
+        polled = F.col("date").between(*target_date)
+    landed = pages.select("date")
+    if arrivals:
+        make_dir(spark, folders.payloads)
+        files = arrived_payloads(spark, folders.payloads, maxFilesPerTrigger=max_files)
+        landed = landed.withColumn("rcept_no", F.lit(None).cast("string")).unionByName(files.select("date", "rcept_no"))
     return (
-        pages.where(polled).select("date")
+        landed.where(polled)
         .writeStream.foreachBatch(lambda batch, batch_id: run_batch(batch, batch_id, folders, limits))
         .option("checkpointLocation", folders.checkpoint_poll)
         .trigger(**trigger)

@@ -27,7 +27,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-NOT_PLANNED_HERE = {"stream_dedup", "stream_upsert", "stream_retry", "publish_roundtrip", "object_store_write", "poll_twice", "poll_compacted", "upsert_compacted", "consume_messages"}
+NOT_PLANNED_HERE = {"stream_dedup", "stream_upsert", "stream_retry", "publish_roundtrip", "object_store_write", "poll_twice", "poll_compacted", "poll_stream", "object_files", "upsert_compacted", "consume_messages"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - NOT_PLANNED_HERE))

@@ -264,3 +264,39 @@ def test_state_by_batches_is_state_at_once(spark):
 
 def test_filing_fields_cover_the_record():
     assert len(FILING_FIELDS) == 10
+
+
+def test_late_payloads_need_no_new_listing(spark, folder):
+    folders = Folders(folder)
+    doc = make_zip([("a.html", HTML)])
+
+    def poll_arrivals():
+        start_poll(spark, folders, interval=None, target_date=("20240101", "20240103"), arrivals=True).awaitTermination()
+
+    land_page(folder, [item(1), item(2), item(2), item(3)])
+    land_page(folder, [item(5, date="20240104")], date="20240104")
+    land_payload(folder, 1, doc)
+    poll_arrivals()
+    first = [("0", 1, "SUCCESS"), ("0", 2, "FAILED"), ("0", 2, "FAILED"), ("0", 3, "FAILED")]
+    assert outcomes(spark, folders) == first
+    # one comes late, one comes again, one was never listed, one is of another date
+    for no in (2, 1, 9):
+        land_payload(folder, no, doc)
+    land_payload(folder, 5, doc, date="20240104")
+    poll_arrivals()
+    assert outcomes(spark, folders) == [*first, ("1", 2, "SUCCESS")]
+    poll_arrivals()  # nothing landed
+    # the batch runs again after a crash
+    arrived = spark.createDataFrame([("20240102", f"20240102{n:06d}") for n in (2, 1, 9)], "date string, rcept_no string")
+    run_batch(arrived, 1, folders)
+    assert outcomes(spark, folders) == [*first, ("1", 2, "SUCCESS")]
+    # a payload that is no archive counts as a failed try
+    land_payload(folder, 3, b"gone")
+    poll_arrivals()
+    assert outcomes(spark, folders)[5:] == [("2", 3, "FAILED")]
+    # a new listing tries all that is open
+    land_page(folder, [item(3), item(4)], name="b")
+    poll_arrivals()
+    assert outcomes(spark, folders)[6:] == [("3", 3, "FAILED"), ("3", 4, "FAILED")]
+    state = {r["rcept_no"][8:]: (r["term"], r["fails"]) for r in state_of(ledger(spark, folders)).collect()}
+    assert state == {"000001": ("OK", 0), "000002": ("OK", 2), "000003": ("PERM", 3), "000004": (None, 1)}
