@@ -719,7 +719,7 @@ def poll_stream(spark, sf):
     today = spark.range(1).select(listing.poll_date_today()).first()[0]
 
     def poll_until_done(**options):
-        poll.start_poll(spark, folders, interval=None, **options).awaitTermination()
+        poll.start_poll(spark, folders, interval=None, max_files=None, **options).awaitTermination()
 
     turns = [
         (F.col("date") < "19970101", early_file, {"target_date": ("19920101", "20201231"), "arrivals": True}),

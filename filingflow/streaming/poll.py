@@ -187,7 +187,7 @@ def start_poll(
     spark: SparkSession,
     folders: Folders,
     interval: str | None = "300 seconds",
-    max_files: int = 1000,
+    max_files: int | None = 1000,
     limits: Limits = Limits(),
     target_date: str | tuple[str, str] | None = None,
     arrivals: bool = False,
@@ -198,12 +198,14 @@ def start_poll(
     service's zone, whatever day that is when a batch runs; two dates are the first and
     last of those to work off.  With ``arrivals`` a payload file that lands after
     its filing was listed starts a batch, too, and its filing is tried without a new listing.
+    A batch takes up ``max_files`` pages and as many payload files, or with None all that landed.
     """
     for date in [target_date] if isinstance(target_date, str) else target_date or ():
         if not re.fullmatch("[0-9]{8}", date):
             raise ValueError(f"target date must be YYYYMMDD: {date!r}")
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    pages = read_pages(spark, folders.pages, stream=True, maxFilesPerTrigger=max_files)
+    limit = {} if max_files is None else {"maxFilesPerTrigger": max_files}
+    pages = read_pages(spark, folders.pages, stream=True, **limit)
     if target_date is None:
         polled = F.col("date") == poll_date_today()
     elif isinstance(target_date, str):
@@ -213,7 +215,7 @@ def start_poll(
     landed = pages.select("date")
     if arrivals:
         make_dir(spark, folders.payloads)
-        files = arrived_payloads(spark, folders.payloads, maxFilesPerTrigger=max_files)
+        files = arrived_payloads(spark, folders.payloads, **limit)
         landed = landed.withColumn("rcept_no", F.lit(None).cast("string")).unionByName(files.select("date", "rcept_no"))
     return (
         landed.where(polled)

@@ -300,3 +300,15 @@ def test_late_payloads_need_no_new_listing(spark, folder):
     assert outcomes(spark, folders)[6:] == [("3", 3, "FAILED"), ("3", 4, "FAILED")]
     state = {r["rcept_no"][8:]: (r["term"], r["fails"]) for r in state_of(ledger(spark, folders)).collect()}
     assert state == {"000001": ("OK", 0), "000002": ("OK", 2), "000003": ("PERM", 3), "000004": (None, 1)}
+
+
+def test_all_that_landed_is_one_batch(spark, folder):
+    folders = Folders(folder)
+    for day in (2, 3):
+        land_page(folder, [item(day, date=f"2024010{day}")], date=f"2024010{day}")
+        for name in "abc":
+            land_payload(folder, day, make_zip([("a.html", HTML)]), date=f"2024010{day}")
+    start_poll(
+        spark, folders, interval=None, target_date=("20240101", "20240103"), arrivals=True, max_files=None
+    ).awaitTermination()
+    assert outcomes(spark, folders) == [("0", 2, "SUCCESS"), ("0", 3, "SUCCESS")]
