@@ -20,10 +20,12 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+#: Objects a task writes at most, about: making a file takes milliseconds, whatever its size.
+TASK_OBJECTS = 2_000
 STAGING = "_staging"  # names that begin with _ are hidden from Spark's file sources
 
 
@@ -100,11 +102,19 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(Objects)
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt out by key, so that no task writes more objects than others or more as the table grows."""
+    n = rows.select("object_key").count()
+    if n <= TASK_OBJECTS:
+        return rows
+    return rows.repartition(-(-n // TASK_OBJECTS), F.xxhash64("object_key"))
+
+
 def write_objects(rows: DataFrame, root: str) -> None:
     """Put the ``body`` of each row at its ``object_key`` below ``root``.
 
     An object without a body is an empty file.  A key that is null, empty or would leave
-    the root fails the write.  Of rows with one key, one's body stays.
+    the root fails the write.  Of rows with one key, one's body stays.  The rows are counted first.
     """
     register(rows.sparkSession)
-    rows.select("object_key", "body").write.format("objects").mode("append").save(root)
+    dealt(rows.select("object_key", "body")).write.format("objects").mode("append").save(root)

@@ -62,3 +62,20 @@ def test_a_task_that_fails_leaves_nothing_and_its_retry_all(folder):
     other.abort([None])
     other.abort([None])
     assert files_below(folder) == ["d/1", "d/2", "d/3"]
+
+
+def test_objects_of_one_split_are_dealt_to_tasks(spark, monkeypatch):
+    from filingflow.sources import objects
+
+    monkeypatch.setattr(objects, "TASK_OBJECTS", 50)
+    rows = spark.range(1000).coalesce(1).selectExpr("CAST(id AS STRING) AS object_key", "CAST('x' AS BINARY) AS body")
+    sizes = objects.dealt(rows).rdd.glom().map(len).collect()
+    assert len(sizes) == 20 and sum(sizes) == 1000 and max(sizes) < 100
+    assert objects.dealt(rows.limit(50)).rdd.getNumPartitions() == 1
+
+
+def test_small_files_share_tasks(spark, folder):
+    rows = spark.range(300).coalesce(1).selectExpr("concat('a/', id) AS object_key", "CAST('x' AS BINARY) AS body")
+    write_objects(rows, folder)
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    assert read.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism + 1
