@@ -11,8 +11,8 @@ from pyspark.sql.types import StringType
 
 from ..schema import MAX_PAGE_SIZE
 
-# All characters Python's str.strip() removes; SQL trim only knows U+0020.
-_SPACE = r"[\t-\r\x1C-\x20\x85\p{Z}]"
+# All characters Python's str.strip() removes; SQL trim only knows U+0020 unless told.
+_SPACE = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _ASCII_ONLY = r"\A[\x00-\x7F]*\z"
 # How the service's date formats read a month and a day.
 _MONTH, _DAY = r"(1[0-2]|0[1-9]|[1-9])", r"(3[0-1]|[1-2]\d|0[1-9]|[1-9])"
@@ -21,7 +21,7 @@ _COMPRESSED = r"(?i)\.(gz|z|bz2|xz|br)\z"
 
 def strip(col: Column) -> Column:
     """Trim Unicode white space on both ends; NULL stays NULL, blanks become ''."""
-    return F.regexp_replace(col, rf"\A{_SPACE}+|{_SPACE}+\z", "")
+    return F.btrim(col, F.lit(_SPACE))
 
 
 def empty_to_null(col: Column) -> Column:

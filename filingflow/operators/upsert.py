@@ -19,10 +19,11 @@ def upsert(target: DataFrame, batch: DataFrame, order: list[str], keys: list[str
 def write_batch(batch: DataFrame, root: str, batch_id: int, order: list[str], dates: Iterable[str] = ()) -> None:
     """Store one micro-batch's changes; running a batch again replaces its folders.
 
-    The table is laid out by the date that starts every id.
+    The table is laid out by the date that starts every id, and rows are ranked in that
+    order, so that the writer sorts them no second time.
     """
-    latest = latest_per_key(batch, ["rcept_no"], order)
-    write_dates(latest.withColumn("date_key", id_date(F.col("rcept_no"))), root, batch_id, dates)
+    rows = batch.withColumn("date_key", id_date(F.col("rcept_no")))
+    write_dates(latest_per_key(rows, ["date_key", "rcept_no"], order), root, batch_id, dates)
 
 
 def id_date(rcept_no: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.publish import REPORTED, task_results, upsert_columns, upsert_payload
 from ..operators.upsert import compact_upserts, current, id_date, write_batch
-from ..session import configure
+from ..session import configure, scratch, written
 from ..sources.messages import read_messages
 
 UPSERT_SCHEMA = "rcept_no string, body string, published_at timestamp, published_seq bigint"
@@ -28,24 +28,28 @@ def consume_batch(
 
     A message that cannot be read or has no valid date is an error row; it
     never stops the stream.  What cannot be read is kept whole in ``unreadable``.
+    The lines are parsed once: the batch's payloads are written, and dates, table and
+    results read their own columns of them.
     """
-    configure(batch.sparkSession)
+    spark = configure(batch.sparkSession)
     order = ["published_at", "published_seq"]
-    broken = F.col("rcept_no").isNull()
-    columns = upsert_columns(batch.where(~broken), keep=[*order, *REPORTED])
-    payloads = columns.withColumn("body", upsert_payload(columns))
-    good = payloads.where(F.col("date_error").isNull()).select("rcept_no", "body", *order)
-    dates = _noted_dates(good, table_root, batch_id)
-    write_batch(good, table_root, batch_id, order, dates)
-    unreadable = batch.where(broken).select(
-        F.lit("error").alias("status"),
-        F.lit("unexpected_error").alias("error_type"),
-        F.when(F.col("unreadable").isNull(), "message without an id").otherwise("unreadable message").alias("error_message"),
-        "unreadable",
-    )
-    results = task_results(payloads).unionByName(unreadable, allowMissingColumns=True)
-    results.write.mode("overwrite").parquet(f"{results_root}/batch_id={batch_id}")
-    compact_upserts(batch.sparkSession, table_root, UPSERT_SCHEMA, dates, batch_id - 1, compact_after)
+    with scratch(spark):
+        columns = upsert_columns(batch, keep=["unreadable", *order, *REPORTED])
+        read = written(columns.select("rcept_no", "unreadable", *order, *REPORTED, "date_error", upsert_payload(columns).alias("body")), "messages")
+        broken = F.col("rcept_no").isNull()
+        payloads = read.where(~broken)
+        good = payloads.where(F.col("date_error").isNull()).select("rcept_no", "body", *order)
+        dates = _noted_dates(good, table_root, batch_id)
+        write_batch(good, table_root, batch_id, order, dates)
+        unreadable = read.where(broken).select(
+            F.lit("error").alias("status"),
+            F.lit("unexpected_error").alias("error_type"),
+            F.when(F.col("unreadable").isNull(), "message without an id").otherwise("unreadable message").alias("error_message"),
+            "unreadable",
+        )
+        results = task_results(payloads).unionByName(unreadable, allowMissingColumns=True)
+        results.write.mode("overwrite").parquet(f"{results_root}/batch_id={batch_id}")
+    compact_upserts(spark, table_root, UPSERT_SCHEMA, dates, batch_id - 1, compact_after)
 
 
 def _noted_dates(good: DataFrame, table_root: str, batch_id: int) -> list[str]:

@@ -9,6 +9,7 @@ from filingflow.operators.retry import retry_state
 from filingflow.operators.upsert import compact
 from filingflow.schema import FILING_FIELDS
 from filingflow.sources.store import read_documents
+from filingflow.sources.messages import read_messages
 from filingflow.streaming.consume import UPSERT_SCHEMA, consume_batch, start_consume, upserted
 from filingflow.streaming.incremental import advance_state, note_first_seen
 from filingflow.streaming.poll import Folders, Limits, failures, landed_pages, ledger, run_batch, start_poll, state_of
@@ -312,3 +313,19 @@ def test_all_that_landed_is_one_batch(spark, folder):
         spark, folders, interval=None, target_date=("20240101", "20240103"), arrivals=True, max_files=None
     ).awaitTermination()
     assert outcomes(spark, folders) == [("0", 2, "SUCCESS"), ("0", 3, "SUCCESS")]
+
+
+def test_a_batch_of_messages_is_read_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    text = "named_struct('rcept_no', concat('19950101', lpad(id, 6, '0')), 'rcept_dt', '19950101', 'corp_name', ' x ')"
+    spark.range(50).selectExpr(f"to_json({text}) AS value").coalesce(1).write.text(f"{folder}/messages/batch_id=0")
+    rows = read_messages(spark, f"{folder}/messages")
+    consume_batch(rows.mapInArrow(counted, rows.schema), 0, f"{folder}/table", f"{folder}/results")
+    assert seen.value == 50
+    assert upserted(spark, f"{folder}/table").count() == spark.read.parquet(f"{folder}/results").count() == 50
