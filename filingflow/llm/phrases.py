@@ -44,8 +44,10 @@ from .words import mix
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A candidate goes if a longer one around it has this share of its occurrences, in percent.
 COVERED = 80
-#: Bytes of text after which chunks are closed.
-CHUNK_BYTES = 32 << 20
+#: Bytes of text after which chunks are closed; the numbers of a chunk take some twenty times that while it is counted.
+CHUNK_BYTES = 8 << 20
+#: Occurrences tested against the filter at a time.
+TESTED = 1 << 18
 SLICE = 4 << 20
 #: Parts of a language that are ranked by themselves first.
 RANK_PARTS = 64
@@ -145,7 +147,7 @@ def _numbered_words(words: pa.Table, frequent: pa.Table) -> pa.Table:
 
 def _starts(places: np.ndarray, length: int) -> np.ndarray:
     """Where ``length`` places follow each other without a gap."""
-    gaps = np.cumsum(np.concatenate([[0], places < 0]))
+    gaps = np.cumsum(np.concatenate([[False], places < 0]), dtype=np.int32)
     return np.flatnonzero(gaps[length:] == gaps[:-length]) if len(places) >= length else np.zeros(0, np.int64)
 
 
@@ -163,7 +165,7 @@ def _counted(length: int):
                 at = _starts(places, length)
                 number = places[at].astype(np.int64)
                 for j in range(1, length):  # numbers of ever longer phrases
-                    keys, first, number, counts = np.unique(
+                    _, first, number, counts = np.unique(
                         number * len(ids) + places[at + j], return_index=True, return_inverse=True, return_counts=True
                     )
                 columns = [pa.array(ids[places[at[first] + j]]) for j in range(length)] if len(at) else [pa.array([], pa.int64())] * length
@@ -205,6 +207,14 @@ def filter_of(frequent: DataFrame, length: int) -> np.ndarray:
     return found
 
 
+def _passing(at: np.ndarray, places: np.ndarray, ids: np.ndarray, length: int, held: np.ndarray) -> np.ndarray:
+    """Those of the starts ``at`` whose phrase passes the filter."""
+    for bit in _places_in_filter([ids[places[at + j]] for j in range(length)], len(held) << 6):
+        hit = (held[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)
+        at = np.where(hit == 1, at, -1)
+    return at[at >= 0]
+
+
 def _kept(length: int, held: np.ndarray):
     """The relation of occurrences that pass the filter: runs in which all ``length`` words are one."""
 
@@ -213,10 +223,7 @@ def _kept(length: int, held: np.ndarray):
             for row in batch.to_pylist():
                 places, ids = unsqueeze(row["places"], "<i4"), unsqueeze(row["ids"], "<i8")
                 at = _starts(places, length)
-                for bit in _places_in_filter([ids[places[at + j]] for j in range(length)], len(held) << 6):
-                    hit = (held[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)
-                    at = np.where(hit == 1, at, -1)
-                at = at[at >= 0]
+                at = np.concatenate([_passing(at[i : i + TESTED], places, ids, length, held) for i in range(0, len(at), TESTED)] or [at])
                 # a run from its first start to the end of its last phrase, and a gap
                 first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
                 sizes = np.diff(np.append(first, len(at))) + length
