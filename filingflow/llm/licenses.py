@@ -10,6 +10,8 @@ probability of at most (5/8)^24, about 1 in 80,000.  A window that shares a band
 a template is a candidate; it counts if it holds ``MIN_CONTAINMENT`` of the
 template's shingles.
 
+A window can only share a value with a template if it holds that shingle of it, so the
+minima are taken in documents that have a shingle of some template; others are left out before.
 A window can only share a value if one of its blocks does.  A document none of whose
 blocks shares a value with a template goes no further; of the others the blocks that do
 are exploded, each with its surroundings, so a long text is never copied per window.  The templates
@@ -110,7 +112,9 @@ def licenses(
     known = template_bands(spark, templates or TEMPLATES, bands)
     every = known.agg(F.array_distinct(F.flatten(F.collect_list("minima"))).alias("values"))
     widths = known.agg(F.sort_array(F.collect_set("blocks")).alias("widths"))
+    sought = known.agg(F.array_distinct(F.flatten(F.collect_list("wanted"))).alias("sought"))
     rows = _hashed(docs.select("doc_id", F.xxhash64("text").alias("version"), "text"), ["doc_id", "version"])
+    rows = rows.filter(F.arrays_overlap("shingles", sought.scalar()))
     rows = computed_once(rows, ["doc_id", "version", "shingles"], minima=_block_minima(F.col("shingles"), bands))
     hit = rows.filter(F.arrays_overlap(F.flatten("minima"), every.scalar()))
     hit = computed_once(hit, hit.columns, known=every.scalar(), widths=widths.scalar())

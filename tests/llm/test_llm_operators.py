@@ -614,3 +614,16 @@ def test_word_hashes_equal_for_equal_words():
     for w, h in zip(plain_words, words.hashes.tolist()):
         assert seen.setdefault(w, h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+def test_minima_are_taken_only_where_a_template_has_a_shingle(spark, monkeypatch):
+    texts = ["other words that no license has " * 5] * 20 + ["x y z Released under the MIT License. x y z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    minima = licenses._block_minima
+
+    def refusing(shingles, bands):
+        none = F.raise_error(F.lit("minima of a document without a template's shingle")).cast("array<array<bigint>>")
+        return F.when(F.size(shingles) > 20, none).otherwise(minima(shingles, bands))
+
+    monkeypatch.setattr(licenses, "_block_minima", refusing)
+    assert [(r["doc_id"], r["license"]) for r in licenses.licenses(docs).collect()] == [(20, "mit")]
