@@ -1,12 +1,14 @@
 """Near-duplicate join by chosen paths: sets of 4-word shingles that overlap by 4/5 or more.
 
 Equal sets are one class.  A class is reduced to ``COORDINATES`` minwise tokens.  A tree
-branches the classes recursively: a node picks two coordinates by its own hash, and a class
-goes to the child named by the token it has there, once per coordinate.  Two sets of
-similarity 4/5 share a token at a coordinate with probability 0.8, so a pair is lost by a
-tree of any depth with probability q = (1 - 0.8 (1 - q))^2 = 1/16 at most, and by all
-``TREES`` with less than 1 in 10^9; the first level alone, at coordinates of its own for
-every tree, loses 0.2^16.  Nodes of one class end at once.  In every other node
+begins with the path of ``TRUNK`` tokens at coordinates of its own: texts that have little
+in common seldom share three, so most nodes hold one class and end at once.  From there it
+branches recursively: a node picks two coordinates by its own hash, and a class goes to the
+child named by the token it has there, once per coordinate.  Two sets of similarity 4/5
+share a token at a coordinate with probability 0.8, so a pair is lost below the trunk, at
+any depth, with probability q = (1 - 0.8 (1 - q))^2 = 1/16 at most, by a tree with
+1 - 0.8^3 (1 - q) = 0.52, and by all ``TREES`` with less than 1 in 10^9.  Nodes whose
+classes are known to be connected end too.  In every other node
 
 1. each class is compared with the node's first, and each class is verified with the one of
    those it agrees with most, so large groups of near copies become connected with a
@@ -15,11 +17,13 @@ every tree, loses 0.2^16.  Nodes of one class end at once.  In every other node
    except for pairs known to be connected; larger ones branch again.  After ``LEVELS``
    levels what is left is cut into blocks of ``SMALL`` and all pairs of blocks are compared.
 
-A comparison takes two steps inside the node's task: pairs that agree on ``AGREE``
-coordinates or more (similar sets agree on fewer with a probability below 1 in 10^8) must
-be possible by a bitmap of their elements: a bit that only one has stands for an element
-that only it has, which bounds the overlap exactly.  Few but similar pairs leave the task,
-also where thousands of texts are somewhat alike, and these are verified on their whole sets.
+A comparison takes two steps, each inside the node's task.  First the ids are found that
+agree with one of another component on ``AGREE`` of the first ``SEEN`` coordinates or more
+(similar sets agree on fewer with a probability below 1 in 10^8).  Only these, which are few
+among texts that met by chance, get a bitmap of their elements and are compared again: a bit
+that only one has stands for an element that only it has, which bounds the overlap exactly.
+Few but similar pairs leave the task, also where thousands of texts are somewhat alike, and
+these are verified on their whole sets.
 Components of the links, over document ids, give the smallest id that is reached.
 
 Defined cases: a text without words has an empty set and is linked with nothing; with
@@ -38,17 +42,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.placed_join import likely
-from ..session import written
+from ..session import settled, written
 from .components import components
 from .words import Words, _stream, mix, portions
 
 WIDTH = 4
 #: Similarity in percent.
 SIMILAR = 80
-COORDINATES, TREES, PICKS = 64, 8, 2
+TREES, TRUNK = 32, 3
 #: Coordinates that a level after the first picks from.
 SPAN, LEVELS = 8, 4
-SMALL, AGREE = 256, 28
+COORDINATES = TREES * TRUNK + SPAN * (LEVELS - 1)
+SMALL, SEEN, AGREE = 1024, 64, 28
+#: Bytes of a token.
+TOKEN = 2
 #: Bits of an element's bitmap at least, and its greatest length in 64-bit words.
 SPARSE, MOST_WORDS = 8, 4096
 #: Verified pairs per task and document.
@@ -56,7 +63,7 @@ SALT_ROWS = 500
 _FACTORS = _stream("chosen path", COORDINATES) | np.uint64(1)
 _SHORT = np.uint64(0x5851F42D4C957F2D)
 
-FEATURES = "doc_id long, n long, set_a long, set_b long, tokens array<int>, bits binary"
+FEATURES = "doc_id long, n long, set_a long, set_b long, tokens binary"
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -79,11 +86,11 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def minwise(keys: np.ndarray) -> np.ndarray:
-    """The token of each coordinate: 32 bits of the least hash."""
+    """The token of each coordinate: 16 bits of the least hash."""
     least = np.full(COORDINATES, np.uint64((1 << 64) - 1))
     for part in np.array_split(keys, 1 + len(keys) // 4096):
         least = np.minimum(least, (part[None, :] * _FACTORS[:, None]).min(1))
-    return mix(least).astype(np.uint32).view(np.int32)
+    return mix(least).astype("<u2")
 
 
 def bitmap(keys: np.ndarray) -> bytes:
@@ -96,23 +103,28 @@ def bitmap(keys: np.ndarray) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in portions(whole)):
-        sets = shingle_sets(batch.column("text").to_pylist())
-        a = [int(mix(s ^ _SHORT).sum().view(np.int64)) for s in sets]
-        b = [int(np.bitwise_xor.reduce(mix(s + _SHORT)).view(np.int64)) if len(s) else 0 for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                pa.array([minwise(s) if len(s) >= WIDTH else None for s in sets], pa.list_(pa.int32())),
-                pa.array([bitmap(s) if len(s) >= WIDTH else None for s in sets], pa.binary()),
-            ],
-            ["doc_id", "n", "set_a", "set_b", "tokens", "bits"],
-        )
+def _features(marked: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in portions(whole)):
+            sets = shingle_sets(batch.column("text").to_pylist())
+            a = [int(mix(s ^ _SHORT).sum().view(np.int64)) for s in sets]
+            b = [int(np.bitwise_xor.reduce(mix(s + _SHORT)).view(np.int64)) if len(s) else 0 for s in sets]
+            columns = {
+                "doc_id": batch.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()),
+                "set_a": pa.array(a, pa.int64()), "set_b": pa.array(b, pa.int64()),
+                "tokens": pa.array([minwise(s).tobytes() if len(s) >= WIDTH else None for s in sets], pa.binary()),
+            }
+            if marked:
+                columns["bits"] = pa.array([bitmap(s) if len(s) >= WIDTH else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
+    return run
 
-def features(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_features, FEATURES)
+
+def features(docs: DataFrame, marked: bool = False) -> DataFrame:
+    """Size, hashes and tokens of each text's set; ``marked`` adds its bitmap."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.mapInArrow(_features(marked), FEATURES + (", bits binary" if marked else ""))
 
 
 # --- verification ----------------------------------------------------------------
@@ -163,27 +175,34 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def roots(sets: DataFrame) -> DataFrame:
-    """(node, id): the first level, two coordinates of its own for every tree."""
-    picks = F.explode(F.sequence(F.lit(0), F.lit(TREES * PICKS - 1))).alias("pick")
-    return sets.select("id", "tokens", picks).select(
-        F.xxhash64("pick", F.element_at("tokens", F.col("pick") + 1)).alias("node"), "id"
-    )
+    """(node, id, component): the trunk of every tree."""
+    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    path = F.substring("tokens", F.col("tree") * (TRUNK * TOKEN) + 1, F.lit(TRUNK * TOKEN))
+    return sets.select("id", "tokens", trees).select(F.xxhash64("tree", path).alias("node"), "id", F.col("id").alias("component"))
 
 
 def children(members: DataFrame, level: int) -> DataFrame:
-    """(node, id) of the next level; ``members`` have ``tokens``.  A node picks two of the level's coordinates."""
-    first = TREES * PICKS + SPAN * (level - 2)
+    """(node, id, component) of the next level; ``members`` have ``tokens``.  A node picks two of the level's coordinates."""
+    first = TREES * TRUNK + SPAN * (level - 2)
     one = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(SPAN))
     two = F.pmod(one + 1 + F.pmod(F.xxhash64("node", F.lit(-level)), F.lit(SPAN - 1)), F.lit(SPAN))
-    picked = members.select("node", "id", "tokens", F.explode(F.array(one, two)).alias("pick"))
-    token = F.element_at("tokens", (F.col("pick") + first + 1).cast("int"))
-    return picked.select(F.xxhash64("node", "pick", token).alias("node"), "id").distinct()
+    picked = members.select("node", "id", "component", "tokens", F.explode(F.array(one, two)).alias("pick"))
+    token = F.substring("tokens", ((F.col("pick") + first) * TOKEN + 1).cast("int"), F.lit(TOKEN))
+    return picked.select(F.xxhash64("node", "pick", token).alias("node"), "id", "component").distinct()
 
 
-def agreement(one: Column, two: Column) -> Column:
-    """Coordinates at which two sets have the same token."""
-    same = F.zip_with(one, two, lambda x, y: (x == y).cast("int"))
-    return F.aggregate(same, F.lit(0), lambda n, x: n + x)
+def _tokens(column: pa.Array) -> np.ndarray:
+    """Tokens as rows."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1)
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, first, agree) of the pairs that agree on ``AGREE`` coordinates or more."""
+    for batch in batches:
+        if batch.num_rows:
+            agree = (_tokens(batch.column("seen")) == _tokens(batch.column("others"))).sum(1)
+            rows = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("first"), pa.array(agree, pa.int64())], ["id", "first", "agree"])
+            yield rows.filter(pa.array(agree >= AGREE))
 
 
 def first_pairs(members: DataFrame, firsts: DataFrame, sets: DataFrame) -> DataFrame:
@@ -191,12 +210,12 @@ def first_pairs(members: DataFrame, firsts: DataFrame, sets: DataFrame) -> DataF
 
     Links make components, so one per class serves here; what stays apart is compared in full.
     """
-    met = members.join(firsts, "node").filter("id <> first").select("id", "first").distinct()
-    own = sets.select("id", "n", "tokens")
-    other = sets.select(F.col("id").alias("first"), F.col("n").alias("m"), F.col("tokens").alias("others"))
+    of_first = members.select("node", F.col("id").alias("first"), F.col("component").alias("known"))
+    met = members.join(firsts.join(of_first, ["node", "first"]), "node").filter("component <> known").select("id", "first").distinct()
+    own = sets.select("id", "n", "seen")
+    other = sets.select(F.col("id").alias("first"), F.col("n").alias("m"), F.col("seen").alias("others"))
     sized = met.join(own, "id").join(other, "first").filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * SIMILAR)
-    agree = agreement(F.col("tokens"), F.col("others"))
-    best = sized.withColumn("agree", agree).filter(F.col("agree") >= AGREE).groupBy("id").agg(
+    best = sized.select("id", "first", "seen", "others").mapInArrow(_agreeing, "id long, first long, agree long").groupBy("id").agg(
         F.max(F.struct("agree", (-F.col("first")).alias("less"))).alias("best")
     )
     return best.select(F.col("id").alias("a"), (-F.col("best.less")).alias("b"))
@@ -229,90 +248,127 @@ class _Bitmaps:
         return found
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of each cell; rows come sorted by cell, which has 2 x ``SMALL`` rows at most, or some more by chance."""
-    held: pa.Table | None = None
-
-    def pairs(table: pa.Table) -> pa.RecordBatch:
-        cell, ids, n, component, block = (
-            table.column(c).to_numpy() for c in ("cell", "id", "n", "component", "block")
-        )
-        tokens = table.column("tokens").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
-        whole = table.column("whole").to_numpy()
-        bits = _Bitmaps(table.column("bits").to_pylist())
-        found = []
-        for step in range(1, table.num_rows):
-            i = np.flatnonzero(cell[:-step] == cell[step:])
-            if not len(i):
-                break
-            j = i + step
-            keep = (component[i] != component[j]) & (whole[i] | (block[i] != block[j]))
-            keep &= 100 * np.minimum(n[i], n[j]) >= SIMILAR * np.maximum(n[i], n[j])
-            i, j = i[keep], j[keep]
-            same = (tokens[i] == tokens[j]).sum(1) >= AGREE
-            i, j = i[same], j[same]
-            same = bits.possible(i, j, n)
-            found.append(np.column_stack([ids[i[same]], ids[j[same]]]))
-        both = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both.max(1, initial=-1 << 63)), pa.array(both.min(1, initial=(1 << 63) - 1))], ["a", "b"])
-
-    for batch in batches:
-        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        if not table.num_rows:
-            continue
-        cell = table.column("cell").to_numpy()
-        last = int(np.searchsorted(cell, cell[-1]))
-        held = table.slice(last)
-        if last:
-            yield pairs(table.slice(0, last))
-    if held is not None and held.num_rows:
-        yield pairs(held)
-
-
-def compared(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Candidate pairs of whole nodes: each block of ``SMALL`` classes with itself and each other.
-
-    ``members``: node, id, component, n, tokens, bits; ``sizes``: node, times.  A node of one block is one cell.
+def _close(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of a cell that are of different components, of like size, and agree."""
+    cell, n, component, block, whole = (table.column(c).to_numpy() for c in ("cell", "n", "component", "block", "whole"))
+    tokens = _tokens(table.column("seen"))
+    for step in range(1, table.num_rows):
+        i = np.flatnonzero(cell[:-step] == cell[step:])
+        if not len(i):
+            break
+        j = i + step
+        keep = (component[i] != component[j]) & (whole[i] | (block[i] != block[j]))
+        keep &= 100 * np.minimum(n[i], n[j]) >= SIMILAR * np.maximum(n[i], n[j])
+        i, j = i[keep], j[keep]
+        same = (tokens[i] == tokens[j]).sum(1) >= AGREE
+        yield i[same], j[same]
+
+
+def _ids_close(table: pa.Table) -> pa.RecordBatch:
+    """The ids that have another one close to them."""
+    ids = table.column("id").to_numpy()
+    found = np.zeros(len(ids), bool)
+    for i, j in _close(table):
+        found[i] = found[j] = True
+    return pa.RecordBatch.from_arrays([pa.array(np.unique(ids[found]), pa.int64())], ["id"])
+
+
+def _pairs_possible(table: pa.Table) -> pa.RecordBatch:
+    """The close pairs that may be similar by their bitmaps."""
+    ids, n = table.column("id").to_numpy(), table.column("n").to_numpy()
+    bits = _Bitmaps(table.column("bits").to_pylist())
+    found = [np.zeros((0, 2), np.int64)]
+    for i, j in _close(table):
+        same = bits.possible(i, j, n)
+        found.append(np.column_stack([ids[i[same]], ids[j[same]]]))
+    both = np.concatenate(found)
+    return pa.RecordBatch.from_arrays([pa.array(both.max(1, initial=-1 << 63)), pa.array(both.min(1, initial=(1 << 63) - 1))], ["a", "b"])
+
+
+def _by_cells(make):
+    """``make`` of whole cells; rows come sorted by cell, which has 2 x ``SMALL`` rows at most, or some more by chance."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if not table.num_rows:
+                continue
+            cell = table.column("cell").to_numpy()
+            last = int(np.searchsorted(cell, cell[-1]))
+            held = table.slice(last)
+            if last:
+                yield make(table.slice(0, last))
+        if held is not None and held.num_rows:
+            yield make(held)
+
+    return run
+
+
+def _cells(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of whole nodes, sorted by cell: each block of ``SMALL`` classes with itself and each other.
+
+    ``members``: node, id, component, n, seen, or more; ``sizes``: node, times.  A node of one block is one cell.
     """
     blocks = F.ceil(F.col("times") / SMALL).cast("long")
     zero = F.lit(0).cast("long")
     dealt = members.join(sizes.withColumn("blocks", blocks), "node").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
-    cells = dealt.select(F.xxhash64("node", low, high).alias("cell"), "id", "n", "component", "block", (low == high).alias("whole"), "tokens", "bits")
-    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_compare, "a long, b long").distinct()
+    more = [c for c in members.columns if c != "node"]
+    cells = dealt.select(F.xxhash64("node", low, high).alias("cell"), "block", (low == high).alias("whole"), *more)
+    return cells.repartition("cell").sortWithinPartitions("cell")
+
+
+def compared(labelled: DataFrame, sizes: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of whole nodes; ``labelled``: node, id, component; ``sizes``: node, times."""
+    rows = labelled.join(sizes.select("node"), "node").join(sets.select("id", "n", "seen"), "id")
+    close = _cells(rows, sizes).mapInArrow(_by_cells(_ids_close), "id long").distinct()
+    close = written(close.withColumnRenamed("id", "doc_id"), "close")
+    times = close.count()
+    if not times:
+        return close.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marked = features(likely(texts.filter("doc_id IS NOT NULL"), close, "doc_id", times).join(close, "doc_id", "left_semi"), marked=True)
+    marked = marked.filter("tokens IS NOT NULL").dropDuplicates(["doc_id", "n", "set_a", "set_b"])
+    marked = written(marked.select(F.col("doc_id").alias("id"), "n", F.substring("tokens", 1, SEEN * TOKEN).alias("seen"), "bits"), "marked")
+    rows = labelled.join(sizes.select("node"), "node").join(marked, "id")
+    return _cells(rows, sizes).mapInArrow(_by_cells(_pairs_possible), "a long, b long").distinct()
 
 
 def links(docs: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
     """Links (a, b) between ids, enough to connect all that are similar.
 
-    ``sets``: id, n, tokens and bits of the classes; ``known``: links there are already.
+    ``sets``: id, n and tokens of the classes; ``known``: links there are already.
     """
+    spark = docs.sparkSession
     members = roots(sets)
+    sets = sets.withColumn("seen", F.substring("tokens", 1, SEEN * TOKEN))
     found = written(known, "links")
     for level in range(1, LEVELS + 1):
-        members = written(members, "members")
-        sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("times"), F.min("id").alias("first")).filter("times > 1")
-        sizes = written(sizes, "nodes")
-        if sizes.isEmpty():
+        ends = [F.min("component").alias("one"), F.max("component").alias("two")]
+        nodes = members.groupBy("node").agg(F.min("id").alias("first"), *ends).filter("one <> two")
+        nodes = written(nodes.select("node", "first"), "nodes")
+        if nodes.isEmpty():
             break
-        members = written(members.join(sizes.select("node"), "node"), "members")
-        hubs = written(first_pairs(members, sizes.select("node", "first"), sets), "first-pairs")
-        found = written(found.unionByName(verified(hubs, docs)), "links")
-        parts = written(components(found), "parts")
-        labelled = members.join(parts.select(F.col("node").alias("of"), "component"), F.col("id") == F.col("of"), "left")
+        members = written(members.join(nodes.select("node"), "node"), "members")
+        hubs = written(first_pairs(members, nodes, sets), "first-pairs")
+        if not hubs.isEmpty():
+            found = settled(spark, "links", lambda found=found, hubs=hubs: found.unionByName(verified(hubs, docs)))
+        parts = settled(spark, "parts", lambda found=found: components(found))
+        labelled = members.select("node", "id").join(parts.select(F.col("node").alias("of"), "component"), F.col("id") == F.col("of"), "left")
         labelled = written(labelled.select("node", "id", F.coalesce("component", "id").alias("component")), "labelled")
-        apart = labelled.groupBy("node").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("one"), F.max("component").alias("two"))
+        apart = labelled.groupBy("node").agg(F.count(F.lit(1)).alias("times"), *ends)
         apart = written(apart.filter("one <> two").select("node", "times"), "apart")
-        rows = labelled.join(apart.select("node"), "node").join(sets, "id")
         small = apart if level == LEVELS else apart.filter(F.col("times") <= SMALL)
-        pairs = written(compared(rows, small), "pairs")
+        pairs = settled(spark, "pairs", lambda labelled=labelled, small=small: compared(labelled, small, sets, docs))
         if not pairs.isEmpty():
-            found = written(found.unionByName(verified(pairs, docs)), "links")
+            found = settled(spark, "links", lambda found=found, pairs=pairs: found.unionByName(verified(pairs, docs)))
         large = apart.filter(F.col("times") > SMALL)
         if level == LEVELS or large.isEmpty():
             break
-        members = children(rows.join(large.select("node"), "node"), level + 1)
+        members = children(labelled.join(large.select("node"), "node").join(sets, "id"), level + 1)
+        members = written(members, "members")
     return found
 
 
@@ -321,14 +377,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = ["n", "set_a", "set_b"]
     rows = written(features(docs), "features")
     named = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = written(named.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits")), "classes")
+    classes = written(named.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.first("tokens").alias("tokens")), "classes")
     ids = named.select("doc_id", *same).distinct()
     several = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("doc_id")
     known = ids.join(several, "doc_id").join(classes.select(*same, "class_id"), same).filter("doc_id <> class_id").select(
         F.col("doc_id").alias("a"), F.col("class_id").alias("b")
     )
-    sets = classes.filter("tokens IS NOT NULL").select(F.col("class_id").alias("id"), "n", "tokens", "bits")
-    parts = written(components(written(links(docs, sets, known), "links")), "parts")
+    sets = classes.filter("tokens IS NOT NULL").select(F.col("class_id").alias("id"), "n", "tokens")
+    linked = settled(docs.sparkSession, "links", lambda: links(docs, sets, known))
+    parts = settled(docs.sparkSession, "parts", lambda: components(linked))
     merged = classes.join(parts, F.col("class_id") == F.col("node"), "left").select(
         *same, "class_id", F.coalesce("component", "class_id").alias("component_id")
     )

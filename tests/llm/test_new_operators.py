@@ -60,6 +60,21 @@ def test_chosen_path_branches_down_to_blocks(spark, monkeypatch, small, levels):
     assert rows(got.select(LINKED)) == plain.linked_groups(docs)
 
 
+def test_texts_that_share_a_passage_seldom_share_a_node(spark):
+    def text(n):
+        return [f"w{rng.randrange(1_000_000)}" for _ in range(n)]
+
+    rng = random.Random(9)
+    common = text(30)
+    docs = [(i, " ".join(common + text(90))) for i in range(600)]
+    sets = chosen_path.features(spark.createDataFrame(docs, "doc_id long, text string")).withColumnRenamed("doc_id", "id")
+    times = [r["count"] for r in chosen_path.roots(sets).groupBy("node").count().collect()]
+    assert max(times) <= 60  # a token of the passage is in up to 469 of the texts
+    docs += [(600 + i, docs[i][1] + " more") for i in range(5)]
+    got = chosen_path.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: i - 600 if i >= 600 else i for i, _ in docs}
+
+
 def test_chosen_path_on_odd_rows(spark, odd, empty):
     docs = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
     assert rows(chosen_path.near_duplicates(odd).select(LINKED)) == plain.linked_groups(docs)
