@@ -6,8 +6,9 @@ probability of (37/64)^48, about 4 in 10^12.  In each group
 
 1. every class is compared with the group's hub, the member that shares most bands,
    so the work is linear and large groups of near copies become connected;
-2. what is still apart is put into signature trees (see ``signatures``), and a dual
-   traversal finds the pairs whose greatest possible overlap suffices.
+2. what is still apart, without the hub, whose pairs were all looked at, is put into
+   signature trees (see ``signatures``), and a dual traversal finds the pairs whose
+   greatest possible overlap suffices.
 
 Every candidate is verified on the exact sets.  Components of the links give the
 smallest document id that can be reached.  Groups are cut by size class (similar sets
@@ -243,7 +244,8 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     keys = _shared(found.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key")), "band-keys")
     degree = keys.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
 
-    def hub_pairs() -> DataFrame:
+    def other_members() -> DataFrame:
+        """(key, id, b): the members of each group besides its hub ``b``."""
         ranked = keys.join(degree, "id")
         hubs = written(
             ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("id"))).alias("top")).select(
@@ -251,10 +253,11 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
             ),
             "hubs",
         )
-        return keys.join(hubs, "key").filter(F.col("id") != F.col("b")).select(F.col("id").alias("a"), "b").distinct()
+        return keys.join(hubs, "key").filter(F.col("id") != F.col("b"))
 
     spark = docs.sparkSession
-    pairs = settled(spark, "hub-pairs", hub_pairs)
+    others = settled(spark, "members", other_members)
+    pairs = settled(spark, "hub-pairs", lambda: others.select(F.col("id").alias("a"), "b").distinct())
     sized = pairs.join(sets.withColumnRenamed("id", "a"), "a").join(
         sets.select(F.col("id").alias("b"), F.col("n").alias("hub_n"), F.col("bits").alias("hub_bits")), "b"
     )
@@ -262,8 +265,8 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     parts = settled(spark, "parts", lambda: components(first))
 
     def still_apart() -> DataFrame:
-        """Links found in groups that hold more than one component."""
-        labelled = keys.join(parts, F.col("id") == F.col("node"), "left").select(
+        """Links found in groups that hold more than one component besides their hub."""
+        labelled = others.join(parts, F.col("id") == F.col("node"), "left").select(
             "key", "id", F.coalesce("component", "id").alias("component")
         )
         labelled = written(labelled, "labelled")

@@ -370,6 +370,23 @@ def test_jaccard_links_near_copies_without_a_common_base(spark, changed, monkeyp
     assert rows(got) == Counter(plain.jaccard_groups(source))
 
 
+def test_jaccard_groups_of_two_end_with_their_hub(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    source = []
+    for i in range(20):  # pairs that share bands and are not similar
+        base = [f"p{i}-{j}" for j in range(100)]
+        for _ in range(2):
+            own = list(base)
+            for at in rng.choice(100, 5, replace=False):
+                own[at] = f"x{rng.integers(1 << 40)}"
+            source.append((len(source), " ".join(own)))
+    left, blocked = [], jaccard._blocked
+    monkeypatch.setattr(jaccard, "_blocked", lambda members: left.append(members.count()) or blocked(members))
+    got = jaccard.jaccard_components(spark.createDataFrame(source, "doc_id long, text string"))
+    assert rows(got.select("doc_id", "n_shingles", "component_id")) == Counter(plain.jaccard_groups(source))
+    assert left == [0]
+
+
 @pytest.mark.parametrize("order", [1, -1])
 def test_jaccard_compares_with_every_set_of_a_hub(order):
     near, other, empty = (np.arange(i, i + 40, dtype=np.uint64) for i in (0, 1000, 0))
