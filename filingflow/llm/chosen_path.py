@@ -13,9 +13,10 @@ classes are known to be connected end too.  In every other node
 1. each class is compared with the node's first, and each class is verified with the one of
    those it agrees with most, so large groups of near copies become connected with a
    comparison per class;
-2. nodes of ``SMALL`` classes or fewer that are still apart are compared exhaustively,
-   except for pairs known to be connected; larger ones branch again.  After ``LEVELS``
-   levels what is left is cut into blocks of ``SMALL`` and all pairs of blocks are compared.
+2. nodes that are still apart are cut into blocks of ``SMALL`` classes, and all pairs of
+   blocks are compared exhaustively, except for pairs known to be connected.  Nodes of more
+   than ``BLOCKS`` blocks, which would copy a class as often as two levels do, branch again,
+   and after ``LEVELS`` levels what is left is compared like the smaller ones.
 
 A comparison takes two steps, each inside the node's task.  First the ids are found that
 agree with one of another component on ``AGREE`` of the first ``SEEN`` coordinates or more
@@ -53,7 +54,7 @@ TREES, TRUNK = 32, 3
 #: Coordinates that a level after the first picks from.
 SPAN, LEVELS = 8, 4
 COORDINATES = TREES * TRUNK + SPAN * (LEVELS - 1)
-SMALL, SEEN, AGREE = 1024, 64, 28
+SMALL, BLOCKS, SEEN, AGREE = 1024, 4, 64, 28
 #: Bytes of a token.
 TOKEN = 2
 #: Bits of an element's bitmap at least, and its greatest length in 64-bit words.
@@ -360,11 +361,11 @@ def links(docs: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
         labelled = written(labelled.select("node", "id", F.coalesce("component", "id").alias("component")), "labelled")
         apart = labelled.groupBy("node").agg(F.count(F.lit(1)).alias("times"), *ends)
         apart = written(apart.filter("one <> two").select("node", "times"), "apart")
-        small = apart if level == LEVELS else apart.filter(F.col("times") <= SMALL)
+        small = apart if level == LEVELS else apart.filter(F.col("times") <= SMALL * BLOCKS)
         pairs = settled(spark, "pairs", lambda labelled=labelled, small=small: compared(labelled, small, sets, docs))
         if not pairs.isEmpty():
             found = settled(spark, "links", lambda found=found, pairs=pairs: found.unionByName(verified(pairs, docs)))
-        large = apart.filter(F.col("times") > SMALL)
+        large = apart.filter(F.col("times") > SMALL * BLOCKS)
         if level == LEVELS or large.isEmpty():
             break
         members = children(labelled.join(large.select("node"), "node").join(sets, "id"), level + 1)
