@@ -53,6 +53,8 @@ SLICE = 4 << 20
 RANK_PARTS = 64
 #: Size of the filter of frequent phrases, a power of two, and the hashes of a phrase in it.
 BITS, MOST_BITS, HASHES = 16, 1 << 27, 4
+#: Parts that a filter is gathered in, a row of each per task.
+PAGES = 64
 
 # A-Z folded; what ends a piece becomes a full stop, which no word holds
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz......... ")
@@ -185,26 +187,38 @@ def _places_in_filter(ids: list[np.ndarray], bits: int) -> Iterator[np.ndarray]:
         yield mix(key + np.uint64(turn)) & np.uint64(bits - 1)
 
 
+def filter_pages(frequent: DataFrame, length: int, bits: int) -> DataFrame:
+    """(page, held): the pages of each task's own filter; there are ``PAGES`` a task at most, however many phrases."""
+    names = [_ids_of(j) for j in range(length)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(bits >> 6, np.uint64)
+        for batch in batches:
+            for at in _places_in_filter([batch.column(j).to_numpy() for j in range(length)], bits):
+                np.bitwise_or.at(held, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        for page, words in enumerate(held.reshape(PAGES, -1)):
+            if words.any():
+                yield pa.RecordBatch.from_arrays([pa.array([page], pa.int32()), pa.array([words.tobytes()], pa.binary())], ["page", "held"])
+
+    return frequent.select(*names).mapInArrow(run, "page int, held binary")
+
+
+def _one_page(pages: pa.Table) -> pa.Table:
+    held = np.bitwise_or.reduce([np.frombuffer(p, np.uint64) for p in pages.column("held").to_pylist()])
+    return pa.table({"page": pages.column("page")[:1], "held": pa.array([held.tobytes()], pa.binary())})
+
+
 def filter_of(frequent: DataFrame, length: int) -> np.ndarray:
-    """The filter as 64-bit words, of bounded size; only its words come to the driver."""
+    """The filter as 64-bit words, of bounded size; only its pages come to the driver."""
     bits = 1 << 12
     n = frequent.count()
     while bits < BITS * n and bits < MOST_BITS:
         bits *= 2
-    names = [_ids_of(j) for j in range(length)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.concatenate(list(_places_in_filter([batch.column(j).to_numpy() for j in range(length)], bits)))
-            word, group = np.unique(at >> np.uint64(6), return_inverse=True)
-            held = np.zeros(len(word), np.uint64)
-            np.bitwise_or.at(held, group, np.uint64(1) << (at & np.uint64(63)))
-            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(held.view(np.int64))], ["word", "held"])
-
-    rows = frequent.select(*names).mapInArrow(run, "word long, held long").groupBy("word").agg(F.bit_or("held").alias("held")).toArrow()
-    found = np.zeros(bits >> 6, np.uint64)
-    found[rows.column("word").to_numpy()] = rows.column("held").to_numpy().view(np.uint64)
-    return found
+    rows = filter_pages(frequent, length, bits).groupBy("page").applyInArrow(_one_page, "page int, held binary").toArrow()
+    found = np.zeros((PAGES, (bits >> 6) // PAGES), np.uint64)
+    for page, held in zip(rows.column("page").to_pylist(), rows.column("held").to_pylist(), strict=True):
+        found[page] = np.frombuffer(held, np.uint64)
+    return found.ravel()
 
 
 def _passing(at: np.ndarray, places: np.ndarray, ids: np.ndarray, length: int, held: np.ndarray) -> np.ndarray:

@@ -195,6 +195,17 @@ def test_a_full_filter_changes_no_result(spark, sf_dir, monkeypatch):
     assert len(held) == 64
 
 
+def test_a_filter_is_gathered_in_pages(spark):
+    n = 20_000
+    pairs = written(spark.range(n, numPartitions=3).select(F.col("id").alias("w1"), (F.col("id") * 7).alias("w2")), "pairs")
+    held = phrases.filter_of(pairs, 2)
+    assert phrases.filter_pages(pairs, 2, len(held) << 6).count() <= 3 * phrases.PAGES
+    want = np.zeros(len(held), np.uint64)
+    for at in phrases._places_in_filter([np.arange(n), np.arange(n) * 7], len(held) << 6):
+        np.bitwise_or.at(want, (at >> np.uint64(6)).astype(int), np.uint64(1) << (at & np.uint64(63)))
+    assert (held == want).all() and want.any()
+
+
 # --- attention scores ------------------------------------------------------------------
 
 
