@@ -1,7 +1,7 @@
 """Token ids in binary files, in ascending order of documents.
 
-Texts are dealt out by ranges of ``doc_id`` and sorted, encoded in that order and
-written as segments of about ``SEGMENT`` ids.  A segment holds Simple-8b words, the
+Texts are dealt out by ranges of ``doc_id`` and sorted, encoded in that order, some
+megabytes at a time, and written as segments of about ``SEGMENT`` ids.  A segment holds Simple-8b words, the
 first word of each block, the document ids and their lengths, and its place: the range
 and the number of ids before it in the range.  What lies before a range is the sum of
 the ranges before it, a row per range; so no task counts all documents.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from ..session import fresh_dir
 from . import simple8b
 from .chunks import parts_for
-from .tokens import encoder, public_path
+from .tokens import encoder, large_batches, public_path
 
 END = 2
 #: Ids after which a segment is closed.
@@ -38,44 +38,30 @@ SEGMENT_SCHEMA = (
 
 def _segments(path: str, end: int, segment: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
-        closing = np.array([end], "<u2").tobytes()
-        state = {"before": 0, "part": 0}
-        doc_ids: list[int | None] = []
-        lengths: list[int] = []
-        ids: list[bytes] = []
-        held = 0
-
-        def close() -> pa.RecordBatch:
-            values = np.frombuffer(b"".join(ids), "<u2")
-            words, blocks = simple8b.encode(values)
-            row = {
-                "part": state["part"], "before": state["before"], "n_ids": len(values),
-                "words": words.tobytes(), "blocks": blocks.tobytes(),
-                "doc_ids": np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
-                "null_ids": np.packbits([d is None for d in doc_ids]).tobytes(),
-                "lengths": np.array(lengths, "<u4").tobytes(),
-            }
-            state["before"] += len(values)
-            types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], list(row)
-            )
-
-        for batch in batches:
-            for part, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                state["part"] = part
-                found = encode(text or "") + closing
-                doc_ids.append(doc_id)
-                lengths.append(len(found) // 2)
-                ids.append(found)
-                held += lengths[-1]
-                if held >= segment:
-                    yield close()
-                    doc_ids.clear(), lengths.clear(), ids.clear()
-                    held = 0
-        if doc_ids:
-            yield close()
+        encode_all = encoder(path).encode_all
+        before = 0
+        for docs in large_batches(batches, 2):
+            lengths, ids = encode_all(docs.column(2))
+            ends = np.cumsum(lengths + 1)
+            values = np.insert(ids, np.cumsum(lengths), end)
+            part, doc_ids = docs.column(0)[0].as_py(), docs.column(1)
+            first = start = 0
+            while first < docs.num_rows:
+                last = min(int(np.searchsorted(ends, start + segment)) + 1, docs.num_rows)
+                own, stop = doc_ids.slice(first, last - first), int(ends[last - 1])
+                words, blocks = simple8b.encode(values[start:stop])
+                row = {
+                    "part": part, "before": before, "n_ids": stop - start,
+                    "words": words.tobytes(), "blocks": blocks.tobytes(),
+                    "doc_ids": own.fill_null(0).to_numpy().astype("<i8").tobytes(),
+                    "null_ids": np.packbits(own.is_null().to_numpy(zero_copy_only=False)).tobytes(),
+                    "lengths": (lengths[first:last] + 1).astype("<u4").tobytes(),
+                }
+                types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], list(row)
+                )
+                before, first, start = before + stop - start, last, stop
 
     return run
 

@@ -276,6 +276,34 @@ def test_cached_encoding_equals_the_tokenizer(docs, odd, name):
         assert got == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_many_texts_at_a_time_encode_as_one_by_one(docs, odd):
+    """Distinct parts and pieces go through the merge table once, and every id is the tokenizer's."""
+    from tokenizers import Tokenizer
+
+    path = tokens.public_path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    rng = np.random.default_rng(3)
+    bits = [
+        "a", "B", "é", "'", "'s", "don't", "12", " ", "  ", "\n", "\n\n", "\t", " \n", "\x1c", "\x85", "\xa0", "ÿ", "²", "½",
+        "Ā", "中", "ǅ", "🙂", ".", "..!", "<|endoftext|>", "×", "the", "\x00", "ª", "'re", "\u2003", "\u3000",
+    ]
+    made = ["".join(rng.choice(bits, rng.integers(0, 25))) for _ in range(1500)]
+    texts = [t for _, t in pairs(docs) + pairs(odd)] + made
+    own = tokens.Encoder(path, remembered=500)
+    for some in (texts[:1], texts, [None, "", None], [" "], ["word"]):
+        lengths, ids = own.encode_all(pa.array(some, pa.string()))
+        want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert lengths.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert own.encode_all(pa.array([], pa.string()))[1].tolist() == []
+
+    calls, tokenize = [], own.tokenize
+    own.tokenize = lambda letters: calls.append(letters) or tokenize(letters)
+    own.encode_all(pa.array(["x y"] + ["x " + " ".join(f"q{i % 100}z" for i in range(5000))] * 20))
+    assert len(calls) <= 1 + -(-201 // tokens.MERGED_TOGETHER)  # by single pieces: 201 calls
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(5)
     for bits in (0, 1, 7, 15, 16, 33, 60, 63, 64):
