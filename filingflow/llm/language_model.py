@@ -26,17 +26,19 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import written
 from .chunks import Chunks, answered, squeeze, unpack, unsqueeze
 from .neighbours import centres
-from .tokens import encoder, public_path
+from .tokens import PORTION_BYTES, encoder, public_path
 from .words import Words, mix
 
 CONTEXT, STEP = 8, 24
@@ -49,9 +51,10 @@ KINDS, KIND_IDS = 48, 24
 ROUNDS, RATE = 2, 0.01
 END = 50_256
 IDS = 50_257
-BATCH = 2048
+BATCH = 512
+#: Logits below these in size are exponentiated as they are: neither sums nor products leave the range of a float.
+SMALL, SMALL_CLASS = 60.0, 20.0
 _DOCUMENT = np.uint64(0x9E3779B97F4A7C15)
-_LETTERS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -126,20 +129,41 @@ BASE = (
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
-        for batch in batches:
-            for row in batch.to_pylist():
-                docs = unpack(row["packed"])
-                found = [encode((t or "").translate(_LETTERS)) for t in docs.column("text").to_pylist()]
+        encode_all = encoder(path).encode_all
+        held: list[tuple[int, pa.Table]] = []
+        held_bytes = 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal held_bytes
+            texts = pa.chunked_array([c for _, docs in held for c in docs.column("text").chunks], pa.string())
+            lengths, ids = encode_all(pc.ascii_lower(texts.combine_chunks()))
+            first = start = 0
+            for chunk, docs in held:
+                last = first + docs.num_rows
+                stop = start + int(lengths[first:last].sum())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["chunk"]], pa.int64()),
-                        pa.array([squeeze(np.array([len(f) // 2 for f in found], "<u4"))], pa.binary()),
+                        pa.array([chunk], pa.int64()),
+                        pa.array([squeeze(lengths[first:last].astype("<u4"))], pa.binary()),
                         pa.array([np.packbits(_training(docs)).tobytes()], pa.binary()),
-                        pa.array([squeeze(np.frombuffer(b"".join(found), "<u2"))], pa.binary()),
+                        pa.array([squeeze(ids[start:stop])], pa.binary()),
                     ],
                     ["chunk", "lengths", "training", "ids"],
                 )
+                first, start = last, stop
+            held.clear()
+            held_bytes = 0
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                docs = unpack(row["packed"])
+                n_bytes = docs.column("text").nbytes
+                if held and held_bytes + n_bytes > PORTION_BYTES:
+                    yield from close()
+                held.append((row["chunk"], docs))
+                held_bytes += n_bytes
+        if held:
+            yield from close()
 
     return run
 
@@ -153,8 +177,9 @@ class Sequences:
         self.training = np.unpackbits(np.frombuffer(row["training"], np.uint8))[: len(lengths)].astype(bool)
         self.steps = lengths + 1  # ids to score
         self.first = np.cumsum(self.steps + 1) - (self.steps + 1)
-        self.ids = np.full(int((self.steps + 1).sum()), END, np.int64)
-        inside = np.repeat(self.first + 1 - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(ids))
+        self.ids = np.full(int((self.steps + 1).sum()), END, np.int32)
+        inside = np.ones(len(self.ids), bool)
+        inside[self.first] = inside[self.first + self.steps] = False
         self.ids[inside] = ids
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -172,13 +197,15 @@ class Sequences:
 
     def batch(self, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         """Inputs, targets, which targets count, and which inputs lie within the text."""
-        place = at[:, None] - CONTEXT + np.arange(LENGTH)
-        within = place >= 0
-        inputs = self.ids[self.first[doc][:, None] + np.clip(place, 0, self.steps[doc][:, None] - 1)]
-        scored = place[:, CONTEXT:]
-        counts = scored < self.steps[doc][:, None]
-        targets = self.ids[self.first[doc][:, None] + np.minimum(scored + 1, self.steps[doc][:, None])]
-        return inputs, targets, counts, within
+        place = at[:, None] + np.arange(-CONTEXT, STEP + 1)
+        steps = self.steps[doc][:, None]
+        within = place[:, :LENGTH] >= 0
+        counts = place[:, CONTEXT:LENGTH] < steps
+        np.minimum(place, steps, out=place)
+        np.maximum(place, 0, out=place)
+        place += self.first[doc][:, None]
+        ids = self.ids.take(place)
+        return ids[:, :LENGTH], ids[:, CONTEXT + 1 :], counts, within
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +214,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             before, ids = Sequences(row).pairs()
-            total += np.bincount(ids * KINDS + np.minimum(before // KIND_IDS, KINDS - 1), minlength=len(total))
+            np.add.at(total, ids * KINDS + np.minimum(before // KIND_IDS, KINDS - 1), 1)
     yield _sparse(total)
 
 
@@ -247,6 +274,7 @@ class Model:
         self.inside = np.log((each + 0.5) / mass[self.classes]).astype(np.float32)
         self.used = np.bincount(self.classes, minlength=CLASSES) > 0
         self.prior = np.zeros((CLASSES, CLASSES), np.float32)
+        self.likely = np.exp(self.prior)
         rng = np.random.default_rng(11)
         parts = [rng.standard_normal(s) * (0.3 / np.sqrt(WIDTH) if n not in ("bias", "logits") else 0) for n, s in self.SHAPES.items()]
         self.weights = np.concatenate([p.ravel() for p in parts])
@@ -256,42 +284,66 @@ class Model:
         overall = (pairs.sum(0) + 1.0) / (pairs.sum() + CLASSES)
         prior = np.log((pairs + 20 * overall) / (pairs.sum(1, keepdims=True) + 20))
         self.prior = np.where(self.used[None, :], prior, -60.0).astype(np.float32)
+        self.likely = np.exp(self.prior)
 
     def parts(self, weights: np.ndarray) -> dict[str, np.ndarray]:
         found, at = {}, 0
         for name, shape in self.SHAPES.items():
-            n = int(np.prod(shape))
+            n = math.prod(shape)
             found[name] = weights[at : at + n].reshape(shape).astype(np.float32)
             at += n
+        # query, key and value at once, and what multiplies a class after each class
+        found["asked"] = np.hstack([found["query"] * np.float32(WIDTH**-0.5), found["key"], found["value"]])
+        if self._small(found["bias"], SMALL_CLASS):
+            found["likely"] = self.likely * np.exp(found["bias"])
         return found
 
+    @staticmethod
+    def _small(x: np.ndarray, limit: float) -> bool:
+        return bool(-limit < x.min(initial=0) and x.max(initial=0) < limit)  # not with a NaN
+
     # what a scored place may not see: the places after it
     _HIDDEN = np.where(np.tri(LENGTH, dtype=bool), 0, -np.inf).astype(np.float32)[CONTEXT:]
 
+    _SEEN = np.exp(_HIDDEN)
+
     def forward(self, w: dict, inputs: np.ndarray, within: np.ndarray) -> dict[str, np.ndarray]:
-        """Unnormalised class probabilities of the scored places; only these ask, all places answer."""
-        x = self.embedded[inputs]
+        """Unnormalised class probabilities of the scored places; only these ask, all places answer.
+
+        A softmax is the same for any amount taken from a row's logits: its greatest is only
+        taken where some logit is large.
+        """
+        x = self.embedded.take(inputs, axis=0)
         x += w["place"]
-        asked = np.ascontiguousarray(x[:, CONTEXT:])
-        flat = x.reshape(-1, WIDTH)
-        q = (asked.reshape(-1, WIDTH) @ (w["query"] * np.float32(WIDTH**-0.5))).reshape(asked.shape)
-        k, v = (flat @ w["key"]).reshape(x.shape), (flat @ w["value"]).reshape(x.shape)
+        qkv = (x.reshape(-1, WIDTH) @ w["asked"]).reshape(*inputs.shape, 3 * WIDTH)
+        q, k, v = qkv[:, CONTEXT:, :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
         a = q @ k.transpose(0, 2, 1)
-        a += self._HIDDEN
-        if not within.all():
-            a += np.where(within, 0, -np.inf).astype(np.float32)[:, None, :]
-        a -= a.max(-1, keepdims=True)  # a place always sees itself, so this is finite
-        np.exp(a, out=a)
-        weight = a.sum(-1, keepdims=True)
+        begins = np.flatnonzero(~within[:, 0])
+        if self._small(a, SMALL):
+            np.exp(a, out=a)
+            a *= self._SEEN
+            a[begins] *= within[begins][:, None, :]
+        else:
+            a += self._HIDDEN
+            a[begins] += np.where(within[begins], 0, -np.inf).astype(np.float32)[:, None, :]
+            a -= a.max(-1, keepdims=True)  # a place always sees itself, so this is finite
+            np.exp(a, out=a)
+        weight = (a.reshape(-1, LENGTH) @ np.ones(LENGTH, np.float32)).reshape(*a.shape[:2], 1)
         o = a @ v
         o /= weight
-        h = asked.reshape(-1, WIDTH) + o.reshape(-1, WIDTH) @ w["out"]
+        h = o.reshape(-1, WIDTH) @ w["out"]
+        h += x[:, CONTEXT:].reshape(-1, WIDTH)
         z = h @ w["logits"]
-        z += w["bias"]
-        z += np.take(self.prior, self.classes[inputs[:, CONTEXT:]].ravel(), axis=0)
-        z -= z.max(-1, keepdims=True)
-        np.exp(z, out=z)
-        return {"x": x, "asked": asked, "q": q, "k": k, "v": v, "a": a, "weight": weight, "o": o, "h": h, "p": z, "sum": z.sum(-1)}
+        before = self.classes.take(inputs[:, CONTEXT:].ravel())
+        if "likely" in w and self._small(z, SMALL_CLASS):
+            np.exp(z, out=z)
+            z *= w["likely"].take(before, axis=0)
+        else:
+            z += w["bias"]
+            z += self.prior.take(before, axis=0)
+            z -= z.max(-1, keepdims=True)
+            np.exp(z, out=z)
+        return {"x": x, "q": q, "k": k, "v": v, "a": a, "weight": weight, "o": o, "h": h, "p": z, "sum": z @ np.ones(CLASSES, np.float32)}
 
     def scores(self, w: dict, inputs: np.ndarray, targets: np.ndarray, counts: np.ndarray, within: np.ndarray) -> np.ndarray:
         """Natural log probability per window."""
@@ -305,24 +357,30 @@ class Model:
         w = self.parts(weights)
         f = self.forward(w, inputs, within)
         ids = self.classes[targets.ravel()]
-        d = f["p"] / f["sum"][:, None]
-        d[np.arange(len(ids)), ids] -= 1
-        d *= (counts.ravel() / max(1, counts.sum()))[:, None].astype(np.float32)
-        g = {"logits": f["h"].T @ d, "bias": d.sum(0)}
-        dh = (d @ w["logits"].T).reshape(f["asked"].shape)
-        flat = dh.reshape(-1, WIDTH)
+        share = (counts.ravel() / max(1, counts.sum())).astype(np.float32)
+        d = f["p"]
+        d *= (share / f["sum"])[:, None]
+        d[np.arange(len(ids)), ids] -= share
+        g = {"logits": (d.T @ f["h"]).T, "bias": np.ones(len(d), np.float32) @ d}
+        flat = d @ w["logits"].T
+        dh = flat.reshape(-1, STEP, WIDTH)
         g["out"] = f["o"].reshape(-1, WIDTH).T @ flat
         do = (flat @ w["out"].T).reshape(dh.shape)
-        a = f["a"] / f["weight"]
-        da = do @ f["v"].transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(-1, keepdims=True))
-        dq, dk, dv = ds @ f["k"] * np.float32(WIDTH**-0.5), ds.transpose(0, 2, 1) @ f["q"], a.transpose(0, 2, 1) @ do
-        dx = np.zeros_like(f["x"])
-        dx[:, CONTEXT:] = dh
-        for name, part, seen in (("query", dq, f["asked"]), ("key", dk, f["x"]), ("value", dv, f["x"])):
-            g[name] = seen.reshape(-1, WIDTH).T @ part.reshape(-1, WIDTH)
-            dx[:, LENGTH - part.shape[1] :] += (part.reshape(-1, WIDTH) @ w[name].T).reshape(part.shape)
-        g["place"] = dx.sum(0)
+        a = f["a"]
+        a /= f["weight"]
+        ds = do @ f["v"].transpose(0, 2, 1)
+        ds -= np.einsum("bij,bij->bi", do, f["o"])[..., None]  # the mean of a row, weighted by a
+        ds *= a
+        dqkv = np.empty((*inputs.shape, 3 * WIDTH), np.float32)
+        dqkv[:, :CONTEXT, :WIDTH] = 0
+        np.matmul(ds, f["k"], out=dqkv[:, CONTEXT:, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), f["q"], out=dqkv[..., WIDTH : 2 * WIDTH])
+        np.matmul(a.transpose(0, 2, 1), do, out=dqkv[..., 2 * WIDTH :])
+        both = (dqkv.reshape(-1, 3 * WIDTH).T @ f["x"].reshape(-1, WIDTH)).T
+        g["query"], g["key"], g["value"] = both[:, :WIDTH] * np.float32(WIDTH**-0.5), both[:, WIDTH : 2 * WIDTH], both[:, 2 * WIDTH :]
+        each = np.ones(len(inputs), np.float32)
+        g["place"] = (each @ dqkv.reshape(len(inputs), -1)).reshape(LENGTH, 3 * WIDTH) @ w["asked"].T
+        g["place"][CONTEXT:] += (each @ dh.reshape(len(inputs), -1)).reshape(STEP, WIDTH)
         return np.concatenate([g[n].ravel().astype(np.float64) for n in self.SHAPES])
 
 

@@ -647,6 +647,39 @@ def test_the_gradient_is_right():
         assert slope[at] == pytest.approx((loss(model.weights + step) - loss(model.weights - step)) / 0.04, abs=3e-3)
 
 
+def test_scores_are_the_same_with_and_without_the_greatest_logit_taken(monkeypatch):
+    model = small_model()
+    own = sequence(1000)
+    batch = own.batch(*own.windows())
+    plainly, slope = model.scores(model.parts(model.weights), *batch), model.slope(model.weights, *batch)
+    monkeypatch.setattr(language_model, "SMALL", 0.0)
+    monkeypatch.setattr(language_model, "SMALL_CLASS", 0.0)
+    assert "likely" not in model.parts(model.weights)
+    assert model.scores(model.parts(model.weights), *batch) == pytest.approx(plainly, rel=1e-5)
+    assert model.slope(model.weights, *batch) == pytest.approx(slope, abs=1e-4)
+
+
+def test_chunks_are_encoded_together(monkeypatch):
+    path = tokens.public_path("byte_bpe_50k.json")
+    own = tokens.Encoder(path)
+    calls, tokenize = [], own.tokenize
+    own.tokenize = lambda letters: calls.append(letters) or tokenize(letters)
+    monkeypatch.setattr(language_model, "encoder", lambda _: own)
+    texts = [["A " + " ".join(f"Q{i % 50}Z" for i in range(100))] * 3 + [None, "É "] for _ in range(4)]
+    rows = [
+        {"chunk": c, "packed": chunks.pack(pa.RecordBatch.from_pydict({"doc_id": list(range(5)), "text": t}))}
+        for c, t in enumerate(texts)
+    ]
+    got = list(language_model._encoded(path)(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert [b.column("chunk").to_pylist() for b in got] == [[0], [1], [2], [3]]
+    for batch, some in zip(got, texts, strict=True):
+        row = batch.to_pylist()[0]
+        each = [own.encode("".join(c.lower() if c.isascii() else c for c in t or "")) for t in some]
+        assert chunks.unsqueeze(row["lengths"], "<u4").tolist() == [len(e) // 2 for e in each]
+        assert chunks.unsqueeze(row["ids"], "<u2").tobytes() == b"".join(each)
+    assert max(len(c) for c in calls) > 100  # many pieces a call
+
+
 # --- words ----------------------------------------------------------------------------
 
 
