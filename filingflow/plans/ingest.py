@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import base_name, safe_name
@@ -47,6 +49,7 @@ def process_filings(
     max_files: int = MAX_ARCHIVE_FILES,
     max_bytes: int = MAX_ARCHIVE_BYTES,
     broadcast_rows: int = BROADCAST_ROWS,
+    fetch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Every filing not known yet with its outcome and, on success, its document.
 
@@ -54,7 +57,8 @@ def process_filings(
     folder, since three branches read it.  The payload meets the filings in an
     inner join that moves no payload: up to ``broadcast_rows`` filings are broadcast, a longer
     list in slices (see ``placed_join``).  Filings without a payload come from an
-    anti-join that reads the payload's ids alone.
+    anti-join that reads the payload's ids alone.  With ``fetch`` the payloads have the ``path``
+    of a file; it turns that into ``content``, for files of these filings only.
     """
     todo = mark_stored(without(filings, known, ["rcept_no"]), stored)
     stem = safe_name(base_name(F.col("rcept_no"))).alias("stem")
@@ -67,7 +71,9 @@ def process_filings(
         without(fresh, payloads, ["rcept_no"]), "FAILED", "download", F.lit(NO_DOCUMENT)
     )
 
-    fetched = with_download_error(placed_join(payloads.select("rcept_no", "content"), fresh, "rcept_no", broadcast_rows))
+    held = payloads.select("rcept_no", "path" if fetch else "content")
+    found = placed_join(held, fresh, "rcept_no", broadcast_rows)
+    fetched = with_download_error(fetch(found) if fetch else found)
     refused, unreadable, too_small = (F.col(c).isNotNull() for c in ("download_error", "error", "skip_reason"))
     documents = size_gate(
         normalise(

@@ -36,7 +36,7 @@ class Placed(WriterCommitMessage):
     objects: int
 
 
-def _opened(root: str) -> tuple[fs.FileSystem, str]:
+def opened(root: str) -> tuple[fs.FileSystem, str]:
     if root.startswith("file:"):
         root = "/" + root.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(root)
@@ -57,8 +57,8 @@ class ObjectWriter(DataSourceArrowWriter):
         self.columns = names.index("object_key"), names.index("body")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Placed:
-        files, folder = _opened(f"{self.staging}/{uuid.uuid4().hex}")
-        root = _opened(self.root)[1]
+        files, folder = opened(f"{self.staging}/{uuid.uuid4().hex}")
+        root = opened(self.root)[1]
         files.create_dir(folder, recursive=True)
         staged: list[tuple[str, str]] = []
         for batch in iterator:
@@ -76,7 +76,7 @@ class ObjectWriter(DataSourceArrowWriter):
         return Placed(len(staged))
 
     def _clean(self) -> None:
-        files, folder = _opened(self.staging)
+        files, folder = opened(self.staging)
         if files.get_file_info(folder).type != fs.FileType.NotFound:
             files.delete_dir(folder)
 

@@ -10,48 +10,52 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.kind import is_zip, well_formed_xml
+from ..functions.once import computed_once
 from ..functions.text import base_name
-from ..operators.incremental import latest_per_key
-from ..operators.placed_join import placed_join
 from ..schema import CRITICAL_DOCUMENT, NO_DOCUMENT, STATUS_ROWS
-from ..session import BROADCAST_ROWS, written
-from .store import folders_of, or_empty
+from . import arrivals
+from .landed import content, dealt_files, list_files, newest_files
 
 
 # a byte order mark and an XML declaration
 _DECLARED = r"\A\uFEFF?(?:[ \t-\r]*<\?xml[^>]*\?>)?"
 
 
-def read_payloads(
-    spark: SparkSession, root: str, stream: bool = False, dates: Iterable[str] | None = None, **options
-) -> DataFrame:
-    """Payload files as ``rcept_no, date, length, content``; with ``dates`` only their folders are listed.
+def list_payloads(spark: SparkSession, root: str, dates: Iterable[str] | None = None) -> DataFrame:
+    """Payload files as a stored table with ``rcept_no, date, length, path``; with ``dates`` only their folders are listed.
 
     Of several files of a filing the newest counts, chosen by what the listing of
-    the folder says about them.  ``content`` is only read from storage where a
-    query selects it.
+    the folder says about them.
     """
-    reader = spark.readStream if stream else spark.read
-    schema = "path string, modificationTime timestamp, length bigint, content binary, date string"
-    paths = [root] if dates is None else folders_of(spark, root, dates, "date")
-    load = reader.format("binaryFile").schema(schema).option("basePath", root).options(**options).load
-    files = or_empty(spark, lambda: load(paths[0] if stream else paths), schema) if paths else spark.createDataFrame([], schema)
-    files = files.withColumn("rcept_no", base_name(F.col("path"), ascii_only=True))
-    if not stream:
-        listed = files.select("date", "rcept_no", "modificationTime", "path")
-        newest = latest_per_key(listed, ["date", "rcept_no"], ["modificationTime", "path"]).select("path")
-        newest = written(newest, "newest-payloads")
-        older = written(listed.select("path").join(newest, "path", "left_anti"), "older-payloads")
-        if older.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # files that came again
-            files = files.join(F.broadcast(older), "path", "left_anti")
-        else:
-            files = placed_join(files, newest, "path")
-    return files.select("rcept_no", "date", "length", "content")
-
-
-def arrived_payloads(spark: SparkSession, root: str, **options) -> DataFrame:
-    """The stream of payload files that land, as ``rcept_no, date``; it reads no content."""
-    return read_payloads(spark, root, stream=True, **options).select("rcept_no", "date")
+    listed = list_files(spark, root, dates).withColumn("rcept_no", base_name(F.col("path"), ascii_only=True))
+    return newest_files(listed, ["date", "rcept_no"], root)
+
+
+def read_payloads(spark: SparkSession, root: str, dates: Iterable[str] | None = None) -> DataFrame:
+    """The newest payload files as ``rcept_no, date, length, content``.
+
+    ``content`` is only read from storage where a query selects it.
+    """
+    listed = list_payloads(spark, root, dates)
+    return dealt_files(listed, listed).select("rcept_no", "date", "length", content(root, F.col("path")).alias("content"))
+
+
+def with_content(rows: DataFrame, listed: DataFrame, root: str) -> DataFrame:
+    """Rows of ``list_payloads``, or of a join with them, with the file's ``content`` in place of its ``path``."""
+    return computed_once(dealt_files(rows, listed), [c for c in rows.columns if c != "path"], content=content(root, F.col("path")))
+
+
+def arrived_payloads(spark: SparkSession, root: str, log: str, most: int | None = None) -> DataFrame:
+    """The stream of payload files that land, as ``rcept_no, date``; it reads no content.
+
+    ``log`` is the folder of what was seen, and a trigger takes up ``most`` files at most.
+    """
+    arrivals.register(spark)
+    files = spark.readStream.format("arrivals").options(log=log, **({} if most is None else {"most": most})).load(root)
+    return files.select(
+        base_name(F.col("path"), ascii_only=True).alias("rcept_no"),
+        F.regexp_extract("path", r"\Adate=([^/]*)/", 1).alias("date"),
+    )
 
 
 def error_answer(content: Column) -> Column:

@@ -63,6 +63,11 @@ def folders_of(spark: SparkSession, root: str, dates: Iterable[str], key: str =
     return [p for p in paths if made(p).getFileSystem(conf).exists(made(p))]
 
 
+def dates_of(spark: SparkSession, root: str, key: str = "date_key") -> list[str]:
+    """The dates that have a folder."""
+    return _names(spark, root, f"{key}=")
+
+
 _BASE, _VERSIONS = "_base", "_versions"
 
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.incremental import known_ids, latest_per_key
+from ..operators.incremental import known_ids
 from ..operators.ledger import failure_records, latest_failures
 from ..operators.paging import counted_pages, page_actions
 from ..operators.parse import parse_items, quarantined
@@ -24,11 +24,12 @@ from ..operators.retry import attempt_kind, finished_ids, retry_state
 from ..operators.sinks import append_attempts, publish, store_documents
 from ..plans.ingest import attempts_of, listed_filings, poll_counters, process_filings, stored_documents
 from ..schema import ATTEMPT_SCHEMA, MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES, MAX_FAIL, MIN_BODY_BYTES
-from ..session import clear, configure, make_dir, written
+from ..session import clear, configure, make_dir, scratch, written
+from ..sources.landed import content, dealt_files, list_files, newest_files
 from ..sources.listing import page_fields, page_items, poll_date_today, read_pages, scan_predicate, valid_poll_date
-from ..sources.payloads import arrived_payloads, read_payloads
+from ..sources.payloads import arrived_payloads, list_payloads, with_content
 from ..sources.store import (
-    DOCUMENT_SCHEMA, compact_dates, date_key, folders_of, read_dates, read_documents, read_processed, read_table, stored_keys,
+    DOCUMENT_SCHEMA, compact_dates, date_key, read_dates, read_documents, read_processed, read_table, stored_keys,
 )
 
 
@@ -73,21 +74,12 @@ def failures(spark: SparkSession, folders: Folders) -> DataFrame:
 
 def landed_pages(spark: SparkSession, folders: Folders, dates: list[str]) -> DataFrame:
     """Newest landed copy of every page of the given dates."""
-    paths = folders_of(spark, folders.pages, dates, "date")
-    if not paths:
-        return spark.createDataFrame([], "date string, page_no int").select("*", F.parse_json(F.lit("null")).alias("page"))
-    files = spark.read.format("text").schema("value string, date string, page_no int").options(
-        wholetext=True, basePath=folders.pages
+    numbered = list_files(spark, folders.pages, dates).withColumn(
+        "page_no", F.regexp_extract("path", "/page_no=([^/]*)/", 1).cast("int")
     )
-    pages = files.load(paths).select(
-        "date", "page_no", F.try_parse_json("value").alias("page"),
-        F.col("_metadata.file_modification_time").alias("landed_at"),
-        F.col("_metadata.file_path").alias("landed_as"),
-    )
-    newest = latest_per_key(
-        pages.select("date", "page_no", "landed_at", "landed_as"), ["date", "page_no"], ["landed_at", "landed_as"]
-    )
-    return pages.join(newest.select("landed_as"), "landed_as", "left_semi").select("date", "page_no", "page")
+    newest = newest_files(numbered, ["date", "page_no"], folders.pages)
+    text = content(folders.pages, F.col("path"), unpack=True).cast("string")
+    return dealt_files(newest, newest).select("date", "page_no", F.try_parse_json(text).alias("page"))
 
 
 @dataclass(frozen=True)
@@ -121,7 +113,13 @@ def run_batch(
     Returns what the batch did: filings processed, skipped and failed.
     """
     spark = configure(batch.sparkSession)
+    with scratch(spark):
+        return _run_batch(spark, batch, batch_id, folders, limits, payloads)
 
+
+def _run_batch(
+    spark: SparkSession, batch: DataFrame, batch_id: int, folders: Folders, limits: Limits, payloads: DataFrame | None
+) -> dict:
     def kept(df: DataFrame, name: str) -> DataFrame:
         # A table on disk has a known size, so Spark broadcasts it only if small.
         return written(df, name, f"{folders.root}/work/batch_id={batch_id}/{name}")
@@ -143,9 +141,10 @@ def run_batch(
 
     known = known_ids(*finished_ids(state_of(_before(ledger(spark, folders, filed), batch_id), limits.max_fail)))
     documents = _before(read_documents(spark, folders.documents, filed), batch_id)
+    listed = list_payloads(spark, folders.payloads, dates) if payloads is None else None
     processed = process_filings(
-        filings.drop("date_key"), known, stored_keys(documents),
-        read_payloads(spark, folders.payloads, dates=dates) if payloads is None else payloads,
+        filings.drop("date_key"), known, stored_keys(documents), listed if payloads is None else payloads,
+        fetch=(lambda found: with_content(found, listed, folders.payloads)) if payloads is None else None,
         work_folder=f"{folders.root}/work/batch_id={batch_id}/todo",
         min_bytes=limits.min_bytes, max_files=limits.max_files, max_bytes=limits.max_bytes,
     )
@@ -198,7 +197,8 @@ def start_poll(
     service's zone, whatever day that is when a batch runs; two dates are the first and
     last of those to work off.  With ``arrivals`` a payload file that lands after
     its filing was listed starts a batch, too, and its filing is tried without a new listing.
-    A batch takes up ``max_files`` pages and as many payload files, or with None all that landed.
+    A batch takes up ``max_files`` pages and as many payload files, or with None all that landed; where the
+    stream ends, its first batch takes up all payload files.
     """
     for date in [target_date] if isinstance(target_date, str) else target_date or ():
         if not re.fullmatch("[0-9]{8}", date):
@@ -215,7 +215,7 @@ def start_poll(
     landed = pages.select("date")
     if arrivals:
         make_dir(spark, folders.payloads)
-        files = arrived_payloads(spark, folders.payloads, **limit)
+        files = arrived_payloads(spark, folders.payloads, f"{folders.checkpoint_poll}/arrivals", max_files if interval else None)
         landed = landed.withColumn("rcept_no", F.lit(None).cast("string")).unionByName(files.select("date", "rcept_no"))
     return (
         landed.where(polled)
