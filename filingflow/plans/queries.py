@@ -16,7 +16,7 @@ from ..operators import (
 )
 from ..schema import FILING_FIELDS, MAX_FAIL, MESSAGE_FIELDS, MESSAGE_SCHEMA
 from ..session import configure, fresh_dir, written
-from ..sources import listing, messages as message_source, objects, payloads as payload_source, store
+from ..sources import landed, listing, messages as message_source, objects, payloads as payload_source, store
 from ..streaming import consume, incremental as stateful, poll
 from . import ingest, views
 
@@ -660,7 +660,7 @@ def _polled(spark, sf, batches: tuple[int, ...], limits: poll.Limits = poll.Limi
     pages = views.pages(spark, sf, views.MONTH).select("date", "page_no", F.to_json("page").alias("value"))
     _land_pages(written(pages, "landing"), folders)
     payloads = written(views.payloads(spark, sf, views.MONTH), "payloads")
-    dates = spark.read.schema("value string, date string, page_no int").text(folders.pages).select("date")
+    dates = landed.list_files(spark, folders.pages).select("date")
     for batch_id in batches:
         poll.run_batch(dates, batch_id, folders, limits, payloads=payloads)
     attempts = poll.ledger(spark, folders)

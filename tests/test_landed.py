@@ -6,9 +6,12 @@ import os
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from filingflow.plans import views
+from filingflow.plans.queries import QUERIES
 from filingflow.sources import landed
 from filingflow.sources.arrivals import ArrivalReader
 from filingflow.sources.payloads import list_payloads, read_payloads, with_content
+from filingflow.streaming import poll
 from filingflow.streaming.poll import Folders, landed_pages, start_poll
 from test_streaming import HTML, item, land_page, land_payload, outcomes
 from zips import make_zip
@@ -34,6 +37,14 @@ def test_the_driver_lists_no_landed_file(spark, folder):
     assert [r["page_no"] for r in pages.where("date = '20240102'").orderBy("page_no").collect()] == list(range(1, 31))
 
 
+def test_polls_list_pages_by_tasks(spark, sf_dir, monkeypatch):
+    batches = []
+    monkeypatch.setattr(views, "payloads", lambda s, *a: s.createDataFrame([], "rcept_no string, content binary"))
+    monkeypatch.setattr(poll, "run_batch", lambda dates, *a, **k: batches.append((len(dates.inputFiles()), dates.count())))
+    QUERIES["poll_twice"](spark, sf_dir).schema
+    assert [n for n, _ in batches] == [0, 0, 0] and all(n > 50 for _, n in batches)  # files the driver knows, pages
+
+
 def test_files_that_spark_passes_over(spark, folder):
     day = "date=20240102"
     put(folder, f"{day}/a.zip", b"old", 1_000)
