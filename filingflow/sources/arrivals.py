@@ -1,150 +1,57 @@
-"""The stream of files that land below ``<root>/date=D``.
+"""Files that land below ``<root>/date=D``, as a stream.
 
-Spark's file stream holds a listing of all files on the driver, and in a batch one entry for each of its files.  This
-one lists a date at a time.  What it finds new goes to a file of the log, ``<log>/N.arrow``, in one move; the offset
-of the stream is N, and tasks read the paths of a batch from there.  Of each file seen 16 bytes are
-held, a hash of its path within the date.  A file counts once, however often it is written again.
+Spark's file stream holds a listing of all files on the driver, and in a batch one entry for each of its files.  Here
+tasks list the folders, and what the log does not have yet is written to it; Spark's file stream follows the
+log, whose files hold many paths each.  A file counts once, however often it is written again.
 """
 
 from __future__ import annotations
 
-import hashlib
-import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass
+import logging
+import threading
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-from pyarrow import fs
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from .landed import LISTED_ROWS, files_below
-from .objects import opened
+from ..session import make_dir, scratch, written
+from .landed import list_files
+from .store import or_empty
 
-_LOGGED = pa.schema([("path", pa.string())])
-#: Batches of the log that a task reads.
-_TASK_BATCHES = 4
+LOG = logging.getLogger(__name__)
+_LOGGED = "path string, date string"
 
 
-@dataclass
-class Logged(InputPartition):
-    """Some batches of a file of the log."""
+def note_arrivals(spark: SparkSession, root: str, log: str, most: int | None = None) -> int:
+    """Write the files that landed since to the log, ``most`` in a file of it or about as many; returns how many."""
+    with scratch(spark):
+        seen = or_empty(spark, lambda: spark.read.schema(_LOGGED).parquet(log), _LOGGED)
+        # a listing that was broken off left whole files of the log, and the rest is found now
+        found = list_files(spark, root).select("path", "date").join(seen.select("path"), "path", "left_anti")
+        found = written(found, "arrivals")
+        n = found.count()
+        if n:
+            parts = -(-n // most) if most else 1 + n // 100_000
+            found = found.repartitionByRange(parts, "path") if parts > 1 else found.coalesce(1)
+            found.write.mode("append").option("maxRecordsPerFile", most or 0).parquet(log)
+        return n
 
-    number: int
-    first: int
-    end: int
 
+def logged_arrivals(spark: SparkSession, log: str, most: int | None = None) -> DataFrame:
+    """The stream of ``path, date`` in the log, a file of it at a time or with no ``most`` all there are."""
+    make_dir(spark, log)
+    limit = {} if most is None else {"maxFilesPerTrigger": 1}
+    return spark.readStream.schema(_LOGGED).options(**limit).parquet(log)
 
-def _hashes(paths: list[str]) -> np.ndarray:
-    joined = b"".join(hashlib.blake2b(path.encode("utf-8", "surrogatepass"), digest_size=16).digest() for path in paths)
-    return np.frombuffer(joined, "<u8").reshape(-1, 2)
 
+def keep_noting(query: StreamingQuery, note: Callable[[], int], seconds: float) -> None:
+    """Look for arrivals every so many seconds as long as the stream runs."""
 
-def _among(hashes: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """Which of the hashes are in ``seen``, whose rows are in the order of their first half."""
-    if not len(seen):
-        return np.zeros(len(hashes), bool)
-    at = np.minimum(np.searchsorted(seen[:, 0], hashes[:, 0]), len(seen) - 1)
-    return (seen[at] == hashes).all(axis=1)
+    def watch() -> None:
+        while not query.awaitTermination(max(seconds, 1)):
+            try:
+                note()
+            except Exception:  # what landed is found the next time
+                LOG.exception("payload folders could not be listed")
 
-
-class ArrivalReader(DataSourceStreamReader):
-    def __init__(self, root: str, log: str, most: int | None):
-        self.root, self.log, self.most = root.rstrip("/"), log.rstrip("/"), most
-        self.seen: dict[str, np.ndarray] | None = None
-        self.last = 0
-
-    def __getstate__(self) -> dict:
-        """What tasks need to read: not what was seen."""
-        return vars(self) | {"seen": None}
-
-    def initialOffset(self) -> dict:
-        return {"listing": 0}
-
-    def _logged(self, number: int) -> pa.ipc.RecordBatchFileReader:
-        files, folder = opened(self.log)
-        return pa.ipc.open_file(files.open_input_file(f"{folder}/{number}.arrow"))
-
-    def _note(self, folder: str, hashes: np.ndarray) -> None:
-        held = np.concatenate([self.seen.get(folder, np.empty((0, 2), "<u8")), hashes])
-        self.seen[folder] = held[np.argsort(held[:, 0], kind="stable")]
-
-    def _recall(self) -> None:
-        """What the log says was seen."""
-        self.seen = {}
-        files, folder = opened(self.log)
-        files.create_dir(folder, recursive=True)
-        names = [info.base_name for info in files.get_file_info(fs.FileSelector(folder))]
-        numbers = sorted(int(name.removesuffix(".arrow")) for name in names if name.removesuffix(".arrow").isdigit())
-        parts: dict[str, list[np.ndarray]] = {}
-        for number in numbers:
-            with self._logged(number) as log:
-                for i in range(log.num_record_batches):
-                    paths = log.get_batch(i).column(0).to_pylist()  # those of one folder
-                    parts.setdefault(paths[0].partition("/")[0], []).append(_hashes(paths))
-        for date in list(parts):
-            self._note(date, np.concatenate(parts.pop(date)))
-        self.last = numbers[-1] if numbers else 0
-
-    def latestOffset(self) -> dict:
-        if self.seen is None:
-            self._recall()
-        files, base = opened(self.root)
-        log_files, log = opened(self.log)
-        children = files.get_file_info(fs.FileSelector(base, allow_not_found=True))
-        folders = sorted(c.base_name for c in children if c.type == fs.FileType.Directory and c.base_name.startswith("date="))
-        staged, left = f"{log}/_{uuid.uuid4().hex}", self.most
-        found: dict[str, list[np.ndarray]] = {}
-        with log_files.open_output_stream(staged) as out, pa.ipc.new_file(out, _LOGGED) as writer:
-            for folder in folders:
-                if left == 0:
-                    break
-                paths = [path for path, *_ in files_below(self.root, folder)]
-                for start in range(0, len(paths), LISTED_ROWS):
-                    some = paths[start:start + LISTED_ROWS]
-                    hashes = _hashes(some)
-                    new = np.flatnonzero(~_among(hashes, self.seen.get(folder, hashes[:0])))[:left]
-                    if len(new):
-                        writer.write_batch(pa.record_batch([pa.array([some[i] for i in new], pa.string())], schema=_LOGGED))
-                        found.setdefault(folder, []).append(hashes[new])
-                        left = None if left is None else left - len(new)
-        if found:
-            log_files.move(staged, f"{log}/{self.last + 1}.arrow")
-            self.last += 1
-            for folder, hashes in found.items():
-                self._note(folder, np.concatenate(hashes))
-        else:
-            log_files.delete_file(staged)
-        return {"listing": self.last}
-
-    def partitions(self, start: dict, end: dict) -> list[Logged]:
-        parts = []
-        for number in range(start.get("listing", 0) + 1, end["listing"] + 1):
-            with self._logged(number) as log:
-                n = log.num_record_batches
-            parts += [Logged(number, i, min(i + _TASK_BATCHES, n)) for i in range(0, n, _TASK_BATCHES)]
-        return parts
-
-    def read(self, partition: Logged) -> Iterator[pa.RecordBatch]:
-        with self._logged(partition.number) as log:
-            for i in range(partition.first, partition.end):
-                yield log.get_batch(i)
-
-
-class Arrivals(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "arrivals"
-
-    def schema(self) -> str:
-        return "path string"
-
-    def streamReader(self, schema: StructType) -> ArrivalReader:
-        most = self.options.get("most")
-        return ArrivalReader(self.options["path"], self.options["log"], int(most) if most else None)
-
-
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(Arrivals)
+    threading.Thread(target=watch, name="arrivals", daemon=True).start()

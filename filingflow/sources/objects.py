@@ -1,7 +1,7 @@
 """A sink of real files: one object per row, below ``<root>/<object_key>``.
 
-``df.write.format("objects").mode("append").save(root)`` takes ``object_key string, body
-binary``; ``register`` makes the format known to a session.
+``write_objects`` takes ``object_key string, body binary``.  The same is a format, ``df.write.format("objects")
+.mode("append").save(root)``, which ``register`` makes known to a session; it keeps some Python processes beside the driver.
 
 A task stages what it writes in a folder of its own and moves each file to its place
 at its end.  A move replaces, so a task that fails and runs again, or runs
@@ -116,5 +116,15 @@ def write_objects(rows: DataFrame, root: str) -> None:
     An object without a body is an empty file.  A key that is null, empty or would leave
     the root fails the write.  Of rows with one key, one's body stays.  The rows are counted first.
     """
-    register(rows.sparkSession)
-    dealt(rows.select("object_key", "body")).write.format("objects").mode("append").save(root)
+    writer = ObjectWriter(root, ["object_key", "body"])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"objects": pa.array([writer.write(batches).objects], pa.int64())})
+
+    # the format would start five processes beside the driver, which stay
+    try:
+        dealt(rows.select("object_key", "body")).mapInArrow(place, "objects bigint").write.format("noop").mode("overwrite").save()
+    except BaseException:
+        writer.abort([])
+        raise
+    writer.commit([])

@@ -45,17 +45,10 @@ def with_content(rows: DataFrame, listed: DataFrame, root: str) -> DataFrame:
     return computed_once(dealt_files(rows, listed), [c for c in rows.columns if c != "path"], content=content(root, F.col("path")))
 
 
-def arrived_payloads(spark: SparkSession, root: str, log: str, most: int | None = None) -> DataFrame:
-    """The stream of payload files that land, as ``rcept_no, date``; it reads no content.
-
-    ``log`` is the folder of what was seen, and a trigger takes up ``most`` files at most.
-    """
-    arrivals.register(spark)
-    files = spark.readStream.format("arrivals").options(log=log, **({} if most is None else {"most": most})).load(root)
-    return files.select(
-        base_name(F.col("path"), ascii_only=True).alias("rcept_no"),
-        F.regexp_extract("path", r"\Adate=([^/]*)/", 1).alias("date"),
-    )
+def arrived_payloads(spark: SparkSession, log: str, most: int | None = None) -> DataFrame:
+    """The stream of payload files that ``note_arrivals`` wrote to the log, as ``rcept_no, date``; it reads no content."""
+    files = arrivals.logged_arrivals(spark, log, most)
+    return files.select(base_name(F.col("path"), ascii_only=True).alias("rcept_no"), "date")
 
 
 def error_answer(content: Column) -> Column:

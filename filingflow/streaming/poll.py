@@ -11,6 +11,7 @@ from __future__ import annotations
 import logging
 import re
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +26,7 @@ from ..operators.sinks import append_attempts, publish, store_documents
 from ..plans.ingest import attempts_of, listed_filings, poll_counters, process_filings, stored_documents
 from ..schema import ATTEMPT_SCHEMA, MAX_ARCHIVE_BYTES, MAX_ARCHIVE_FILES, MAX_FAIL, MIN_BODY_BYTES
 from ..session import clear, configure, make_dir, scratch, written
+from ..sources.arrivals import keep_noting, note_arrivals
 from ..sources.landed import content, dealt_files, list_files, newest_files
 from ..sources.listing import page_fields, page_items, poll_date_today, read_pages, scan_predicate, valid_poll_date
 from ..sources.payloads import arrived_payloads, list_payloads, with_content
@@ -197,8 +199,7 @@ def start_poll(
     service's zone, whatever day that is when a batch runs; two dates are the first and
     last of those to work off.  With ``arrivals`` a payload file that lands after
     its filing was listed starts a batch, too, and its filing is tried without a new listing.
-    A batch takes up ``max_files`` pages and as many payload files, or with None all that landed; where the
-    stream ends, its first batch takes up all payload files.
+    A batch takes up ``max_files`` pages and about as many payload files, or with None all that landed.
     """
     for date in [target_date] if isinstance(target_date, str) else target_date or ():
         if not re.fullmatch("[0-9]{8}", date):
@@ -215,12 +216,23 @@ def start_poll(
     landed = pages.select("date")
     if arrivals:
         make_dir(spark, folders.payloads)
-        files = arrived_payloads(spark, folders.payloads, f"{folders.checkpoint_poll}/arrivals", max_files if interval else None)
+        log = f"{folders.checkpoint_poll}/arrivals"
+        note = partial(note_arrivals, spark, folders.payloads, log, max_files)
+        note()
+        files = arrived_payloads(spark, log, max_files)
         landed = landed.withColumn("rcept_no", F.lit(None).cast("string")).unionByName(files.select("date", "rcept_no"))
-    return (
+    query = (
         landed.where(polled)
         .writeStream.foreachBatch(lambda batch, batch_id: run_batch(batch, batch_id, folders, limits))
         .option("checkpointLocation", folders.checkpoint_poll)
         .trigger(**trigger)
         .start()
     )
+    if arrivals and interval:
+        keep_noting(query, note, _seconds(spark, interval))
+    return query
+
+
+def _seconds(spark: SparkSession, interval: str) -> float:
+    later = F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.lit(interval).cast("interval"))
+    return spark.range(1).select(later).first()[0] / 1000

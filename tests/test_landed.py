@@ -2,15 +2,15 @@
 
 import gzip
 import os
+import time
 
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from filingflow.plans import views
 from filingflow.plans.queries import QUERIES
 from filingflow.sources import landed
-from filingflow.sources.arrivals import ArrivalReader
-from filingflow.sources.payloads import list_payloads, read_payloads, with_content
+from filingflow.sources.arrivals import note_arrivals
+from filingflow.sources.payloads import arrived_payloads, list_payloads, read_payloads, with_content
 from filingflow.streaming import poll
 from filingflow.streaming.poll import Folders, landed_pages, start_poll
 from test_streaming import HTML, item, land_page, land_payload, outcomes
@@ -83,50 +83,71 @@ def test_large_files_leave_python_one_by_one(spark, folder):
     assert len({r["sum"] for r in found}) == 6 and {r["n"] for r in found} == {landed.READ_BYTES + 1}
 
 
-def taken(reader, start, end):
-    parts = reader.partitions({"listing": start}, {"listing": end})
-    return [path for part in parts for batch in reader.read(part) for path in batch.column(0).to_pylist()]
+def logged(spark, log):
+    return sorted(r["path"] for r in spark.read.parquet(log).collect())
 
 
-def test_a_file_arrives_once(folder):
+def test_a_file_arrives_once(spark, folder):
     root, log = f"{folder}/in", f"{folder}/log"
-    reader = ArrivalReader(root, log, None)
-    assert reader.latestOffset() == reader.initialOffset()  # nothing is there yet
+    assert note_arrivals(spark, root, log) == 0  # nothing is there yet
     for no in range(3):
         put(root, f"date=2024010{no}/{no}.zip", b"x")
     put(root, "date=20240101/empty.zip", b"")
     put(root, "date=20240101/_hidden.zip", b"x")
-    assert reader.latestOffset() == {"listing": 1}
-    assert taken(reader, 0, 1) == [f"date=2024010{no}/{no}.zip" for no in range(3)]
+    assert note_arrivals(spark, root, log) == 3
+    assert logged(spark, log) == [f"date=2024010{no}/{no}.zip" for no in range(3)]
     put(root, "date=20240101/1.zip", b"again")
-    assert reader.latestOffset() == {"listing": 1} and taken(reader, 1, 1) == []
+    files = sorted(os.listdir(log))
+    assert note_arrivals(spark, root, log) == 0 and sorted(os.listdir(log)) == files  # no file, so no batch
     put(root, "date=20240101/empty.zip", b"no more")
     put(root, "date=20240102/1.zip", b"a name of another date")
     put(root, "date=20240101/old.zip", b"x", 1_000)  # lands now, was changed long ago
-    # a reader that starts again knows what the log says, though no batch of it was ended
-    again = ArrivalReader(root, log, None)
-    assert again.latestOffset() == {"listing": 2}
-    assert sorted(taken(again, 1, 2)) == ["date=20240101/empty.zip", "date=20240101/old.zip", "date=20240102/1.zip"]
-    assert len(taken(again, 0, 2)) == 6 and again.latestOffset() == {"listing": 2}
-    assert sorted(os.listdir(log)) == ["1.arrow", "2.arrow"]
+    assert note_arrivals(spark, root, log) == 3 and len(logged(spark, log)) == 6
+    assert {"date=20240101/empty.zip", "date=20240101/old.zip", "date=20240102/1.zip"} < set(logged(spark, log))
 
 
-def test_a_trigger_takes_up_so_many_files(folder, monkeypatch):
-    from filingflow.sources import arrivals
-
-    monkeypatch.setattr(arrivals, "LISTED_ROWS", 2)
+def test_a_file_of_the_log_is_a_batch(spark, folder):
     root, log = f"{folder}/in", f"{folder}/log"
-    names = [f"date=2024010{no % 2}/{no}.zip" for no in range(15)]
+    names = sorted(f"date=2024010{no % 2}/{no}.zip" for no in range(25))
     for name in names:
         put(root, name, b"x")
-    reader = ArrivalReader(root, log, 6)
-    assert [reader.latestOffset()["listing"] for _ in range(4)] == [1, 2, 3, 3]
-    assert [len(taken(reader, n, n + 1)) for n in range(3)] == [6, 6, 3]
-    assert sorted(taken(reader, 0, 3)) == sorted(names)
-    whole = ArrivalReader(root, f"{folder}/other", None)
-    assert whole.latestOffset() == {"listing": 1} and len(whole.partitions({"listing": 0}, {"listing": 1})) > 1
-    # what was seen does not travel to tasks
-    assert len(cloudpickle.dumps(reader)) - len(cloudpickle.dumps(ArrivalReader(root, log, 6))) < 64
+    assert note_arrivals(spark, root, log, 10) == 25 and logged(spark, log) == names
+    files = [f for f in os.listdir(log) if f.endswith(".parquet")]
+    sizes = [spark.read.parquet(f"{log}/{f}").count() for f in files]
+    assert 3 <= len(sizes) <= 6 and max(sizes) <= 10
+    for most, batches in ((10, len(sizes)), (None, 1)):
+        taken = []
+        arrived_payloads(spark, log, most).writeStream.foreachBatch(
+            lambda batch, n: taken.append([tuple(r) for r in batch.select("date", "rcept_no").collect()])
+        ).option("checkpointLocation", f"{folder}/checkpoint-{most}").trigger(availableNow=True).start().awaitTermination()
+        assert len(taken) == batches
+        assert sorted(f"date={date}/{no}.zip" for batch in taken for date, no in batch) == names
+
+
+def test_a_running_poll_finds_what_lands(spark, folder):
+    folders = Folders(folder)
+    land_page(folder, [item(1), item(2)])
+    query = start_poll(spark, folders, interval="1 second", target_date="20240102", arrivals=True)
+    try:
+        for no, batches in ((1, 2), (2, 3)):
+            assert wait_for(lambda: len({b for b, *_ in outcomes(spark, folders)}) == batches - 1)
+            land_payload(folder, no, make_zip([("a.html", HTML)]))
+        assert wait_for(lambda: len(outcomes(spark, folders)) == 4)
+    finally:
+        query.stop()
+    assert outcomes(spark, folders) == [("0", 1, "FAILED"), ("0", 2, "FAILED"), ("1", 1, "SUCCESS"), ("2", 2, "SUCCESS")]
+
+
+def wait_for(done, seconds=90):
+    end = time.time() + seconds
+    while time.time() < end:
+        try:
+            if done():
+                return True
+        except Exception:  # a table that is being written
+            pass
+        time.sleep(0.5)
+    return False
 
 
 def test_the_poll_keeps_no_listing_of_payloads(spark, folder):
@@ -137,8 +158,8 @@ def test_the_poll_keeps_no_listing_of_payloads(spark, folder):
     query = start_poll(spark, folders, interval=None, target_date="20240102", arrivals=True)
     query.awaitTermination()
     sources = [s["description"] for s in query.lastProgress["sources"]]
-    assert len(sources) == 2 and not any("payloads" in s and "FileStreamSource" in s for s in sources)
+    assert len(sources) == 2 and not any(f"{folder}/payloads" in s for s in sources)
     assert outcomes(spark, folders) == [("0", 1, "SUCCESS"), ("0", 2, "SUCCESS"), ("0", 3, "SUCCESS"), ("0", 4, "FAILED")]
-    assert os.listdir(f"{folder}/checkpoint_poll/arrivals") == ["1.arrow"]
+    assert logged(spark, f"{folder}/checkpoint_poll/arrivals") == [f"date=20240102/20240102{no:06d}.zip" for no in range(1, 4)]
     # a batch leaves nothing it wrote on the way
     assert os.listdir(f"{folder}/pages/_listings") == os.listdir(f"{folder}/payloads/_listings") == []
